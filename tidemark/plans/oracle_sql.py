@@ -195,3 +195,115 @@ ORACLES["Q4_decide_training"] = with_ctes(LISTINGS_SQL, PAYLOAD_SQL, QUALITY_CTE
 SELECT batch_number, round(volume_share, 6) AS volume_share, CASE WHEN reason_code = 'low_volume' THEN 'SKIP' ELSE 'TRAIN' END AS decision,
        reason_code, {DECISION_REASON} AS reason
 FROM decided""")
+
+# ------------------------------------------------------------ features ------
+_NUMS = ["bed", "bath", "acre_lot", "house_size", "zip_code", "brokered_by", "street"]
+
+CLEAN_CTE = """
+clean0 AS (
+  SELECT listing_key, batch_number, brokered_by, status, price, bed, bath, acre_lot, street, city, state, zip_code, house_size,
+         coalesce(year(try_strptime(prev_sold_date, '%Y-%m-%d')), 0) AS prev_sold_year
+  FROM listings WHERE price IS NOT NULL AND NOT isnan(price) AND price > 0
+),
+fit AS (SELECT """ + ", ".join(f"coalesce(quantile_cont({c}, 0.5), 0.0) AS m_{c}" for c in _NUMS) + """,
+               quantile_cont(price, 0.99) AS p99 FROM clean0),
+kept AS (
+  SELECT c.listing_key, c.batch_number, c.status, c.price, c.city, c.state, c.prev_sold_year, """ + ", ".join(
+    f"coalesce(c.{c}, f.m_{c}) AS {c}" for c in _NUMS) + """
+  FROM clean0 c, fit f WHERE c.price <= f.p99
+),
+vocab AS (
+  SELECT col, val, CAST(row_number() OVER (PARTITION BY col ORDER BY val) - 1 AS INTEGER) AS code FROM (
+    SELECT DISTINCT 'status' AS col, status AS val FROM kept WHERE status IS NOT NULL
+    UNION SELECT DISTINCT 'city', city FROM kept WHERE city IS NOT NULL
+    UNION SELECT DISTINCT 'state', state FROM kept WHERE state IS NOT NULL)
+),
+oc AS (SELECT col, CAST(count(*) AS INTEGER) AS oc FROM vocab GROUP BY col),
+enc AS (
+  SELECT k.listing_key, k.batch_number, k.price, k.prev_sold_year, """ + ", ".join(f"k.{c}" for c in _NUMS) + """,
+         CAST(coalesce(vs.code, (SELECT oc FROM oc WHERE col = 'status')) AS INTEGER) AS status,
+         CAST(coalesce(vc.code, (SELECT oc FROM oc WHERE col = 'city')) AS INTEGER) AS city,
+         CAST(coalesce(vt.code, (SELECT oc FROM oc WHERE col = 'state')) AS INTEGER) AS state
+  FROM kept k
+  LEFT JOIN vocab vs ON vs.col = 'status' AND vs.val = k.status
+  LEFT JOIN vocab vc ON vc.col = 'city' AND vc.val = k.city
+  LEFT JOIN vocab vt ON vt.col = 'state' AND vt.val = k.state
+),
+ranked AS (
+  SELECT *, row_number() OVER (ORDER BY md5('42-' || listing_key), listing_key) - 1 AS rnk, count(*) OVER () AS n_all FROM enc
+),
+clean AS (
+  SELECT * EXCLUDE (rnk, n_all),
+         CASE WHEN rnk < floor(n_all * CAST(0.7 AS DOUBLE)) THEN 'train'
+              WHEN rnk < floor(n_all * CAST(0.85 AS DOUBLE)) THEN 'val' ELSE 'test' END AS split
+  FROM ranked
+)"""
+
+_CLEAN_COLS = ("listing_key, batch_number, round(price, 6) AS price, prev_sold_year, status, city, state, "
+               + ", ".join(f"round({c}, 6) AS {c}" for c in _NUMS) + ", split")
+
+ORACLES["F7_clean_pipeline"] = with_ctes(LISTINGS_SQL, CLEAN_CTE, body=f"SELECT {_CLEAN_COLS} FROM clean")
+ORACLES["A10_median_fit"] = with_ctes(LISTINGS_SQL, CLEAN_CTE, body="SELECT " + ", ".join(
+    f"round(m_{c}, 6) AS median_{c}" for c in _NUMS) + " FROM fit")
+ORACLES["A11_p99"] = with_ctes(LISTINGS_SQL, CLEAN_CTE, body="SELECT round(p99, 6) AS p99 FROM fit")
+ORACLES["P4_clip_p99"] = with_ctes(LISTINGS_SQL, CLEAN_CTE, body="SELECT listing_key, round(price, 6) AS price FROM kept")
+ORACLES["P2_drop_null_target"] = with_ctes(LISTINGS_SQL, body="""
+SELECT listing_key FROM listings WHERE price IS NOT NULL AND NOT isnan(price)""")
+ORACLES["P3_positive_target"] = with_ctes(LISTINGS_SQL, body="""
+SELECT listing_key, round(price, 6) AS price FROM listings WHERE price IS NOT NULL AND NOT isnan(price) AND price > 0""")
+ORACLES["F1_fit_encoders"] = with_ctes(LISTINGS_SQL, CLEAN_CTE, body="""
+SELECT col AS "column", val AS value, code FROM vocab
+UNION ALL SELECT col, '<others>', oc FROM oc""")
+ORACLES["O2_vocab_order"] = with_ctes(LISTINGS_SQL, CLEAN_CTE, body="""
+SELECT col AS "column", val AS value, code FROM vocab""")
+ORACLES["A23_split_sizes"] = with_ctes(LISTINGS_SQL, CLEAN_CTE, body="""
+SELECT split, count(*) AS rows FROM clean GROUP BY split""")
+ORACLES["A14_batch_numbers_used"] = with_ctes(LISTINGS_SQL, CLEAN_CTE, body="""
+SELECT array_to_string(list_sort(list(DISTINCT batch_number)), ',') AS batch_numbers FROM clean WHERE batch_number IS NOT NULL""")
+ORACLES["S8_scan_split"] = with_ctes(LISTINGS_SQL, CLEAN_CTE, body="""
+SELECT listing_key, batch_number FROM clean WHERE split = 'val'""")
+ORACLES["U3_concat_splits"] = with_ctes(LISTINGS_SQL, CLEAN_CTE, body="""
+SELECT split, batch_number, count(*) AS rows FROM (
+  SELECT * FROM clean WHERE split = 'train' UNION ALL SELECT * FROM clean WHERE split = 'val'
+  UNION ALL SELECT * FROM clean WHERE split = 'test') GROUP BY split, batch_number""")
+ORACLES["W6_global_rank"] = with_ctes(LISTINGS_SQL, body="""
+SELECT listing_key, row_number() OVER (ORDER BY md5('42-' || listing_key), listing_key) - 1 AS rank FROM listings""")
+ORACLES["F3_split_dataset"] = with_ctes(LISTINGS_SQL, body="""
+SELECT listing_key, CASE WHEN rnk < floor(n_all * CAST(0.7 AS DOUBLE)) THEN 'train'
+                         WHEN rnk < floor(n_all * CAST(0.85 AS DOUBLE)) THEN 'val' ELSE 'test' END AS split
+FROM (SELECT listing_key, row_number() OVER (ORDER BY md5('42-' || listing_key), listing_key) - 1 AS rnk,
+             count(*) OVER () AS n_all FROM listings)""")
+HIST_VOCAB_CTE = """
+hv AS (
+  SELECT col, val, CAST(row_number() OVER (PARTITION BY col ORDER BY val) - 1 AS INTEGER) AS code FROM (
+    SELECT DISTINCT 'status' AS col, status AS val FROM listings WHERE status IS NOT NULL AND batch_number <= 40
+    UNION SELECT DISTINCT 'city', city FROM listings WHERE city IS NOT NULL AND batch_number <= 40
+    UNION SELECT DISTINCT 'state', state FROM listings WHERE state IS NOT NULL AND batch_number <= 40)
+),
+hoc AS (SELECT col, CAST(count(*) AS INTEGER) AS oc FROM hv GROUP BY col),
+henc AS (
+  SELECT l.listing_key, l.batch_number,
+       CAST(coalesce(vs.code, (SELECT oc FROM hoc WHERE col = 'status')) AS INTEGER) AS status,
+       CAST(coalesce(vc.code, (SELECT oc FROM hoc WHERE col = 'city')) AS INTEGER) AS city,
+       CAST(coalesce(vt.code, (SELECT oc FROM hoc WHERE col = 'state')) AS INTEGER) AS state
+  FROM listings l
+  LEFT JOIN hv vs ON vs.col = 'status' AND vs.val = l.status
+  LEFT JOIN hv vc ON vc.col = 'city' AND vc.val = l.city
+  LEFT JOIN hv vt ON vt.col = 'state' AND vt.val = l.state
+)"""
+
+ORACLES["J3_encode_lookup"] = with_ctes(LISTINGS_SQL, HIST_VOCAB_CTE, body="SELECT listing_key, status, city, state FROM henc")
+ORACLES["F2_transform_encoders"] = ORACLES["J3_encode_lookup"]
+ORACLES["P7_is_null"] = with_ctes(LISTINGS_SQL, body="""
+SELECT """ + ",\n".join(
+    f"count(*) FILTER (WHERE {c} IS NULL{' OR isnan(' + c + ')' if c not in ('status', 'city', 'state', 'prev_sold_date') else ''}) AS nulls_{c}"
+    for c in ["brokered_by", "status", "price", "bed", "bath", "acre_lot", "street", "city", "state", "zip_code",
+              "house_size", "prev_sold_date"]) + " FROM listings")
+ORACLES["P5_fill_features"] = with_ctes(LISTINGS_SQL, body="SELECT listing_key, " + ", ".join(
+    f"round(coalesce({c}, 0), 6) AS {c}" for c in _NUMS) + " FROM listings")
+ORACLES["X4_sold_year"] = with_ctes(LISTINGS_SQL, body="""
+SELECT listing_key, coalesce(year(try_strptime(prev_sold_date, '%Y-%m-%d')), 0) AS prev_sold_year FROM listings""")
+ORACLES["P6_feature_vector"] = with_ctes(LISTINGS_SQL, CLEAN_CTE, body="SELECT listing_key, " + ", ".join(
+    f"round(CAST({c} AS DOUBLE), 6) AS f{i:02d}_{c}" for i, c in enumerate(
+        ["brokered_by", "status", "bed", "bath", "acre_lot", "street", "city", "state", "zip_code", "house_size",
+         "prev_sold_year"])) + " FROM clean")

@@ -71,3 +71,154 @@ def q7(spark, sf):
 def q4(spark, sf):
     d = DEC.decide_training(_signals(spark, sf))
     return flat(d.select("batch_number", "volume_share", "decision", "reason_code", "reason"))
+
+
+# ----------------------------------------------------------- features -------
+from tidemark.functions.expr import is_null, sold_year  # noqa: E402
+from tidemark.operators import features as FE  # noqa: E402
+
+_NUMS = FE.IMPUTE_COLUMNS
+
+
+def _records(spark, sf):
+    return fx.listings_records(spark, sf)
+
+
+def _clean(spark, sf):
+    return FE.clean_pipeline(_records(spark, sf))
+
+
+def _kept(spark, sf):
+    df = FE.valid_target(FE.with_sold_year(FE.drop_control(_records(spark, sf))))
+    st = FE.fit_medians(df, _NUMS, extra=[("p99", "price", 0.99)]).first()
+    return FE.clip_p99(FE.impute(df, {c: st[f"median_{c}"] for c in _NUMS}), st["p99"]), st
+
+
+_CLEAN_OUT = ["listing_key", "batch_number", "price", "prev_sold_year", "status", "city", "state", *_NUMS, "split"]
+
+
+@register("F7_clean_pipeline")
+def f7(spark, sf):
+    return flat(_clean(spark, sf).select(*_CLEAN_OUT))
+
+
+@register("A10_median_fit")
+def a10(spark, sf):
+    df = FE.valid_target(_records(spark, sf))
+    return flat(FE.fit_medians(df, _NUMS))
+
+
+@register("A11_p99")
+def a11(spark, sf):
+    df = FE.valid_target(_records(spark, sf))
+    return flat(FE.exact_percentiles(df, [("p99", "price", 0.99)]))
+
+
+@register("P4_clip_p99")
+def p4(spark, sf):
+    return flat(_kept(spark, sf)[0].select("listing_key", "price"))
+
+
+@register("P2_drop_null_target")
+def p2(spark, sf):
+    df = _records(spark, sf)
+    return df.where(~is_null("price")).select("listing_key")
+
+
+@register("P3_positive_target")
+def p3(spark, sf):
+    return flat(FE.valid_target(_records(spark, sf)).select("listing_key", "price"))
+
+
+def _clean_vocab(spark, sf):
+    return FE.fit_vocabulary(_kept(spark, sf)[0])
+
+
+@register("F1_fit_encoders")
+def f1(spark, sf):
+    v = _clean_vocab(spark, sf)
+    oc = FE.others_codes(v).select("column", F.lit("<others>").alias("value"), F.col("others_code").alias("code"))
+    return v.select("column", "value", "code").unionByName(oc)
+
+
+@register("O2_vocab_order")
+def o2(spark, sf):
+    return _clean_vocab(spark, sf).select("column", "value", "code")
+
+
+@register("A23_split_sizes")
+def a23(spark, sf):
+    return FE.split_sizes(_clean(spark, sf))
+
+
+@register("A14_batch_numbers_used")
+def a14(spark, sf):
+    return flat(FE.batch_numbers_used(_clean(spark, sf)))
+
+
+@register("S8_scan_split")
+def s8(spark, sf):
+    return FE.scan_split(_clean(spark, sf), "val").select("listing_key", "batch_number")
+
+
+@register("U3_concat_splits")
+def u3(spark, sf):
+    c = _clean(spark, sf)
+    u = FE.concat_splits(*[FE.scan_split(c, s) for s in ("train", "val", "test")])
+    return u.groupBy("split", "batch_number").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("W6_global_rank")
+def w6(spark, sf):
+    return FE.global_rank(_records(spark, sf), "listing_key").select("listing_key", "rank")
+
+
+@register("F3_split_dataset")
+def f3(spark, sf):
+    return FE.split_dataset(_records(spark, sf), "listing_key").select("listing_key", "split")
+
+
+def _hist_encoded(spark, sf):
+    df = _records(spark, sf)
+    vocab = FE.fit_vocabulary(df.where(F.col("batch_number") <= 40))
+    return FE.encode(df, vocab)
+
+
+@register("J3_encode_lookup")
+def j3(spark, sf):
+    return _hist_encoded(spark, sf).select("listing_key", "status", "city", "state")
+
+
+@register("F2_transform_encoders")
+def f2(spark, sf):
+    return _hist_encoded(spark, sf).select("listing_key", "status", "city", "state")
+
+
+@register("P7_is_null")
+def p7(spark, sf):
+    df = _records(spark, sf)
+    return df.agg(*[F.count_if(is_null(c, c not in fx.STRING_COLUMNS)).alias(f"nulls_{c}") for c in fx.RECORD_COLUMNS])
+
+
+@register("P5_fill_features")
+def p5(spark, sf):
+    return flat(FE.fill_features(_records(spark, sf), _NUMS).select("listing_key", *_NUMS))
+
+
+@register("X4_sold_year")
+def x4(spark, sf):
+    return _records(spark, sf).select("listing_key", sold_year("prev_sold_date").alias("prev_sold_year"))
+
+
+@register("P6_feature_vector")
+def p6(spark, sf):
+    from pyspark.ml.functions import vector_to_array
+    v = FE.feature_vector(_clean(spark, sf))
+    arr = vector_to_array("features")
+    return flat(v.select("listing_key", *[arr[i].alias(f"f{i:02d}_{c}") for i, c in enumerate(FE.FEATURES)]))
+
+
+@register("F6_capture_params")
+def f6(spark, sf):
+    kept, _ = _kept(spark, sf)
+    return FE.fit_preprocessor(kept).params()
