@@ -307,3 +307,149 @@ ORACLES["P6_feature_vector"] = with_ctes(LISTINGS_SQL, CLEAN_CTE, body="SELECT l
     f"round(CAST({c} AS DOUBLE), 6) AS f{i:02d}_{c}" for i, c in enumerate(
         ["brokered_by", "status", "bed", "bath", "acre_lot", "street", "city", "state", "zip_code", "house_size",
          "prev_sold_year"])) + " FROM clean")
+
+# ------------------------------------------------- metrics & promotion ------
+RUNS_CTE = """
+metrics AS (
+  SELECT line, batch_number, candidate, ordinal, split, count(*) AS n,
+         avg(abs(predicted - actual)) AS mae, sqrt(avg((predicted - actual) * (predicted - actual))) AS rmse,
+         CASE WHEN count(*) * var_pop(actual) <> 0
+              THEN 1.0 - sum((predicted - actual) * (predicted - actual)) / (count(*) * var_pop(actual))
+              WHEN sum((predicted - actual) * (predicted - actual)) = 0 THEN 1.0 ELSE 0.0 END AS r2
+  FROM candidate_predictions GROUP BY line, batch_number, candidate, ordinal, split
+),
+wide AS (
+  SELECT line, batch_number, candidate, ordinal,
+         max(mae) FILTER (WHERE split = 'val') AS val_mae, max(rmse) FILTER (WHERE split = 'val') AS val_rmse
+  FROM metrics GROUP BY line, batch_number, candidate, ordinal
+),
+best AS (
+  SELECT *, line || '-' || CAST(batch_number AS VARCHAR) || '-' || candidate AS run_id FROM (
+    SELECT *, row_number() OVER (PARTITION BY line, batch_number ORDER BY val_mae, ordinal) AS rn
+    FROM wide WHERE val_mae IS NOT NULL AND NOT isnan(val_mae)) WHERE rn = 1
+),
+versions AS (
+  SELECT run_id, version FROM (
+    SELECT run_id, batch_number, CAST(row_number() OVER (PARTITION BY line ORDER BY batch_number, ordinal) AS VARCHAR) AS version
+    FROM best) WHERE batch_number % 13 <> 0
+),
+runs AS (
+  SELECT b.line, b.batch_number, b.val_mae AS mae, b.val_rmse AS rmse, v.version IS NOT NULL AS resolved,
+         row_number() OVER (PARTITION BY b.line ORDER BY b.batch_number) AS rn
+  FROM best b LEFT JOIN (SELECT run_id, min(version) AS version FROM versions GROUP BY run_id) v USING (run_id)
+),
+fold AS (
+  WITH RECURSIVE f(line, rn, batch_number, mae, rmse, promoted, c_batch, c_mae, c_rmse, n_batch, n_mae, n_rmse) AS (
+    SELECT line, rn, batch_number, mae, rmse, resolved, NULL::INTEGER, NULL::DOUBLE, NULL::DOUBLE,
+           CASE WHEN resolved THEN batch_number END, CASE WHEN resolved THEN mae END, CASE WHEN resolved THEN rmse END
+    FROM runs WHERE rn = 1
+    UNION ALL
+    SELECT r.line, r.rn, r.batch_number, r.mae, r.rmse, p.ok, f.n_batch, f.n_mae, f.n_rmse,
+           CASE WHEN p.ok THEN r.batch_number ELSE f.n_batch END, CASE WHEN p.ok THEN r.mae ELSE f.n_mae END,
+           CASE WHEN p.ok THEN r.rmse ELSE f.n_rmse END
+    FROM f JOIN runs r ON r.line = f.line AND r.rn = f.rn + 1,
+    LATERAL (SELECT r.resolved AND (f.n_mae IS NULL OR (r.mae <= f.n_mae * (1.0 - 0.03) AND r.rmse <= f.n_rmse * (1.0 + 0.01))) AS ok) p
+  )
+  SELECT line, batch_number, mae, rmse, promoted, c_batch AS champion_batch_number, c_mae AS champion_mae, c_rmse AS champion_rmse FROM f
+)"""
+
+_CH = "(champion_mae IS NOT NULL AND champion_rmse IS NOT NULL)"
+_MAE_OK = "(mae <= champion_mae * (1.0 - 0.03))"
+_RMSE_OK = "(rmse <= champion_rmse * (1.0 + 0.01))"
+_MC = f"CASE WHEN {_CH} THEN CASE WHEN champion_mae = 0 THEN CASE WHEN mae = 0 THEN 0.0 ELSE '-inf'::DOUBLE END ELSE (champion_mae - mae) / champion_mae END END"
+_RC = f"CASE WHEN {_CH} THEN CASE WHEN champion_rmse = 0 THEN CASE WHEN rmse = 0 THEN 0.0 ELSE 'inf'::DOUBLE END ELSE (rmse - champion_rmse) / champion_rmse END END"
+
+ORACLES["A12_regression_metrics"] = with_ctes(CANDIDATE_PREDICTIONS_SQL, RUNS_CTE, body="""
+SELECT line, batch_number, candidate, ordinal, split, n, round(mae, 6) AS mae, round(rmse, 6) AS rmse, round(r2, 6) AS r2 FROM metrics""")
+ORACLES["A13_best_candidate"] = with_ctes(CANDIDATE_PREDICTIONS_SQL, RUNS_CTE, body="""
+SELECT line, batch_number, candidate, round(val_mae, 6) AS val_mae, round(val_rmse, 6) AS val_rmse, run_id FROM best""")
+ORACLES["J4_run_to_version"] = with_ctes(CANDIDATE_PREDICTIONS_SQL, RUNS_CTE, body="""
+SELECT b.run_id, v.version FROM best b LEFT JOIN (SELECT run_id, min(version) AS version FROM versions GROUP BY run_id) v USING (run_id)""")
+ORACLES["W7_champion_fold"] = with_ctes(CANDIDATE_PREDICTIONS_SQL, RUNS_CTE, body=f"""
+SELECT line, batch_number, promoted, champion_batch_number, round(champion_mae, 6) AS champion_mae,
+       coalesce({_MAE_OK} AND NOT {_RMSE_OK}, false) AS blocked_by_rmse FROM fold""")
+ORACLES["J5_candidate_vs_champion"] = with_ctes(CANDIDATE_PREDICTIONS_SQL, RUNS_CTE, body="""
+SELECT line, batch_number, round(mae, 6) AS mae, round(rmse, 6) AS rmse, round(champion_mae, 6) AS champion_mae,
+       round(champion_rmse, 6) AS champion_rmse FROM fold""")
+ORACLES["Q5_should_promote"] = with_ctes(CANDIDATE_PREDICTIONS_SQL, RUNS_CTE, body=f"""
+SELECT line, batch_number, promote, round(mc, 6) AS mae_change_pct, round(rc, 6) AS rmse_change_pct, reason_code,
+       CASE WHEN NOT {_CH} THEN 'Promoted: first model (no previous champion).'
+            WHEN mae_ok AND rmse_ok THEN 'Promoted: MAE improves ' || printf('%.2f', mc * 100) || '% (>= threshold 3.00%) and RMSE changes '
+                 || printf('%.2f', rc * 100) || '% (<= threshold 1.00%).'
+            ELSE 'Champion kept: ' || array_to_string(list_filter([
+                   CASE WHEN NOT mae_ok THEN 'MAE improves ' || printf('%.2f', mc * 100) || '% (< threshold 3.00%)' END,
+                   CASE WHEN NOT rmse_ok THEN 'RMSE worsens ' || printf('%.2f', rc * 100) || '% (> threshold 1.00%)' END],
+                   lambda x: x IS NOT NULL), '; ') || '.' END AS reason
+FROM (SELECT *, {_MC} AS mc, {_RC} AS rc, {_MAE_OK} AS mae_ok, {_RMSE_OK} AS rmse_ok,
+             CASE WHEN mae IS NULL OR rmse IS NULL THEN false ELSE NOT {_CH} OR ({_MAE_OK} AND {_RMSE_OK}) END AS promote,
+             CASE WHEN mae IS NULL OR rmse IS NULL THEN 'no_candidate' WHEN NOT {_CH} THEN 'first_model'
+                  WHEN {_MAE_OK} AND {_RMSE_OK} THEN 'improved' WHEN NOT {_MAE_OK} AND NOT {_RMSE_OK} THEN 'mae_and_rmse'
+                  WHEN NOT {_MAE_OK} THEN 'mae' ELSE 'rmse_guard' END AS reason_code
+      FROM fold)""")
+ORACLES["X8_change_pct"] = with_ctes(CANDIDATE_PREDICTIONS_SQL, RUNS_CTE, body=f"""
+SELECT line, batch_number, round({_MC}, 6) AS mae_change_pct, round({_RC}, 6) AS rmse_change_pct FROM fold""")
+ORACLES["Q6_promote_mae_only"] = with_ctes(CANDIDATE_PREDICTIONS_SQL, RUNS_CTE, body="""
+SELECT line, batch_number,
+       round(CASE WHEN NOT (champion_mae IS NULL OR champion_mae = 0) THEN (champion_mae - mae) / champion_mae END, 6) AS improvement,
+       (champion_mae IS NULL OR champion_mae = 0) OR (champion_mae - mae) / champion_mae >= 0.03 AS promote
+FROM fold""")
+_HIST = """
+SELECT line, candidate, bin, count(*) AS count, round(min(lo), 6) AS range_lo, round(min(hi), 6) AS range_hi FROM (
+  SELECT line, candidate, lo, hi,
+         CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor((v - lo) / ((hi - lo) / {bins})), {bins} - 1) END AS INTEGER) AS bin{extra}
+  FROM (SELECT *, {vexpr} AS v, {lo} OVER w AS lo, {hi} OVER w AS hi FROM candidate_predictions WHERE split = 'test'
+        WINDOW w AS (PARTITION BY line, candidate)))
+GROUP BY line, candidate, bin{extra_g}"""
+ORACLES["A20_residual_histogram"] = with_ctes(CANDIDATE_PREDICTIONS_SQL, body=_HIST.format(
+    bins=50, vexpr="predicted - actual", lo="min(predicted - actual)", hi="max(predicted - actual)", extra="", extra_g=""))
+ORACLES["A24_actual_vs_predicted"] = with_ctes(CANDIDATE_PREDICTIONS_SQL, body="""
+SELECT line, candidate, actual_bin, predicted_bin, count(*) AS count, round(min(lo), 6) AS range_lo, round(min(hi), 6) AS range_hi FROM (
+  SELECT line, candidate, lo, hi,
+         CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor((actual - lo) / ((hi - lo) / 20)), 19) END AS INTEGER) AS actual_bin,
+         CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor((predicted - lo) / ((hi - lo) / 20)), 19) END AS INTEGER) AS predicted_bin
+  FROM (SELECT *, least(min(actual) OVER w, min(predicted) OVER w) AS lo, greatest(max(actual) OVER w, max(predicted) OVER w) AS hi
+        FROM candidate_predictions WHERE split = 'test' WINDOW w AS (PARTITION BY line, candidate)))
+GROUP BY line, candidate, actual_bin, predicted_bin""")
+
+
+# ------------------------------------------------------------ rounding ------
+def _rewrite_round(sql: str) -> str:
+    """``round(x, k)`` -> ``floor(x * 1ek + 0.5) / 1ek`` (same arithmetic as the
+    Spark side, so equal inputs give bit-equal outputs)."""
+    out, i = [], 0
+    while True:
+        j = sql.find("round(", i)
+        if j < 0 or (j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_")):
+            if j < 0:
+                out.append(sql[i:])
+                return "".join(out)
+            out.append(sql[i:j + 6])
+            i = j + 6
+            continue
+        depth, k, comma = 1, j + 6, -1
+        while depth:
+            ch = sql[k]
+            if ch == "(":
+                depth += 1
+            elif ch == ")":
+                depth -= 1
+            elif ch == "," and depth == 1:
+                comma = k
+            k += 1
+        if comma < 0:  # round(x) without digits: leave as is
+            out.append(sql[i:k])
+            i = k
+            continue
+        expr, digits = _rewrite_round(sql[j + 6:comma]), sql[comma + 1:k - 1].strip()
+        out.append(sql[i:j])
+        out.append(f"CASE WHEN isnan({expr}) OR isinf({expr}) THEN ({expr}) "
+                   f"ELSE floor(({expr}) * 1e{digits} + 0.5123456789) / 1e{digits} END")
+        i = k
+
+
+_MONEY_COLS = ("mae", "rmse", "val_mae", "val_rmse", "champion_mae", "champion_rmse", "range_lo", "range_hi")
+for _k in ("A12_regression_metrics", "A13_best_candidate", "W7_champion_fold", "J5_candidate_vs_champion",
+           "A20_residual_histogram", "A24_actual_vs_predicted"):
+    for _c in _MONEY_COLS:
+        ORACLES[_k] = ORACLES[_k].replace(f", 6) AS {_c}", f", 2) AS {_c}")
+ORACLES = {k: _rewrite_round(v) for k, v in ORACLES.items()}

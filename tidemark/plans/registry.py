@@ -23,16 +23,28 @@ def register(name: str):
     return deco
 
 
-def flat(df: DataFrame, sep: dict[str, str] | None = None, digits: int = 6) -> DataFrame:
+def rnd(c, k: int = 6):
+    """Round by IEEE arithmetic, ``floor(x * 10^k + 0.5123456789) / 10^k``.
+
+    Bit-identical in any engine given the same input (unlike decimal-based
+    ``round``); the odd offset keeps "nice" decimal values (means of cents)
+    away from the rounding boundary, where summation order could flip them."""
+    s = F.lit(float(10 ** k))
+    return F.floor(c * s + F.lit(0.5123456789)).cast("double") / s
+
+
+def flat(df: DataFrame, sep: dict[str, str] | None = None, digits: int = 6,
+         col_digits: dict[str, int] | None = None) -> DataFrame:
     """Oracle-friendly projection: arrays -> delimited text, doubles rounded."""
     sep = sep or {}
+    col_digits = col_digits or {}
     cols = []
     for f in df.schema.fields:
         c = F.col(f.name)
         if isinstance(f.dataType, T.ArrayType):
             c = F.array_join(F.transform(c, lambda x: x.cast("string")), sep.get(f.name, ","))
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = F.round(c, digits)
+            c = F.when(F.isnan(c) | (F.abs(c) == float("inf")), c).otherwise(rnd(c, col_digits.get(f.name, digits)))
         cols.append(c.alias(f.name))
     return df.select(*cols)
 
@@ -222,3 +234,102 @@ def p6(spark, sf):
 def f6(spark, sf):
     kept, _ = _kept(spark, sf)
     return FE.fit_preprocessor(kept).params()
+
+
+# ------------------------------------------------- metrics & promotion ------
+from tidemark.operators import metrics as ME  # noqa: E402
+from tidemark.operators import promotion as PR  # noqa: E402
+
+
+_MONEY = {c: 2 for c in ("mae", "rmse", "val_mae", "val_rmse", "champion_mae", "champion_rmse", "range_lo", "range_hi")}
+
+
+def _preds(spark, sf):
+    return fx.candidate_predictions(spark, sf)
+
+
+def _best_runs(spark, sf):
+    wide = ME.wide_metrics(ME.regression_metrics(_preds(spark, sf)))
+    best = ME.best_candidate(wide)
+    return best.withColumn("run_id", F.concat_ws("-", "line", "batch_number", "candidate"))
+
+
+def _versions(best):
+    """Registered versions: numbered per line by (batch, ordinal); none for batch % 13 = 0."""
+    from pyspark.sql import Window
+    w = Window.partitionBy("line").orderBy("batch_number", "ordinal")
+    return (best.withColumn("version", F.row_number().over(w).cast("string"))
+            .where(F.col("batch_number") % 13 != 0).select("run_id", "version"))
+
+
+def _resolved_runs(spark, sf):
+    best = _best_runs(spark, sf)
+    r = PR.run_to_version(best, _versions(best))
+    return r.withColumns({"mae": F.col("val_mae"), "rmse": F.col("val_rmse"),
+                          "resolved": F.col("version").isNotNull()})
+
+
+def _fold(spark, sf):
+    return PR.champion_fold(_resolved_runs(spark, sf))
+
+
+@register("A12_regression_metrics")
+def a12(spark, sf):
+    return flat(ME.regression_metrics(_preds(spark, sf)), col_digits=_MONEY)
+
+
+@register("A13_best_candidate")
+def a13(spark, sf):
+    return flat(_best_runs(spark, sf).select("line", "batch_number", "candidate", "val_mae", "val_rmse", "run_id"),
+                col_digits=_MONEY)
+
+
+@register("J4_run_to_version")
+def j4(spark, sf):
+    best = _best_runs(spark, sf)
+    return PR.run_to_version(best.select("run_id"), _versions(best))
+
+
+@register("W7_champion_fold")
+def w7(spark, sf):
+    f = _fold(spark, sf)
+    blocked = (F.col("mae") <= F.col("champion_mae") * (1.0 - PR.MAE_IMPROVEMENT)) & ~PR.promote_rule(
+        F.col("mae"), F.col("rmse"), F.col("champion_mae"), F.col("champion_rmse"))
+    return flat(f.select("line", "batch_number", "promoted", "champion_batch_number", "champion_mae",
+                         F.coalesce(blocked, F.lit(False)).alias("blocked_by_rmse")), col_digits=_MONEY)
+
+
+@register("J5_candidate_vs_champion")
+def j5(spark, sf):
+    f = _fold(spark, sf)
+    return flat(f.select("line", "batch_number", "mae", "rmse", "champion_mae", "champion_rmse"), col_digits=_MONEY)
+
+
+@register("Q5_should_promote")
+def q5(spark, sf):
+    d = PR.should_promote(_fold(spark, sf))
+    return flat(d.select("line", "batch_number", "promote", "mae_change_pct", "rmse_change_pct", "reason_code", "reason"))
+
+
+@register("X8_change_pct")
+def x8(spark, sf):
+    d = PR.should_promote(_fold(spark, sf))
+    return flat(d.select("line", "batch_number", "mae_change_pct", "rmse_change_pct"))
+
+
+@register("Q6_promote_mae_only")
+def q6(spark, sf):
+    d = PR.promote_mae_only(_fold(spark, sf))
+    return flat(d.select("line", "batch_number", "improvement", "promote"))
+
+
+@register("A20_residual_histogram")
+def a20(spark, sf):
+    p = _preds(spark, sf).where(F.col("split") == "test")
+    return flat(ME.residual_histogram(p, ["line", "candidate"]), col_digits=_MONEY)
+
+
+@register("A24_actual_vs_predicted")
+def a24(spark, sf):
+    p = _preds(spark, sf).where(F.col("split") == "test")
+    return flat(ME.actual_vs_predicted(p, ["line", "candidate"]), col_digits=_MONEY)
