@@ -66,8 +66,12 @@ def to_utc(ts: str | Column, tz: str | Column | None = None) -> Column:
 
 
 def iso8601(ts: str | Column) -> Column:
-    """ISO-8601 text with offset, null-safe."""
-    return F.date_format(col(ts), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+    """ISO-8601 text in UTC with ``+00:00`` offset, fraction only when
+    non-zero (the usual ``isoformat`` shape); null-safe."""
+    t = col(ts)
+    whole = F.unix_micros(t) % 1000000 == 0
+    return F.when(whole, F.date_format(t, "yyyy-MM-dd'T'HH:mm:ssxxx")).otherwise(
+        F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"))
 
 
 def parse_iso8601(c: str | Column) -> Column:

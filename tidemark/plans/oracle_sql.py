@@ -309,7 +309,7 @@ ORACLES["P6_feature_vector"] = with_ctes(LISTINGS_SQL, CLEAN_CTE, body="SELECT l
          "prev_sold_year"])) + " FROM clean")
 
 # ------------------------------------------------- metrics & promotion ------
-RUNS_CTE = """
+RUNS_CTE_T = """
 metrics AS (
   SELECT line, batch_number, candidate, ordinal, split, count(*) AS n,
          avg(abs(predicted - actual)) AS mae, sqrt(avg((predicted - actual) * (predicted - actual))) AS rmse,
@@ -337,6 +337,7 @@ runs AS (
   SELECT b.line, b.batch_number, b.val_mae AS mae, b.val_rmse AS rmse, v.version IS NOT NULL AS resolved,
          row_number() OVER (PARTITION BY b.line ORDER BY b.batch_number) AS rn
   FROM best b LEFT JOIN (SELECT run_id, min(version) AS version FROM versions GROUP BY run_id) v USING (run_id)
+  {where}
 ),
 fold AS (
   WITH RECURSIVE f(line, rn, batch_number, mae, rmse, promoted, c_batch, c_mae, c_rmse, n_batch, n_mae, n_rmse) AS (
@@ -352,6 +353,7 @@ fold AS (
   )
   SELECT line, batch_number, mae, rmse, promoted, c_batch AS champion_batch_number, c_mae AS champion_mae, c_rmse AS champion_rmse FROM f
 )"""
+RUNS_CTE = RUNS_CTE_T.format(where="")
 
 _CH = "(champion_mae IS NOT NULL AND champion_rmse IS NOT NULL)"
 _MAE_OK = "(mae <= champion_mae * (1.0 - 0.03))"
@@ -371,8 +373,9 @@ SELECT line, batch_number, promoted, champion_batch_number, round(champion_mae,
 ORACLES["J5_candidate_vs_champion"] = with_ctes(CANDIDATE_PREDICTIONS_SQL, RUNS_CTE, body="""
 SELECT line, batch_number, round(mae, 6) AS mae, round(rmse, 6) AS rmse, round(champion_mae, 6) AS champion_mae,
        round(champion_rmse, 6) AS champion_rmse FROM fold""")
-ORACLES["Q5_should_promote"] = with_ctes(CANDIDATE_PREDICTIONS_SQL, RUNS_CTE, body=f"""
-SELECT line, batch_number, promote, round(mc, 6) AS mae_change_pct, round(rc, 6) AS rmse_change_pct, reason_code,
+Q5_CTE = f"""
+q5 AS (
+SELECT line, batch_number, promote, mc AS mae_change_pct, rc AS rmse_change_pct, reason_code, promoted,
        CASE WHEN NOT {_CH} THEN 'Promoted: first model (no previous champion).'
             WHEN mae_ok AND rmse_ok THEN 'Promoted: MAE improves ' || printf('%.2f', mc * 100) || '% (>= threshold 3.00%) and RMSE changes '
                  || printf('%.2f', rc * 100) || '% (<= threshold 1.00%).'
@@ -385,7 +388,11 @@ FROM (SELECT *, {_MC} AS mc, {_RC} AS rc, {_MAE_OK} AS mae_ok, {_RMSE_OK} AS rms
              CASE WHEN mae IS NULL OR rmse IS NULL THEN 'no_candidate' WHEN NOT {_CH} THEN 'first_model'
                   WHEN {_MAE_OK} AND {_RMSE_OK} THEN 'improved' WHEN NOT {_MAE_OK} AND NOT {_RMSE_OK} THEN 'mae_and_rmse'
                   WHEN NOT {_MAE_OK} THEN 'mae' ELSE 'rmse_guard' END AS reason_code
-      FROM fold)""")
+      FROM fold)
+)"""
+ORACLES["Q5_should_promote"] = with_ctes(CANDIDATE_PREDICTIONS_SQL, RUNS_CTE, Q5_CTE, body="""
+SELECT line, batch_number, promote, round(mae_change_pct, 6) AS mae_change_pct, round(rmse_change_pct, 6) AS rmse_change_pct,
+       reason_code, reason FROM q5""")
 ORACLES["X8_change_pct"] = with_ctes(CANDIDATE_PREDICTIONS_SQL, RUNS_CTE, body=f"""
 SELECT line, batch_number, round({_MC}, 6) AS mae_change_pct, round({_RC}, 6) AS rmse_change_pct FROM fold""")
 ORACLES["Q6_promote_mae_only"] = with_ctes(CANDIDATE_PREDICTIONS_SQL, RUNS_CTE, body="""
@@ -412,6 +419,106 @@ SELECT line, candidate, actual_bin, predicted_bin, count(*) AS count, round(min(
 GROUP BY line, candidate, actual_bin, predicted_bin""")
 
 
+# ------------------------------------------------------- audit history ------
+AUDIT_CTE = """
+audit AS (
+  SELECT b.line, CAST(b.batch_number AS INTEGER) AS batch_number, (b.batch_number % 4 <> 0) AS trained,
+         CASE WHEN b.batch_number % 4 <> 0 THEN 'train' ELSE 'skip' END AS train_reason,
+         CASE WHEN b.batch_number % 4 <> 0 THEN coalesce(q.promoted, false) ELSE false END AS promoted,
+         CASE WHEN b.batch_number % 4 <> 0 THEN coalesce(
+              CASE WHEN q.promote AND NOT q.promoted THEN q.reason || ' (candidate version not found for run_id='
+                   || b.run_id || '; champion alias unchanged)' ELSE q.reason END, '') ELSE '' END AS promotion_reason,
+         CASE WHEN b.batch_number % 4 <> 0 THEN nullif(b.candidate, '') END AS best_model,
+         CASE WHEN b.batch_number % 4 <> 0 THEN b.val_mae END AS best_val_mae,
+         CASE WHEN b.batch_number % 4 <> 0 THEN b.run_id END AS mlflow_run_id,
+         CASE WHEN b.batch_number % 4 <> 0 THEN v.version END AS mlflow_model_version,
+         '0000000' AS code_commit,
+         TIMESTAMP '2024-01-01 00:00:00' + to_seconds(b.batch_number * 300) AS logged_at
+  FROM best b
+  LEFT JOIN (SELECT run_id, min(version) AS version FROM versions GROUP BY run_id) v USING (run_id)
+  LEFT JOIN q5 q ON q.line = b.line AND q.batch_number = b.batch_number
+)"""
+_AUDIT_CTES = (CANDIDATE_PREDICTIONS_SQL, RUNS_CTE_T.format(where="WHERE b.batch_number % 4 <> 0"), Q5_CTE, AUDIT_CTE)
+_AUDIT_SEL = ("line, batch_number, trained, train_reason, promoted, promotion_reason, best_model, "
+              "round(best_val_mae, 2) AS best_val_mae, mlflow_run_id, mlflow_model_version, code_commit, logged_at")
+ORACLES["E1_build_audit"] = with_ctes(*_AUDIT_CTES, body=f"SELECT {_AUDIT_SEL} FROM audit")
+ORACLES["S10_scan_audit"] = with_ctes(*_AUDIT_CTES, body=f"SELECT {_AUDIT_SEL.replace('line, ', '', 1)} FROM audit ORDER BY logged_at DESC")
+ORACLES["O1_order_history"] = with_ctes(*_AUDIT_CTES, body="SELECT batch_number, logged_at FROM audit ORDER BY logged_at DESC")
+ORACLES["S9_append_audit"] = with_ctes(*_AUDIT_CTES, body=f"""
+SELECT line, batch_number, trained, train_reason, promoted, promotion_reason, best_model, round(best_val_mae, 2) AS best_val_mae,
+       mlflow_run_id, NULL::VARCHAR AS mlflow_model_version, NULL::VARCHAR AS code_commit, logged_at FROM audit WHERE batch_number <= 40
+UNION ALL SELECT {_AUDIT_SEL} FROM audit WHERE batch_number > 40""")
+ORACLES["A15_history_summary"] = with_ctes(*_AUDIT_CTES, body="""
+SELECT line, count(*) AS total_batches, count(*) FILTER (WHERE coalesce(trained, false)) AS trained_count,
+       count(*) FILTER (WHERE coalesce(promoted, false)) AS promoted_count FROM audit GROUP BY line""")
+ORACLES["W5_reverse_position"] = with_ctes(*_AUDIT_CTES, body="""
+SELECT line, batch_number, CAST(row_number() OVER (PARTITION BY line ORDER BY logged_at, batch_number) AS INTEGER) AS display_number FROM audit""")
+ORACLES["X15_status_label"] = with_ctes(*_AUDIT_CTES, body="""
+SELECT line, batch_number, CASE WHEN coalesce(trained, false) AND coalesce(promoted, false) THEN 'trained_promoted'
+                                WHEN coalesce(trained, false) THEN 'trained_not_promoted' ELSE 'skipped' END AS status_label FROM audit""")
+ORACLES["X16_present_nulls"] = with_ctes(*_AUDIT_CTES, body="SELECT line, batch_number, " + ", ".join(
+    f"coalesce(nullif(CAST({c} AS VARCHAR), ''), '—') AS {c}" for c in (
+        "train_reason", "promotion_reason", "best_model", "mlflow_run_id", "mlflow_model_version")) + " FROM audit")
+ORACLES["X17_join_batches"] = with_ctes(*_AUDIT_CTES, body="""
+SELECT line, array_to_string(list_sort(list(DISTINCT batch_number)), ',') AS batch_numbers FROM audit WHERE trained GROUP BY line""")
+
+# ------------------------------------------------------- inference log ------
+LOG_CTE = """
+log AS (
+  SELECT event_id, request_ts, input_data, prediction, model_version, latency_s, st AS status,
+         CASE WHEN st = 'error' THEN coalesce(CASE WHEN trim(error) <> '' THEN error END, 'unknown error') END AS error,
+         st IS NOT NULL AS valid
+  FROM (SELECT *, CASE WHEN status IS NULL THEN CASE WHEN trim(error) <> '' THEN 'error' ELSE 'ok' END
+                       WHEN status IN ('ok', 'error') THEN status END AS st FROM inference_log)
+),
+bounds AS (SELECT * FROM (VALUES (0, 0.005::DOUBLE), (1, 0.01::DOUBLE), (2, 0.025::DOUBLE), (3, 0.05::DOUBLE), (4, 0.1::DOUBLE),
+  (5, 0.25::DOUBLE), (6, 0.5::DOUBLE), (7, 1.0::DOUBLE), (8, 2.5::DOUBLE), (9, 5.0::DOUBLE), (10, 'inf'::DOUBLE)) t(bucket, le)),
+buckets AS (
+  SELECT model_version, bucket, le, count(*) FILTER (WHERE latency_s <= le) AS cum FROM log, bounds GROUP BY model_version, bucket, le
+),
+hb AS (
+  SELECT *, coalesce(lag(le) OVER w, 0.0) AS prev_le, coalesce(lag(cum) OVER w, 0) AS prev_cum,
+         max(cum) OVER (PARTITION BY model_version) AS n,
+         max(CASE WHEN le <> 'inf'::DOUBLE THEN le END) OVER (PARTITION BY model_version) AS maxf
+  FROM buckets WINDOW w AS (PARTITION BY model_version ORDER BY bucket)
+),
+hq AS (
+  SELECT model_version, q, arg_min(CASE WHEN le = 'inf'::DOUBLE THEN maxf WHEN cum = prev_cum THEN le
+                                        ELSE prev_le + (le - prev_le) * (q * n - prev_cum) / (cum - prev_cum) END, bucket) AS v
+  FROM hb, (VALUES (0.5::DOUBLE), (0.95::DOUBLE), (0.99::DOUBLE)) qs(q)
+  WHERE (cum >= q * n AND prev_cum < q * n) OR (bucket = 0 AND cum >= q * n)
+  GROUP BY model_version, q
+)"""
+ORACLES["E3_normalise_inference"] = with_ctes(INFERENCE_LOG_SQL, LOG_CTE, body="""
+SELECT event_id, request_ts, status, error, round(prediction, 6) AS prediction, model_version, round(latency_s, 6) AS latency_s, valid FROM log""")
+ORACLES["X13_derive_status"] = with_ctes(INFERENCE_LOG_SQL, LOG_CTE, body="SELECT event_id, status, error FROM log")
+ORACLES["X12_blank_to_null"] = with_ctes(INFERENCE_LOG_SQL, body="""
+SELECT event_id, CASE WHEN trim(error) <> '' THEN error END AS error FROM inference_log""")
+ORACLES["X6_iso8601"] = with_ctes(INFERENCE_LOG_SQL, body="""
+SELECT event_id, CASE WHEN epoch_us(request_ts) % 1000000 = 0 THEN strftime(request_ts, '%Y-%m-%dT%H:%M:%S') || '+00:00'
+                      ELSE strftime(request_ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' END AS iso FROM inference_log""")
+ORACLES["X5_to_utc"] = with_ctes(INFERENCE_LOG_SQL, body="SELECT event_id, request_ts FROM inference_log")
+ORACLES["E4_events_to_json"] = with_ctes(INFERENCE_LOG_SQL, LOG_CTE, body="""
+SELECT request_ts, input_data, round(prediction, 6) AS prediction, model_version, status, error, round(latency_s, 6) AS latency_s FROM log""")
+ORACLES["A16_request_counters"] = with_ctes(INFERENCE_LOG_SQL, LOG_CTE, body="""
+SELECT model_version, count(*) AS requests, count(*) FILTER (WHERE status = 'error') AS errors FROM log GROUP BY model_version""")
+ORACLES["A17_latency_buckets"] = with_ctes(INFERENCE_LOG_SQL, LOG_CTE, body="""
+SELECT model_version, CAST(bucket AS INTEGER) AS bucket, round(le, 6) AS le, cum FROM buckets""")
+ORACLES["A18_histogram_quantile"] = with_ctes(INFERENCE_LOG_SQL, LOG_CTE, body="""
+SELECT model_version, round(max(v) FILTER (WHERE q = 0.5), 6) AS p50, round(max(v) FILTER (WHERE q = 0.95), 6) AS p95,
+       round(max(v) FILTER (WHERE q = 0.99), 6) AS p99 FROM hq GROUP BY model_version""")
+ORACLES["A25_serving_status"] = with_ctes(INFERENCE_LOG_SQL, LOG_CTE, body="""
+SELECT arg_max(model_version, request_ts) AS model_version, arg_max(model_version, request_ts) IS NOT NULL AS model_loaded,
+       CASE WHEN arg_max(model_version, request_ts) IS NULL THEN 'degraded' ELSE 'healthy' END AS status FROM log""")
+ORACLES["X9_status_code"] = with_ctes(LISTINGS_SQL, body="""
+SELECT listing_key, CASE lower(trim(CASE WHEN status = 'A' THEN ' For_Sale ' WHEN status = 'N' THEN 'sold' ELSE status END))
+  WHEN 'for_sale' THEN 0.0::DOUBLE WHEN 'ready_to_build' THEN 1.0::DOUBLE WHEN 'sold' THEN 2.0::DOUBLE ELSE -1.0::DOUBLE END AS status_code
+FROM listings""")
+ORACLES["X10_hash_bucket"] = with_ctes(LISTINGS_SQL, body="""
+SELECT listing_key, CAST(('0x' || substr(md5(lower(trim(city))), 1, 8))::BIGINT % 10000 AS DOUBLE) AS city_bucket,
+       CAST(('0x' || substr(md5(lower(trim(state))), 1, 8))::BIGINT % 1000 AS DOUBLE) AS state_bucket FROM listings""")
+
+
 # ------------------------------------------------------------ rounding ------
 def _rewrite_round(sql: str) -> str:
     """``round(x, k)`` -> ``floor(x * 1ek + 0.5) / 1ek`` (same arithmetic as the
@@ -449,6 +556,7 @@ def _rewrite_round(sql: str) -> str:
 
 _MONEY_COLS = ("mae", "rmse", "val_mae", "val_rmse", "champion_mae", "champion_rmse", "range_lo", "range_hi")
 for _k in ("A12_regression_metrics", "A13_best_candidate", "W7_champion_fold", "J5_candidate_vs_champion",
+           "E1_build_audit", "S10_scan_audit", "S9_append_audit",
            "A20_residual_histogram", "A24_actual_vs_predicted"):
     for _c in _MONEY_COLS:
         ORACLES[_k] = ORACLES[_k].replace(f", 6) AS {_c}", f", 2) AS {_c}")

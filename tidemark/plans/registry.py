@@ -17,8 +17,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def register(name: str):
+    """Register a query; every query runs with the UTC session clock."""
     def deco(fn):
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf: str) -> DataFrame:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return fn(spark, sf)
+        run.__name__ = run.__qualname__ = name
+        run.__doc__ = fn.__doc__
+        QUERIES[name] = run
         return fn
     return deco
 
@@ -333,3 +339,164 @@ def a20(spark, sf):
 def a24(spark, sf):
     p = _preds(spark, sf).where(F.col("split") == "test")
     return flat(ME.actual_vs_predicted(p, ["line", "candidate"]), col_digits=_MONEY)
+
+
+# ------------------------------------------------------- audit history ------
+from tidemark.functions.expr import (  # noqa: E402
+    CITY_BUCKETS, STATE_BUCKETS, blank_to_null, derive_error, derive_status, hash_bucket, iso8601, join_batches,
+    present_null, status_code, status_label)
+from tidemark.operators import events as EV  # noqa: E402
+from tidemark.operators import serving as SV  # noqa: E402
+
+CODE_COMMIT = "0000000"
+
+
+def _audit(spark, sf):
+    """E1 over the candidate fixture: batches with batch % 4 = 0 are skipped
+    (not trained); trained runs are folded per line for the champion."""
+    runs = _resolved_runs(spark, sf)
+    decisions = runs.select("line", "batch_number", (F.col("batch_number") % 4 != 0).alias("should_train"),
+                            F.when(F.col("batch_number") % 4 != 0, F.lit("train")).otherwise(F.lit("skip")).alias("reason"),
+                            F.timestamp_seconds(F.lit(1704067200) + F.col("batch_number") * 300).alias("_ts"))
+    trained = runs.where(F.col("batch_number") % 4 != 0)
+    fold = PR.champion_fold(trained)
+    promo = PR.should_promote(fold).join(
+        trained.select("line", "batch_number", F.col("candidate").alias("best_model"),
+                       F.col("val_mae").alias("best_val_mae"), "run_id", "version"), ["line", "batch_number"])
+    # the fold already turned unresolved promotions into "kept"; keep its outcome
+    unresolved = F.col("promote") & ~F.col("promoted")
+    promo = promo.withColumn("reason", F.when(unresolved, F.concat(
+        F.col("reason"), F.lit(" (candidate version not found for run_id="), F.col("run_id"),
+        F.lit("; champion alias unchanged)"))).otherwise(F.col("reason"))).withColumn("promote", F.col("promoted"))
+    return EV.build_audit(decisions, promo, ["line", "batch_number"], CODE_COMMIT, F.col("_ts"))
+
+
+_AUDIT_OUT = ["line", *EV.AUDIT_COLUMNS]
+
+
+@register("E1_build_audit")
+def e1(spark, sf):
+    return flat(_audit(spark, sf).select(*_AUDIT_OUT), col_digits={"best_val_mae": 2})
+
+
+@register("S10_scan_audit")
+def s10(spark, sf):
+    a = _audit(spark, sf)
+    return flat(EV.scan_audit(a.select(*_AUDIT_OUT)), col_digits={"best_val_mae": 2})
+
+
+@register("O1_order_history")
+def o1(spark, sf):
+    a = EV.scan_audit(_audit(spark, sf))
+    return a.select("batch_number", "logged_at")
+
+
+@register("S9_append_audit")
+def s9(spark, sf):
+    a = _audit(spark, sf).select(*_AUDIT_OUT)
+    old = a.where(F.col("batch_number") <= 40).drop("code_commit", "mlflow_model_version")
+    return flat(EV.align_audit(old, a.where(F.col("batch_number") > 40)), col_digits={"best_val_mae": 2})
+
+
+@register("A15_history_summary")
+def a15(spark, sf):
+    return EV.history_summary(_audit(spark, sf), ["line"])
+
+
+@register("W5_reverse_position")
+def w5(spark, sf):
+    return EV.history_view(_audit(spark, sf), ["line"]).select("line", "batch_number", "display_number")
+
+
+@register("X15_status_label")
+def x15(spark, sf):
+    return _audit(spark, sf).select("line", "batch_number", status_label("trained", "promoted").alias("status_label"))
+
+
+@register("X16_present_nulls")
+def x16(spark, sf):
+    a = _audit(spark, sf)
+    return a.select("line", "batch_number", *[present_null(c).alias(c) for c in (
+        "train_reason", "promotion_reason", "best_model", "mlflow_run_id", "mlflow_model_version")])
+
+
+@register("X17_join_batches")
+def x17(spark, sf):
+    a = _audit(spark, sf).where("trained")
+    return a.groupBy("line").agg(join_batches(F.array_sort(F.collect_set("batch_number"))).alias("batch_numbers"))
+
+
+# ------------------------------------------------------- inference log ------
+def _log(spark, sf):
+    return EV.normalise_inference(fx.inference_log(spark, sf))
+
+
+@register("E3_normalise_inference")
+def e3(spark, sf):
+    return flat(_log(spark, sf).select("event_id", "request_ts", "status", "error", "prediction", "model_version",
+                                       "latency_s", "valid"))
+
+
+@register("X13_derive_status")
+def x13(spark, sf):
+    r = fx.inference_log(spark, sf)
+    return r.select("event_id", derive_status("status", "error").alias("status"),
+                    derive_error("status", "error").alias("error"))
+
+
+@register("X12_blank_to_null")
+def x12(spark, sf):
+    return fx.inference_log(spark, sf).select("event_id", blank_to_null("error").alias("error"))
+
+
+@register("X6_iso8601")
+def x6(spark, sf):
+    r = fx.inference_log(spark, sf)
+    return r.select("event_id", iso8601("request_ts").alias("iso"))
+
+
+@register("X5_to_utc")
+def x5(spark, sf):
+    r = fx.inference_log(spark, sf)
+    return r.select("event_id", EV.to_utc("request_ts").alias("request_ts"))
+
+
+@register("E4_events_to_json")
+def e4(spark, sf):
+    log = _log(spark, sf).select("request_ts", "input_data", "prediction", "model_version", "status", "error", "latency_s")
+    back = EV.events_from_json(EV.events_to_json(log, "inference"), EV.INFERENCE_SCHEMA, "inference")
+    return flat(back)
+
+
+@register("A16_request_counters")
+def a16(spark, sf):
+    return SV.request_counters(_log(spark, sf), ["model_version"])
+
+
+@register("A17_latency_buckets")
+def a17(spark, sf):
+    return flat(SV.latency_buckets(_log(spark, sf), ["model_version"]))
+
+
+@register("A18_histogram_quantile")
+def a18(spark, sf):
+    return flat(SV.histogram_quantile(SV.latency_buckets(_log(spark, sf), ["model_version"]), by=["model_version"]))
+
+
+@register("A25_serving_status")
+def a25(spark, sf):
+    return SV.serving_status(_log(spark, sf))
+
+
+@register("X9_status_code")
+def x9(spark, sf):
+    r = _records(spark, sf)
+    s = F.when(F.col("status") == "A", F.lit(" For_Sale ")).when(F.col("status") == "N", F.lit("sold")).otherwise(F.col("status"))
+    return r.select("listing_key", status_code(s).alias("status_code"))
+
+
+@register("X10_hash_bucket")
+def x10(spark, sf):
+    r = _records(spark, sf)
+    return r.select("listing_key", hash_bucket("city", CITY_BUCKETS).alias("city_bucket"),
+                    hash_bucket("state", STATE_BUCKETS).alias("state_bucket"))
