@@ -104,8 +104,7 @@ def history_view(audit: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def build_experiments(runs: DataFrame, batch_numbers: DataFrame, params: Column, code_commit: str | None = None) -> DataFrame:
     """One row per candidate with batch numbers, params map, metrics
     map (NaN dropped, P10), commit.  ``batch_numbers`` is a one-row A14 result."""
-    metric_cols = [c for c in runs.columns if c.startswith(("val_", "test_"))] + \
-        [c for c in ("train_size", "val_size") if c in runs.columns]
+    metric_cols = [c for c in runs.columns if c.startswith(("val_", "test_", "train_size"))]
     metrics = F.map_from_arrays(F.array(*[F.lit(c) for c in metric_cols]),
                                 F.array(*[F.col(c).cast("double") for c in metric_cols]))
     from tidemark.operators.metrics import drop_nan_metrics

@@ -519,6 +519,67 @@ SELECT listing_key, CAST(('0x' || substr(md5(lower(trim(city))), 1, 8))::BIGINT
        CAST(('0x' || substr(md5(lower(trim(state))), 1, 8))::BIGINT % 1000 AS DOUBLE) AS state_bucket FROM listings""")
 
 
+# ----------------------------------------------------------- contract ------
+CONTRACT_CTE = """
+contract AS (
+  SELECT listing_key, batch_number, list_sort(list_filter([
+CASE WHEN json_type(payload, '$.brokered_by') IS NULL THEN 'brokered_by: missing'
+              WHEN json_type(payload, '$.brokered_by') = 'NULL' THEN 'brokered_by: null'
+              WHEN NOT (json_type(payload, '$.brokered_by') IN ('UBIGINT', 'BIGINT', 'DOUBLE')
+                        OR (json_type(payload, '$.brokered_by') = 'VARCHAR' AND TRY_CAST(json_extract_string(payload, '$.brokered_by') AS DOUBLE) IS NOT NULL))
+              THEN 'brokered_by: invalid' END,
+CASE WHEN json_type(payload, '$.bed') IS NULL THEN 'bed: missing'
+              WHEN json_type(payload, '$.bed') = 'NULL' THEN 'bed: null'
+              WHEN NOT (json_type(payload, '$.bed') IN ('UBIGINT', 'BIGINT', 'DOUBLE')
+                        OR (json_type(payload, '$.bed') = 'VARCHAR' AND TRY_CAST(json_extract_string(payload, '$.bed') AS DOUBLE) IS NOT NULL))
+              THEN 'bed: invalid' END,
+CASE WHEN json_type(payload, '$.bath') IS NULL THEN 'bath: missing'
+              WHEN json_type(payload, '$.bath') = 'NULL' THEN 'bath: null'
+              WHEN NOT (json_type(payload, '$.bath') IN ('UBIGINT', 'BIGINT', 'DOUBLE')
+                        OR (json_type(payload, '$.bath') = 'VARCHAR' AND TRY_CAST(json_extract_string(payload, '$.bath') AS DOUBLE) IS NOT NULL))
+              THEN 'bath: invalid' END,
+CASE WHEN json_type(payload, '$.acre_lot') IS NULL THEN 'acre_lot: missing'
+              WHEN json_type(payload, '$.acre_lot') = 'NULL' THEN 'acre_lot: null'
+              WHEN NOT (json_type(payload, '$.acre_lot') IN ('UBIGINT', 'BIGINT', 'DOUBLE')
+                        OR (json_type(payload, '$.acre_lot') = 'VARCHAR' AND TRY_CAST(json_extract_string(payload, '$.acre_lot') AS DOUBLE) IS NOT NULL))
+              THEN 'acre_lot: invalid' END,
+CASE WHEN json_type(payload, '$.street') IS NULL THEN 'street: missing'
+              WHEN json_type(payload, '$.street') = 'NULL' THEN 'street: null'
+              WHEN NOT (json_type(payload, '$.street') IN ('UBIGINT', 'BIGINT', 'DOUBLE')
+                        OR (json_type(payload, '$.street') = 'VARCHAR' AND TRY_CAST(json_extract_string(payload, '$.street') AS DOUBLE) IS NOT NULL))
+              THEN 'street: invalid' END,
+CASE WHEN json_type(payload, '$.zip_code') IS NULL THEN 'zip_code: missing'
+              WHEN json_type(payload, '$.zip_code') = 'NULL' THEN 'zip_code: null'
+              WHEN NOT (json_type(payload, '$.zip_code') IN ('UBIGINT', 'BIGINT', 'DOUBLE')
+                        OR (json_type(payload, '$.zip_code') = 'VARCHAR' AND TRY_CAST(json_extract_string(payload, '$.zip_code') AS DOUBLE) IS NOT NULL))
+              THEN 'zip_code: invalid' END,
+CASE WHEN json_type(payload, '$.house_size') IS NULL THEN 'house_size: missing'
+              WHEN json_type(payload, '$.house_size') = 'NULL' THEN 'house_size: null'
+              WHEN NOT (json_type(payload, '$.house_size') IN ('UBIGINT', 'BIGINT', 'DOUBLE')
+                        OR (json_type(payload, '$.house_size') = 'VARCHAR' AND TRY_CAST(json_extract_string(payload, '$.house_size') AS DOUBLE) IS NOT NULL))
+              THEN 'house_size: invalid' END,
+CASE WHEN json_type(payload, '$.status') IS NULL THEN 'status: missing'
+              WHEN json_type(payload, '$.status') = 'NULL' THEN 'status: null'
+              WHEN json_type(payload, '$.status') <> 'VARCHAR' THEN 'status: invalid' END,
+CASE WHEN json_type(payload, '$.city') IS NULL THEN 'city: missing'
+              WHEN json_type(payload, '$.city') = 'NULL' THEN 'city: null'
+              WHEN json_type(payload, '$.city') <> 'VARCHAR' THEN 'city: invalid' END,
+CASE WHEN json_type(payload, '$.state') IS NULL THEN 'state: missing'
+              WHEN json_type(payload, '$.state') = 'NULL' THEN 'state: null'
+              WHEN json_type(payload, '$.state') <> 'VARCHAR' THEN 'state: invalid' END,
+CASE WHEN json_type(payload, '$.prev_sold_year') IS NOT NULL AND json_type(payload, '$.prev_sold_year') <> 'NULL'
+              AND json_type(payload, '$.prev_sold_year') NOT IN ('UBIGINT', 'BIGINT', 'DOUBLE')
+              AND NOT (json_type(payload, '$.prev_sold_year') = 'VARCHAR' AND TRY_CAST(json_extract_string(payload, '$.prev_sold_year') AS DOUBLE) IS NOT NULL)
+              THEN 'prev_sold_year: invalid' END
+  ], lambda x: x IS NOT NULL)) AS errors FROM payload
+)"""
+ORACLES["P8_request_contract"] = with_ctes(LISTINGS_SQL, PAYLOAD_SQL, CONTRACT_CTE, body="""
+SELECT listing_key, len(errors) = 0 AS valid, array_to_string(errors, '; ') AS errors FROM contract""")
+ORACLES["M5_batch_score_status"] = with_ctes(LISTINGS_SQL, PAYLOAD_SQL, CONTRACT_CTE, body="""
+SELECT listing_key, CASE WHEN len(errors) = 0 THEN 'ok' ELSE 'error' END AS status, '1' AS model_version,
+       CASE WHEN len(errors) > 0 THEN array_to_string(errors, '; ') END AS error FROM contract""")
+
+
 # ------------------------------------------------------------ rounding ------
 def _rewrite_round(sql: str) -> str:
     """``round(x, k)`` -> ``floor(x * 1ek + 0.5) / 1ek`` (same arithmetic as the

@@ -500,3 +500,114 @@ def x10(spark, sf):
     r = _records(spark, sf)
     return r.select("listing_key", hash_bucket("city", CITY_BUCKETS).alias("city_bucket"),
                     hash_bucket("state", STATE_BUCKETS).alias("state_bucket"))
+
+
+# ------------------------------------------------------ training/scoring ----
+from tidemark.operators import scoring as SC  # noqa: E402
+from tidemark.operators import training as TR  # noqa: E402
+
+
+def _train_data(spark, sf):
+    """Imputed, p99-clipped rows with raw categories and the deterministic split."""
+    kept, _ = _kept(spark, sf)
+    return FE.split_dataset(kept, "listing_key")
+
+
+def _ridge_champion(spark, sf):
+    d = _train_data(spark, sf)
+    train = d.where(F.col("split") == "train")
+    return TR.candidate_estimator("ridge", train).fit(train)
+
+
+@register("P8_request_contract")
+def p8(spark, sf):
+    r = SC.request_contract(fx.listings_payload(spark, sf))
+    return flat(r.select("listing_key", "valid", "errors"), {"errors": "; "})
+
+
+@register("M5_batch_score_status")
+def m5s(spark, sf):
+    s = SC.batch_score(fx.listings_payload(spark, sf), _ridge_champion(spark, sf), "1")
+    return s.select("listing_key", "status", "model_version", "error")
+
+
+@register("M5_batch_score")
+def m5(spark, sf):
+    s = SC.batch_score(fx.listings_payload(spark, sf), _ridge_champion(spark, sf), "1")
+    return s.select("listing_key", "batch_number", "prediction", "model_version", "status")
+
+
+@register("M1_train_ridge")
+def m1(spark, sf):
+    d = _train_data(spark, sf)
+    m = _ridge_champion(spark, sf)
+    p = m.transform(d.where(F.col("split") != "train"))
+    return ME.regression_metrics(p.select("split", F.col("price").alias("actual"), F.col("prediction").alias("predicted"))
+                                 .withColumn("candidate", F.lit("ridge")), ["candidate"])
+
+
+def _candidates(spark, sf, names):
+    wide, models = TR.train_candidates(_train_data(spark, sf), names)
+    return wide, models
+
+
+@register("M2_train_forest")
+def m2(spark, sf):
+    return _candidates(spark, sf, ["random_forest"])[0]
+
+
+@register("M3_train_gbt")
+def m3(spark, sf):
+    return _candidates(spark, sf, ["gradient_boosting"])[0]
+
+
+@register("M4_train_candidates")
+def m4(spark, sf):
+    wide, _ = _candidates(spark, sf, TR.CANDIDATES)
+    best = ME.best_candidate(wide.withColumn("_run", F.lit(1)), ["_run"]).first()
+    return wide.withColumn("is_best", F.col("candidate") == F.lit(best["candidate"] if best else None))
+
+
+@register("A21_feature_importance")
+def a21(spark, sf):
+    m = _ridge_champion(spark, sf)
+    return spark.createDataFrame(TR.feature_importance(m, "ridge"), "feature string, importance double")
+
+
+@register("O3_importance_order")
+def o3(spark, sf):
+    return a21(spark, sf).orderBy(F.desc("importance"))
+
+
+@register("M6_performance_data")
+def m6(spark, sf):
+    d = _train_data(spark, sf)
+    p = _ridge_champion(spark, sf).transform(d.where(F.col("split") == "test")).select(
+        F.lit("ridge").alias("candidate"), F.col("price").alias("actual"), F.col("prediction").alias("predicted"))
+    h = ME.residual_histogram(p, ["candidate"]).select("candidate", F.lit("residual").alias("plot"), F.col("bin").alias("x"),
+                                                        F.lit(None).cast("int").alias("y"), "count")
+    s = ME.actual_vs_predicted(p, ["candidate"]).select("candidate", F.lit("scatter").alias("plot"),
+                                                         F.col("actual_bin").alias("x"), F.col("predicted_bin").alias("y"), "count")
+    return h.unionByName(s)
+
+
+@register("S14_experiment_runs")
+def s14(spark, sf):
+    best = _best_runs(spark, sf)
+    bn = FE.batch_numbers_used(_records(spark, sf))
+    params = F.create_map(F.lit("prep_split_train_frac"), F.lit(str(FE.TRAIN_FRAC)),
+                          F.lit("prep_random_state"), F.lit(str(FE.SEED)), F.lit("model"), F.col("candidate"))
+    return EV.build_experiments(best, bn, params, CODE_COMMIT).select(
+        "line", "batch_number", "candidate", "batch_numbers_text", F.size("metrics").alias("n_metrics"), "code_commit")
+
+
+@register("E2_build_experiments")
+def e2(spark, sf):
+    return s14(spark, sf)
+
+
+@register("P10_drop_nan_metrics")
+def p10(spark, sf):
+    w = ME.wide_metrics(ME.regression_metrics(_preds(spark, sf)))
+    m = F.map_from_arrays(F.array(F.lit("val_mae"), F.lit("test_mae")), F.array("val_mae", "test_mae"))
+    return w.select("line", "batch_number", "candidate", F.size(ME.drop_nan_metrics(m)).alias("n_metrics"))

@@ -214,7 +214,11 @@ candidate_predictions AS (
 # --------------------------------------------------------- inference_log -----
 def inference_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw inference log from ``events`` (FIXTURES §2.4); status may be null."""
-    e = table(spark, sf_dir, "events")
+    return inference_log_from(table(spark, sf_dir, "events"))
+
+
+def inference_log_from(e: DataFrame) -> DataFrame:
+    """The §2.4 binding over any events DataFrame (batch or streaming)."""
     is_err = F.col("event_type") == "error"
     return e.select(
         "event_id",
