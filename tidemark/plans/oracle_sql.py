@@ -580,6 +580,140 @@ SELECT listing_key, CASE WHEN len(errors) = 0 THEN 'ok' ELSE 'error' END AS stat
        CASE WHEN len(errors) > 0 THEN array_to_string(errors, '; ') END AS error FROM contract""")
 
 
+# ------------------------------------------------------------ streaming -----
+WINDOWS_CTE = """
+win AS (
+  SELECT time_bucket(INTERVAL 1 MINUTE, request_ts) - k * INTERVAL 1 MINUTE AS window_start, status, latency_s
+  FROM log, range(0, 5) t(k)
+),
+wagg AS (
+  SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, count(*) AS requests,
+         count(*) FILTER (WHERE status = 'error') AS errors FROM win GROUP BY window_start
+)"""
+ORACLES["T1_request_rate"] = with_ctes(INFERENCE_LOG_SQL, LOG_CTE, WINDOWS_CTE, body="""
+SELECT window_start, window_end, requests, round(requests / 300.0, 6) AS request_rate FROM wagg""")
+ORACLES["T2_error_rate"] = with_ctes(INFERENCE_LOG_SQL, LOG_CTE, WINDOWS_CTE, body="""
+SELECT window_start, window_end, errors, round(errors / 300.0, 6) AS error_rate FROM wagg""")
+ORACLES["T3_latency_quantiles"] = with_ctes(INFERENCE_LOG_SQL, LOG_CTE, WINDOWS_CTE, body="""
+, wb AS (
+  SELECT window_start, bucket, le, count(*) FILTER (WHERE latency_s <= le) AS cum FROM win, bounds GROUP BY window_start, bucket, le
+), whb AS (
+  SELECT *, coalesce(lag(le) OVER w, 0.0) AS prev_le, coalesce(lag(cum) OVER w, 0) AS prev_cum,
+         max(cum) OVER (PARTITION BY window_start) AS n,
+         max(CASE WHEN le <> 'inf'::DOUBLE THEN le END) OVER (PARTITION BY window_start) AS maxf
+  FROM wb WINDOW w AS (PARTITION BY window_start ORDER BY bucket)
+), whq AS (
+  SELECT window_start, q, arg_min(CASE WHEN le = 'inf'::DOUBLE THEN maxf WHEN cum = prev_cum THEN le
+                                       ELSE prev_le + (le - prev_le) * (q * n - prev_cum) / (cum - prev_cum) END, bucket) AS v
+  FROM whb, (VALUES (0.5::DOUBLE), (0.95::DOUBLE), (0.99::DOUBLE)) qs(q)
+  WHERE (cum >= q * n AND prev_cum < q * n) OR (bucket = 0 AND cum >= q * n)
+  GROUP BY window_start, q
+)
+SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, round(max(v) FILTER (WHERE q = 0.5), 6) AS p50,
+       round(max(v) FILTER (WHERE q = 0.95), 6) AS p95, round(max(v) FILTER (WHERE q = 0.99), 6) AS p99
+FROM whq GROUP BY window_start""".replace("\n, wb AS", ", wb AS", 1))
+ORACLES["T4_current_version"] = with_ctes(INFERENCE_LOG_SQL, LOG_CTE, body="""
+SELECT status, arg_max(model_version, request_ts) AS model_version, arg_max(model_version, request_ts) IS NOT NULL AS model_loaded,
+       CASE WHEN arg_max(model_version, request_ts) IS NULL THEN 'degraded' ELSE 'healthy' END AS status_1 FROM log GROUP BY status""")
+
+# ------------------------------------------------------- ingest / docs ------
+ORACLES["X1_row_hash"] = with_ctes(DOCS_SQL, body="SELECT doc_id, md5(text) AS row_hash FROM docs")
+ORACLES["W1_first_occurrence"] = with_ctes(DOCS_SQL, body="""
+SELECT doc_id, batch_number FROM (
+  SELECT *, row_number() OVER (PARTITION BY md5(text) ORDER BY batch_number, doc_id) AS rn FROM docs) WHERE rn = 1""")
+ORACLES["S13_known_hashes"] = with_ctes(DOCS_SQL, body="SELECT DISTINCT md5(text) AS row_hash FROM docs WHERE doc_id % 4 = 0")
+ORACLES["J1_dedup_vs_store"] = with_ctes(DOCS_SQL, body="""
+SELECT doc_id FROM docs d WHERE doc_id % 4 <> 0
+  AND NOT EXISTS (SELECT 1 FROM docs k WHERE k.doc_id % 4 = 0 AND md5(k.text) = md5(d.text))""")
+ORACLES["A3_duplicate_rows"] = with_ctes(DOCS_SQL, body="""
+SELECT batch_number, count(*) - count(DISTINCT md5(text)) AS duplicate_rows FROM docs GROUP BY batch_number""")
+ORACLES["T7_ingest_stream"] = with_ctes(DOCS_SQL, body="""
+SELECT fb AS batch_number, count(*) AS inserted_records FROM (SELECT min(batch_number) AS fb FROM docs GROUP BY md5(text)) GROUP BY fb""")
+LEDGER_CTE = """
+ledger AS (
+  SELECT batch_number, day_used, count(*) AS records_count, 'fetched' AS status,
+         TIMESTAMP '2024-01-01 00:00:00' + to_seconds(batch_number * 300) AS fetched_at
+  FROM listings GROUP BY batch_number, day_used
+  UNION ALL SELECT -1, NULL, 0, 'exhausted', TIMESTAMP '2024-01-01 00:00:00' + to_seconds(81 * 300)
+),
+prefixes AS (
+  SELECT count(*) OVER (ORDER BY fetched_at ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS batch_index, status FROM ledger
+)"""
+ORACLES["S3_batch_ledger"] = with_ctes(LISTINGS_SQL, LEDGER_CTE, body="""
+SELECT CAST(batch_number AS INTEGER) AS batch_number, day_used, records_count, status, fetched_at FROM ledger""")
+ORACLES["S1_next_batch"] = with_ctes(LISTINGS_SQL, LEDGER_CTE, body="""
+SELECT batch_index, CASE WHEN batch_index >= 0 AND batch_index < 7
+  THEN (['Monday','Tuesday','Wednesday','Thursday','Friday','Saturday','Sunday'])[batch_index + 1] END AS next_day,
+  batch_index >= 7 OR status = 'exhausted' AS exhausted FROM prefixes""")
+ORACLES["S2_exhausted"] = with_ctes(LISTINGS_SQL, LEDGER_CTE, body="""
+SELECT batch_index, batch_index >= 7 OR status = 'exhausted' AS exhausted FROM prefixes""")
+_REC = "brokered_by, status, price, bed, bath, acre_lot, street, city, state, zip_code, house_size, prev_sold_date"
+ORACLES["S5_append_raw"] = with_ctes(LISTINGS_SQL, body=f"""
+SELECT listing_key, batch_number, day_used, false AS processed FROM (
+  SELECT *, row_number() OVER (PARTITION BY {_REC} ORDER BY batch_number, listing_key) AS rn FROM listings) WHERE rn = 1""")
+ORACLES["S6_unprocessed"] = with_ctes(LISTINGS_SQL, body=f"""
+SELECT l.listing_key, l.batch_number FROM listings l
+WHERE NOT EXISTS (SELECT 1 FROM listings p WHERE p.batch_number <= 40 AND p.batch_number = l.batch_number
+                  AND ({', '.join('p.' + c for c in _REC.split(', '))}) IS NOT DISTINCT FROM ({', '.join('l.' + c for c in _REC.split(', '))}))""")
+ORACLES["S12_history_scan"] = with_ctes(LISTINGS_SQL, body="""
+SELECT batch_number, count(*) AS rows FROM listings WHERE batch_number IS DISTINCT FROM 40 GROUP BY batch_number""")
+ORACLES["P9_raw_preservation"] = with_ctes(LISTINGS_SQL, body=f"""
+SELECT listing_key, {_REC} FROM listings EXCEPT ALL SELECT listing_key, {_REC} FROM listings""")
+ORACLES["P1_drop_control"] = with_ctes(LISTINGS_SQL, body="""
+SELECT batch_number, count(*) AS rows,
+  'acre_lot,batch_number,bath,bed,brokered_by,city,house_size,listing_key,prev_sold_date,price,state,status,street,zip_code' AS columns
+FROM listings GROUP BY batch_number""")
+ORACLES["X3_to_numeric"] = """
+SELECT event_id, round(TRY_CAST(replace(replace(props, '{"k": ', ''), '}', '') AS DOUBLE), 6) AS value,
+       TRY_CAST('x' || replace(replace(props, '{"k": ', ''), '}', '') AS DOUBLE) AS bad_value FROM events"""
+
+# -------------------------------------------------- decomposed signals ------
+_RC = ["brokered_by", "status", "price", "bed", "bath", "acre_lot", "street", "city", "state", "zip_code", "house_size",
+       "prev_sold_date"]
+ORACLES["A1_total_records"] = with_ctes(LISTINGS_SQL, body="SELECT count(*) AS total_records FROM listings")
+ORACLES["A2_null_ratio"] = with_ctes(LISTINGS_SQL, QUALITY_CTE, body=" UNION ALL ".join(
+    f"SELECT batch_number, '{c}' AS \"column\", round(n_{c} / records, 6) AS null_ratio, n_{c} / records > 0.5 AS high FROM q_counts"
+    for c in _RC))
+ORACLES["A4_invalid_price"] = with_ctes(LISTINGS_SQL, QUALITY_CTE, body="SELECT batch_number, invalid_prices FROM quality")
+ORACLES["A5_null_price_ratio"] = with_ctes(LISTINGS_SQL, QUALITY_CTE, body="""
+SELECT batch_number, round(null_price_ratio, 6) AS null_price_ratio, null_price_ratio > 0.3 AS bad FROM quality""")
+ORACLES["A6_batch_means"] = with_ctes(LISTINGS_SQL, DRIFT_CTE, body="""
+SELECT batch_number, round(m_price, 6) AS mean_price, round(m_house_size, 6) AS mean_house_size, round(m_bed, 6) AS mean_bed,
+       round(m_bath, 6) AS mean_bath FROM d_em""")
+ORACLES["A7_hist_means"] = with_ctes(LISTINGS_SQL, body="""
+SELECT round(avg(price), 6) AS hist_price, round(avg(house_size), 6) AS hist_house_size, round(avg(bed), 6) AS hist_bed,
+       round(avg(bath), 6) AS hist_bath FROM listings WHERE batch_number IS DISTINCT FROM 40""")
+ORACLES["W3_expanding_means"] = with_ctes(LISTINGS_SQL, DRIFT_CTE, body="""
+SELECT batch_number, round(h_price, 6) AS hist_price, round(h_house_size, 6) AS hist_house_size, round(h_bed, 6) AS hist_bed,
+       round(h_bath, 6) AS hist_bath FROM d_em""")
+ORACLES["X7_relative_change"] = with_ctes(LISTINGS_SQL, DRIFT_CTE, body=", ".join(
+    ["SELECT batch_number"] + [f"round(CASE WHEN h_{c} <> 0 THEN abs(m_{c} - h_{c}) / abs(h_{c}) END, 6) AS change_{c}"
+                               for c in ["price", "house_size", "bed", "bath"]]) + " FROM d_em")
+ORACLES["A8_distinct_categories"] = with_ctes(LISTINGS_SQL, DRIFT_CTE, body="""
+SELECT batch_number, col AS "column", array_to_string(list_sort(list(DISTINCT val)), ',') AS "values" FROM d_vals GROUP BY batch_number, col""")
+ORACLES["W4_first_seen_category"] = with_ctes(LISTINGS_SQL, DRIFT_CTE, body="""
+SELECT col AS "column", val AS value, fb AS first_batch FROM d_fs""")
+ORACLES["J2_category_diff"] = with_ctes(LISTINGS_SQL, DRIFT_CTE, body="""
+SELECT DISTINCT v.batch_number, v.col AS "column", v.val AS value FROM d_vals v JOIN d_fs f ON f.col = v.col AND f.val = v.val
+WHERE f.fb >= v.batch_number""")
+ORACLES["U2_batch_minus_history"] = with_ctes(LISTINGS_SQL, DRIFT_CTE, body="""
+SELECT col AS "column", val AS value FROM d_vals WHERE batch_number = 13
+EXCEPT SELECT col, val FROM d_vals WHERE batch_number < 13""")
+ORACLES["A9_new_category_count"] = with_ctes(LISTINGS_SQL, DRIFT_CTE, body="SELECT batch_number, ncat AS new_categories_count FROM drift_v")
+ORACLES["A19_received_schema"] = with_ctes(LISTINGS_SQL, PAYLOAD_SQL, SCHEMA_CTE, body="SELECT batch_number, key, inferred FROM recv")
+ORACLES["J6_schema_compare"] = with_ctes(LISTINGS_SQL, PAYLOAD_SQL, SCHEMA_CTE, body="""
+SELECT r.batch_number, r.key, e.expected, r.inferred,
+       (e.expected IS NOT NULL AND r.inferred IS NOT NULL AND e.expected <> r.inferred) AS mismatch
+FROM recv r LEFT JOIN expected e ON r.key = e.key""")
+ORACLES["U1_missing_extra_columns"] = with_ctes(LISTINGS_SQL, PAYLOAD_SQL, SCHEMA_CTE, body="""
+SELECT batch_number, array_to_string(missing, ',') AS missing_columns, array_to_string(extra, ',') AS extra_columns FROM schema_v""")
+_SIG = (LISTINGS_SQL, PAYLOAD_SQL, QUALITY_CTE, SCHEMA_CTE, DRIFT_CTE, SIGNALS_CTE)
+ORACLES["A22_volume_share"] = with_ctes(*_SIG, body="SELECT batch_number, round(volume_share, 6) AS volume_share FROM sig2")
+ORACLES["W2_running_total"] = with_ctes(*_SIG, body="""
+SELECT batch_number, CAST(inserted_records AS BIGINT) AS inserted_records, total_records FROM sig2""")
+ORACLES["X11_reason_text"] = with_ctes(*_SIG, body=f"SELECT batch_number, reason_code, {DECISION_REASON} AS reason FROM decided")
+
+
 # ------------------------------------------------------------ rounding ------
 def _rewrite_round(sql: str) -> str:
     """``round(x, k)`` -> ``floor(x * 1ek + 0.5) / 1ek`` (same arithmetic as the

@@ -611,3 +611,271 @@ def p10(spark, sf):
     w = ME.wide_metrics(ME.regression_metrics(_preds(spark, sf)))
     m = F.map_from_arrays(F.array(F.lit("val_mae"), F.lit("test_mae")), F.array("val_mae", "test_mae"))
     return w.select("line", "batch_number", "candidate", F.size(ME.drop_nan_metrics(m)).alias("n_metrics"))
+
+
+# ------------------------------------------------------------ streaming -----
+from tidemark.streaming import streams as ST  # noqa: E402
+
+
+@register("T1_request_rate")
+def t1(spark, sf):
+    r = ST.request_rate(_log(spark, sf))
+    return flat(r.select("window_start", "window_end", "requests", "request_rate"))
+
+
+@register("T2_error_rate")
+def t2(spark, sf):
+    r = ST.request_rate(_log(spark, sf))
+    return flat(r.select("window_start", "window_end", "errors", "error_rate"))
+
+
+@register("T3_latency_quantiles")
+def t3(spark, sf):
+    return flat(ST.window_latency_quantiles(_log(spark, sf)))
+
+
+@register("T4_current_version")
+def t4(spark, sf):
+    v = ST.current_version(_log(spark, sf), ["status"])
+    return v.toDF("status", "model_version", "model_loaded", "status_1")
+
+
+# ------------------------------------------------------- ingest / docs ------
+from tidemark.functions.expr import DAYS, canonical_json, relative_change, text_hash, to_double  # noqa: E402
+from tidemark.operators import ingest as IG  # noqa: E402
+
+
+def _docs(spark, sf):
+    return fx.docs(spark, sf).withColumn("row_hash", text_hash("text"))
+
+
+@register("X1_row_hash")
+def x1(spark, sf):
+    return _docs(spark, sf).select("doc_id", "row_hash")
+
+
+@register("W1_first_occurrence")
+def w1(spark, sf):
+    d = _docs(spark, sf).withColumn("seq", F.col("doc_id"))
+    return IG.first_occurrence(d, "row_hash", ("batch_number", "seq")).select("doc_id", "batch_number")
+
+
+@register("S13_known_hashes")
+def s13(spark, sf):
+    d = _docs(spark, sf).where(F.col("doc_id") % 4 == 0)
+    return IG.known_hashes(d).distinct()
+
+
+@register("J1_dedup_vs_store")
+def j1(spark, sf):
+    d = _docs(spark, sf)
+    known = IG.known_hashes(d.where(F.col("doc_id") % 4 == 0))
+    return IG.dedup_vs_store(d.where(F.col("doc_id") % 4 != 0), known).select("doc_id")
+
+
+@register("A3_duplicate_rows")
+def a3(spark, sf):
+    d = _docs(spark, sf)
+    return d.groupBy("batch_number").agg(
+        (F.count(F.lit(1)) - F.count_distinct("row_hash")).alias("duplicate_rows"))
+
+
+@register("T7_ingest_stream")
+def t7(spark, sf):
+    """Batch twin of the ingest stream: per batch, rows first stored by it (J1+W1 replay)."""
+    return IG.new_rows_per_batch(_docs(spark, sf), "batch_number", "row_hash")
+
+
+def _ledger(spark, sf):
+    rec = _records(spark, sf)
+    fetched = IG.ledger_rows(rec, F.timestamp_seconds(F.lit(1704067200) + F.col("batch_number") * 300))
+    end = IG.exhausted_row(spark, None, F.timestamp_seconds(F.lit(1704067200 + 81 * 300)))
+    return fetched.unionByName(end)
+
+
+@register("S3_batch_ledger")
+def s3(spark, sf):
+    return _ledger(spark, sf).select("batch_number", "day_used", "records_count", "status", "fetched_at")
+
+
+@register("S1_next_batch")
+def s1(spark, sf):
+    """S1 + S2 for every prefix of the ledger (indices below, at and above 7)."""
+    from pyspark.sql import Window
+    led = _ledger(spark, sf)
+    w = Window.orderBy("fetched_at").rowsBetween(Window.unboundedPreceding, 0)
+    days = F.array(*[F.lit(d) for d in DAYS])
+    p = led.select(F.count(F.lit(1)).over(w).alias("batch_index"), "status")
+    return p.select("batch_index", F.try_element_at(days, (F.col("batch_index") + 1).cast("int")).alias("next_day"),
+                    IG.exhausted(F.col("batch_index"), F.when(F.col("status") == "exhausted", F.lit(400))).alias("exhausted"))
+
+
+@register("S2_exhausted")
+def s2(spark, sf):
+    return s1(spark, sf).select("batch_index", "exhausted")
+
+
+@register("S5_append_raw")
+def s5(spark, sf):
+    rec = _records(spark, sf)
+    raw = IG.prepare_raw(rec, fx.RECORD_COLUMNS).withColumn("seq", F.col("listing_key"))
+    new = IG.first_occurrence(raw, "row_hash", ("batch_number", "seq"))
+    return new.select("listing_key", "batch_number", "day_used", "processed")
+
+
+@register("S6_unprocessed")
+def s6(spark, sf):
+    raw = IG.prepare_raw(_records(spark, sf), fx.RECORD_COLUMNS)
+    ledger = raw.where(F.col("batch_number") <= 40).select("batch_number", "row_hash")
+    return IG.unprocessed(raw, ledger).select("listing_key", "batch_number")
+
+
+@register("S12_history_scan")
+def s12(spark, sf):
+    return IG.history(_records(spark, sf), 40).groupBy("batch_number").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("P9_raw_preservation")
+def p9(spark, sf):
+    rec = _records(spark, sf)
+    raw = IG.prepare_raw(rec, fx.RECORD_COLUMNS)
+    return flat(IG.preservation_violations(raw, rec, ["listing_key", *fx.RECORD_COLUMNS]))
+
+
+@register("P1_drop_control")
+def p1(spark, sf):
+    raw = IG.prepare_raw(_records(spark, sf), fx.RECORD_COLUMNS)
+    out = FE.drop_control(raw)
+    return out.groupBy("batch_number").agg(F.count(F.lit(1)).alias("rows"),
+                                                 F.lit(",".join(sorted(out.columns))).alias("columns"))
+
+
+@register("X3_to_numeric")
+def x3(spark, sf):
+    e = fx.table(spark, sf, "events")
+    txt = F.regexp_replace(F.regexp_replace("props", r'\{"k": ', ""), r"\}", "")
+    return flat(e.select("event_id", to_double(txt).alias("value"),
+                         to_double(F.concat(F.lit("x"), txt)).alias("bad_value")))
+
+
+# -------------------------------------------------- decomposed signals ------
+@register("A1_total_records")
+def a1(spark, sf):
+    from tidemark.operators.quality import total_records
+    return total_records(_records(spark, sf))
+
+
+@register("A2_null_ratio")
+def a2(spark, sf):
+    rec = _records(spark, sf)
+    cols = fx.RECORD_COLUMNS
+    agg = rec.groupBy("batch_number").agg(F.count(F.lit(1)).alias("_n"), *[
+        F.count_if(is_null(c, c not in fx.STRING_COLUMNS)).alias(c) for c in cols])
+    long = agg.unpivot(["batch_number", "_n"], cols, "column", "nulls")
+    return flat(long.select("batch_number", "column", (F.col("nulls") / F.col("_n")).alias("null_ratio"),
+                            (F.col("nulls") / F.col("_n") > 0.5).alias("high")))
+
+
+@register("A4_invalid_price")
+def a4(spark, sf):
+    return Q.validate_quality(_records(spark, sf).drop("listing_key", "day_used")).select("batch_number", "invalid_prices")
+
+
+@register("A5_null_price_ratio")
+def a5(spark, sf):
+    q = Q.validate_quality(_records(spark, sf).drop("listing_key", "day_used"))
+    return flat(q.select("batch_number", "null_price_ratio", (F.col("null_price_ratio") > 0.3).alias("bad")))
+
+
+@register("A6_batch_means")
+def a6(spark, sf):
+    return flat(D.batch_means(_records(spark, sf)))
+
+
+@register("A7_hist_means")
+def a7(spark, sf):
+    return flat(D.hist_means(_records(spark, sf), 40))
+
+
+@register("W3_expanding_means")
+def w3(spark, sf):
+    s = _records(spark, sf).groupBy("batch_number").agg(*D.sum_count_aggs(D.DRIFT_COLUMNS))
+    e = D.expanding_means(s)
+    return flat(e.select("batch_number", *[f"hist_{c}" for c in D.DRIFT_COLUMNS]))
+
+
+@register("X7_relative_change")
+def x7(spark, sf):
+    s = _records(spark, sf).groupBy("batch_number").agg(*D.sum_count_aggs(D.DRIFT_COLUMNS))
+    e = D.expanding_means(s)
+    return flat(e.select("batch_number", *[relative_change(f"mean_{c}", f"hist_{c}").alias(f"change_{c}")
+                                           for c in D.DRIFT_COLUMNS]))
+
+
+@register("A8_distinct_categories")
+def a8(spark, sf):
+    v = D.category_values(_records(spark, sf))
+    return v.groupBy("batch_number", "column").agg(F.array_join(F.array_sort(F.collect_list("value")), ",").alias("values"))
+
+
+@register("W4_first_seen_category")
+def w4(spark, sf):
+    return D.first_seen(_records(spark, sf))
+
+
+@register("J2_category_diff")
+def j2(spark, sf):
+    return D.category_diff(_records(spark, sf))
+
+
+@register("U2_batch_minus_history")
+def u2(spark, sf):
+    """Set form for one batch: its values EXCEPT all earlier values."""
+    v = D.category_values(_records(spark, sf))
+    cur = v.where(F.col("batch_number") == 13).select("column", "value")
+    hist = v.where(F.col("batch_number") < 13).select("column", "value")
+    return cur.exceptAll(hist.distinct()).distinct()
+
+
+@register("A9_new_category_count")
+def a9(spark, sf):
+    return D.detect_drift(_records(spark, sf)).select("batch_number", "new_categories_count")
+
+
+@register("A19_received_schema")
+def a19(spark, sf):
+    return Q.received_schema(fx.listings_payload(spark, sf))
+
+
+@register("J6_schema_compare")
+def j6(spark, sf):
+    r = Q.received_schema(fx.listings_payload(spark, sf))
+    exp = spark.createDataFrame(list(fx.EXPECTED_SCHEMA.items()), "key string, expected string")
+    # received (batch, key) rows against the 12-key expected literal: matched,
+    # extra (no expected type) and, per batch, missing keys from U1
+    keyed = r.join(F.broadcast(exp), "key", "left")
+    return keyed.select("batch_number", "key", "expected", "inferred",
+                        (F.col("expected").isNotNull() & F.col("inferred").isNotNull()
+                         & (F.col("expected") != F.col("inferred"))).alias("mismatch"))
+
+
+@register("U1_missing_extra_columns")
+def u1(spark, sf):
+    s = Q.validate_schema(Q.received_schema(fx.listings_payload(spark, sf)))
+    return flat(s.select("batch_number", "missing_columns", "extra_columns"))
+
+
+@register("A22_volume_share")
+def a22(spark, sf):
+    return flat(_signals(spark, sf).select("batch_number", "volume_share"))
+
+
+@register("W2_running_total")
+def w2(spark, sf):
+    return _signals(spark, sf).select("batch_number", "inserted_records", "total_records")
+
+
+@register("X11_reason_text")
+def x11(spark, sf):
+    d = DEC.decide_training(_signals(spark, sf))
+    return d.select("batch_number", "reason_code", "reason")
