@@ -82,37 +82,27 @@ def batch_signals(raw: DataFrame, payload: DataFrame | None = None, by: str = "b
                   batches: DataFrame | None = None) -> DataFrame:
     """Q7: one row per batch with every input of Q4, in few passes.
 
-    * pass 1 — ``groupBy(batch, row_hash)``: row counts per distinct record
-      with quality counters and mean sums; rolled up per batch it gives Q2 and
-      A6, and (``groupBy(row_hash).min(batch)``) the first-occurrence counts of
-      J1/W1.  Partial aggregation collapses duplicate records map-side.
+    * pass 1 — ``groupBy(batch)`` for the quality counters (A2-A5) and mean
+      sums (A6), plus the distinct ``(batch, row_hash)`` pairs that give the
+      duplicate counts (A3) and, by ``groupBy(row_hash).min(batch)``, the
+      first-occurrence counts of J1/W1.
     * pass 2 — W4 first-seen categories (``groupBy(column, value)``).
     * pass 3 — Q1 over the landed JSON payload (when given; else the typed schema).
     All per-batch tables are tiny and joined on the batch number.
     """
     h = F.col(hash_col) if hash_col else row_hash(columns)
-    keyed = raw.withColumn("_h", h)
-    floating = {c: Q._is_floating(raw, c) for c in columns}
-    # pass 1: per (batch, record) counters; identical records have identical values
-    per_rec = keyed.groupBy(by, "_h").agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[F.max(F.when(Q.is_null(c, floating[c]), 1).otherwise(0)).alias(f"_isnull_{c}") for c in columns],
-        F.max(F.when(D.to_double("price") <= 0, 1).otherwise(0)).alias("_bad_price"),
-        *[F.max(D.to_double(c)).alias(f"_v_{c}") for c in D.DRIFT_COLUMNS],
-    )
-    n = F.col("_n")
-    per_batch = per_rec.groupBy(by).agg(
-        F.sum(n).alias("records"),
-        *[F.sum(F.col(f"_isnull_{c}") * n).alias(f"_null_{c}") for c in columns],
-        F.sum(F.col("_bad_price") * n).alias("invalid_prices"),
-        F.sum(F.col("_isnull_price") * n).alias("_nullp"),
-        F.sum(n - 1).alias("duplicate_rows"),
-        *[x for c in D.DRIFT_COLUMNS for x in (F.sum(F.col(f"_v_{c}") * n).alias(f"_sum_{c}"),
-                                                F.sum(F.when(F.col(f"_v_{c}").isNotNull(), n)).alias(f"_cnt_{c}"))],
-    )
+    # pass 1a: quality counters and mean sums per batch (map-side combined, tiny shuffle)
+    per_batch = raw.groupBy(by).agg(*Q.quality_aggs(raw, columns), *D.sum_count_aggs(D.DRIFT_COLUMNS))
+    # pass 1b: distinct (batch, record hash) pairs — the only record-sized shuffle,
+    # 36 bytes per distinct record; partial aggregation collapses copies map-side
+    pairs = raw.select(by, h.alias("_h")).distinct()
+    distinct_per_batch = pairs.groupBy(by).agg(F.count(F.lit(1)).alias("_distinct"))
+    per_batch = per_batch.join(distinct_per_batch, by, "left").withColumn(
+        "duplicate_rows", F.col("records") - F.coalesce("_distinct", F.lit(0)))
     quality = Q.quality_finish(per_batch, by, columns).select(
         by, "records", F.col("valid").alias("quality_valid"), "issues")
-    inserted = per_rec.groupBy("_h").agg(F.min(by).alias(by)).groupBy(by).agg(F.count(F.lit(1)).alias("inserted_records"))
+    # J1 + W1 replay: a record is inserted by the first batch that holds it
+    inserted = pairs.groupBy("_h").agg(F.min(by).alias(by)).groupBy(by).agg(F.count(F.lit(1)).alias("inserted_records"))
     drift = D.detect_drift(raw, by, sums=per_batch.select(by, *[c for c in per_batch.columns if c.startswith(("_sum_", "_cnt_"))]))
     if payload is not None:
         schema = Q.validate_schema(Q.received_schema(payload, by), by)

@@ -71,16 +71,17 @@ def validate_schema(received: DataFrame, by: str = "batch_number",
     spark = received.sparkSession
     exp = F.broadcast(spark.createDataFrame(list(expected.items()), "key string, expected string"))
     exp_keys = F.array(*[F.lit(k) for k in sorted(expected)])
-    mism = (received.join(exp, "key")
-            .where(F.col("inferred").isNotNull() & (F.col("inferred") != F.col("expected")))
-            .select(by, F.concat_ws("", "key", F.lit(": expected "), "expected", F.lit(", got "), "inferred").alias("m")))
-    keys = received.groupBy(by).agg(F.array_sort(F.collect_set("key")).alias("_recv"))
-    mm = mism.groupBy(by).agg(F.array_sort(F.collect_list("m")).alias("type_mismatches"))
-    out = keys.join(mm, by, "left").select(
+    # one pass: received keys left-joined with the (schema-width) expected literal
+    j = received.join(exp, "key", "left")
+    mism = F.when(F.col("expected").isNotNull() & F.col("inferred").isNotNull() & (F.col("inferred") != F.col("expected")),
+                  F.concat_ws("", "key", F.lit(": expected "), "expected", F.lit(", got "), "inferred"))
+    g = j.groupBy(by).agg(F.array_sort(F.collect_set("key")).alias("_recv"),
+                          F.array_sort(F.collect_list(mism)).alias("type_mismatches"))
+    out = g.select(
         by,
         F.array_sort(F.array_except(exp_keys, "_recv")).alias("missing_columns"),
         F.array_sort(F.array_except("_recv", exp_keys)).alias("extra_columns"),
-        F.coalesce("type_mismatches", F.array().cast("array<string>")).alias("type_mismatches"),
+        "type_mismatches",
     )
     out = _with_expected_batches(out, by, batches)
     empty = F.array().cast("array<string>")
