@@ -1,15 +1,21 @@
 """Exact percentiles without funnelling a whole column through one task.
 
 Spark's exact ``percentile``/``median`` keeps every distinct value of a group
-in one aggregation buffer.  Here the exact order statistic is found in a band:
+in one aggregation buffer.  Here the exact order statistic is found in two
+passes:
 
-1. per (group, name): ``count``, ``min``, ``max`` and a ``percentile_approx``
-   bracket ``[q - d, q + d]`` (d = 3 / accuracy) around each wanted rank;
-2. rows below the bracket are only counted; rows inside it are reduced to
-   (value, count) pairs — hot values collapse map-side — and ranked by a
-   window over the band, which holds about ``6 n / accuracy`` values;
-3. the two neighbours of rank ``q (n - 1)`` are interpolated linearly
-   (same rule as numpy / DuckDB ``quantile_cont`` / Spark ``percentile``).
+1. one wide aggregation per group: for each target ``count``, ``min``,
+   ``max`` and a ``percentile_approx`` bracket ``[q - d, q + d]``
+   (d = 3 / accuracy) that surely contains rank ``q (n - 1)``;
+2. each row contributes to each target once: values below the bracket are
+   folded into one null key (only counted), values inside it are grouped by
+   value (hot values collapse map-side), values above are dropped.  A window
+   over the band — about ``6 n / accuracy`` distinct values per group and
+   target — finds the two neighbours of the rank, which are interpolated
+   linearly (numpy / DuckDB ``quantile_cont`` / Spark ``percentile`` rule).
+
+Groups smaller than about ``accuracy`` values skip the bracket (the whole
+group is the band).
 """
 
 from __future__ import annotations
@@ -19,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_ACCURACY = 100000
+DEFAULT_ACCURACY = 10000
 
 
 def exact_percentiles(df: DataFrame, targets: Sequence[tuple[str, str, float]], by: Sequence[str] = (),
@@ -27,62 +33,70 @@ def exact_percentiles(df: DataFrame, targets: Sequence[tuple[str, str, float]],
     """Exact linear-interpolated percentiles.
 
     ``targets`` = [(output_name, column, q), ...]; nulls (and NaN) are ignored.
-    Returns one row per group with one double column per output name
-    (null when the group has no value).
+    Returns one row per group with one double column per output name (null
+    when the group has no value).
     """
     by = list(by)
     d = 3.0 / accuracy
-    stacked = F.explode(F.array(*[
-        F.struct(F.lit(name).alias("_name"), F.lit(float(q)).alias("_q"),
-                 F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias("_v"))
-        for name, c, q in targets]))
-    long = df.select(*by, stacked.alias("_t")).select(*by, "_t._name", "_t._q", "_t._v").where(F.col("_v").isNotNull())
+    names = [name for name, _, _ in targets]
+    vals = {name: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for name, c, _ in targets}
+    x = df.select(*by, *[vals[n].alias(f"_v{i}") for i, n in enumerate(names)])
+
+    # 1. wide aggregation: count / min / max / approximate bracket per target
+    aggs = []
+    for i, (_, _, q) in enumerate(targets):
+        v = F.col(f"_v{i}")
+        lo_q, hi_q = max(q - d, 0.0), min(q + d, 1.0)
+        aggs += [F.count(v).alias(f"_n{i}"), F.min(v).alias(f"_min{i}"), F.max(v).alias(f"_max{i}"),
+                 F.percentile_approx(v, F.array(F.lit(lo_q), F.lit(hi_q)), accuracy).alias(f"_pa{i}")]
+    stats = x.groupBy(*by).agg(*aggs)
+    cols = []
+    for i, (_, _, q) in enumerate(targets):
+        n = F.col(f"_n{i}")
+        small = n * d < 4
+        cols += [n, (F.lit(q) * (n - 1)).alias(f"_pos{i}"),
+                 F.when(small | (q - d <= 0), F.col(f"_min{i}")).otherwise(F.col(f"_pa{i}")[0]).alias(f"_lo{i}"),
+                 F.when(small | (q + d >= 1), F.col(f"_max{i}")).otherwise(F.col(f"_pa{i}")[1]).alias(f"_hi{i}")]
+    stats = stats.select(*by, *cols)
+    stat_cols = [c for i in range(len(targets)) for c in (f"_n{i}", f"_pos{i}", f"_lo{i}", f"_hi{i}")]
+    if not by:
+        # ungrouped: the fitted bracket is a handful of per-run scalars
+        row = stats.first()
+        lits = {c: F.lit(row[c]).cast("double" if not c.startswith("_n") else "bigint") for c in stat_cols}
 
-    # 1. bracket per (group, name)
-    qs = {name: q for name, _, q in targets}
-    lo_q = F.greatest(F.col("_q") - d, F.lit(0.0))
-    hi_q = F.least(F.col("_q") + d, F.lit(1.0))
-    stats = long.groupBy(*by, "_name", "_q").agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
-        F.percentile_approx("_v", F.array(*[F.lit(x) for x in sorted({max(q - d, 0.0) for q in qs.values()} |
-                                                                      {min(q + d, 1.0) for q in qs.values()})]),
-                            accuracy).alias("_pa"))
-    grid = sorted({max(q - d, 0.0) for q in qs.values()} | {min(q + d, 1.0) for q in qs.values()})
-    gpos = F.array(*[F.lit(x) for x in grid])
-    # below ~accuracy values the approximate bracket is not safe; the whole
-    # group (then small) is the band
-    small = F.col("_n") * d < 4
-    pos = lambda x: F.array_position(gpos, x).cast("int")
-    stats = stats.select(
-        *by, "_name", "_q", "_n",
-        F.when((lo_q <= 0) | small, F.col("_min")).otherwise(F.element_at("_pa", pos(lo_q))).alias("_lo"),
-        F.when((hi_q >= 1) | small, F.col("_max")).otherwise(F.element_at("_pa", pos(hi_q))).alias("_hi"),
-        (F.col("_q") * (F.col("_n") - 1)).alias("_pos"))
-    stats = stats.withColumns({"_r0": F.floor("_pos"), "_r1": F.ceil("_pos")})
+        def attach(frame: DataFrame) -> DataFrame:
+            return frame.withColumns(lits)
+    else:
+        def attach(frame: DataFrame) -> DataFrame:
+            return frame.join(stats, by)
 
-    # 2. count below the band, reduce the band to (value, count)
-    j = long.join(stats.select(*by, "_name", "_lo", "_hi"), [*by, "_name"])
-    below = j.groupBy(*by, "_name").agg(F.count_if(F.col("_v") < F.col("_lo")).alias("_below"))
-    band = (j.where((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
-            .groupBy(*by, "_name", "_v").agg(F.count(F.lit(1)).alias("_c")))
-    w = Window.partitionBy(*by, "_name").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    band = band.withColumn("_cum", F.sum("_c").over(w))
-    band = band.withColumn("_start", F.col("_cum") - F.col("_c"))  # band-relative rank of first copy
+    # 2. band pass: below -> null key (counted), inside -> value, above -> dropped
+    j = attach(x)
+    items = F.array(*[F.struct(F.lit(i).alias("t"),
+                               F.when(F.col(f"_v{i}") >= F.col(f"_lo{i}"), F.col(f"_v{i}")).alias("k"),
+                               F.col(f"_v{i}").alias("v"), F.col(f"_hi{i}").alias("hi"))
+                      for i in range(len(targets))])
+    kept = F.filter(items, lambda e: e["v"].isNotNull() & (e["v"] <= e["hi"]))
+    band = (j.select(*by, F.explode(kept).alias("_e")).select(*by, F.col("_e.t").alias("_t"), F.col("_e.k").alias("_k"))
+            .groupBy(*by, "_t", "_k").agg(F.count(F.lit(1)).alias("_c")))
+    # null key (the below-bracket count) sorts first: cumulative counts are global ranks
+    w = Window.partitionBy(*by, "_t").orderBy(F.col("_k").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    band = band.withColumn("_cum", F.sum("_c").over(w)).withColumn("_start", F.col("_cum") - F.col("_c"))
+    band = band.where(F.col("_k").isNotNull())
 
-    # 3. pick ranks r0, r1 (0-based, global) and interpolate
-    s = stats.join(below, [*by, "_name"])
-    s = s.withColumns({"_b0": F.col("_r0") - F.col("_below"), "_b1": F.col("_r1") - F.col("_below")})
-    pick = band.join(s.select(*by, "_name", "_b0", "_b1"), [*by, "_name"])
-    hit0 = (F.col("_start") <= F.col("_b0")) & (F.col("_b0") < F.col("_cum"))
-    hit1 = (F.col("_start") <= F.col("_b1")) & (F.col("_b1") < F.col("_cum"))
-    vals = pick.groupBy(*by, "_name").agg(F.max(F.when(hit0, F.col("_v"))).alias("_x0"),
-                                          F.max(F.when(hit1, F.col("_v"))).alias("_x1"))
-    res = s.join(vals, [*by, "_name"], "left").select(
-        *by, "_name",
-        (F.col("_x0") + (F.col("_x1") - F.col("_x0")) * (F.col("_pos") - F.col("_r0"))).alias("_value"))
-    names = [name for name, _, _ in targets]
-    out = res.groupBy(*by).pivot("_name", names).agg(F.first("_value"))
-    if not by:
-        # a table with no value at all still yields one row of nulls
-        out = df.sparkSession.range(1).join(out, how="left").drop("id")
-    return out.select(*by, *[F.col(n).cast("double").alias(n) for n in names])
+    # 3. pick ranks floor(pos) and ceil(pos) and interpolate
+    pos = F.element_at(F.array(*[F.col(f"_pos{i}") for i in range(len(targets))]), (F.col("_t") + 1).cast("int"))
+    pick = attach(band).withColumn("_pos", pos).withColumns({"_r0": F.floor("_pos"), "_r1": F.ceil("_pos")})
+    hit0 = (F.col("_start") <= F.col("_r0")) & (F.col("_r0") < F.col("_cum"))
+    hit1 = (F.col("_start") <= F.col("_r1")) & (F.col("_r1") < F.col("_cum"))
+    res = pick.groupBy(*by, "_t").agg(F.max(F.when(hit0, F.col("_k"))).alias("_x0"),
+                                      F.max(F.when(hit1, F.col("_k"))).alias("_x1"), F.first("_pos").alias("_pos"))
+    res = res.select(*by, "_t", (F.col("_x0") + (F.col("_x1") - F.col("_x0")) * (F.col("_pos") - F.floor("_pos"))).alias("_value"))
+    out = res.groupBy(*by).pivot("_t", list(range(len(targets)))).agg(F.first("_value"))
+    out = out.select(*by, *[F.col(str(i)).cast("double").alias(n) for i, n in enumerate(names)])
+    # groups with no value at all still get a row (of nulls)
+    if by:
+        return stats.select(*by).join(out, by, "left")
+    row = out.first()
+    return df.sparkSession.createDataFrame([tuple(row[n] if row else None for n in names)],
+                                           ", ".join(f"{n} double" for n in names))

@@ -508,9 +508,14 @@ from tidemark.operators import training as TR  # noqa: E402
 
 
 def _train_data(spark, sf):
-    """Imputed, p99-clipped rows with raw categories and the deterministic split."""
+    """Imputed, p99-clipped rows with raw categories and the deterministic split.
+
+    Checkpointed to the shared folder: the several fits that read it (scaler,
+    regression, parameter) do not replay the ranking and quantile passes."""
+    from tidemark.session import checkpoint_dir
+    checkpoint_dir(spark)
     kept, _ = _kept(spark, sf)
-    return FE.split_dataset(kept, "listing_key")
+    return FE.split_dataset(kept, "listing_key").checkpoint(eager=True)
 
 
 def _ridge_champion(spark, sf):
