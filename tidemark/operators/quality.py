@@ -36,7 +36,9 @@ def received_schema(df: DataFrame, by: str = "batch_number", payload: str = "pay
     'string' if any is not, null when all values are null.  Corrupt payloads
     parse to null and contribute no key.
     """
-    kv = df.select(by, F.explode(F.from_json(F.col(payload), T.MapType(T.StringType(), T.VariantType()))).alias("key", "value"))
+    # explode_outer: a batch whose records carry no key at all still appears
+    # (one null key), so it is reported with every expected column missing
+    kv = df.select(by, F.explode_outer(F.from_json(F.col(payload), T.MapType(T.StringType(), T.VariantType()))).alias("key", "value"))
     t = F.schema_of_variant("value")
     non_null = t != "VOID"
     is_num = F.regexp_like(t, F.lit("^(" + "|".join(_NUMERIC_VARIANT_TYPES) + ")"))
@@ -72,7 +74,7 @@ def validate_schema(received: DataFrame, by: str = "batch_number",
     exp = F.broadcast(spark.createDataFrame(list(expected.items()), "key string, expected string"))
     exp_keys = F.array(*[F.lit(k) for k in sorted(expected)])
     # one pass: received keys left-joined with the (schema-width) expected literal
-    j = received.join(exp, "key", "left")
+    j = received.join(exp, "key", "left")  # a null key matches nothing
     mism = F.when(F.col("expected").isNotNull() & F.col("inferred").isNotNull() & (F.col("inferred") != F.col("expected")),
                   F.concat_ws("", "key", F.lit(": expected "), "expected", F.lit(", got "), "inferred"))
     g = j.groupBy(by).agg(F.array_sort(F.collect_set("key")).alias("_recv"),
@@ -112,7 +114,7 @@ def quality_finish(agg: DataFrame, by: str, columns: Sequence[str], null_col_thr
                    null_price_threshold: float = 0.3, duplicates: str = "duplicate_rows") -> DataFrame:
     """Turn :func:`quality_aggs` counts into the Q2 verdict row."""
     n = F.col("records")
-    high = F.filter(F.array(*[F.when(F.col(f"_null_{c}") / n > null_col_threshold, F.lit(c)) for c in sorted(columns)]),
+    high = F.filter(F.array(*[F.when(F.try_divide(F.col(f"_null_{c}"), n) > null_col_threshold, F.lit(c)) for c in sorted(columns)]),
                     lambda x: x.isNotNull())
     ratio = F.when(n > 0, F.col("_nullp") / n).otherwise(F.lit(0.0))
     pct_thr = f"{null_price_threshold:.0%}"
