@@ -140,13 +140,19 @@ def validate_quality(df: DataFrame, by: str = "batch_number", columns: Sequence[
                      hash_col: str | None = None, batches: DataFrame | None = None) -> DataFrame:
     """Q2: per batch A2 null ratios, A3 duplicates, A4 invalid prices, A5 null price ratio.
 
-    One ``groupBy(by)``; duplicates are ``rows - count_distinct(row_hash)``.
+    Counters in one ``groupBy(by)``; duplicates are rows minus distinct
+    ``(batch, row_hash)`` pairs.
     ``batches`` (optional) lists expected batches so empty ones appear invalid.
     """
     columns = list(columns or [c for c in df.columns if c not in (by, hash_col)])
     h = F.col(hash_col) if hash_col else row_hash(columns)
-    agg = df.groupBy(by).agg(*quality_aggs(df, columns, price), F.count_distinct(h).alias("_distinct"))
-    agg = agg.withColumn("duplicate_rows", F.col("records") - F.col("_distinct"))
+    # counters per batch (tiny shuffle) + distinct (batch, hash) pairs (36 B per
+    # distinct record) instead of a distinct aggregate that would shuffle every
+    # counter at (batch, hash) granularity
+    counts = df.groupBy(by).agg(*quality_aggs(df, columns, price))
+    distinct = df.select(by, h.alias("_h")).distinct().groupBy(by).agg(F.count(F.lit(1)).alias("_distinct"))
+    agg = counts.join(distinct, by, "left")
+    agg = agg.withColumn("duplicate_rows", F.col("records") - F.coalesce("_distinct", F.lit(0)))
     if batches is not None:
         agg = batches.select(by).distinct().join(agg, by, "left").na.fill(0)
     return quality_finish(agg, by, columns, null_col_threshold, null_price_threshold)

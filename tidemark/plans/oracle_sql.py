@@ -714,6 +714,46 @@ SELECT batch_number, CAST(inserted_records AS BIGINT) AS inserted_records, total
 ORACLES["X11_reason_text"] = with_ctes(*_SIG, body=f"SELECT batch_number, reason_code, {DECISION_REASON} AS reason FROM decided")
 
 
+# ----------------------------------------------- sinks and streams (I/O) ----
+ORACLES["S4_read_landed"] = with_ctes(LISTINGS_SQL, body="""
+SELECT batch_number, count(*) AS records, count(*) FILTER (WHERE price IS NULL) AS null_price FROM listings GROUP BY batch_number""")
+ORACLES["S7_append_clean"] = with_ctes(LISTINGS_SQL, CLEAN_CTE, body="""
+SELECT batch_number, count(*) AS rows FROM clean WHERE split = 'train' GROUP BY batch_number""")
+ORACLES["S11_append_inference"] = ORACLES["E3_normalise_inference"]
+ORACLES["T5_log_stream"] = ORACLES["E3_normalise_inference"]
+ORACLES["T6_score_stream"] = ORACLES["M5_batch_score_status"]
+F5_CTE = """
+c0 AS (
+  SELECT listing_key, batch_number, brokered_by, status, price, bed, bath, acre_lot, street, city, state, zip_code, house_size
+  FROM listings WHERE price IS NOT NULL AND NOT isnan(price) AND price > 0
+),
+hfit AS (SELECT """ + ", ".join(f"coalesce(quantile_cont({c}, 0.5), 0.0) AS m_{c}" for c in _NUMS) + """ FROM c0 WHERE batch_number <= 40),
+fv AS (
+  SELECT col, val, CAST(row_number() OVER (PARTITION BY col ORDER BY val) - 1 AS INTEGER) AS code FROM (
+    SELECT DISTINCT 'status' AS col, status AS val FROM c0 WHERE status IS NOT NULL AND batch_number <= 40
+    UNION SELECT DISTINCT 'city', city FROM c0 WHERE city IS NOT NULL AND batch_number <= 40
+    UNION SELECT DISTINCT 'state', state FROM c0 WHERE state IS NOT NULL AND batch_number <= 40)
+),
+foc AS (SELECT col, CAST(count(*) AS INTEGER) AS oc FROM fv GROUP BY col),
+fenc AS (
+  SELECT c.listing_key, c.batch_number, """ + ", ".join(f"coalesce(c.{c}, f.m_{c}) AS {c}" for c in _NUMS) + """,
+         CAST(coalesce(vs.code, (SELECT oc FROM foc WHERE col = 'status')) AS INTEGER) AS status,
+         CAST(coalesce(vc.code, (SELECT oc FROM foc WHERE col = 'city')) AS INTEGER) AS city,
+         CAST(coalesce(vt.code, (SELECT oc FROM foc WHERE col = 'state')) AS INTEGER) AS state
+  FROM c0 c CROSS JOIN hfit f
+  LEFT JOIN fv vs ON vs.col = 'status' AND vs.val = c.status
+  LEFT JOIN fv vc ON vc.col = 'city' AND vc.val = c.city
+  LEFT JOIN fv vt ON vt.col = 'state' AND vt.val = c.state
+),
+franked AS (SELECT *, row_number() OVER (ORDER BY md5('42-' || listing_key), listing_key) - 1 AS rnk, count(*) OVER () AS n_all FROM fenc)"""
+ORACLES["F5_transform"] = with_ctes(LISTINGS_SQL, F5_CTE, body="""
+SELECT listing_key, batch_number, status, city, state, """ + ", ".join(f"round({c}, 6) AS {c}" for c in _NUMS) + """,
+       CASE WHEN rnk < floor(n_all * CAST(0.7 AS DOUBLE)) THEN 'train' WHEN rnk < floor(n_all * CAST(0.85 AS DOUBLE)) THEN 'val'
+            ELSE 'test' END AS split FROM franked""")
+ORACLES["X2_canonical_json"] = with_ctes(DOCS_SQL, body="""
+SELECT doc_id, CAST(to_json({'doc_id': doc_id, 'text': text}) AS VARCHAR) AS canonical FROM docs""")
+
+
 # ------------------------------------------------------------ rounding ------
 def _rewrite_round(sql: str) -> str:
     """``round(x, k)`` -> ``floor(x * 1ek + 0.5) / 1ek`` (same arithmetic as the

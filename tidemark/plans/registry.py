@@ -896,3 +896,95 @@ def w2(spark, sf):
 def x11(spark, sf):
     d = DEC.decide_training(_signals(spark, sf))
     return d.select("batch_number", "reason_code", "reason")
+
+
+# ----------------------------------------------- sinks and streams (I/O) ----
+def _scratch(spark, name):
+    """A fresh folder for a written table under the shared checkpoint folder."""
+    import uuid
+    from tidemark.session import checkpoint_dir
+    return f"{checkpoint_dir(spark).rstrip('/')}/tidemark-io/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@register("S4_read_landed")
+def s4(spark, sf):
+    """Landed JSON documents written from the payload table, read back and flattened."""
+    path = _scratch(spark, "landing")
+    p = fx.listings_payload(spark, sf).join(_records(spark, sf).select("listing_key", "day_used"), "listing_key")
+    IG.land_batches(p, path)
+    rows = IG.read_landed(spark, path, multi_line=False)
+    return rows.groupBy("batch_number").agg(F.count("payload").alias("records"),
+                                            F.count_if(F.col("record.price").isNull()).alias("null_price"))
+
+
+@register("S7_append_clean")
+def s7(spark, sf):
+    """Clean rows appended partitioned by split, then the train partition read back (pruned)."""
+    path = _scratch(spark, "clean")
+    FE.append_clean(_clean(spark, sf).select(*_CLEAN_OUT), path)
+    t = FE.scan_split(spark.read.parquet(path), "train")
+    return t.groupBy("batch_number").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("S11_append_inference")
+def s11(spark, sf):
+    path = _scratch(spark, "inference_log")
+    EV.append_inference(_log(spark, sf).select("event_id", "request_ts", "status", "error", "prediction",
+                                                "model_version", "latency_s", "valid"), path)
+    return flat(spark.read.parquet(path))
+
+
+@register("T5_log_stream")
+def t5(spark, sf):
+    """Events as a file stream (glob) -> normalise -> idempotent foreachBatch append; read back."""
+    out, ck = _scratch(spark, "log_stream"), _scratch(spark, "log_stream_ckpt")
+    schema = fx.table(spark, sf, "events").schema
+    raw = spark.readStream.schema(schema).parquet(f"{sf}/events*.parquet")
+    ST.log_stream(fx.inference_log_from(raw), out, ck).awaitTermination()
+    return flat(spark.read.parquet(out).select("event_id", "request_ts", "status", "error", "prediction",
+                                               "model_version", "latency_s", "valid"))
+
+
+@register("T6_score_stream")
+def t6(spark, sf):
+    """Requests stream scored per micro-batch with the champion named by the alias table."""
+    root = _scratch(spark, "models")
+    _ridge_champion(spark, sf).write().overwrite().save(f"{root}/1")
+    alias = _scratch(spark, "alias")
+    spark.createDataFrame([("ridge", True, "1")], "line string, promoted boolean, mlflow_model_version string") \
+        .withColumn("logged_at", F.current_timestamp()).write.parquet(alias)
+    src = fx.listings_payload(spark, sf)  # materialised folder = file-stream source
+    stream_src = spark.readStream.schema(src.schema).parquet(src.inputFiles()[0].rsplit("/", 1)[0])
+    out, ck = _scratch(spark, "scored"), _scratch(spark, "scored_ckpt")
+    ST.score_stream(stream_src, alias, root, out, ck).awaitTermination()
+    return spark.read.parquet(out).select("listing_key", "status", "model_version", "error")
+
+
+# --------------------------------------------------- fitted preprocessor ----
+def _fit_hist(spark, sf):
+    df = FE.valid_target(FE.with_sold_year(FE.drop_control(_records(spark, sf))))
+    return df, FE.fit_preprocessor(df.where(F.col("batch_number") <= 40))
+
+
+@register("F4_fit_preprocessor")
+def f4(spark, sf):
+    _, pp = _fit_hist(spark, sf)
+    return pp.params()
+
+
+@register("X14_flatten_params")
+def x14(spark, sf):
+    _, pp = _fit_hist(spark, sf)
+    return pp.params().select(F.concat(F.lit("prep_"), "name").alias("name"), "value")
+
+
+@register("F5_transform")
+def f5(spark, sf):
+    df, pp = _fit_hist(spark, sf)
+    out = FE.transform(df, pp, "listing_key")
+    return flat(out.select("listing_key", "batch_number", "status", "city", "state", *_NUMS, "split"))
+
+
+@register("X2_canonical_json")
+def x2(spark, sf):
+    return _docs(spark, sf).select("doc_id", canonical_json(["text", "doc_id"]).alias("canonical"))
