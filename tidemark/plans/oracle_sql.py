@@ -754,6 +754,22 @@ ORACLES["X2_canonical_json"] = with_ctes(DOCS_SQL, body="""
 SELECT doc_id, CAST(to_json({'doc_id': doc_id, 'text': text}) AS VARCHAR) AS canonical FROM docs""")
 
 
+# ----------------------------------------------------- experiment rows -----
+_TEST_PRESENT = """EXISTS (SELECT 1 FROM metrics m WHERE m.line = w.line AND m.batch_number = w.batch_number
+                          AND m.candidate = w.candidate AND m.split = 'test')"""
+ORACLES["P10_drop_nan_metrics"] = with_ctes(CANDIDATE_PREDICTIONS_SQL, RUNS_CTE, body=f"""
+SELECT line, batch_number, candidate,
+       CAST((CASE WHEN val_mae IS NULL OR NOT isnan(val_mae) THEN 1 ELSE 0 END)
+            + (CASE WHEN {_TEST_PRESENT} THEN 1 ELSE 0 END) AS INTEGER) AS n_metrics
+FROM wide w""")
+ORACLES["S14_experiment_runs"] = with_ctes(LISTINGS_SQL, CANDIDATE_PREDICTIONS_SQL, RUNS_CTE, body=f"""
+SELECT line, batch_number, candidate,
+       (SELECT array_to_string(list_sort(list(DISTINCT batch_number)), ',') FROM listings) AS batch_numbers_text,
+       CAST(5 + 3 * (CASE WHEN {_TEST_PRESENT} THEN 1 ELSE 0 END) AS INTEGER) AS n_metrics, '0000000' AS code_commit
+FROM best w""")
+ORACLES["E2_build_experiments"] = ORACLES["S14_experiment_runs"]
+
+
 # ------------------------------------------------------------ rounding ------
 def _rewrite_round(sql: str) -> str:
     """``round(x, k)`` -> ``floor(x * 1ek + 0.5) / 1ek`` (same arithmetic as the
