@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.expr import sold_year, to_double
 from tidemark.operators.quantiles import exact_percentiles
+from tidemark.session import cut_lineage
 
 CONTROL_COLUMNS = ["id", "row_hash", "loaded_at", "processed", "day_used"]
 CATEGORICAL_COLUMNS = ["status", "city", "state"]
@@ -82,20 +83,26 @@ def others_codes(vocab: DataFrame) -> DataFrame:
     return vocab.groupBy("column").agg(F.count(F.lit(1)).cast("int").alias("others_code"))
 
 
+# Vocabularies up to this many entries (all columns together) are broadcast
+# explicitly; the size is known from the fit, so the check costs nothing.
+VOCAB_BROADCAST_MAX = 2_000_000
+
+
 def encode(df: DataFrame, vocab: DataFrame, columns: Sequence[str] = CATEGORICAL_COLUMNS,
            others: Mapping[str, int] | None = None) -> DataFrame:
     """Value -> code; unknown and null -> others code.
 
-    One left equi-join per column against the vocabulary (the planner
-    broadcasts it when its measured size is under the threshold, else
-    shuffles).  ``others`` are the fitted vocabulary sizes (a scalar per
-    column, read from the small ``others_codes`` table when not given)."""
+    One left equi-join per column against the vocabulary.  The fitted
+    vocabulary sizes (``others``) bound the lookup table: below
+    ``VOCAB_BROADCAST_MAX`` entries it is broadcast (no shuffle of the data
+    side); above it the joins are shuffled and AQE handles skewed values."""
     if others is None:
         others = {r["column"]: r["others_code"] for r in others_codes(vocab).collect()}
+    small = sum(others.get(c, 0) for c in columns) <= VOCAB_BROADCAST_MAX
     out = df
     for c in columns:
         v = vocab.where(F.col("column") == c).select(F.col("value").alias(f"_val_{c}"), F.col("code").alias(f"_code_{c}"))
-        out = (out.join(v, F.col(c).cast("string") == F.col(f"_val_{c}"), "left")
+        out = (out.join(F.broadcast(v) if small else v, F.col(c).cast("string") == F.col(f"_val_{c}"), "left")
                .withColumn(c, F.coalesce(F.col(f"_code_{c}"), F.lit(int(others.get(c, 0)))).cast("int"))
                .drop(f"_val_{c}", f"_code_{c}"))
     return out
@@ -192,7 +199,8 @@ def fit_preprocessor(df: DataFrame, categorical: Sequence[str] = CATEGORICAL_COL
     extra = [("p99", target, 0.99)] if with_p99 else []
     row = fit_medians(df, numeric, extra=extra).first()
     med = {c: float(row[f"median_{c}"]) for c in numeric if c in df.columns}
-    return Preprocessor(medians=med, vocab=fit_vocabulary(df, [c for c in categorical if c in df.columns]),
+    vocab = cut_lineage(fit_vocabulary(df, [c for c in categorical if c in df.columns]))
+    return Preprocessor(medians=med, vocab=vocab,
                         p99=(row["p99"] if with_p99 else None), categorical=list(categorical))
 
 
@@ -212,7 +220,7 @@ def clean_pipeline(raw: DataFrame, key: str = "listing_key", target: str = TARGE
     stats = fit_medians(df, IMPUTE_COLUMNS, extra=[("p99", target, 0.99)]).first()
     med = {c: float(stats[f"median_{c}"]) for c in IMPUTE_COLUMNS if c in df.columns}
     kept = clip_p99(impute(df, med), stats["p99"], target)
-    vocab = fit_vocabulary(kept)
+    vocab = cut_lineage(fit_vocabulary(kept))  # the fitted artifact: computed once
     return split_dataset(encode(kept, vocab), key)
 
 

@@ -512,10 +512,9 @@ def _train_data(spark, sf):
 
     Checkpointed to the shared folder: the several fits that read it (scaler,
     regression, parameter) do not replay the ranking and quantile passes."""
-    from tidemark.session import checkpoint_dir
-    checkpoint_dir(spark)
+    from tidemark.session import cut_lineage
     kept, _ = _kept(spark, sf)
-    return FE.split_dataset(kept, "listing_key").checkpoint(eager=True)
+    return cut_lineage(FE.split_dataset(kept, "listing_key"))
 
 
 def _ridge_champion(spark, sf):

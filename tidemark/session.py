@@ -56,3 +56,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def cut_lineage(df):
+    """Materialise ``df`` in the shared checkpoint folder (reliable checkpoint,
+    survives executor loss) and return the re-based DataFrame."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
