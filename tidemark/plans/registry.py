@@ -525,7 +525,9 @@ def _ridge_champion(spark, sf):
     from pyspark.ml import PipelineModel
     from tidemark.session import checkpoint_dir
     base = checkpoint_dir(spark).rstrip("/").removeprefix("file:")
-    path = f"{base}/tidemark-models/{fx._fingerprint(sf, fx._LISTING_SOURCES)}/ridge"
+    import hashlib
+    code = hashlib.md5(b"".join(open(m.__file__, "rb").read() for m in (TR, FE))).hexdigest()[:8]
+    path = f"{base}/tidemark-models/{fx._fingerprint(sf, fx._LISTING_SOURCES)}-{code}/ridge"
     if "://" not in path and os.path.exists(f"{path}/metadata"):
         return PipelineModel.load(path)
     d = _train_data(spark, sf)

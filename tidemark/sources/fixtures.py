@@ -31,6 +31,8 @@ def _fingerprint(sf_dir: str, names: list[str]) -> str:
     import hashlib
     import os
     h = hashlib.md5(os.path.abspath(sf_dir).encode())
+    with open(__file__, "rb") as f:  # a changed binding never reads a stale table
+        h.update(f.read())
     for n in names:
         p = f"{sf_dir}/{n}.parquet"
         if os.path.exists(p):
