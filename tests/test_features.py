@@ -57,3 +57,32 @@ def test_clean_pipeline_preserves_batch_and_counts(spark):
     clean = FE.clean_pipeline(rec)
     assert clean.count() == 5627  # FIXTURES: 5,684 positive prices -> 5,627 after p99 at sf0.001
     assert clean.where(F.col("batch_number").isNull()).count() == 0
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+cat = st.one_of(st.none(), st.sampled_from(["", "x", "y", "z"]))
+num = st.one_of(st.none(), st.floats(-100, 100, allow_nan=False))
+frame_row = st.tuples(st.integers(-5, 20), cat, cat, cat, num, num, st.floats(1, 1000, allow_nan=False))
+
+
+@settings(max_examples=1, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(frame_row, min_size=40, max_size=60))
+def test_transform_preserves_rows_batches_and_code_range(spark, rows):
+    data = [(i, *r) for i, r in enumerate(rows)]
+    df = spark.createDataFrame(data, "row_uid int, batch_number int, status string, city string, state string,"
+                                     " bed double, bath double, price double")
+    fit_on = df.where(F.col("row_uid") % 2 == 0)
+    pp = FE.fit_preprocessor(fit_on, numeric=["bed", "bath"])
+    out = FE.transform(df.withColumn("key", F.col("row_uid").cast("string")), pp, "key").collect()
+    assert sorted(r.row_uid for r in out) == list(range(len(rows)))
+    by_uid = {r.row_uid: r for r in out}
+    others = {r["column"]: r["others_code"] for r in FE.others_codes(pp.vocab).collect()}
+    for uid, r in enumerate(rows):
+        o = by_uid[uid]
+        assert o.batch_number == r[0]
+        for c in ("status", "city", "state"):
+            assert 0 <= getattr(o, c) <= others.get(c, 0)
+        assert o.bed is not None and o.bath is not None
+    assert {o.split for o in out} <= {"train", "val", "test"}
