@@ -770,6 +770,18 @@ FROM best w""")
 ORACLES["E2_build_experiments"] = ORACLES["S14_experiment_runs"]
 
 
+ORACLES["Q4_decide_training_documented"] = with_ctes(*_SIG, body="""
+SELECT batch_number, total_records, quality_valid,
+       CASE WHEN total_records < 1000 OR NOT quality_valid THEN 'SKIP'
+            WHEN drift_detected OR volume_share >= 0.1 OR new_categories_count >= 5 OR new_columns_count >= 2 THEN 'TRAIN'
+            ELSE 'SKIP' END AS decision,
+       CASE WHEN total_records < 1000 THEN 'insufficient_records' WHEN NOT quality_valid THEN 'bad_quality'
+            WHEN drift_detected THEN 'drift' WHEN volume_share >= 0.1 THEN 'volume'
+            WHEN new_categories_count >= 5 THEN 'new_categories' WHEN new_columns_count >= 2 THEN 'new_columns'
+            ELSE 'no_signal' END AS reason_code
+FROM sig2""")
+
+
 # ------------------------------------------------------------ rounding ------
 def _rewrite_round(sql: str) -> str:
     """``round(x, k)`` -> ``floor(x * 1ek + 0.5) / 1ek`` (same arithmetic as the

@@ -64,8 +64,7 @@ def q1(spark, sf):
 
 @register("Q2_validate_quality")
 def q2(spark, sf):
-    df = fx.listings_records(spark, sf).drop("listing_key", "day_used")
-    return flat(Q.validate_quality(df), {"issues": " | "})
+    return flat(Q.validate_quality(fx.raw_table(spark, sf), hash_col="row_hash"), {"issues": " | "})
 
 
 @register("Q3_detect_drift")
@@ -74,8 +73,7 @@ def q3(spark, sf):
 
 
 def _signals(spark, sf):
-    raw = fx.listings_records(spark, sf).drop("listing_key", "day_used")
-    return DEC.batch_signals(raw, fx.listings_payload(spark, sf))
+    return DEC.batch_signals(fx.raw_table(spark, sf), fx.listings_payload(spark, sf), hash_col="row_hash")
 
 
 @register("Q7_batch_signals")
@@ -796,12 +794,12 @@ def a2(spark, sf):
 
 @register("A4_invalid_price")
 def a4(spark, sf):
-    return Q.validate_quality(_records(spark, sf).drop("listing_key", "day_used")).select("batch_number", "invalid_prices")
+    return Q.validate_quality(fx.raw_table(spark, sf), hash_col="row_hash").select("batch_number", "invalid_prices")
 
 
 @register("A5_null_price_ratio")
 def a5(spark, sf):
-    q = Q.validate_quality(_records(spark, sf).drop("listing_key", "day_used"))
+    q = Q.validate_quality(fx.raw_table(spark, sf), hash_col="row_hash")
     return flat(q.select("batch_number", "null_price_ratio", (F.col("null_price_ratio") > 0.3).alias("bad")))
 
 
@@ -989,3 +987,11 @@ def f5(spark, sf):
 @register("X2_canonical_json")
 def x2(spark, sf):
     return _docs(spark, sf).select("doc_id", canonical_json(["text", "doc_id"]).alias("canonical"))
+
+
+@register("Q4_decide_training_documented")
+def q4_documented(spark, sf):
+    """Q4 under the documented rule: SKIP on too few records or
+    bad quality, TRAIN on any signal, else SKIP."""
+    d = DEC.decide_training(_signals(spark, sf), policy="documented")
+    return flat(d.select("batch_number", "total_records", "quality_valid", "decision", "reason_code"))

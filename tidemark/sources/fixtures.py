@@ -119,7 +119,8 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
         # extra source fields used by the payload defects (Q1)
         F.col("l_tax").alias("_hoa"), F.col("l_linestatus").alias("_garage"),
         F.col("o_custkey").alias("_custkey"),
-    )
+    ).withColumn(  # the raw store's record hash, computed once at ingest (X1 over the 12 columns)
+        "row_hash", F.md5(F.to_json(F.struct(*[F.col(c) for c in sorted(RECORD_COLUMNS)]), {"ignoreNullFields": "false"})))
 
 
 _LISTING_SOURCES = ["lineitem", "orders", "customer", "nation", "region", "part"]
@@ -130,6 +131,11 @@ def listings_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialized(spark, sf_dir, "listings", _LISTING_SOURCES, lambda: listings(spark, sf_dir))
 
 
+def raw_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw store as ingest writes it: batch, the 12 columns and ``row_hash``."""
+    return listings_table(spark, sf_dir).select("batch_number", *RECORD_COLUMNS, "row_hash")
+
+
 def listings_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The typed listing records: key, batch and the 12 domain columns."""
     return listings_table(spark, sf_dir).select("listing_key", "batch_number", "day_used", *RECORD_COLUMNS)
