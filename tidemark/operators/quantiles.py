@@ -70,19 +70,26 @@ def exact_percentiles(df: DataFrame, targets: Sequence[tuple[str, str, float]],
         def attach(frame: DataFrame) -> DataFrame:
             return frame.join(stats, by)
 
-    # 2. band pass: below -> null key (counted), inside -> value, above -> dropped
+    # 2. below-bracket counts (one cheap wide aggregation) and the band itself:
+    #    only values inside [lo, hi] are exploded and grouped by value
     j = attach(x)
-    items = F.array(*[F.struct(F.lit(i).alias("t"),
-                               F.when(F.col(f"_v{i}") >= F.col(f"_lo{i}"), F.col(f"_v{i}")).alias("k"),
-                               F.col(f"_v{i}").alias("v"), F.col(f"_hi{i}").alias("hi"))
-                      for i in range(len(targets))])
-    kept = F.filter(items, lambda e: e["v"].isNotNull() & (e["v"] <= e["hi"]))
-    band = (j.select(*by, F.explode(kept).alias("_e")).select(*by, F.col("_e.t").alias("_t"), F.col("_e.k").alias("_k"))
+    below = j.groupBy(*by).agg(*[F.count_if(F.col(f"_v{i}") < F.col(f"_lo{i}")).alias(f"_below{i}")
+                                 for i in range(len(targets))])
+    items = F.array(*[F.struct(F.lit(i).alias("t"), F.col(f"_v{i}").alias("v"), F.col(f"_lo{i}").alias("lo"),
+                               F.col(f"_hi{i}").alias("hi")) for i in range(len(targets))])
+    inside = F.filter(items, lambda e: (e["v"] >= e["lo"]) & (e["v"] <= e["hi"]))
+    band = (j.select(*by, F.explode(inside).alias("_e")).select(*by, F.col("_e.t").alias("_t"), F.col("_e.v").alias("_k"))
             .groupBy(*by, "_t", "_k").agg(F.count(F.lit(1)).alias("_c")))
-    # null key (the below-bracket count) sorts first: cumulative counts are global ranks
-    w = Window.partitionBy(*by, "_t").orderBy(F.col("_k").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
-    band = band.withColumn("_cum", F.sum("_c").over(w)).withColumn("_start", F.col("_cum") - F.col("_c"))
-    band = band.where(F.col("_k").isNotNull())
+    w = Window.partitionBy(*by, "_t").orderBy("_k").rowsBetween(Window.unboundedPreceding, 0)
+    band = band.withColumn("_cum", F.sum("_c").over(w))
+    if by:
+        band = band.join(below, by)
+        below_cols = [F.col(f"_below{i}") for i in range(len(targets))]
+    else:  # one row of per-run scalars
+        brow = below.first()
+        below_cols = [F.lit(int(brow[f"_below{i}"])) for i in range(len(targets))]
+    below_of_t = F.element_at(F.array(*below_cols), (F.col("_t") + 1).cast("int"))
+    band = band.withColumn("_cum", F.col("_cum") + below_of_t).withColumn("_start", F.col("_cum") - F.col("_c"))
 
     # 3. pick ranks floor(pos) and ceil(pos) and interpolate
     pos = F.element_at(F.array(*[F.col(f"_pos{i}") for i in range(len(targets))]), (F.col("_t") + 1).cast("int"))

@@ -505,14 +505,21 @@ from tidemark.operators import scoring as SC  # noqa: E402
 from tidemark.operators import training as TR  # noqa: E402
 
 
+_TRAIN_DATA: dict = {}
+
+
 def _train_data(spark, sf):
     """Imputed, p99-clipped rows with raw categories and the deterministic split.
 
-    Checkpointed to the shared folder: the several fits that read it (scaler,
-    regression, parameter) do not replay the ranking and quantile passes."""
+    Checkpointed to the shared folder once per session and input version: the
+    several fits that read it (scaler, regression, parameter) and the queries
+    that evaluate on it do not replay the ranking and quantile passes."""
     from tidemark.session import cut_lineage
-    kept, _ = _kept(spark, sf)
-    return cut_lineage(FE.split_dataset(kept, "listing_key"))
+    key = (spark.sparkContext.applicationId, fx._fingerprint(sf, fx._LISTING_SOURCES))
+    if key not in _TRAIN_DATA:
+        kept, _ = _kept(spark, sf)
+        _TRAIN_DATA[key] = cut_lineage(FE.split_dataset(kept, "listing_key"))
+    return _TRAIN_DATA[key]
 
 
 def _ridge_champion(spark, sf, refit: bool = False):
