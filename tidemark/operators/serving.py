@@ -72,4 +72,4 @@ def serving_status(log: DataFrame, by: Sequence[str] = (), ts: str = "request_ts
     """Current (latest) model version; 'degraded' when none is loaded."""
     g = log.groupBy(*by).agg(F.max_by(version, ts).alias("model_version"))
     return g.select(*by, "model_version", F.col("model_version").isNotNull().alias("model_loaded"),
-                    F.when(F.col("model_version").isNull(), F.lit("degraded")).otherwise(F.lit("healthy")).alias("status"))
+                    F.when(F.col("model_version").isNull(), F.lit("degraded")).otherwise(F.lit("healthy")).alias("health"))

@@ -509,7 +509,7 @@ SELECT model_version, round(max(v) FILTER (WHERE q = 0.5), 6) AS p50, round(max(
        round(max(v) FILTER (WHERE q = 0.99), 6) AS p99 FROM hq GROUP BY model_version""")
 ORACLES["A25_serving_status"] = with_ctes(INFERENCE_LOG_SQL, LOG_CTE, body="""
 SELECT arg_max(model_version, request_ts) AS model_version, arg_max(model_version, request_ts) IS NOT NULL AS model_loaded,
-       CASE WHEN arg_max(model_version, request_ts) IS NULL THEN 'degraded' ELSE 'healthy' END AS status FROM log""")
+       CASE WHEN arg_max(model_version, request_ts) IS NULL THEN 'degraded' ELSE 'healthy' END AS health FROM log""")
 ORACLES["X9_status_code"] = with_ctes(LISTINGS_SQL, body="""
 SELECT listing_key, CASE lower(trim(CASE WHEN status = 'A' THEN ' For_Sale ' WHEN status = 'N' THEN 'sold' ELSE status END))
   WHEN 'for_sale' THEN 0.0::DOUBLE WHEN 'ready_to_build' THEN 1.0::DOUBLE WHEN 'sold' THEN 2.0::DOUBLE ELSE -1.0::DOUBLE END AS status_code
@@ -614,7 +614,7 @@ SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, round(max(v
 FROM whq GROUP BY window_start""".replace("\n, wb AS", ", wb AS", 1))
 ORACLES["T4_current_version"] = with_ctes(INFERENCE_LOG_SQL, LOG_CTE, body="""
 SELECT status, arg_max(model_version, request_ts) AS model_version, arg_max(model_version, request_ts) IS NOT NULL AS model_loaded,
-       CASE WHEN arg_max(model_version, request_ts) IS NULL THEN 'degraded' ELSE 'healthy' END AS status_1 FROM log GROUP BY status""")
+       CASE WHEN arg_max(model_version, request_ts) IS NULL THEN 'degraded' ELSE 'healthy' END AS health FROM log GROUP BY status""")
 
 # ------------------------------------------------------- ingest / docs ------
 ORACLES["X1_row_hash"] = with_ctes(DOCS_SQL, body="SELECT doc_id, md5(text) AS row_hash FROM docs")

@@ -659,8 +659,7 @@ def t3(spark, sf):
 
 @register("T4_current_version")
 def t4(spark, sf):
-    v = ST.current_version(_log(spark, sf), ["status"])
-    return v.toDF("status", "model_version", "model_loaded", "status_1")
+    return ST.current_version(_log(spark, sf), ["status"])
 
 
 # ------------------------------------------------------- ingest / docs ------
