@@ -86,3 +86,14 @@ def test_transform_preserves_rows_batches_and_code_range(spark, rows):
             assert 0 <= getattr(o, c) <= others.get(c, 0)
         assert o.bed is not None and o.bath is not None
     assert {o.split for o in out} <= {"train", "val", "test"}
+
+
+def test_exact_percentiles_refine_wide_brackets(spark):
+    rng = np.random.default_rng(11)
+    vals = np.concatenate([rng.exponential(size=30000), np.full(15000, 0.5)])
+    df = spark.createDataFrame([(float(v),) for v in vals], "v double")
+    # tiny accuracy and band limit force several refinement rounds
+    r = exact_percentiles(df, [("m", "v", 0.5), ("p9", "v", 0.9), ("p99", "v", 0.99)], accuracy=50, max_band=200).first()
+    assert abs(r.m - np.quantile(vals, 0.5)) < 1e-12
+    assert abs(r.p9 - np.quantile(vals, 0.9)) < 1e-12
+    assert abs(r.p99 - np.quantile(vals, 0.99)) < 1e-12

@@ -15,11 +15,13 @@ passes:
    linearly (numpy / DuckDB ``quantile_cont`` / Spark ``percentile`` rule).
 
 Groups smaller than about ``accuracy`` values skip the bracket (the whole
-group is the band).
+group is the band).  Ungrouped, the bracket is narrowed by further rounds
+until it holds at most ``max_band`` values, so no task ever ranks more.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -28,13 +30,57 @@ from pyspark.sql import functions as F
 DEFAULT_ACCURACY = 10000
 
 
+DEFAULT_MAX_BAND = 1_000_000
+
+
+def _refine(x: DataFrame, row: dict, targets, d: float, accuracy: int, max_band: int, rounds: int = 6) -> dict:
+    """Ungrouped case: narrow each bracket until it holds at most ``max_band``
+    distinct values.  Each round is one scalar aggregation (counts) plus, for brackets
+    still too wide, one ``percentile_approx`` over the bracket's rows only, at
+    the local ranks of the target; a round shrinks a bracket about
+    ``accuracy / 6`` times, so ``n = 10^12`` needs two rounds at the default."""
+    row = dict(row)
+    # a first bracket spans at most about 6 n / accuracy ranks: nothing to do
+    if all((row[f"_n{i}"] or 0) * 8.0 / accuracy <= max_band for i in range(len(targets))):
+        return row
+    for _ in range(rounds):
+        cnt = x.agg(*[F.count_if(F.col(f"_v{i}") < F.lit(row[f"_lo{i}"])).alias(f"_b{i}")
+                      for i in range(len(targets)) if row[f"_lo{i}"] is not None],
+                    *[F.count_if(F.col(f"_v{i}").between(F.lit(row[f"_lo{i}"]), F.lit(row[f"_hi{i}"]))).alias(f"_w{i}")
+                      for i in range(len(targets)) if row[f"_lo{i}"] is not None],
+                    # the band pass ranks *distinct* values (copies collapse), so that is the width
+                    *[F.approx_count_distinct(F.when(F.col(f"_v{i}").between(F.lit(row[f"_lo{i}"]), F.lit(row[f"_hi{i}"])),
+                                                     F.col(f"_v{i}"))).alias(f"_dw{i}")
+                      for i in range(len(targets)) if row[f"_lo{i}"] is not None]).first()
+        wide = [i for i in range(len(targets)) if row[f"_lo{i}"] is not None and cnt[f"_dw{i}"] > max_band]
+        if not wide:
+            return row
+        aggs, qs = [], {}
+        for i in wide:
+            m = cnt[f"_w{i}"]
+            r0 = math.floor(row[f"_pos{i}"]) - cnt[f"_b{i}"]
+            r1 = math.ceil(row[f"_pos{i}"]) - cnt[f"_b{i}"]
+            qs[i] = (max(r0 / (m - 1) - d, 0.0), min(r1 / (m - 1) + d, 1.0))
+            inside = F.when(F.col(f"_v{i}").between(F.lit(row[f"_lo{i}"]), F.lit(row[f"_hi{i}"])), F.col(f"_v{i}"))
+            aggs.append(F.percentile_approx(inside, F.array(F.lit(qs[i][0]), F.lit(qs[i][1])), accuracy).alias(f"_pa{i}"))
+        pa = x.agg(*aggs).first()
+        for i in wide:
+            if qs[i][0] > 0:
+                row[f"_lo{i}"] = pa[f"_pa{i}"][0]
+            if qs[i][1] < 1:
+                row[f"_hi{i}"] = pa[f"_pa{i}"][1]
+    return row
+
+
 def exact_percentiles(df: DataFrame, targets: Sequence[tuple[str, str, float]], by: Sequence[str] = (),
-                      accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+                      accuracy: int = DEFAULT_ACCURACY, max_band: int = DEFAULT_MAX_BAND) -> DataFrame:
     """Exact linear-interpolated percentiles.
 
     ``targets`` = [(output_name, column, q), ...]; nulls (and NaN) are ignored.
     Returns one row per group with one double column per output name (null
-    when the group has no value).
+    when the group has no value).  Ungrouped, the bracket is refined until it
+    holds at most ``max_band`` values; grouped, each group's band holds about
+    ``6 n_group / accuracy`` values (raise ``accuracy`` for huge groups).
     """
     by = list(by)
     d = 3.0 / accuracy
@@ -61,7 +107,7 @@ def exact_percentiles(df: DataFrame, targets: Sequence[tuple[str, str, float]],
     stat_cols = [c for i in range(len(targets)) for c in (f"_n{i}", f"_pos{i}", f"_lo{i}", f"_hi{i}")]
     if not by:
         # ungrouped: the fitted bracket is a handful of per-run scalars
-        row = stats.first()
+        row = _refine(x, stats.first().asDict(), targets, d, accuracy, max_band)
         lits = {c: F.lit(row[c]).cast("double" if not c.startswith("_n") else "bigint") for c in stat_cols}
 
         def attach(frame: DataFrame) -> DataFrame:
