@@ -83,3 +83,17 @@ def test_audit_skip_branch(spark):
     assert a[1].promoted is True and a[1].best_model is None and a[1].mlflow_model_version == "3"
     assert a[2].promoted is False and a[2].promotion_reason == "" and a[2].best_val_mae is None
     assert a[-1].trained is True and a[-1].promoted is False
+
+
+def test_read_landed_keeps_unknown_keys_as_extras(spark, tmpdir_fresh):
+    import json
+    import os
+    path = f"{tmpdir_fresh}/land"
+    os.makedirs(path)
+    with open(f"{path}/b7.json", "w") as f:
+        json.dump({"batch_number": 7, "day_used": "Sunday",
+                   "data": [{"price": 10.0, "city": "x", "hoa": 3, "garage": "yes"}, {"price": 5}]}, f)
+    rows = {r.seq: r for r in IG.read_landed(spark, path).collect()}
+    assert rows[0].record.price == 10.0 and rows[0].record.city == "x"
+    assert json.loads(rows[0].extras) == {"hoa": 3, "garage": "yes"}
+    assert rows[1].extras is None and rows[1].record.price == 5.0
