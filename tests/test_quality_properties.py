@@ -92,3 +92,26 @@ def test_empty_batch_is_invalid(spark):
     got = {r.batch_number: r for r in Q.validate_quality(df, batches=batches).collect()}
     assert got[2].valid is False and got[2].issues == ["empty batch"]
     assert got[1].valid is True
+
+
+@SETTINGS
+@given(st.lists(st.lists(st.dictionaries(st.sampled_from(["price", "city", "bed"]),
+                                         st.one_of(st.none(), st.integers(-3, 3), st.floats(-5, 5, allow_nan=False),
+                                                   st.sampled_from(["x", "7", "-1", "abc"])), max_size=3),
+                         min_size=1, max_size=10), min_size=40, max_size=50))
+def test_validate_quality_payload_matches_dict_rule(spark, batches):
+    rows = [(b, json.dumps(r)) for b, recs in enumerate(batches) for r in recs]
+    df = spark.createDataFrame(rows, "batch_number int, payload string")
+    got = {r.batch_number: r for r in Q.validate_quality_payload(df).collect()}
+    for b, recs in enumerate(batches):
+        n = len(recs)
+        cols = sorted(set().union(*[r.keys() for r in recs]))
+        high = [c for c in cols if sum(1 for r in recs if c not in r or r[c] is None) / n > 0.5]
+        nullp = sum(1 for r in recs if "price" not in r or r["price"] is None)
+        inv = sum(1 for r in recs if r.get("price") is not None and _to_float(r["price"]) is not None
+                  and _to_float(r["price"]) <= 0)
+        dups = n - len({json.dumps(r, sort_keys=True) for r in recs})
+        g = got[b]
+        assert (g.high_null_columns, g.invalid_prices, g.duplicate_rows) == (high, inv, dups), (recs, g)
+        assert abs(g.null_price_ratio - nullp / n) < 1e-12
+        assert g.valid == (not high and inv == 0 and nullp / n <= 0.3)

@@ -161,3 +161,62 @@ def validate_quality(df: DataFrame, by: str = "batch_number", columns: Sequence[
 def total_records(raw: DataFrame) -> DataFrame:
     """A1: rows in the raw store."""
     return raw.agg(F.count(F.lit(1)).alias("total_records"))
+
+
+def validate_quality_payload(df: DataFrame, by: str = "batch_number", payload: str = "payload", price: str = "price",
+                             null_col_threshold: float = 0.5, null_price_threshold: float = 0.3,
+                             batches: DataFrame | None = None) -> DataFrame:
+    """Q2 over landed JSON records, with the dict semantics of the rule:
+
+    * the checked columns are the keys present in at least one record of the
+      batch; a key absent from a record counts as null there;
+    * duplicates compare the canonical record (keys sorted, JSON types kept,
+      so ``1`` and ``1.0`` differ);
+    * price is coerced (text that does not parse is neither null nor invalid).
+
+    Each payload is parsed once into ``map<string,variant>``; per-key counts
+    come from one ``groupBy(batch, key)`` and are joined back per batch.
+    """
+    m = F.from_json(F.col(payload), T.MapType(T.StringType(), T.VariantType()))
+    x = df.select(by, m.alias("_m"))
+    by_key = F.array_sort(F.map_entries("_m"), lambda a, b: F.when(a["key"] < b["key"], -1)
+                          .when(a["key"] > b["key"], 1).otherwise(0))
+    canon = F.to_json(F.map_from_entries(by_key))
+    pv = F.try_element_at(F.col("_m"), F.lit(price))
+    p_null = pv.isNull() | (F.schema_of_variant(pv) == "VOID")
+    p_num = F.when(F.regexp_like(F.schema_of_variant(pv), F.lit("^(" + "|".join(_NUMERIC_VARIANT_TYPES) + ")")),
+                   F.try_variant_get(pv, "$", "double")).otherwise(
+        F.try_variant_get(pv, "$", "string").try_cast("double"))
+    p_num = F.nanvl(p_num, F.lit(None).cast("double"))
+    per_batch = x.groupBy(by).agg(
+        F.count(F.lit(1)).alias("records"),
+        F.count_if(p_null).alias("_nullp"),
+        F.count_if(~p_null & (p_num <= 0)).alias("invalid_prices"))
+    distinct = x.select(by, canon.alias("_c")).distinct().groupBy(by).agg(F.count(F.lit(1)).alias("_distinct"))
+    kv = x.select(by, F.explode("_m").alias("key", "value"))
+    nonnull = kv.groupBy(by, "key").agg(F.count_if(F.schema_of_variant("value") != "VOID").alias("_nn"))
+    agg = per_batch.join(distinct, by, "left").withColumn("duplicate_rows", F.col("records") - F.coalesce("_distinct", F.lit(0)))
+    high = (nonnull.join(per_batch.select(by, "records"), by)
+            .where(F.try_divide(F.col("records") - F.col("_nn"), F.col("records")) > null_col_threshold)
+            .groupBy(by).agg(F.array_sort(F.collect_list("key")).alias("_high")))
+    agg = agg.join(high, by, "left")
+    if batches is not None:
+        agg = batches.select(by).distinct().join(agg, by, "left").na.fill(0, ["records", "_nullp", "invalid_prices", "duplicate_rows"])
+    n = F.col("records")
+    high_c = F.coalesce(F.col("_high"), F.array().cast("array<string>"))
+    ratio = F.when(n > 0, F.col("_nullp") / n).otherwise(F.lit(0.0))
+    pct_thr = f"{null_price_threshold:.0%}"
+    out = agg.withColumn("high_null_columns", high_c).withColumn("null_price_ratio", ratio)
+    issues = F.filter(F.array(
+        F.when(F.size("high_null_columns") > 0, F.concat(F.lit("High null rate in: "), py_list("high_null_columns"))),
+        F.when(F.col("invalid_prices") > 0, F.concat(F.col("invalid_prices").cast("string"), F.lit(" records with invalid price"))),
+        F.when(F.col("null_price_ratio") > null_price_threshold,
+               F.concat(F.lit(f"More than {pct_thr} null prices ("),
+                        F.round(F.col("null_price_ratio") * 100, 0).cast("bigint").cast("string"), F.lit("%)"))),
+        F.when(F.col("duplicate_rows") > 0, F.concat(F.col("duplicate_rows").cast("string"), F.lit(" duplicate rows"))),
+    ), lambda e: e.isNotNull())
+    out = out.withColumn("issues", F.when(n > 0, issues).otherwise(F.array(F.lit("empty batch"))))
+    grave = (F.size("high_null_columns") > 0) | (F.col("invalid_prices") > 0) | (F.col("null_price_ratio") > null_price_threshold)
+    return out.select(by, F.col("records").cast("bigint").alias("records"), (~grave & (n > 0)).alias("valid"),
+                      "high_null_columns", F.col("duplicate_rows").cast("bigint").alias("duplicate_rows"),
+                      F.col("invalid_prices").cast("bigint").alias("invalid_prices"), "null_price_ratio", "issues")

@@ -782,6 +782,38 @@ SELECT batch_number, total_records, quality_valid,
 FROM sig2""")
 
 
+ORACLES["Q2_validate_quality_payload"] = with_ctes(LISTINGS_SQL, PAYLOAD_SQL, body="""
+, pq AS (
+  SELECT batch_number, count(*) AS records,
+         count(*) FILTER (WHERE json_type(payload, '$.price') IS NULL OR json_type(payload, '$.price') = 'NULL') AS nullp,
+         count(*) FILTER (WHERE json_type(payload, '$.price') IN ('UBIGINT', 'BIGINT', 'DOUBLE')
+                          AND CAST(json_extract(payload, '$.price') AS DOUBLE) <= 0
+                          OR json_type(payload, '$.price') = 'VARCHAR'
+                          AND TRY_CAST(json_extract_string(payload, '$.price') AS DOUBLE) <= 0) AS invalid_prices,
+         count(*) - count(DISTINCT payload) AS duplicate_rows
+  FROM payload GROUP BY batch_number
+), pk AS (
+  SELECT p.batch_number, j.key, count(*) FILTER (WHERE j.type <> 'NULL') AS nn FROM payload p, json_each(p.payload) j
+  GROUP BY p.batch_number, j.key
+), ph AS (
+  SELECT pk.batch_number, list_sort(list(pk.key) FILTER (WHERE (pq.records - pk.nn) / pq.records > 0.5)) AS high
+  FROM pk JOIN pq USING (batch_number) GROUP BY pk.batch_number
+), pv AS (
+  SELECT pq.*, coalesce(ph.high, []) AS high, nullp / records AS null_price_ratio FROM pq LEFT JOIN ph USING (batch_number)
+)
+SELECT batch_number, records, NOT (len(high) > 0 OR invalid_prices > 0 OR null_price_ratio > 0.3) AS valid,
+       array_to_string(high, ',') AS high_null_columns, duplicate_rows, invalid_prices,
+       round(null_price_ratio, 6) AS null_price_ratio,
+       array_to_string(list_filter([
+         CASE WHEN len(high) > 0 THEN 'High null rate in: ' || """ + _pylist("high") + """ END,
+         CASE WHEN invalid_prices > 0 THEN CAST(invalid_prices AS VARCHAR) || ' records with invalid price' END,
+         CASE WHEN null_price_ratio > 0.3 THEN 'More than 30% null prices ('
+              || CAST(CAST(round(null_price_ratio * 100) AS BIGINT) AS VARCHAR) || '%)' END,
+         CASE WHEN duplicate_rows > 0 THEN CAST(duplicate_rows AS VARCHAR) || ' duplicate rows' END
+       ], lambda x: x IS NOT NULL), ' | ') AS issues
+FROM pv""".replace("\n, pq AS", "", 0))
+
+
 # ------------------------------------------------------------ rounding ------
 def _rewrite_round(sql: str) -> str:
     """``round(x, k)`` -> ``floor(x * 1ek + 0.5) / 1ek`` (same arithmetic as the

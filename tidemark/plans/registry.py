@@ -1001,3 +1001,11 @@ def q4_documented(spark, sf):
     bad quality, TRAIN on any signal, else SKIP."""
     d = DEC.decide_training(_signals(spark, sf), policy="documented")
     return flat(d.select("batch_number", "total_records", "quality_valid", "decision", "reason_code"))
+
+
+@register("Q2_validate_quality_payload")
+def q2_payload(spark, sf):
+    """Q2 over the landed JSON payloads: absent keys count as null, only keys
+    present in the batch are checked."""
+    q = Q.validate_quality_payload(fx.listings_payload(spark, sf))
+    return flat(q, {"issues": " | "})
