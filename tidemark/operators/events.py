@@ -107,6 +107,7 @@ def build_experiments(runs: DataFrame, batch_numbers: DataFrame, params: Column,
     metric_cols = [c for c in runs.columns if c.startswith(("val_", "test_", "train_size"))]
     metrics = F.map_from_arrays(F.array(*[F.lit(c) for c in metric_cols]),
                                 F.array(*[F.col(c).cast("double") for c in metric_cols]))
+    # P10: NaN metrics are not logged, and neither are metrics of an empty split (null)
     from tidemark.operators.metrics import drop_nan_metrics
     bn = batch_numbers.first()["batch_numbers"]  # one small scalar list per run
     return runs.withColumn("batch_numbers", F.array(*[F.lit(int(b)) for b in (bn or [])]).cast("array<int>")).select(

@@ -35,17 +35,17 @@ def wide_metrics(metrics: DataFrame, keys: Sequence[str] = RUN_KEYS) -> DataFram
     return out.withColumns({f"test_{m}": F.coalesce(F.col(f"test_{m}"), nan) for m in ("mae", "rmse", "r2")})
 
 
-def best_candidate(wide: DataFrame, run: Sequence[str] = ("line", "batch_number")) -> DataFrame:
-    """Lowest val_mae per run, first ordinal on ties; NaN never wins."""
-    ok = wide.where(F.col("val_mae").isNotNull() & ~F.isnan("val_mae"))
+def best_candidate(wide: DataFrame, run: Sequence[str] = ("line", "batch_number"), metric: str = "val_mae") -> DataFrame:
+    """Lowest ``metric`` (MAE) per run, first ordinal on ties; NaN never wins."""
+    ok = wide.where(F.col(metric).isNotNull() & ~F.isnan(metric))
     cols = [c for c in wide.columns if c not in run]
-    best = ok.groupBy(*run).agg(F.min_by(F.struct(*cols), F.struct("val_mae", "ordinal")).alias("_b"))
+    best = ok.groupBy(*run).agg(F.min_by(F.struct(*cols), F.struct(metric, "ordinal")).alias("_b"))
     return best.select(*run, "_b.*")
 
 
 def drop_nan_metrics(m):
-    """P10: metrics map without NaN values."""
-    return F.map_filter(m, lambda k, v: ~F.isnan(v))
+    """P10: metrics map without NaN values (nor nulls: a metric of an empty split is not logged)."""
+    return F.map_filter(m, lambda k, v: v.isNotNull() & ~F.isnan(v))
 
 
 def residual_histogram(pred: DataFrame, keys: Sequence[str] = ("line",), bins: int = 50,

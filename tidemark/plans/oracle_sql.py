@@ -323,10 +323,15 @@ wide AS (
          max(mae) FILTER (WHERE split = 'val') AS val_mae, max(rmse) FILTER (WHERE split = 'val') AS val_rmse
   FROM metrics GROUP BY line, batch_number, candidate, ordinal
 ),
+run_metrics AS (
+  SELECT line, batch_number, candidate, ordinal, avg(abs(predicted - actual)) AS mae,
+         sqrt(avg((predicted - actual) * (predicted - actual))) AS rmse
+  FROM candidate_predictions GROUP BY line, batch_number, candidate, ordinal
+),
 best AS (
   SELECT *, line || '-' || CAST(batch_number AS VARCHAR) || '-' || candidate AS run_id FROM (
-    SELECT *, row_number() OVER (PARTITION BY line, batch_number ORDER BY val_mae, ordinal) AS rn
-    FROM wide WHERE val_mae IS NOT NULL AND NOT isnan(val_mae)) WHERE rn = 1
+    SELECT *, row_number() OVER (PARTITION BY line, batch_number ORDER BY mae, ordinal) AS rn
+    FROM run_metrics WHERE mae IS NOT NULL AND NOT isnan(mae)) WHERE rn = 1
 ),
 versions AS (
   SELECT run_id, version FROM (
@@ -334,7 +339,7 @@ versions AS (
     FROM best) WHERE batch_number % 13 <> 0
 ),
 runs AS (
-  SELECT b.line, b.batch_number, b.val_mae AS mae, b.val_rmse AS rmse, v.version IS NOT NULL AS resolved,
+  SELECT b.line, b.batch_number, b.mae AS mae, b.rmse AS rmse, {resolved} AS resolved,
          row_number() OVER (PARTITION BY b.line ORDER BY b.batch_number) AS rn
   FROM best b LEFT JOIN (SELECT run_id, min(version) AS version FROM versions GROUP BY run_id) v USING (run_id)
   {where}
@@ -353,7 +358,7 @@ fold AS (
   )
   SELECT line, batch_number, mae, rmse, promoted, c_batch AS champion_batch_number, c_mae AS champion_mae, c_rmse AS champion_rmse FROM f
 )"""
-RUNS_CTE = RUNS_CTE_T.format(where="")
+RUNS_CTE = RUNS_CTE_T.format(where="", resolved="true")
 
 _CH = "(champion_mae IS NOT NULL AND champion_rmse IS NOT NULL)"
 _MAE_OK = "(mae <= champion_mae * (1.0 - 0.03))"
@@ -364,7 +369,7 @@ _RC = f"CASE WHEN {_CH} THEN CASE WHEN champion_rmse = 0 THEN CASE WHEN rmse = 0
 ORACLES["A12_regression_metrics"] = with_ctes(CANDIDATE_PREDICTIONS_SQL, RUNS_CTE, body="""
 SELECT line, batch_number, candidate, ordinal, split, n, round(mae, 6) AS mae, round(rmse, 6) AS rmse, round(r2, 6) AS r2 FROM metrics""")
 ORACLES["A13_best_candidate"] = with_ctes(CANDIDATE_PREDICTIONS_SQL, RUNS_CTE, body="""
-SELECT line, batch_number, candidate, round(val_mae, 6) AS val_mae, round(val_rmse, 6) AS val_rmse, run_id FROM best""")
+SELECT line, batch_number, candidate, round(mae, 2) AS mae, round(rmse, 2) AS rmse, run_id FROM best""")
 ORACLES["J4_run_to_version"] = with_ctes(CANDIDATE_PREDICTIONS_SQL, RUNS_CTE, body="""
 SELECT b.run_id, v.version FROM best b LEFT JOIN (SELECT run_id, min(version) AS version FROM versions GROUP BY run_id) v USING (run_id)""")
 ORACLES["W7_champion_fold"] = with_ctes(CANDIDATE_PREDICTIONS_SQL, RUNS_CTE, body=f"""
@@ -429,7 +434,7 @@ audit AS (
               CASE WHEN q.promote AND NOT q.promoted THEN q.reason || ' (candidate version not found for run_id='
                    || b.run_id || '; champion alias unchanged)' ELSE q.reason END, '') ELSE '' END AS promotion_reason,
          CASE WHEN b.batch_number % 4 <> 0 THEN nullif(b.candidate, '') END AS best_model,
-         CASE WHEN b.batch_number % 4 <> 0 THEN b.val_mae END AS best_val_mae,
+         CASE WHEN b.batch_number % 4 <> 0 THEN b.mae END AS best_val_mae,
          CASE WHEN b.batch_number % 4 <> 0 THEN b.run_id END AS mlflow_run_id,
          CASE WHEN b.batch_number % 4 <> 0 THEN v.version END AS mlflow_model_version,
          '0000000' AS code_commit,
@@ -438,7 +443,8 @@ audit AS (
   LEFT JOIN (SELECT run_id, min(version) AS version FROM versions GROUP BY run_id) v USING (run_id)
   LEFT JOIN q5 q ON q.line = b.line AND q.batch_number = b.batch_number
 )"""
-_AUDIT_CTES = (CANDIDATE_PREDICTIONS_SQL, RUNS_CTE_T.format(where="WHERE b.batch_number % 4 <> 0"), Q5_CTE, AUDIT_CTE)
+_AUDIT_CTES = (CANDIDATE_PREDICTIONS_SQL, RUNS_CTE_T.format(where="WHERE b.batch_number % 4 <> 0",
+                                                           resolved="v.version IS NOT NULL"), Q5_CTE, AUDIT_CTE)
 _AUDIT_SEL = ("line, batch_number, trained, train_reason, promoted, promotion_reason, best_model, "
               "round(best_val_mae, 2) AS best_val_mae, mlflow_run_id, mlflow_model_version, code_commit, logged_at")
 ORACLES["E1_build_audit"] = with_ctes(*_AUDIT_CTES, body=f"SELECT {_AUDIT_SEL} FROM audit")
@@ -759,13 +765,18 @@ _TEST_PRESENT = """EXISTS (SELECT 1 FROM metrics m WHERE m.line = w.line AND m.b
                           AND m.candidate = w.candidate AND m.split = 'test')"""
 ORACLES["P10_drop_nan_metrics"] = with_ctes(CANDIDATE_PREDICTIONS_SQL, RUNS_CTE, body=f"""
 SELECT line, batch_number, candidate,
-       CAST((CASE WHEN val_mae IS NULL OR NOT isnan(val_mae) THEN 1 ELSE 0 END)
+       CAST((CASE WHEN val_mae IS NOT NULL AND NOT isnan(val_mae) THEN 1 ELSE 0 END)
             + (CASE WHEN {_TEST_PRESENT} THEN 1 ELSE 0 END) AS INTEGER) AS n_metrics
 FROM wide w""")
+_SPLIT_PRESENT = """EXISTS (SELECT 1 FROM metrics m WHERE m.line = w.line AND m.batch_number = w.batch_number
+                          AND m.candidate = w.candidate AND m.split = '{s}')"""
 ORACLES["S14_experiment_runs"] = with_ctes(LISTINGS_SQL, CANDIDATE_PREDICTIONS_SQL, RUNS_CTE, body=f"""
 SELECT line, batch_number, candidate,
        (SELECT array_to_string(list_sort(list(DISTINCT batch_number)), ',') FROM listings) AS batch_numbers_text,
-       CAST(5 + 3 * (CASE WHEN {_TEST_PRESENT} THEN 1 ELSE 0 END) AS INTEGER) AS n_metrics, '0000000' AS code_commit
+       CAST(4 * (CASE WHEN {_SPLIT_PRESENT.format(s='val')} THEN 1 ELSE 0 END)
+            + 3 * (CASE WHEN {_SPLIT_PRESENT.format(s='test')} THEN 1 ELSE 0 END)
+            + (CASE WHEN {_SPLIT_PRESENT.format(s='train')} THEN 1 ELSE 0 END) AS INTEGER) AS n_metrics,
+       '0000000' AS code_commit
 FROM best w""")
 ORACLES["E2_build_experiments"] = ORACLES["S14_experiment_runs"]
 

@@ -252,9 +252,14 @@ def _preds(spark, sf):
     return fx.candidate_predictions(spark, sf)
 
 
+def _run_metrics(spark, sf):
+    """Per candidate run: MAE and RMSE over all orders of its (line, batch) (FIXTURES §2.3)."""
+    p = _preds(spark, sf).withColumn("split", F.lit("all"))
+    return ME.regression_metrics(p).select(*ME.RUN_KEYS, "mae", "rmse")
+
+
 def _best_runs(spark, sf):
-    wide = ME.wide_metrics(ME.regression_metrics(_preds(spark, sf)))
-    best = ME.best_candidate(wide)
+    best = ME.best_candidate(_run_metrics(spark, sf), metric="mae")
     return best.withColumn("run_id", F.concat_ws("-", "line", "batch_number", "candidate"))
 
 
@@ -269,12 +274,13 @@ def _versions(best):
 def _resolved_runs(spark, sf):
     best = _best_runs(spark, sf)
     r = PR.run_to_version(best, _versions(best))
-    return r.withColumns({"mae": F.col("val_mae"), "rmse": F.col("val_rmse"),
-                          "resolved": F.col("version").isNotNull()})
+    return r.withColumn("resolved", F.col("version").isNotNull())
 
 
 def _fold(spark, sf):
-    return PR.champion_fold(_resolved_runs(spark, sf))
+    """W7 over every best run with the plain Q5 rule (the registry lookup is
+    exercised by J4 and the audit, E1)."""
+    return PR.champion_fold(_best_runs(spark, sf).withColumn("resolved", F.lit(True)))
 
 
 @register("A12_regression_metrics")
@@ -284,7 +290,7 @@ def a12(spark, sf):
 
 @register("A13_best_candidate")
 def a13(spark, sf):
-    return flat(_best_runs(spark, sf).select("line", "batch_number", "candidate", "val_mae", "val_rmse", "run_id"),
+    return flat(_best_runs(spark, sf).select("line", "batch_number", "candidate", "mae", "rmse", "run_id"),
                 col_digits=_MONEY)
 
 
@@ -360,7 +366,7 @@ def _audit(spark, sf):
     fold = PR.champion_fold(trained)
     promo = PR.should_promote(fold).join(
         trained.select("line", "batch_number", F.col("candidate").alias("best_model"),
-                       F.col("val_mae").alias("best_val_mae"), "run_id", "version"), ["line", "batch_number"])
+                       F.col("mae").alias("best_val_mae"), "run_id", "version"), ["line", "batch_number"])
     # the fold already turned unresolved promotions into "kept"; keep its outcome
     unresolved = F.col("promote") & ~F.col("promoted")
     promo = promo.withColumn("reason", F.when(unresolved, F.concat(
@@ -616,7 +622,10 @@ def m6(spark, sf):
 
 @register("S14_experiment_runs")
 def s14(spark, sf):
-    best = _best_runs(spark, sf)
+    """Experiment rows of the best candidates with their val/test metrics (missing or NaN dropped)."""
+    wide = ME.wide_metrics(ME.regression_metrics(_preds(spark, sf)))
+    best = wide.join(_best_runs(spark, sf).select("line", "batch_number", "candidate"),
+                     ["line", "batch_number", "candidate"])
     bn = FE.batch_numbers_used(_records(spark, sf))
     params = F.create_map(F.lit("prep_split_train_frac"), F.lit(str(FE.TRAIN_FRAC)),
                           F.lit("prep_random_state"), F.lit(str(FE.SEED)), F.lit("model"), F.col("candidate"))
