@@ -50,9 +50,11 @@ def expanding_means(sums: DataFrame, by: str = "batch_number", columns: Sequence
                        *[(F.col(f"_sum_{c}") / F.col(f"_cnt_{c}")).alias(f"mean_{c}") for c in columns])
 
 
-def hist_means(df: DataFrame, current: int, by: str = "batch_number", columns: Sequence[str] = DRIFT_COLUMNS) -> DataFrame:
-    """Mean over rows whose batch is null-safe different from ``current``."""
-    h = df.where(~F.col(by).eqNullSafe(F.lit(current)))
+def hist_means(df: DataFrame, current, by: str = "batch_number", columns: Sequence[str] = DRIFT_COLUMNS) -> DataFrame:
+    """Mean over rows whose batch is null-safe different from ``current``
+    (an int or a Column, e.g. a scalar subquery)."""
+    cur = current if isinstance(current, Column) else F.lit(current)
+    h = df.where(~F.col(by).eqNullSafe(cur))
     return h.agg(*[F.avg(to_double(c)).alias(f"hist_{c}") for c in columns])
 
 
@@ -73,6 +75,16 @@ def first_seen(df: DataFrame, by: str = "batch_number", columns: Sequence[str] =
     return u.where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.min(by).alias("first_batch"))
 
 
+def batch_minus_history(df: DataFrame, by: str = "batch_number", columns: Sequence[str] = CATEGORICAL_COLUMNS) -> DataFrame:
+    """U2 set form for every batch at once: its (column, value) set EXCEPT the
+    values that appeared in an earlier batch (found by an equi-join on
+    (column, value) with first-seen, never by pairing batches)."""
+    vals = category_values(df, by, columns)
+    seen_before = (vals.join(first_seen(df, by, columns), ["column", "value"])
+                   .where(F.col("first_batch") < F.col(by)).select(by, "column", "value"))
+    return vals.exceptAll(seen_before)
+
+
 def category_diff(df: DataFrame, by: str = "batch_number", columns: Sequence[str] = CATEGORICAL_COLUMNS) -> DataFrame:
     """Per batch, values not seen in any earlier batch (exact set difference).
 

@@ -662,7 +662,8 @@ SELECT l.listing_key, l.batch_number FROM listings l
 WHERE NOT EXISTS (SELECT 1 FROM listings p WHERE p.batch_number <= 40 AND p.batch_number = l.batch_number
                   AND ({', '.join('p.' + c for c in _REC.split(', '))}) IS NOT DISTINCT FROM ({', '.join('l.' + c for c in _REC.split(', '))}))""")
 ORACLES["S12_history_scan"] = with_ctes(LISTINGS_SQL, body="""
-SELECT batch_number, count(*) AS rows FROM listings WHERE batch_number IS DISTINCT FROM 40 GROUP BY batch_number""")
+SELECT batch_number, count(*) AS rows FROM listings
+WHERE batch_number IS DISTINCT FROM (SELECT max(batch_number) FROM listings) GROUP BY batch_number""")
 ORACLES["P9_raw_preservation"] = with_ctes(LISTINGS_SQL, body=f"""
 SELECT listing_key, {_REC} FROM listings EXCEPT ALL SELECT listing_key, {_REC} FROM listings""")
 ORACLES["P1_drop_control"] = with_ctes(LISTINGS_SQL, body="""
@@ -688,7 +689,7 @@ SELECT batch_number, round(m_price, 6) AS mean_price, round(m_house_size, 6) AS
        round(m_bath, 6) AS mean_bath FROM d_em""")
 ORACLES["A7_hist_means"] = with_ctes(LISTINGS_SQL, body="""
 SELECT round(avg(price), 6) AS hist_price, round(avg(house_size), 6) AS hist_house_size, round(avg(bed), 6) AS hist_bed,
-       round(avg(bath), 6) AS hist_bath FROM listings WHERE batch_number IS DISTINCT FROM 40""")
+       round(avg(bath), 6) AS hist_bath FROM listings WHERE batch_number IS DISTINCT FROM (SELECT max(batch_number) FROM listings)""")
 ORACLES["W3_expanding_means"] = with_ctes(LISTINGS_SQL, DRIFT_CTE, body="""
 SELECT batch_number, round(h_price, 6) AS hist_price, round(h_house_size, 6) AS hist_house_size, round(h_bed, 6) AS hist_bed,
        round(h_bath, 6) AS hist_bath FROM d_em""")
@@ -703,8 +704,9 @@ ORACLES["J2_category_diff"] = with_ctes(LISTINGS_SQL, DRIFT_CTE, body="""
 SELECT DISTINCT v.batch_number, v.col AS "column", v.val AS value FROM d_vals v JOIN d_fs f ON f.col = v.col AND f.val = v.val
 WHERE f.fb >= v.batch_number""")
 ORACLES["U2_batch_minus_history"] = with_ctes(LISTINGS_SQL, DRIFT_CTE, body="""
-SELECT col AS "column", val AS value FROM d_vals WHERE batch_number = 13
-EXCEPT SELECT col, val FROM d_vals WHERE batch_number < 13""")
+SELECT DISTINCT batch_number, col AS "column", val AS value FROM d_vals
+EXCEPT SELECT DISTINCT v.batch_number, v.col, v.val FROM d_vals v JOIN d_fs f ON f.col = v.col AND f.val = v.val
+WHERE f.fb < v.batch_number""")
 ORACLES["A9_new_category_count"] = with_ctes(LISTINGS_SQL, DRIFT_CTE, body="SELECT batch_number, ncat AS new_categories_count FROM drift_v")
 ORACLES["A19_received_schema"] = with_ctes(LISTINGS_SQL, PAYLOAD_SQL, SCHEMA_CTE, body="SELECT batch_number, key, inferred FROM recv")
 ORACLES["J6_schema_compare"] = with_ctes(LISTINGS_SQL, PAYLOAD_SQL, SCHEMA_CTE, body="""

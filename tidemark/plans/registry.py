@@ -763,7 +763,9 @@ def s6(spark, sf):
 
 @register("S12_history_scan")
 def s12(spark, sf):
-    return IG.history(_records(spark, sf), 40).groupBy("batch_number").agg(F.count(F.lit(1)).alias("rows"))
+    """History of the newest batch: every row whose batch is distinct from it."""
+    rec = _records(spark, sf)
+    return IG.history(rec, IG.newest_batch(rec)).groupBy("batch_number").agg(F.count(F.lit(1)).alias("rows"))
 
 
 @register("P9_raw_preservation")
@@ -825,7 +827,8 @@ def a6(spark, sf):
 
 @register("A7_hist_means")
 def a7(spark, sf):
-    return flat(D.hist_means(_records(spark, sf), 40))
+    rec = _records(spark, sf)
+    return flat(D.hist_means(rec, IG.newest_batch(rec)))
 
 
 @register("W3_expanding_means")
@@ -861,11 +864,8 @@ def j2(spark, sf):
 
 @register("U2_batch_minus_history")
 def u2(spark, sf):
-    """Set form for one batch: its values EXCEPT all earlier values."""
-    v = D.category_values(_records(spark, sf))
-    cur = v.where(F.col("batch_number") == 13).select("column", "value")
-    hist = v.where(F.col("batch_number") < 13).select("column", "value")
-    return cur.exceptAll(hist.distinct()).distinct()
+    """Set form for every batch: its values EXCEPT all earlier values."""
+    return D.batch_minus_history(_records(spark, sf))
 
 
 @register("A9_new_category_count")
