@@ -80,7 +80,7 @@ def test_audit_skip_branch(spark):
                                   "batch_number int, promote boolean, reason string, best_model string, best_val_mae double,"
                                   " run_id string, version string")
     a = {r.batch_number: r for r in EV.build_audit(dec, promo, code_commit="abc").collect()}
-    assert a[1].promoted is True and a[1].best_model is None and a[1].mlflow_model_version == "3"
+    assert a[1].promoted is True and a[1].best_model is None and a[1].model_version == "3"
     assert a[2].promoted is False and a[2].promotion_reason == "" and a[2].best_val_mae is None
     assert a[-1].trained is True and a[-1].promoted is False
 

@@ -11,14 +11,14 @@ from pyspark.sql import types as T
 from tidemark.functions.expr import blank_to_null, derive_error, derive_status, present_null, status_label, to_utc
 
 AUDIT_COLUMNS = ["batch_number", "trained", "train_reason", "promoted", "promotion_reason", "best_model",
-                 "best_val_mae", "mlflow_run_id", "mlflow_model_version", "code_commit", "logged_at"]
+                 "best_val_mae", "run_id", "model_version", "code_commit", "logged_at"]
 
 AUDIT_SCHEMA = T.StructType([
     T.StructField("batch_number", T.IntegerType()), T.StructField("trained", T.BooleanType()),
     T.StructField("train_reason", T.StringType()), T.StructField("promoted", T.BooleanType()),
     T.StructField("promotion_reason", T.StringType()), T.StructField("best_model", T.StringType()),
-    T.StructField("best_val_mae", T.DoubleType()), T.StructField("mlflow_run_id", T.StringType()),
-    T.StructField("mlflow_model_version", T.StringType()), T.StructField("code_commit", T.StringType()),
+    T.StructField("best_val_mae", T.DoubleType()), T.StructField("run_id", T.StringType()),
+    T.StructField("model_version", T.StringType()), T.StructField("code_commit", T.StringType()),
     T.StructField("logged_at", T.TimestampType()),
 ])
 
@@ -58,8 +58,8 @@ def build_audit(decisions: DataFrame, promotions: DataFrame | None, keys: Sequen
         F.when(tr, F.coalesce(model(F.col("_preason")), F.lit(""))).otherwise(F.lit("")).alias("promotion_reason"),
         F.nullif(model(F.col("best_model")).cast("string"), F.lit("")).alias("best_model"),
         model(F.col("best_val_mae")).cast("double").alias("best_val_mae"),
-        model(F.col("_run")).cast("string").alias("mlflow_run_id"),
-        model(F.col("_ver")).cast("string").alias("mlflow_model_version"),
+        model(F.col("_run")).cast("string").alias("run_id"),
+        model(F.col("_ver")).cast("string").alias("model_version"),
         F.lit(code_commit).cast("string").alias("code_commit"),
         (F.col("_ts") if logged_at is not None else F.current_timestamp()).alias("logged_at"))
 
@@ -95,7 +95,7 @@ def history_view(audit: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     w = Window.partitionBy(*by).orderBy("logged_at", "batch_number")
     out = audit.withColumn("display_number", F.row_number().over(w))
     out = out.withColumn("status_label", status_label("trained", "promoted"))
-    for c in ("train_reason", "promotion_reason", "best_model", "mlflow_run_id", "mlflow_model_version", "code_commit"):
+    for c in ("train_reason", "promotion_reason", "best_model", "run_id", "model_version", "code_commit"):
         out = out.withColumn(c, present_null(c))
     return out
 

@@ -120,7 +120,8 @@ def split_key(key: str, seed: int = SEED):
     return F.md5(F.concat(F.lit(f"{seed}-"), F.col(key).cast("string")))
 
 
-def global_rank(df: DataFrame, key: str, seed: int = SEED, buckets_hex: int = 3) -> DataFrame:
+def global_rank(df: DataFrame, key: str, seed: int = SEED, buckets_hex: int = 3,
+                count_source: DataFrame | None = None) -> DataFrame:
     """Exact 0-based rank of ``md5(seed-key)`` over the whole table without a
     single-partition window.
 
@@ -128,10 +129,16 @@ def global_rank(df: DataFrame, key: str, seed: int = SEED, buckets_hex: int = 3)
     the per-bucket counts (one row per bucket, fixed size) give offsets that
     are broadcast back; ``row_number`` runs per bucket.  ``key`` must be unique
     per row for a total order (ties are broken by the key itself).
+    ``count_source`` (same rows and key, fewer columns or joins) lets the
+    bucket-count pass skip work that does not change the row set.
     """
     h = split_key(key, seed)
-    x = df.withColumn("_h", h).withColumn("_bucket", F.conv(F.substring("_h", 1, buckets_hex), 16, 10).cast("int"))
-    counts = x.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_bn"))
+
+    def bucketed(frame: DataFrame) -> DataFrame:
+        return frame.withColumn("_h", h).withColumn("_bucket", F.conv(F.substring("_h", 1, buckets_hex), 16, 10).cast("int"))
+    x = bucketed(df)
+    src = x if count_source is None else bucketed(count_source.select(key))
+    counts = src.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_bn"))
     wo = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_bucket", F.coalesce(F.sum("_bn").over(wo), F.lit(0)).alias("_off"),
                             F.sum("_bn").over(Window.partitionBy()).alias("_total"))
@@ -141,11 +148,11 @@ def global_rank(df: DataFrame, key: str, seed: int = SEED, buckets_hex: int = 3)
 
 
 def split_dataset(df: DataFrame, key: str, train_frac: float = TRAIN_FRAC, val_frac: float = VAL_FRAC,
-                  seed: int = SEED) -> DataFrame:
+                  seed: int = SEED, count_source: DataFrame | None = None) -> DataFrame:
     """first int(n*train) ranks train, up to int(n*(train+val)) val, rest test."""
     if train_frac <= 0 or val_frac < 0 or train_frac + val_frac > 1:
         raise ValueError("invalid fractions: need train_frac > 0, val_frac >= 0, train_frac + val_frac <= 1")
-    r = global_rank(df, key, seed)
+    r = global_rank(df, key, seed, count_source=count_source)
     n = F.col("_total").cast("double")
     train_end, val_end = F.floor(n * F.lit(train_frac)), F.floor(n * F.lit(train_frac + val_frac))
     return r.withColumn("split", F.when(F.col("rank") < train_end, F.lit("train"))
@@ -221,7 +228,9 @@ def clean_pipeline(raw: DataFrame, key: str = "listing_key", target: str = TARGE
     med = {c: float(stats[f"median_{c}"]) for c in IMPUTE_COLUMNS if c in df.columns}
     kept = clip_p99(impute(df, med), stats["p99"], target)
     vocab = cut_lineage(fit_vocabulary(kept))  # the fitted artifact: computed once
-    return split_dataset(encode(kept, vocab), key)
+    # encoding keeps every row (left joins on unique vocabulary values), so the
+    # bucket counts of the split can come from the unencoded rows
+    return split_dataset(encode(kept, vocab), key, count_source=kept)
 
 
 # ------------------------------------------------- A14 / A23 / S7 / S8 / U3 -

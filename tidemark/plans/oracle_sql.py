@@ -435,8 +435,8 @@ audit AS (
                    || b.run_id || '; champion alias unchanged)' ELSE q.reason END, '') ELSE '' END AS promotion_reason,
          CASE WHEN b.batch_number % 4 <> 0 THEN nullif(b.candidate, '') END AS best_model,
          CASE WHEN b.batch_number % 4 <> 0 THEN b.mae END AS best_val_mae,
-         CASE WHEN b.batch_number % 4 <> 0 THEN b.run_id END AS mlflow_run_id,
-         CASE WHEN b.batch_number % 4 <> 0 THEN v.version END AS mlflow_model_version,
+         CASE WHEN b.batch_number % 4 <> 0 THEN b.run_id END AS run_id,
+         CASE WHEN b.batch_number % 4 <> 0 THEN v.version END AS model_version,
          '0000000' AS code_commit,
          TIMESTAMP '2024-01-01 00:00:00' + to_seconds(b.batch_number * 300) AS logged_at
   FROM best b
@@ -446,13 +446,13 @@ audit AS (
 _AUDIT_CTES = (CANDIDATE_PREDICTIONS_SQL, RUNS_CTE_T.format(where="WHERE b.batch_number % 4 <> 0",
                                                            resolved="v.version IS NOT NULL"), Q5_CTE, AUDIT_CTE)
 _AUDIT_SEL = ("line, batch_number, trained, train_reason, promoted, promotion_reason, best_model, "
-              "round(best_val_mae, 2) AS best_val_mae, mlflow_run_id, mlflow_model_version, code_commit, logged_at")
+              "round(best_val_mae, 2) AS best_val_mae, run_id, model_version, code_commit, logged_at")
 ORACLES["E1_build_audit"] = with_ctes(*_AUDIT_CTES, body=f"SELECT {_AUDIT_SEL} FROM audit")
 ORACLES["S10_scan_audit"] = with_ctes(*_AUDIT_CTES, body=f"SELECT {_AUDIT_SEL.replace('line, ', '', 1)} FROM audit ORDER BY logged_at DESC")
 ORACLES["O1_order_history"] = with_ctes(*_AUDIT_CTES, body="SELECT batch_number, logged_at FROM audit ORDER BY logged_at DESC")
 ORACLES["S9_append_audit"] = with_ctes(*_AUDIT_CTES, body=f"""
 SELECT line, batch_number, trained, train_reason, promoted, promotion_reason, best_model, round(best_val_mae, 2) AS best_val_mae,
-       mlflow_run_id, NULL::VARCHAR AS mlflow_model_version, NULL::VARCHAR AS code_commit, logged_at FROM audit WHERE batch_number <= 40
+       run_id, NULL::VARCHAR AS model_version, NULL::VARCHAR AS code_commit, logged_at FROM audit WHERE batch_number <= 40
 UNION ALL SELECT {_AUDIT_SEL} FROM audit WHERE batch_number > 40""")
 ORACLES["A15_history_summary"] = with_ctes(*_AUDIT_CTES, body="""
 SELECT line, count(*) AS total_batches, count(*) FILTER (WHERE coalesce(trained, false)) AS trained_count,
@@ -464,7 +464,7 @@ SELECT line, batch_number, CASE WHEN coalesce(trained, false) AND coalesce(promo
                                 WHEN coalesce(trained, false) THEN 'trained_not_promoted' ELSE 'skipped' END AS status_label FROM audit""")
 ORACLES["X16_present_nulls"] = with_ctes(*_AUDIT_CTES, body="SELECT line, batch_number, " + ", ".join(
     f"coalesce(nullif(CAST({c} AS VARCHAR), ''), '—') AS {c}" for c in (
-        "train_reason", "promotion_reason", "best_model", "mlflow_run_id", "mlflow_model_version")) + " FROM audit")
+        "train_reason", "promotion_reason", "best_model", "run_id", "model_version")) + " FROM audit")
 ORACLES["X17_join_batches"] = with_ctes(*_AUDIT_CTES, body="""
 SELECT line, array_to_string(list_sort(list(DISTINCT batch_number)), ',') AS batch_numbers FROM audit WHERE trained GROUP BY line""")
 

@@ -398,7 +398,7 @@ def o1(spark, sf):
 @register("S9_append_audit")
 def s9(spark, sf):
     a = _audit(spark, sf).select(*_AUDIT_OUT)
-    old = a.where(F.col("batch_number") <= 40).drop("code_commit", "mlflow_model_version")
+    old = a.where(F.col("batch_number") <= 40).drop("code_commit", "model_version")
     return flat(EV.align_audit(old, a.where(F.col("batch_number") > 40)), col_digits={"best_val_mae": 2})
 
 
@@ -421,7 +421,7 @@ def x15(spark, sf):
 def x16(spark, sf):
     a = _audit(spark, sf)
     return a.select("line", "batch_number", *[present_null(c).alias(c) for c in (
-        "train_reason", "promotion_reason", "best_model", "mlflow_run_id", "mlflow_model_version")])
+        "train_reason", "promotion_reason", "best_model", "run_id", "model_version")])
 
 
 @register("X17_join_batches")
@@ -965,7 +965,7 @@ def t6(spark, sf):
     root = _scratch(spark, "models")
     _ridge_champion(spark, sf).write().overwrite().save(f"{root}/1")
     alias = _scratch(spark, "alias")
-    spark.createDataFrame([("ridge", True, "1")], "line string, promoted boolean, mlflow_model_version string") \
+    spark.createDataFrame([("ridge", True, "1")], "line string, promoted boolean, model_version string") \
         .withColumn("logged_at", F.current_timestamp()).write.parquet(alias)
     src = fx.listings_payload(spark, sf)  # materialised folder = file-stream source
     stream_src = spark.readStream.schema(src.schema).parquet(src.inputFiles()[0].rsplit("/", 1)[0])
