@@ -97,3 +97,33 @@ def test_read_landed_keeps_unknown_keys_as_extras(spark, tmpdir_fresh):
     assert rows[0].record.price == 10.0 and rows[0].record.city == "x"
     assert json.loads(rows[0].extras) == {"hoa": 3, "garage": "yes"}
     assert rows[1].extras is None and rows[1].record.price == 5.0
+
+
+def test_scoring_without_champion_and_log_failure_tolerated(spark, tmpdir_fresh):
+    from conftest import SF_SMALL
+    from tidemark.operators import scoring as SC
+    from tidemark.sources import fixtures as fx
+    req = fx.listings_payload(spark, SF_SMALL)
+    s = SC.batch_score(req, None, None)
+    assert s.where("status = 'error' AND prediction IS NULL AND model_version IS NULL").count() == req.count()
+    # an unwritable log location does not fail scoring
+    bad = f"{tmpdir_fresh}/file_not_dir"
+    open(bad, "w").close()
+    out = SC.score_and_log(req, None, None, bad + "/log")
+    assert out.count() == req.count()
+
+
+def test_split_fractions_are_validated(spark):
+    import pytest
+    from tidemark.operators import features as FE
+    df = spark.range(3).select(F.col("id").cast("string").alias("k"))
+    for tf, vf in ((0.0, 0.1), (0.7, -0.1), (0.8, 0.3)):
+        with pytest.raises(ValueError):
+            FE.split_dataset(df, "k", tf, vf)
+
+
+def test_sold_year_formats(spark):
+    from tidemark.functions.expr import sold_year
+    df = spark.createDataFrame([("2018-04-05",), ("04/05/2018",), ("garbage",), (None,), ("2018-13-40",)], "d string")
+    assert [r.y for r in df.select(sold_year("d").alias("y")).collect()] == [2018, 0, 0, 0, 0]
+    assert [r.y for r in df.select(sold_year("d", ("yyyy-MM-dd", "MM/dd/yyyy")).alias("y")).collect()] == [2018, 2018, 0, 0, 0]

@@ -37,9 +37,11 @@ def to_double(c: str | Column) -> Column:
 
 
 # ------------------------------------------------------------------- X4 -----
-def sold_year(c: str | Column) -> Column:
-    """Year of an ISO date text; unparseable or null -> 0."""
-    return F.coalesce(F.year(F.try_to_timestamp(col(c), F.lit("yyyy-MM-dd"))), F.lit(0))
+def sold_year(c: str | Column, formats: Sequence[str] = ("yyyy-MM-dd",)) -> Column:
+    """Year of a date text in the first matching format; unparseable or null -> 0.
+
+    Accepted formats are a parameter (ISO dates by default)."""
+    return F.coalesce(*[F.year(F.try_to_timestamp(col(c), F.lit(f))) for f in formats], F.lit(0))
 
 
 # ---------------------------------------------------------------- X1/X2 -----
