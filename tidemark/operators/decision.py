@@ -83,9 +83,9 @@ def batch_signals(raw: DataFrame, payload: DataFrame | None = None, by: str = "b
     """Q7: one row per batch with every input of Q4, in few passes.
 
     * pass 1 — ``groupBy(batch)`` for the quality counters (A2-A5) and mean
-      sums (A6), plus the distinct ``(batch, row_hash)`` pairs that give the
-      duplicate counts (A3) and, by ``groupBy(row_hash).min(batch)``, the
-      first-occurrence counts of J1/W1.
+      sums (A6), plus one ``groupBy(row_hash)`` giving each record's first
+      batch (J1/W1 insert counts) and the batches holding it (distinct
+      records per batch, hence A3 duplicates).
     * pass 2 — W4 first-seen categories (``groupBy(column, value)``).
     * pass 3 — Q1 over the landed JSON payload (when given; else the typed schema).
     All per-batch tables are tiny and joined on the batch number.
@@ -93,16 +93,20 @@ def batch_signals(raw: DataFrame, payload: DataFrame | None = None, by: str = "b
     h = F.col(hash_col) if hash_col else row_hash(columns)
     # pass 1a: quality counters and mean sums per batch (map-side combined, tiny shuffle)
     per_batch = raw.groupBy(by).agg(*Q.quality_aggs(raw, columns), *D.sum_count_aggs(D.DRIFT_COLUMNS))
-    # pass 1b: distinct (batch, record hash) pairs — the only record-sized shuffle,
-    # 36 bytes per distinct record; partial aggregation collapses copies map-side
-    pairs = raw.select(by, h.alias("_h")).distinct()
-    distinct_per_batch = pairs.groupBy(by).agg(F.count(F.lit(1)).alias("_distinct"))
+    # pass 1b: the only record-sized shuffle — one row per distinct record hash
+    # with its first batch and the set of batches holding it (bounded by the
+    # number of batches; copies collapse map-side, so a hash held by a third
+    # of all rows is one partial-aggregate entry per task)
+    per_hash = raw.select(by, h.alias("_h")).groupBy("_h").agg(
+        F.min(by).alias("_first"), F.collect_set(by).alias("_in"))
+    distinct_per_batch = (per_hash.select(F.explode("_in").alias(by)).groupBy(by)
+                          .agg(F.count(F.lit(1)).alias("_distinct")))
     per_batch = per_batch.join(distinct_per_batch, by, "left").withColumn(
         "duplicate_rows", F.col("records") - F.coalesce("_distinct", F.lit(0)))
     quality = Q.quality_finish(per_batch, by, columns).select(
         by, "records", F.col("valid").alias("quality_valid"), "issues")
     # J1 + W1 replay: a record is inserted by the first batch that holds it
-    inserted = pairs.groupBy("_h").agg(F.min(by).alias(by)).groupBy(by).agg(F.count(F.lit(1)).alias("inserted_records"))
+    inserted = per_hash.groupBy(F.col("_first").alias(by)).agg(F.count(F.lit(1)).alias("inserted_records"))
     drift = D.detect_drift(raw, by, sums=per_batch.select(by, *[c for c in per_batch.columns if c.startswith(("_sum_", "_cnt_"))]))
     if payload is not None:
         schema = Q.validate_schema(Q.received_schema(payload, by), by)
