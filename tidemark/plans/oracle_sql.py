@@ -868,4 +868,5 @@ for _k in ("A12_regression_metrics", "A13_best_candidate", "W7_champion_fold", "
            "A20_residual_histogram", "A24_actual_vs_predicted"):
     for _c in _MONEY_COLS:
         ORACLES[_k] = ORACLES[_k].replace(f", 6) AS {_c}", f", 2) AS {_c}")
+ORACLES["W7_champion_stream"] = ORACLES["W7_champion_fold"]
 ORACLES = {k: _rewrite_round(v) for k, v in ORACLES.items()}

@@ -1018,3 +1018,21 @@ def q2_payload(spark, sf):
     present in the batch are checked."""
     q = Q.validate_quality_payload(fx.listings_payload(spark, sf))
     return flat(q, {"issues": " | "})
+
+
+@register("W7_champion_stream")
+def w7_stream(spark, sf):
+    """W7 as a stateful stream: best runs land in time order (three files) and
+    the per-line champion is keyed state; read back, it equals the replay fold."""
+    runs = _best_runs(spark, sf).select("line", "batch_number", "mae", "rmse").withColumn("resolved", F.lit(True))
+    src, out, ck = _scratch(spark, "runs"), _scratch(spark, "champions"), _scratch(spark, "champions_ckpt")
+    for lo, hi in ((1, 30), (31, 55), (56, 10 ** 6)):
+        runs.where(F.col("batch_number").between(lo, hi)).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(runs.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    (ST.champion_stream(stream).writeStream.outputMode("append").format("parquet").option("path", out)
+     .option("checkpointLocation", ck).trigger(availableNow=True).start().awaitTermination())
+    f = spark.read.parquet(out)
+    blocked = (F.col("mae") <= F.col("champion_mae") * (1.0 - PR.MAE_IMPROVEMENT)) & ~PR.promote_rule(
+        F.col("mae"), F.col("rmse"), F.col("champion_mae"), F.col("champion_rmse"))
+    return flat(f.select("line", "batch_number", "promoted", "champion_batch_number", "champion_mae",
+                         F.coalesce(blocked, F.lit(False)).alias("blocked_by_rmse")), col_digits=_MONEY)
