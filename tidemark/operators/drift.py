@@ -146,3 +146,40 @@ def detect_drift(df: DataFrame, by: str = "batch_number", drift_columns: Sequenc
     w = Window.orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
     j = j.withColumn("hist_categories", F.coalesce(F.sum(F.coalesce("first_seen_count", F.lit(0))).over(w), F.lit(0)))
     return drift_verdict(j, by, drift_columns, threshold, new_cat_min)
+
+
+# ------------------------------------------------ incremental history -------
+def update_history(new_rows: DataFrame, sums_path: str, first_seen_path: str, by: str = "batch_number",
+                   drift_columns: Sequence[str] = DRIFT_COLUMNS,
+                   categorical: Sequence[str] = CATEGORICAL_COLUMNS) -> None:
+    """Keep the two small history tables current instead of re-scanning the
+    raw store each run: per-batch ``(sum, count)`` of the drift columns, and
+    the first batch of every ``(column, value)``.  Only the new rows are read;
+    the category table gains only values it does not hold yet (``left_anti``).
+    Re-running a batch is idempotent (its sums partition is overwritten).
+    Batches are applied in batch order, as they land."""
+    spark = new_rows.sparkSession
+    sums = new_rows.groupBy(by).agg(*sum_count_aggs(drift_columns))
+    (sums.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(by).parquet(sums_path))
+    fresh = first_seen(new_rows, by, categorical)
+    try:
+        known = spark.read.parquet(first_seen_path).select("column", "value")
+        fresh = fresh.join(known, ["column", "value"], "left_anti")
+    except Exception:  # noqa: BLE001 - first run: no table yet
+        pass
+    fresh.write.mode("append").parquet(first_seen_path)
+
+
+def drift_from_history(spark, sums_path: str, first_seen_path: str, by: str = "batch_number",
+                       drift_columns: Sequence[str] = DRIFT_COLUMNS, threshold: float = DRIFT_THRESHOLD,
+                       new_cat_min: int = NEW_CATEGORY_MIN) -> DataFrame:
+    """Q3 for every stored batch from the history tables alone (no raw scan)."""
+    sums = spark.read.parquet(sums_path)
+    em = expanding_means(sums, by, drift_columns)
+    nc = (spark.read.parquet(first_seen_path).groupBy(F.col("first_batch").alias(by))
+          .agg(F.count(F.lit(1)).alias("first_seen_count")))
+    j = em.join(nc, by, "left")
+    w = Window.orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+    j = j.withColumn("hist_categories", F.coalesce(F.sum(F.coalesce("first_seen_count", F.lit(0))).over(w), F.lit(0)))
+    return drift_verdict(j, by, drift_columns, threshold, new_cat_min)
