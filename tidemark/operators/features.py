@@ -64,7 +64,10 @@ def impute(df: DataFrame, medians: Mapping[str, float]) -> DataFrame:
 
 
 def clip_p99(df: DataFrame, p99: float, target: str = TARGET) -> DataFrame:
-    """Drop (not cap) rows above the fitted 99th percentile; ``<=`` kept."""
+    """Drop (not cap) rows above the fitted 99th percentile; ``<=`` kept.
+    No p99 (no valid target at all) keeps nothing, as there is nothing to keep."""
+    if p99 is None:
+        return df.where(F.lit(False))
     return df.where(F.col(target) <= F.lit(float(p99)))
 
 
@@ -217,16 +220,22 @@ def transform(df: DataFrame, pp: Preprocessor, key: str, add_split: bool = True)
     return split_dataset(out, key, pp.train_frac, pp.val_frac, pp.seed) if add_split else out
 
 
+def clean_rows(raw: DataFrame, target: str = TARGET) -> DataFrame:
+    """F7 up to P4: P1 -> X4 -> P2 -> P3 -> medians (after the target filter)
+    -> impute -> drop rows above the p99 of the same rows.  One exact
+    quantile pass fits all medians and the p99 together."""
+    df = valid_target(with_sold_year(drop_control(raw)), target)
+    stats = fit_medians(df, IMPUTE_COLUMNS, extra=[("p99", target, 0.99)]).first()
+    med = {c: float(stats[f"median_{c}"]) for c in IMPUTE_COLUMNS if c in df.columns}
+    return clip_p99(impute(df, med), stats["p99"], target)
+
+
 def clean_pipeline(raw: DataFrame, key: str = "listing_key", target: str = TARGET) -> DataFrame:
-    """P1 -> X4 -> P2 -> P3 -> medians (after the target filter) -> impute ->
-    P4 (p99 of the same rows) -> F1 fit on the survivors -> F2 -> F3.
+    """:func:`clean_rows` -> F1 fit on the survivors -> F2 -> F3.
 
     Two small fits (quantiles, vocabulary sizes) and one ranking pass.
     """
-    df = valid_target(with_sold_year(drop_control(raw)), target)
-    stats = fit_medians(df, IMPUTE_COLUMNS, extra=[("p99", target, 0.99)]).first()
-    med = {c: float(stats[f"median_{c}"]) for c in IMPUTE_COLUMNS if c in df.columns}
-    kept = clip_p99(impute(df, med), stats["p99"], target)
+    kept = clean_rows(raw, target)
     vocab = cut_lineage(fit_vocabulary(kept))  # the fitted artifact: computed once
     # encoding keeps every row (left joins on unique vocabulary values), so the
     # bucket counts of the split can come from the unencoded rows
