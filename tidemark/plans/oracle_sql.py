@@ -202,7 +202,7 @@ _NUMS = ["bed", "bath", "acre_lot", "house_size", "zip_code", "brokered_by", "st
 CLEAN_CTE = """
 clean0 AS (
   SELECT listing_key, batch_number, brokered_by, status, price, bed, bath, acre_lot, street, city, state, zip_code, house_size,
-         coalesce(year(try_strptime(prev_sold_date, '%Y-%m-%d')), 0) AS prev_sold_year
+         CAST(coalesce(year(try_strptime(prev_sold_date, '%Y-%m-%d')), 0) AS INTEGER) AS prev_sold_year
   FROM listings WHERE price IS NOT NULL AND NOT isnan(price) AND price > 0
 ),
 fit AS (SELECT """ + ", ".join(f"coalesce(quantile_cont({c}, 0.5), 0.0) AS m_{c}" for c in _NUMS) + """,
@@ -302,7 +302,7 @@ SELECT """ + ",\n".join(
 ORACLES["P5_fill_features"] = with_ctes(LISTINGS_SQL, body="SELECT listing_key, " + ", ".join(
     f"round(coalesce({c}, 0), 6) AS {c}" for c in _NUMS) + " FROM listings")
 ORACLES["X4_sold_year"] = with_ctes(LISTINGS_SQL, body="""
-SELECT listing_key, coalesce(year(try_strptime(prev_sold_date, '%Y-%m-%d')), 0) AS prev_sold_year FROM listings""")
+SELECT listing_key, CAST(coalesce(year(try_strptime(prev_sold_date, '%Y-%m-%d')), 0) AS INTEGER) AS prev_sold_year FROM listings""")
 ORACLES["P6_feature_vector"] = with_ctes(LISTINGS_SQL, CLEAN_CTE, body="SELECT listing_key, " + ", ".join(
     f"round(CAST({c} AS DOUBLE), 6) AS f{i:02d}_{c}" for i, c in enumerate(
         ["brokered_by", "status", "bed", "bath", "acre_lot", "street", "city", "state", "zip_code", "house_size",
