@@ -373,7 +373,8 @@ SELECT line, batch_number, candidate, round(mae, 2) AS mae, round(rmse, 2) AS rm
 ORACLES["J4_run_to_version"] = with_ctes(CANDIDATE_PREDICTIONS_SQL, RUNS_CTE, body="""
 SELECT b.run_id, v.version FROM best b LEFT JOIN (SELECT run_id, min(version) AS version FROM versions GROUP BY run_id) v USING (run_id)""")
 ORACLES["W7_champion_fold"] = with_ctes(CANDIDATE_PREDICTIONS_SQL, RUNS_CTE, body=f"""
-SELECT line, batch_number, promoted, champion_batch_number, round(champion_mae, 6) AS champion_mae,
+SELECT line, batch_number, promoted, CAST(champion_batch_number AS VARCHAR) AS champion_batch_number,
+       round(champion_mae, 6) AS champion_mae,
        coalesce({_MAE_OK} AND NOT {_RMSE_OK}, false) AS blocked_by_rmse FROM fold""")
 ORACLES["J5_candidate_vs_champion"] = with_ctes(CANDIDATE_PREDICTIONS_SQL, RUNS_CTE, body="""
 SELECT line, batch_number, round(mae, 6) AS mae, round(rmse, 6) AS rmse, round(champion_mae, 6) AS champion_mae,
@@ -869,4 +870,16 @@ for _k in ("A12_regression_metrics", "A13_best_candidate", "W7_champion_fold", "
     for _c in _MONEY_COLS:
         ORACLES[_k] = ORACLES[_k].replace(f", 6) AS {_c}", f", 2) AS {_c}")
 ORACLES["W7_champion_stream"] = ORACLES["W7_champion_fold"]
+
+# timestamps leave as fixed-format text (the Spark side does the same)
+_TS_COLUMNS = {
+    "E1_build_audit": ["logged_at"], "S10_scan_audit": ["logged_at"], "O1_order_history": ["logged_at"],
+    "S9_append_audit": ["logged_at"], "E3_normalise_inference": ["request_ts"], "X5_to_utc": ["request_ts"],
+    "E4_events_to_json": ["request_ts"], "S11_append_inference": ["request_ts"], "T5_log_stream": ["request_ts"],
+    "T1_request_rate": ["window_start", "window_end"], "T2_error_rate": ["window_start", "window_end"],
+    "T3_latency_quantiles": ["window_start", "window_end"], "S3_batch_ledger": ["fetched_at"],
+}
+for _k, _cols in _TS_COLUMNS.items():
+    _rep = ", ".join(f"strftime({c}, '%Y-%m-%d %H:%M:%S.%f') AS {c}" for c in _cols)
+    ORACLES[_k] = f"SELECT * REPLACE ({_rep}) FROM (\n{ORACLES[_k]}\n) AS t"
 ORACLES = {k: _rewrite_round(v) for k, v in ORACLES.items()}

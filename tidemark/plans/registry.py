@@ -16,12 +16,22 @@ from tidemark.sources import fixtures as fx
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
+TS_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"  # the SQL twin uses strftime '%Y-%m-%d %H:%M:%S.%f'
+
+
+def _timestamps_as_text(df: DataFrame) -> DataFrame:
+    """Timestamps leave as fixed-format UTC text, so result comparison never
+    depends on a client's timestamp unit (ns vs us)."""
+    ts = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))]
+    return df.withColumns({c: F.date_format(c, TS_TEXT) for c in ts}) if ts else df
+
+
 def register(name: str):
     """Register a query; every query runs with the UTC session clock."""
     def deco(fn):
         def run(spark: SparkSession, sf: str) -> DataFrame:
             spark.conf.set("spark.sql.session.timeZone", "UTC")
-            return fn(spark, sf)
+            return _timestamps_as_text(fn(spark, sf))
         run.__name__ = run.__qualname__ = name
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
@@ -305,7 +315,7 @@ def w7(spark, sf):
     f = _fold(spark, sf)
     blocked = (F.col("mae") <= F.col("champion_mae") * (1.0 - PR.MAE_IMPROVEMENT)) & ~PR.promote_rule(
         F.col("mae"), F.col("rmse"), F.col("champion_mae"), F.col("champion_rmse"))
-    return flat(f.select("line", "batch_number", "promoted", "champion_batch_number", "champion_mae",
+    return flat(f.select("line", "batch_number", "promoted", F.col("champion_batch_number").cast("string"), "champion_mae",
                          F.coalesce(blocked, F.lit(False)).alias("blocked_by_rmse")), col_digits=_MONEY)
 
 
@@ -1034,5 +1044,5 @@ def w7_stream(spark, sf):
     f = spark.read.parquet(out)
     blocked = (F.col("mae") <= F.col("champion_mae") * (1.0 - PR.MAE_IMPROVEMENT)) & ~PR.promote_rule(
         F.col("mae"), F.col("rmse"), F.col("champion_mae"), F.col("champion_rmse"))
-    return flat(f.select("line", "batch_number", "promoted", "champion_batch_number", "champion_mae",
+    return flat(f.select("line", "batch_number", "promoted", F.col("champion_batch_number").cast("string"), "champion_mae",
                          F.coalesce(blocked, F.lit(False)).alias("blocked_by_rmse")), col_digits=_MONEY)
