@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.expr import blank_to_null, derive_error, derive_status, present_null, status_label, to_utc
+from tidemark.functions.expr import derive_error, derive_status, present_null, status_label, to_utc
 
 AUDIT_COLUMNS = ["batch_number", "trained", "train_reason", "promoted", "promotion_reason", "best_model",
                  "best_val_mae", "run_id", "model_version", "code_commit", "logged_at"]
