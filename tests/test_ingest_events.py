@@ -127,3 +127,25 @@ def test_sold_year_formats(spark):
     df = spark.createDataFrame([("2018-04-05",), ("04/05/2018",), ("garbage",), (None,), ("2018-13-40",)], "d string")
     assert [r.y for r in df.select(sold_year("d").alias("y")).collect()] == [2018, 0, 0, 0, 0]
     assert [r.y for r in df.select(sold_year("d", ("yyyy-MM-dd", "MM/dd/yyyy")).alias("y")).collect()] == [2018, 2018, 0, 0, 0]
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from([None, "ok", "error", "weird"]),
+                          st.sampled_from([None, "", "  ", "\t", "boom", " x "]),
+                          st.integers(-12, 14)), min_size=50, max_size=60))
+def test_inference_event_invariants_property(spark, cases):
+    rows = [(i, s, e, f"2024-03-01T10:00:00{'+' if o >= 0 else '-'}{abs(o):02d}:00") for i, (s, e, o) in enumerate(cases)]
+    raw = spark.createDataFrame(rows, "id int, status string, error string, ts string")
+    raw = raw.withColumn("request_ts", F.to_timestamp("ts")).drop("ts")
+    got = {r.id: r for r in EV.normalise_inference(raw).collect()}
+    for i, s, e, ts in rows:
+        g = got[i]
+        msg = e if (e is not None and e.strip() != "") else None
+        exp_status = ("error" if msg is not None else "ok") if s is None else (s if s in ("ok", "error") else None)
+        assert g.status == exp_status
+        if exp_status == "error":
+            assert g.error == (msg if msg is not None else "unknown error")
+        else:
+            assert g.error is None
+        off = int(ts[-6:-3])
+        assert g.request_ts.hour == (10 - off) % 24  # converted to UTC

@@ -134,9 +134,9 @@ def py_list(arr: str | Column) -> Column:
 
 # ------------------------------------------------------- X12 / X13 ----------
 def blank_to_null(c: str | Column) -> Column:
-    """Null, empty or whitespace-only text -> null."""
+    """Null, empty or whitespace-only text (any Unicode whitespace) -> null."""
     c = col(c)
-    return F.when(F.trim(c) != "", c)
+    return F.when(~F.regexp_like(c, F.lit(r"(?U)^\s*$")), c)
 
 
 def derive_status(status: str | Column, error: str | Column) -> Column:
