@@ -111,3 +111,12 @@ def test_incremental_history_equals_full_drift(spark, tmpdir_fresh):
     full = D.detect_drift(rec)
     assert inc.count() == full.count() == 80
     assert inc.exceptAll(full.select(*inc.columns)).count() == 0
+
+
+def test_grouped_percentiles_raise_accuracy_for_big_groups(spark):
+    rng = np.random.default_rng(5)
+    vals = rng.lognormal(size=9000)
+    df = spark.createDataFrame([(float(v), int(i % 2)) for i, v in enumerate(vals)], "v double, g int")
+    got = {r.g: r.m for r in exact_percentiles(df, [("m", "v", 0.5)], by=["g"], accuracy=10, max_band=50).collect()}
+    for k in range(2):
+        assert abs(got[k] - np.quantile(vals[np.arange(len(vals)) % 2 == k], 0.5)) < 1e-12

@@ -10,7 +10,7 @@ passes:
 2. each row contributes to each target once: values below the bracket are
    folded into one null key (only counted), values inside it are grouped by
    value (hot values collapse map-side), values above are dropped.  A window
-   over the band — about ``6 n / accuracy`` distinct values per group and
+   over the band — at most about ``max_band`` distinct values per group and
    target — finds the two neighbours of the rank, which are interpolated
    linearly (numpy / DuckDB ``quantile_cont`` / Spark ``percentile`` rule).
 
@@ -31,6 +31,7 @@ DEFAULT_ACCURACY = 10000
 
 
 DEFAULT_MAX_BAND = 1_000_000
+MAX_ACCURACY = 10_000_000
 
 
 def _refine(x: DataFrame, row: dict, targets, d: float, accuracy: int, max_band: int, rounds: int = 6) -> dict:
@@ -79,14 +80,20 @@ def exact_percentiles(df: DataFrame, targets: Sequence[tuple[str, str, float]],
     ``targets`` = [(output_name, column, q), ...]; nulls (and NaN) are ignored.
     Returns one row per group with one double column per output name (null
     when the group has no value).  Ungrouped, the bracket is refined until it
-    holds at most ``max_band`` values; grouped, each group's band holds about
-    ``6 n_group / accuracy`` values (raise ``accuracy`` for huge groups).
+    holds at most ``max_band`` distinct values; grouped, the sketch accuracy is
+    raised (up to ``MAX_ACCURACY``) so the largest group's band, about
+    ``6 n_group / accuracy`` values, fits ``max_band``.
     """
     by = list(by)
-    d = 3.0 / accuracy
     names = [name for name, _, _ in targets]
     vals = {name: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for name, c, _ in targets}
     x = df.select(*by, *[vals[n].alias(f"_v{i}") for i, n in enumerate(names)])
+    if by:
+        # grouped: size the sketch so that the largest group's band stays
+        # within max_band (one cheap count pass; groups stay parallel)
+        biggest = x.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
+        accuracy = int(min(MAX_ACCURACY, max(accuracy, math.ceil(8.0 * biggest / max_band))))
+    d = 3.0 / accuracy
 
     # 1. wide aggregation: count / min / max / approximate bracket per target
     aggs = []
