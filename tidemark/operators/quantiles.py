@@ -7,16 +7,17 @@ passes:
 1. one wide aggregation per group: for each target ``count``, ``min``,
    ``max`` and a ``percentile_approx`` bracket ``[q - d, q + d]``
    (d = 3 / accuracy) that surely contains rank ``q (n - 1)``;
-2. each row contributes to each target once: values below the bracket are
-   folded into one null key (only counted), values inside it are grouped by
-   value (hot values collapse map-side), values above are dropped.  A window
-   over the band — at most about ``max_band`` distinct values per group and
-   target — finds the two neighbours of the rank, which are interpolated
-   linearly (numpy / DuckDB ``quantile_cont`` / Spark ``percentile`` rule).
+2. values below the bracket are only counted (one wide aggregation), values
+   inside it are grouped by value (hot values collapse map-side), values
+   above are dropped.  A window over the band — at most about ``max_band``
+   distinct values per group and target — finds the two neighbours of the
+   rank, which are interpolated linearly (numpy / DuckDB ``quantile_cont`` /
+   Spark ``percentile`` rule).
 
 Groups smaller than about ``accuracy`` values skip the bracket (the whole
 group is the band).  Ungrouped, the bracket is narrowed by further rounds
-until it holds at most ``max_band`` values, so no task ever ranks more.
+until it holds at most ``max_band`` distinct values; grouped, the sketch
+accuracy is sized from the largest group.  Either way no task ranks more.
 """
 
 from __future__ import annotations
