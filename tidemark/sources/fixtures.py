@@ -64,7 +64,19 @@ def materialized(spark: SparkSession, sf_dir: str, name: str, sources: list[str]
 
 
 def _write(df: DataFrame, path: str, spark: SparkSession) -> DataFrame:
-    df.write.mode("overwrite").parquet(path)
+    """Write under a unique name, then publish with one rename, so concurrent
+    builders never read a half-written table; the first publisher wins."""
+    import os
+    import uuid
+    if "://" in path:  # shared filesystem without local rename: the commit protocol hides partial output
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+    tmp = f"{path}.tmp-{uuid.uuid4().hex[:12]}"
+    df.write.mode("overwrite").parquet(tmp)
+    try:
+        os.rename(tmp, path)
+    except OSError:  # another builder published first; its table is identical
+        pass
     return spark.read.parquet(path)
 
 
