@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.expr import fmt_fixed, row_hash
 from tidemark.operators import drift as D
 from tidemark.operators import quality as Q
+from tidemark.session import cut_lineage
 from tidemark.sources.fixtures import RECORD_COLUMNS
 
 MIN_RECORDS = 1000
@@ -99,14 +100,19 @@ def batch_signals(raw: DataFrame, payload: DataFrame | None = None, by: str = "b
     # of all rows is one partial-aggregate entry per task)
     per_hash = raw.select(by, h.alias("_h")).groupBy("_h").agg(
         F.min(by).alias("_first"), F.collect_set(by).alias("_in"))
-    distinct_per_batch = (per_hash.select(F.explode("_in").alias(by)).groupBy(by)
-                          .agg(F.count(F.lit(1)).alias("_distinct")))
-    per_batch = per_batch.join(distinct_per_batch, by, "left").withColumn(
+    # one consumer of the hash aggregation: per batch, the distinct records it
+    # holds and those it stored first (J1/W1 inserts)
+    held = per_hash.select(F.explode("_in").alias(by), "_first")
+    record_counts = held.groupBy(by).agg(F.count(F.lit(1)).alias("_distinct"),
+                                         F.count_if(F.col(by) == F.col("_first")).alias("inserted_records"))
+    per_batch = per_batch.join(record_counts, by, "left").withColumn(
         "duplicate_rows", F.col("records") - F.coalesce("_distinct", F.lit(0)))
+    # one row per batch, read by three consumers: materialise it once so the
+    # record-sized passes above run exactly once
+    per_batch = cut_lineage(per_batch)
     quality = Q.quality_finish(per_batch, by, columns).select(
         by, "records", F.col("valid").alias("quality_valid"), "issues")
-    # J1 + W1 replay: a record is inserted by the first batch that holds it
-    inserted = per_hash.groupBy(F.col("_first").alias(by)).agg(F.count(F.lit(1)).alias("inserted_records"))
+    inserted = per_batch.select(by, F.coalesce("inserted_records", F.lit(0)).alias("inserted_records"))
     drift = D.detect_drift(raw, by, sums=per_batch.select(by, *[c for c in per_batch.columns if c.startswith(("_sum_", "_cnt_"))]))
     if payload is not None:
         schema = Q.validate_schema(Q.received_schema(payload, by), by)
