@@ -46,11 +46,15 @@ def get_spark(master: str | None = None, app: str = "tidemark", **conf: str) ->
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    A cluster names it (a shared filesystem path); only when it is unset, as in
-    local tests, a fresh scratch folder is created and registered.
+    A cluster names it (a shared filesystem path); only when it is unset on a
+    local master, as in tests, a fresh scratch folder is created and
+    registered.  Unset on a cluster is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            # executors on other machines cannot see a machine-local folder
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         path = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:
