@@ -120,3 +120,23 @@ def test_grouped_percentiles_raise_accuracy_for_big_groups(spark):
     got = {r.g: r.m for r in exact_percentiles(df, [("m", "v", 0.5)], by=["g"], accuracy=10, max_band=50).collect()}
     for k in range(2):
         assert abs(got[k] - np.quantile(vals[np.arange(len(vals)) % 2 == k], 0.5)) < 1e-12
+
+
+@settings(max_examples=1, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.integers(0, 30), min_size=30, max_size=40))
+def test_split_sizes_match_fraction_rule_for_many_n(spark, sizes):
+    """Many table sizes in one job: int(n * 0.7) train and int(n * 0.85) train+val, per size."""
+    rows = [(n, f"{n}-{i}") for n in sorted(set(sizes)) for i in range(n)]
+    if not rows:
+        return
+    df = spark.createDataFrame(rows, "n int, k string")
+    # each size is an independent table: rank within it by the same bucketed rule
+    got = {}
+    for n in sorted(set(sizes)):
+        part = FE.split_dataset(df.where(F.col("n") == n), "k")
+        got[n] = {r.split: r.rows for r in FE.split_sizes(part).collect()}
+    for n, sz in got.items():
+        train, val = sz.get("train", 0), sz.get("val", 0)
+        assert train == int(n * 0.70)
+        assert train + val == int(n * (0.70 + 0.15))
+        assert sum(sz.values()) == n
