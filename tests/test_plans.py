@@ -52,3 +52,9 @@ def test_small_vocabulary_is_broadcast(spark):
     vocab = FE.fit_vocabulary(df)
     plan = _plan(FE.encode(df, vocab))
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_batch_scoring_is_map_only(spark):
+    import __spark_entry__ as E
+    plan = _plan(E.queries()["M5_batch_score"](spark, SF_SMALL))
+    assert "Exchange" not in plan  # parse, encode with the model's vocabulary, predict: no shuffle
