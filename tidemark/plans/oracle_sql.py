@@ -473,9 +473,9 @@ SELECT line, array_to_string(list_sort(list(DISTINCT batch_number)), ',') AS bat
 LOG_CTE = """
 log AS (
   SELECT event_id, request_ts, input_data, prediction, model_version, latency_s, st AS status,
-         CASE WHEN st = 'error' THEN coalesce(CASE WHEN NOT regexp_matches(error, '^\s*$') THEN error END, 'unknown error') END AS error,
+         CASE WHEN st = 'error' THEN coalesce(CASE WHEN NOT regexp_matches(error, '^\\s*$') THEN error END, 'unknown error') END AS error,
          st IS NOT NULL AS valid
-  FROM (SELECT *, CASE WHEN status IS NULL THEN CASE WHEN NOT regexp_matches(error, '^\s*$') THEN 'error' ELSE 'ok' END
+  FROM (SELECT *, CASE WHEN status IS NULL THEN CASE WHEN NOT regexp_matches(error, '^\\s*$') THEN 'error' ELSE 'ok' END
                        WHEN status IN ('ok', 'error') THEN status END AS st FROM inference_log)
 ),
 bounds AS (SELECT * FROM (VALUES (0, 0.005::DOUBLE), (1, 0.01::DOUBLE), (2, 0.025::DOUBLE), (3, 0.05::DOUBLE), (4, 0.1::DOUBLE),
@@ -500,7 +500,7 @@ ORACLES["E3_normalise_inference"] = with_ctes(INFERENCE_LOG_SQL, LOG_CTE, body="
 SELECT event_id, request_ts, status, error, round(prediction, 6) AS prediction, model_version, round(latency_s, 6) AS latency_s, valid FROM log""")
 ORACLES["X13_derive_status"] = with_ctes(INFERENCE_LOG_SQL, LOG_CTE, body="SELECT event_id, status, error FROM log")
 ORACLES["X12_blank_to_null"] = with_ctes(INFERENCE_LOG_SQL, body="""
-SELECT event_id, CASE WHEN NOT regexp_matches(error, '^\s*$') THEN error END AS error FROM inference_log""")
+SELECT event_id, CASE WHEN NOT regexp_matches(error, '^\\s*$') THEN error END AS error FROM inference_log""")
 ORACLES["X6_iso8601"] = with_ctes(INFERENCE_LOG_SQL, body="""
 SELECT event_id, CASE WHEN epoch_us(request_ts) % 1000000 = 0 THEN strftime(request_ts, '%Y-%m-%dT%H:%M:%S') || '+00:00'
                       ELSE strftime(request_ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' END AS iso FROM inference_log""")
