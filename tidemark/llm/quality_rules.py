@@ -136,8 +136,9 @@ class VoteModel:
         return x / (x + g * self.on_good[rule]), y / (y + b * (1 - self.on_bad[rule]))
 
 
-#: What rules are meant to do: P(bad vote) on good and on bad documents, worth PRIOR of the documents that get a vote.
-MEANT_GOOD, MEANT_BAD, PRIOR = 0.002, 0.35, 0.05
+#: What rules are meant to do: P(bad vote) on good and on bad documents, worth PRIOR of the documents that get a vote;
+#: on good documents no rule is taken to vote bad more often than MOST_GOOD.
+MEANT_GOOD, MEANT_BAD, PRIOR, MOST_GOOD = 0.0005, 0.35, 0.01, 0.005
 
 
 def fit_votes(patterns: np.ndarray, counts: np.ndarray, rounds: int = EM_ROUNDS) -> VoteModel:
@@ -158,7 +159,7 @@ def fit_votes(patterns: np.ndarray, counts: np.ndarray, rounds: int = EM_ROUNDS)
             w, v = counts * p, counts * (1 - p)
             good = (w @ down + prior * MEANT_GOOD) / (w @ (down + up) + prior)
             bad = (v @ down + prior * MEANT_BAD) / (v @ (down + up) + prior)
-            good = np.minimum(good, bad)  # a bad vote never speaks for a document
+            good = np.minimum(np.minimum(good, MOST_GOOD), bad)  # a bad vote never speaks for a document
             share = float(np.clip(w.sum() / counts.sum(), 0.02, 0.98))
             logit = math.log(share / (1 - share)) + down @ np.log(good / bad) + up @ np.log((1 - good) / (1 - bad))
             p = 1 / (1 + np.exp(-np.clip(logit, -500, 500)))

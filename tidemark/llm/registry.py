@@ -59,9 +59,15 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxent_lm.lm_scores(_docs(spark, sf_dir))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_quality_rules, op2_ngram_jaccard_join, op3_secret_scans, op4_suffix_array_dedup, op5_license_scans, op6_toxicity, op7_token_counts, op8_benchmark_decontamination,
-    op9_sentencepiece, op10_lm_scoring)}
+    op9_sentencepiece, op10_lm_scoring, pipeline)}
 
 ORACLES: dict[str, str] = {
     "op2_ngram_jaccard_join": ngram_jaccard.ORACLE,
