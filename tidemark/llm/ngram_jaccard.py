@@ -15,7 +15,7 @@ of each document.
    union of other groups.  The test runs first on a prefix of the tokens (30 %
    by hash; any two linked sets share a stated number of tokens of their
    prefixes), then on all tokens of the nodes left, twice.
-4. Open: for the nodes still left, tokens are ordered by the number of groups
+4. Open: for the nodes still left, tokens are ordered by the number of nodes
    that have them; prefixes of rare tokens give (node, group) candidates; the
    group is opened when the node's overlap with its token union reaches 75 % of
    the node's set; members of opened groups are compared exactly.
@@ -205,8 +205,8 @@ def _crossing(rows: DataFrame, need) -> DataFrame:
     A batch settles the tokens that two of its groups share; each other token
     of the batch travels once a group, with its nodes.
     """
-    schema = T.StructType([T.StructField("token", T.LongType()), T.StructField("label", T.LongType()), T.StructField("n", T.LongType()),
-                           T.StructField("nodes", T.ArrayType(T.LongType()))])
+    schema = T.StructType([T.StructField("token", T.LongType()), T.StructField("label", T.LongType()), T.StructField("node", T.LongType()),
+                           T.StructField("more", T.ArrayType(T.LongType()))])
 
     def run(batches):
         for batch in batches:
@@ -225,14 +225,19 @@ def _crossing(rows: DataFrame, need) -> DataFrame:
             new_token = np.concatenate([[True], tokens[1:] != tokens[:-1]])
             new_pair = new_token | np.concatenate([[True], label[1:] != label[:-1]])
             begin = np.flatnonzero(new_pair)
-            ends = np.append(begin[1:], len(tokens))
-            out_nodes = pa.ListArray.from_arrays(pa.array(np.append(begin, len(tokens)).astype(np.int32)), pa.array(node))
-            yield pa.RecordBatch.from_arrays([pa.array(tokens[begin]), pa.array(label[begin]), pa.array(ends - begin), out_nodes], ["token", "label", "n", "nodes"])
+            size = np.diff(np.append(begin, len(tokens)))
+            # most pairs have one node, which needs no list
+            rest = np.delete(node, begin)
+            ends = np.concatenate([[0], np.cumsum(size - 1)]).astype(np.int32)
+            more = pa.ListArray.from_arrays(pa.array(ends), pa.array(rest), mask=pa.array(size == 1))
+            yield pa.RecordBatch.from_arrays([pa.array(tokens[begin]), pa.array(label[begin]), pa.array(node[begin]), more], schema.names)
 
     pairs = rows.select("node", "label", "n", "tokens").mapInArrow(run, schema)
     w = Window.partitionBy("token")
-    crossed = pairs.select("token", "label", "nodes", F.min("label").over(w).alias("lo"), F.max("label").over(w).alias("hi")).filter("lo <> hi")
-    found = crossed.select("token", F.explode("nodes").alias("node")).groupBy("node").agg(F.countDistinct("token").alias("found"))
+    crossed = pairs.withColumn("lo", F.min("label").over(w)).withColumn("hi", F.max("label").over(w)).filter("lo <> hi")
+    each = F.explode(F.when(F.col("more").isNull(), F.array("node")).otherwise(F.array_append("more", F.col("node"))))
+    # one batch may say a node's token twice only by way of equal sets, which are one node
+    found = crossed.select("token", each.alias("node")).groupBy("node").agg(F.countDistinct("token").alias("found"))
     sizes = rows.select("node", "n").distinct()
     return found.join(sizes, "node").filter(need).select("node")
 
@@ -255,7 +260,7 @@ def component_table(docs: DataFrame) -> DataFrame:
     sets = stage(labelled(_tokens(some, True).join(_small(left), "node", "left_semi")).dropDuplicates(["node"]), "sets")
     for _ in range(2):
         left = stage(_crossing(sets, full), "left")
-        sets = stage(sets.join(_small(left), "node", "left_semi"), "sets")
+        sets = sets.join(_small(left), "node", "left_semi")
     links = _open(sets)
     if links.limit(1).count():
         a, b = (labels.select(F.col("node").alias(x), F.col("label").alias(f"l{x}")) for x in "ab")
@@ -270,19 +275,25 @@ def component_table(docs: DataFrame) -> DataFrame:
 def _open(sets: DataFrame) -> DataFrame:
     """(a, b): links between nodes of different groups, by the token-group matrix over ``sets`` (node, n, tokens, label)."""
     flat = stage(sets.select("node", "n", "label", F.explode("tokens").alias("token")), "flat")
-    matrix = stage(flat.select("token", "label").distinct(), "matrix")
-    rarity = matrix.groupBy("token").agg(F.count(F.lit(1)).alias("groups"))
-    ordered = flat.join(rarity, "token").groupBy("node", "n", "label").agg(F.array_sort(F.collect_list(F.struct("groups", "token"))).alias("t"))
-    prefix = ordered.select("node", "n", "label", F.explode(F.expr(f"slice(t, 1, cast(n - floor(({PERCENT} * n + 99) / 100) + 1 as int))")).alias("x"))
-    prefix = stage(prefix.filter("x.groups > 1").select("node", "n", "label", "x.token"), "prefix")
+    # by rarity; tokens of one group only come first, as they match nothing
+    rarity = flat.groupBy("token").agg(F.count(F.lit(1)).alias("df"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+    rarity = rarity.select("token", F.expr("if(lo = hi, 0, df)").alias("df"))
+    ordered = flat.join(rarity, "token").groupBy("node", "n", "label").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("t"))
+    least = f"cast(floor(({PERCENT} * n + 99) / 100) as int)"
+    prefix = ordered.select("node", "n", "label", F.explode(F.expr(f"slice(t, 1, cast(least(n, n - {least} + greatest(1, floor(n / 20))) as int))")).alias("x"))
+    prefix = stage(prefix.filter("x.df > 1").select("node", "n", "label", "x.token"), "prefix")
+    need = f"greatest(1, floor({least} / 20))"
     rows = prefix.select("token", F.col("label").alias("group")).distinct()
-    candidates = prefix.join(rows, "token").filter("group <> label").select("node", "n", "group").distinct()
+    candidates = (prefix.join(rows, "token").filter("group <> label").groupBy("node", "n", "group").agg(F.count(F.lit(1)).alias("met"))
+                  .filter(f"met >= {need}").select("node", "n", "group"))
+    matrix = flat.select("token", "label").distinct()
     cells = matrix.select("token", F.col("label").alias("group"))
     bound = (candidates.join(flat.select("node", "token"), "node").join(cells, ["token", "group"]).groupBy("node", "n", "group")
              .agg(F.count(F.lit(1)).alias("overlap")).filter(f"100 * overlap >= {PERCENT} * n").select("node", "group"))
     opened = stage(bound, "opened")
     other = prefix.select("token", F.col("label").alias("group"), F.col("node").alias("b"), F.col("n").alias("nb"))
     pairs = (prefix.join(opened, "node").join(other, ["token", "group"]).filter(f"100 * least(n, nb) >= {PERCENT} * greatest(n, nb)")
+             .groupBy("node", "b", "n", "nb").agg(F.count(F.lit(1)).alias("met")).filter(f"met >= {need}")
              .select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"), (F.col("n") + F.col("nb")).alias("both")).distinct())
     left = pairs.join(flat.select(F.col("node").alias("a"), "token"), "a")
     shared = left.join(flat.select(F.col("node").alias("b"), "token"), ["b", "token"]).groupBy("a", "b", "both").agg(F.count(F.lit(1)).alias("i"))
