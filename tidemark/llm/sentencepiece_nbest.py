@@ -48,7 +48,7 @@ N = 3
 UNKNOWN = 10.0
 #: scores at or below are marks of pieces the model never wants; they are kept as they are
 NEVER = -1e8
-CACHE = 400_000
+CACHE = 150_000
 
 def model_path(name: str = MODEL) -> str:
     import public_tokenizers
@@ -56,20 +56,6 @@ def model_path(name: str = MODEL) -> str:
     return public_tokenizers.path(name)
 
 
-class Unit:
-    """The two best segmentations of a stretch between cut nodes (more on demand)."""
-
-    __slots__ = ("ids", "n_pieces", "scores", "text", "whole")
-
-    def __init__(self, text: str, ranked: list, whole: bool):
-        self.text = text
-        self.scores = [s for s, _ in ranked]
-        ids = ranked[0][1]
-        self.n_pieces = len(ids)
-        self.ids = array("i", ids).tobytes()
-        self.whole = whole  # decodes to its own text
-
-
 class Lattice:
     """Pieces and scores of the model at ``path``."""
 
@@ -93,7 +79,9 @@ class Lattice:
         self.trie = {p[:k]: None for p in self.score for k in range(1, len(p) + 1)}
         self.trie.update({p: (s, (self.id[p],)) for p, s in self.score.items()})
         self.joined = self._joined()
-        self.units: dict[int, Unit] = {}
+        self.spelling = [bytes([self.byte_of[i]]) if i in self.byte_of else self.piece[i].replace(SPACE, " ").encode() for i in range(size)]
+        self.units: dict[int, tuple] = {}
+        self.older: dict[int, tuple] = {}
 
     def _joined(self) -> np.ndarray:
         """Whether an arc may cross between two bytes; never less than true, exact for ASCII (a space stands for U+2581)."""
@@ -108,13 +96,14 @@ class Lattice:
         table[:, 128:] |= table[:, 32:33]
         return table
 
-    def arcs(self, text: str) -> tuple[list[float], list[list[tuple[int, float, tuple[int, ...]]]]]:
-        """Best score of each prefix, and the arcs (start, score, ids) that end at each position."""
+    def arcs(self, text: str) -> tuple[list[float], list[tuple[int, int, float, tuple[int, ...]]], list]:
+        """Viterbi: best score of each prefix, all arcs (start, end, score, ids) by start, the arc that ends each best prefix."""
         n = len(text)
         trie, longest = self.trie, self.longest
         best = [float("-inf")] * (n + 1)
         best[0] = 0.0
-        into: list[list] = [[] for _ in range(n + 1)]
+        arcs: list = []
+        back: list = [None] * (n + 1)
         for i in range(n):
             here, single = best[i], False
             for j in range(i + 1, min(n, i + longest) + 1):
@@ -123,21 +112,30 @@ class Lattice:
                 except KeyError:
                     break
                 if hit is not None:
-                    single = single or j == i + 1
-                    v = hit[0]
-                    into[j].append((i, v, hit[1]))
-                    if here + v > best[j]:
-                        best[j] = here + v
+                    if j == i + 1:
+                        single = True
+                    v, ids = hit
+                    arc = (i, j, v, ids)
+                    arcs.append(arc)
+                    v += here
+                    if v > best[j]:
+                        best[j] = v
+                        back[j] = arc
             if not single:
                 data = text[i].encode("utf-8", "replace")
-                v = self.unknown * len(data)
-                into[i + 1].append((i, v, tuple([self.byte_id[b] for b in data])))
-                best[i + 1] = max(best[i + 1], here + v)
-        return best, into
+                arc = (i, i + 1, self.unknown * len(data), tuple([self.byte_id[b] for b in data]))
+                arcs.append(arc)
+                if here + arc[2] > best[i + 1]:
+                    best[i + 1] = here + arc[2]
+                    back[i + 1] = arc
+        return best, arcs, back
 
     def search(self, text: str, best: int | None = None) -> list[tuple[float, tuple[int, ...]]]:
         """The ``best`` segmentations of a lattice string, best first; equal scores in order of their ids."""
-        bound, into = self.arcs(text)
+        bound, arcs, _ = self.arcs(text)
+        into: list[list] = [[] for _ in bound]
+        for start, end, v, ids in arcs:
+            into[end].append((start, v, ids))
         heap = [(-bound[len(text)], (), len(text), 0.0)]
         out = []
         want = best or self.best
@@ -165,21 +163,36 @@ class Lattice:
         text = out.decode("utf-8", "replace")
         return text[1:] if text.startswith(" ") else text
 
-    def unit(self, key: int, text: str) -> Unit:
-        """The unit of a lattice string, searched on first use."""
-        ranked = self.search(text, min(self.best, 2))
-        spelled = b"".join([bytes([self.byte_of[i]]) if i in self.byte_of else self.piece[i].encode() for i in ranked[0][1]])
-        if len(self.units) >= CACHE:
-            self.units.clear()
-        found = self.units[key] = Unit(text, ranked, spelled == text.encode())
+    def unit(self, key: int, text: str) -> tuple[float, float, int, bytes]:
+        """(best score, what the second-best loses, pieces, ids of the best) of a unit, searched on first use.
+
+        The second-best path has an arc off the best one; the best path through
+        an arc is the Viterbi score before it, its own and that behind it.
+        """
+        found = self.older.get(key)
+        if found is None:
+            best, arcs, back = self.arcs(text)
+            behind = [float("-inf")] * len(best)
+            behind[-1] = 0.0
+            second = float("-inf")
+            at, path = len(text), []
+            while at:
+                path.append(back[at])
+                at = back[at][0]
+            steps = {(a[0], a[1]) for a in path}
+            for i, j, v, _ in reversed(arcs):
+                v += behind[j]
+                if v > behind[i]:
+                    behind[i] = v
+                if (i, j) not in steps and v + best[i] > second:
+                    second = v + best[i]
+            ids = array("i", [x for a in reversed(path) for x in a[3]])
+            found = (best[-1], best[-1] - second, len(ids), ids.tobytes())
+        if len(self.units) >= CACHE:  # two generations, so that frequent units stay
+            self.older, self.units = self.units, {}
+        self.units[key] = found
         return found
 
-    def ranked(self, unit: Unit, n: int) -> list[float]:
-        """Scores of the n best segmentations of a unit."""
-        if len(unit.scores) == 2 and n > 2:
-            unit.scores = [s for s, _ in self.search(unit.text, n)]
-        return unit.scores
-
 
 def units(raw: np.ndarray, offsets: np.ndarray, joined: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, end, document) of the units of a block, in order."""
@@ -219,21 +232,29 @@ def encoder(path: str, n: int = N):
         if not len(doc):
             return [[[]] * docs, [0] * docs, [[0.0]] * docs, [True] * docs]
         distinct, first, back = np.unique(X.span_hash(X.prefix_hash(raw), a, b), return_index=True, return_inverse=True)
-        data, known, make = raw.tobytes(), lattice.units.get, lattice.unit
+        data, make = raw.tobytes(), lattice.unit
+        text = lambda k: data[a[first[k]] : b[first[k]]].decode("utf-8", "replace").replace(" ", SPACE)
         found = []
-        for key, x, y in zip(distinct.tolist(), a[first].tolist(), b[first].tolist(), strict=True):
-            found.append(known(key) or make(key, data[x:y].decode("utf-8", "replace").replace(" ", SPACE)))
-        top = np.array([u.scores[0] for u in found])
-        second = np.array([u.scores[0] - u.scores[1] if len(u.scores) > 1 else np.inf for u in found])
-        count = np.array([u.n_pieces for u in found])
-        whole = np.array([u.whole for u in found])
-        spelled = [u.ids for u in found]
+        for k, key in enumerate(distinct.tolist()):
+            u = lattice.units.get(key)
+            found.append(make(key, text(k)) if u is None else u)
+        top, second = np.array([u[0] for u in found]), np.array([u[1] for u in found])
+        count, spelled = np.array([u[2] for u in found]), [u[3] for u in found]
+        words = [np.frombuffer(i, np.int32).tolist() for i in spelled]
+        whole = np.array([b"".join([lattice.spelling[x] for x in w]) == data[x0:x1] for w, x0, x1 in zip(words, a[first].tolist(), b[first].tolist(), strict=True)])
+        ranked: dict[int, list[float]] = {}
+
+        def scores(k: int) -> list[float]:
+            if k not in ranked:
+                ranked[k] = [s for s, _ in lattice.search(text(k), n)]
+            return ranked[k]
+
         out_ids, out_n, out_scores, out_ok = [], [], [], []
         for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
             mine = back[lo:hi]
             loss = second[mine]
             near = np.argsort(loss, kind="stable")[: n - 1] if len(loss) <= 4 * n else np.argpartition(loss, n - 1)[: n - 1]
-            options = [lattice.ranked(found[mine[i]], n) for i in near.tolist() if np.isfinite(loss[i])]
+            options = [scores(int(mine[i])) for i in near.tolist() if np.isfinite(loss[i])]
             out_ids.append(np.frombuffer(b"".join([spelled[i] for i in mine.tolist()]), np.int32))
             out_n.append(int(count[mine].sum()))
             out_scores.append(merge(float(top[mine].sum()), options, n))
