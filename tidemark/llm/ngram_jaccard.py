@@ -7,7 +7,7 @@ of each document.
 
 1. Equal sets are one node.  One map-only pass computes each row's node, set
    size and eight min-hash bands.
-2. Partition: nodes that share a band meet at its smallest node, and the texts
+2. Partition: nodes that share a band meet at its smallest set, and the texts
    of such star edges are compared exactly.  The components of true links are
    the groups.  This step need not find every link.
 3. Matrix and bound: a group's token union is the set of (token, group) rows.
@@ -182,19 +182,20 @@ def _star_links(docs: DataFrame, reps: DataFrame, edges: DataFrame) -> DataFrame
 
 def _groups(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, label) of nodes in star components of more than one node."""
-    keys = nodes.select("node", F.explode("bands").alias("band"))
-    pivots = stage(keys.groupBy("band").agg(F.min("node").alias("pivot"), F.max("node").alias("most")).filter("pivot < most").select("band", "pivot"), "bands")
-    edges = keys.join(pivots, "band").filter("node <> pivot").groupBy(F.col("node").alias("member"), "pivot").agg(F.count(F.lit(1)).alias("shared"))
-    edges = stage(edges, "meet")
+    keys = nodes.select("node", "n", F.explode("bands").alias("band"))
+    # the smallest set of a band is the pivot: of documents around one passage, the one with least besides links to most
+    pivots = keys.groupBy("band").agg(F.min(F.struct("n", "node")).alias("p"), F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi")
+    pivots = stage(pivots.select("band", F.col("p.node").alias("pivot"), F.col("p.n").alias("size")), "bands")
+    edges = keys.join(pivots, "band").filter("node <> pivot").groupBy(F.col("node").alias("member"), "pivot", "size").agg(F.count(F.lit(1)).alias("shared"))
+    edges = stage(edges.join(nodes.select(F.col("node").alias("member"), "n"), "member").filter(f"100 * least(n, size) >= {PERCENT} * greatest(n, size)"), "meet")
     reps = nodes.select("node", "rep")
-    first = edges.groupBy("member").agg(F.max(F.struct("shared", (-F.col("pivot").cast("decimal(20,0)")).alias("low"), "pivot")).alias("x")).select("member", "x.pivot")
+    first = edges.groupBy("member").agg(F.max(F.struct("shared", (-F.col("size")).alias("low"), "pivot")).alias("x")).select("member", "x.pivot")
     links = stage(_star_links(docs, reps, first), "links")
     labels = components(links)
-    # what is left between different groups: one edge a pair of groups
+    # what is left between different groups
     a, b = (labels.select(F.col("node").alias(x), F.col("label").alias(f"l{x}")) for x in ("member", "pivot"))
-    rest = edges.join(a, "member", "left").join(b, "pivot", "left").select("member", "pivot", "shared", F.coalesce("lmember", "member").alias("g"), F.coalesce("lpivot", "pivot").alias("h"))
-    rest = rest.join(first.withColumn("seen", F.lit(True)), ["member", "pivot"], "left").filter("g <> h and seen is null")
-    rest = rest.groupBy(F.least("g", "h").alias("g"), F.greatest("g", "h").alias("h")).agg(F.max(F.struct("shared", "member", "pivot")).alias("x")).select("x.member", "x.pivot")
+    rest = edges.join(a, "member", "left").join(b, "pivot", "left").select("member", "pivot", F.coalesce("lmember", "member").alias("g"), F.coalesce("lpivot", "pivot").alias("h"))
+    rest = rest.join(first.withColumn("seen", F.lit(True)), ["member", "pivot"], "left").filter("g <> h and seen is null").select("member", "pivot")
     more = stage(_star_links(docs, reps, stage(rest, "rest")), "links")
     return components(links.unionByName(more)) if more.limit(1).count() else labels
 
