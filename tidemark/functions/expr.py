@@ -30,9 +30,16 @@ def is_null(c: str | Column, floating: bool = True) -> Column:
     return (c.isNull() | F.isnan(c)) if floating else c.isNull()
 
 
+_NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf(inity)?|nan))\s*$"
+
+
 def to_double(c: str | Column) -> Column:
-    """``try_cast(c as double)`` with NaN folded to null (null = None or NaN)."""
-    d = col(c).try_cast("double")
+    """``c`` as a double where its text is a number, else null (NaN included).
+
+    Booleans and texts that only the engine's cast reads as numbers (a type
+    suffix as in '5d') are null.
+    """
+    d = F.when(col(c).cast("string").rlike(_NUMBER), col(c).try_cast("double"))
     return F.nanvl(d, F.lit(None).cast("double"))
 
 

@@ -13,13 +13,16 @@ RMSE_MAX_WORSENING = 0.01
 
 def promote_rule(mae: Column, rmse: Column, champ_mae: Column, champ_rmse: Column,
                  mae_pct: float = MAE_IMPROVEMENT, rmse_pct: float | None = RMSE_MAX_WORSENING) -> Column:
-    """Q5 step: no champion -> promote; else both guards (inclusive).
-    ``rmse_pct=None`` drops the RMSE guard."""
+    """Q5 step: a candidate without metrics (null or NaN) is never promoted;
+    no champion -> promote; else both guards (inclusive).  A NaN champion
+    metric counts as none.  ``rmse_pct=None`` drops the RMSE guard."""
+    mae, rmse, champ_mae, champ_rmse = (F.nanvl(c, F.lit(None).cast("double")) for c in (mae, rmse, champ_mae, champ_rmse))
     has = champ_mae.isNotNull() & champ_rmse.isNotNull()
     ok = mae <= champ_mae * (1.0 - mae_pct)
     if rmse_pct is not None:
         ok = ok & (rmse <= champ_rmse * (1.0 + rmse_pct))
-    return ~has | ok
+    known = mae.isNotNull() if rmse_pct is None else mae.isNotNull() & rmse.isNotNull()
+    return known & (~has | ok)
 
 
 def should_promote(pairs: DataFrame, mae_pct: float = MAE_IMPROVEMENT, rmse_pct: float = RMSE_MAX_WORSENING,
@@ -53,18 +56,30 @@ def should_promote(pairs: DataFrame, mae_pct: float = MAE_IMPROVEMENT, rmse_pct:
 
 
 def promote_mae_only(pairs: DataFrame, mae_pct: float = MAE_IMPROVEMENT, mae: str = "mae",
-                     champ_mae: str = "champion_mae") -> DataFrame:
+                     champ_mae: str = "champion_mae", champion: str | None = None) -> DataFrame:
     """Q6 legacy rule: (champ - best) / champ >= pct; no champion or a zero
-    champion MAE (division failure) -> promote."""
+    champion MAE (division failure) -> promote.
+
+    ``champion`` names a column that is null where there is no champion; a
+    champion without a stored MAE is then kept.  Without it a null MAE means
+    no champion.
+    """
     m, cm = F.col(mae), F.col(champ_mae)
-    fallback = cm.isNull() | (cm == 0)
+    none = F.col(champion).isNull() if champion else cm.isNull()
+    fallback = none | (F.coalesce(cm, F.lit(1.0)) == 0)
     imp = F.when(~fallback, (cm - m) / cm)
-    return pairs.withColumns({"improvement": imp, "promote": fallback | (imp >= mae_pct)})
+    return pairs.withColumns({"improvement": imp, "promote": fallback | F.coalesce(imp >= mae_pct, F.lit(False))})
 
 
 def run_to_version(runs: DataFrame, versions: DataFrame, run_id: str = "run_id") -> DataFrame:
-    """run_id -> first registered version (``min``), else null (left equi-join)."""
-    v = versions.groupBy(run_id).agg(F.min("version").alias("version"))
+    """run_id -> first registered version, else null (left equi-join).
+
+    Versions are compared as numbers ('9' before '10'); any that are no number
+    come last, in text order.
+    """
+    number = F.col("version").cast("string").try_cast("bigint")
+    first = F.min(F.when(F.col("version").isNotNull(), F.struct(number.isNull().alias("text"), number.alias("number"), F.col("version").alias("version"))))
+    v = versions.groupBy(run_id).agg(first.alias("_first")).select(run_id, F.col("_first.version").alias("version"))
     return runs.join(v, run_id, "left")
 
 

@@ -123,7 +123,7 @@ def quality_finish(agg: DataFrame, by: str, columns: Sequence[str], null_col_thr
         F.when(F.col("invalid_prices") > 0, F.concat(F.col("invalid_prices").cast("string"), F.lit(" records with invalid price"))),
         F.when(F.col("null_price_ratio") > null_price_threshold,
                F.concat(F.lit(f"More than {pct_thr} null prices ("),
-                        F.round(F.col("null_price_ratio") * 100, 0).cast("bigint").cast("string"), F.lit("%)"))),
+                        F.bround(F.col("null_price_ratio") * 100, 0).cast("bigint").cast("string"), F.lit("%)"))),
         F.when(F.col(duplicates) > 0, F.concat(F.col(duplicates).cast("string"), F.lit(" duplicate rows"))),
     ), lambda x: x.isNotNull())
     out = agg.withColumn("high_null_columns", high).withColumn("null_price_ratio", ratio)
@@ -212,7 +212,7 @@ def validate_quality_payload(df: DataFrame, by: str = "batch_number", payload: s
         F.when(F.col("invalid_prices") > 0, F.concat(F.col("invalid_prices").cast("string"), F.lit(" records with invalid price"))),
         F.when(F.col("null_price_ratio") > null_price_threshold,
                F.concat(F.lit(f"More than {pct_thr} null prices ("),
-                        F.round(F.col("null_price_ratio") * 100, 0).cast("bigint").cast("string"), F.lit("%)"))),
+                        F.bround(F.col("null_price_ratio") * 100, 0).cast("bigint").cast("string"), F.lit("%)"))),
         F.when(F.col("duplicate_rows") > 0, F.concat(F.col("duplicate_rows").cast("string"), F.lit(" duplicate rows"))),
     ), lambda e: e.isNotNull())
     out = out.withColumn("issues", F.when(n > 0, issues).otherwise(F.array(F.lit("empty batch"))))

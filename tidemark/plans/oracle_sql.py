@@ -42,7 +42,7 @@ quality AS (
            CASE WHEN len(high) > 0 THEN 'High null rate in: ' || {_pylist('high')} END,
            CASE WHEN invalid_prices > 0 THEN CAST(invalid_prices AS VARCHAR) || ' records with invalid price' END,
            CASE WHEN null_price_ratio > 0.3 THEN 'More than 30% null prices ('
-                || CAST(CAST(round(null_price_ratio * 100) AS BIGINT) AS VARCHAR) || '%)' END,
+                || CAST(CAST(round_even(null_price_ratio * 100, 0) AS BIGINT) AS VARCHAR) || '%)' END,
            CASE WHEN duplicate_rows > 0 THEN CAST(duplicate_rows AS VARCHAR) || ' duplicate rows' END
          ], lambda x: x IS NOT NULL) AS issues
   FROM q_high
@@ -341,7 +341,7 @@ versions AS (
 runs AS (
   SELECT b.line, b.batch_number, b.mae AS mae, b.rmse AS rmse, {resolved} AS resolved,
          row_number() OVER (PARTITION BY b.line ORDER BY b.batch_number) AS rn
-  FROM best b LEFT JOIN (SELECT run_id, min(version) AS version FROM versions GROUP BY run_id) v USING (run_id)
+  FROM best b LEFT JOIN (SELECT run_id, arg_min(version, TRY_CAST(version AS BIGINT)) AS version FROM versions GROUP BY run_id) v USING (run_id)
   {where}
 ),
 fold AS (
@@ -371,7 +371,7 @@ SELECT line, batch_number, candidate, ordinal, split, n, round(mae, 6) AS mae, r
 ORACLES["A13_best_candidate"] = with_ctes(CANDIDATE_PREDICTIONS_SQL, RUNS_CTE, body="""
 SELECT line, batch_number, candidate, round(mae, 2) AS mae, round(rmse, 2) AS rmse, run_id FROM best""")
 ORACLES["J4_run_to_version"] = with_ctes(CANDIDATE_PREDICTIONS_SQL, RUNS_CTE, body="""
-SELECT b.run_id, v.version FROM best b LEFT JOIN (SELECT run_id, min(version) AS version FROM versions GROUP BY run_id) v USING (run_id)""")
+SELECT b.run_id, v.version FROM best b LEFT JOIN (SELECT run_id, arg_min(version, TRY_CAST(version AS BIGINT)) AS version FROM versions GROUP BY run_id) v USING (run_id)""")
 ORACLES["W7_champion_fold"] = with_ctes(CANDIDATE_PREDICTIONS_SQL, RUNS_CTE, body=f"""
 SELECT line, batch_number, promoted, CAST(champion_batch_number AS VARCHAR) AS champion_batch_number,
        round(champion_mae, 6) AS champion_mae,
@@ -441,7 +441,7 @@ audit AS (
          '0000000' AS code_commit,
          TIMESTAMP '2024-01-01 00:00:00' + to_seconds(b.batch_number * 300) AS logged_at
   FROM best b
-  LEFT JOIN (SELECT run_id, min(version) AS version FROM versions GROUP BY run_id) v USING (run_id)
+  LEFT JOIN (SELECT run_id, arg_min(version, TRY_CAST(version AS BIGINT)) AS version FROM versions GROUP BY run_id) v USING (run_id)
   LEFT JOIN q5 q ON q.line = b.line AND q.batch_number = b.batch_number
 )"""
 _AUDIT_CTES = (CANDIDATE_PREDICTIONS_SQL, RUNS_CTE_T.format(where="WHERE b.batch_number % 4 <> 0",
@@ -822,7 +822,7 @@ SELECT batch_number, records, NOT (len(high) > 0 OR invalid_prices > 0 OR null_p
          CASE WHEN len(high) > 0 THEN 'High null rate in: ' || """ + _pylist("high") + """ END,
          CASE WHEN invalid_prices > 0 THEN CAST(invalid_prices AS VARCHAR) || ' records with invalid price' END,
          CASE WHEN null_price_ratio > 0.3 THEN 'More than 30% null prices ('
-              || CAST(CAST(round(null_price_ratio * 100) AS BIGINT) AS VARCHAR) || '%)' END,
+              || CAST(CAST(round_even(null_price_ratio * 100, 0) AS BIGINT) AS VARCHAR) || '%)' END,
          CASE WHEN duplicate_rows > 0 THEN CAST(duplicate_rows AS VARCHAR) || ' duplicate rows' END
        ], lambda x: x IS NOT NULL), ' | ') AS issues
 FROM pv""".replace("\n, pq AS", "", 0))

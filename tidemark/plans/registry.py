@@ -339,7 +339,7 @@ def x8(spark, sf):
 
 @register("Q6_promote_mae_only")
 def q6(spark, sf):
-    d = PR.promote_mae_only(_fold(spark, sf))
+    d = PR.promote_mae_only(_fold(spark, sf), champion="champion_batch_number")
     return flat(d.select("line", "batch_number", "improvement", "promote"))
 
 
