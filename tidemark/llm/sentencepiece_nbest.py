@@ -33,6 +33,7 @@ import hashlib
 import heapq
 import itertools
 from array import array
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +49,8 @@ N = 3
 UNKNOWN = 10.0
 #: scores at or below are marks of pieces the model never wants; they are kept as they are
 NEVER = -1e8
-CACHE = 150_000
+CACHE = 100_000
+
 
 def model_path(name: str = MODEL) -> str:
     import public_tokenizers
@@ -136,17 +138,26 @@ class Lattice:
         into: list[list] = [[] for _ in bound]
         for start, end, v, ids in arcs:
             into[end].append((start, v, ids))
-        heap = [(-bound[len(text)], (), len(text), 0.0)]
+        heap = [(-bound[len(text)], 0, len(text), 0.0, None)]
         out = []
         want = best or self.best
+        seen = [0] * len(bound)
+        pushed = itertools.count(1)
         while heap and len(out) < want:
-            cost, path, at, behind = heapq.heappop(heap)
+            cost, _, at, behind, path = heapq.heappop(heap)
             if at == 0:
-                out.append((-cost, path))
+                ids: list[int] = []
+                while path:
+                    ids += path[0]
+                    path = path[1]
+                out.append((-cost, tuple(ids)))
+                continue
+            if seen[at] == want:  # as many ways on from here, none of them worse, are known
                 continue
+            seen[at] += 1
             for start, v, ids in into[at]:
                 gone = behind + v
-                heapq.heappush(heap, (-(gone + bound[start]), ids + path, start, gone))
+                heapq.heappush(heap, (-(gone + bound[start]), next(pushed), start, gone, (ids, path)))
         return out
 
     def lattice_string(self, text: str) -> str:
@@ -219,8 +230,12 @@ def merge(best: float, options: list[tuple[float, ...]], n: int) -> list[float]:
     return totals[:n]
 
 
+@lru_cache(maxsize=1)
 def encoder(path: str, n: int = N):
-    """Function of a text block giving ids, n_pieces, scores (best first) and whether decoding gives the text back."""
+    """Function of a text block giving ids, n_pieces, scores (best first) and whether decoding gives the text back.
+
+    A worker process keeps it, and with it the units searched so far, for its next tasks.
+    """
     lattice = Lattice(path, n)
 
     def encode(raw: np.ndarray, offsets: np.ndarray) -> list:
