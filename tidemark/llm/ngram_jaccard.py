@@ -16,9 +16,11 @@ of each document.
    by hash; any two linked sets share a stated number of tokens of their
    prefixes), then on all tokens of the nodes left, twice.
 4. Open: for the nodes still left, tokens are ordered by the number of nodes
-   that have them; prefixes of rare tokens give (node, group) candidates; the
-   group is opened when the node's overlap with its token union reaches 75 % of
-   the node's set; members of opened groups are compared exactly.
+   that have them; nodes and groups meet in the lists of their prefixes' rare
+   tokens.  There the token union of a group's members is a bitmap, which
+   bounds a node's overlap with it from above; the group is opened only where
+   that suffices for its smallest member, its members are bounded one by one
+   in the same way, and what is left is compared exactly by whole token sets.
 
 No step is approximate: every link is either inside a group or found in 4,
 which makes the components exact.  Steps 3 and 4 compare a node with groups,
@@ -26,8 +28,9 @@ so thousands of near copies, being one group, never meet pairwise.
 
 Scale: texts are shuffled only for star edges (a member's text once; a hot
 pivot is repeated for every STAR members).  A token that several nodes of a
-batch share goes to the shuffle once a batch and group.  Nothing is collected
-but counts; labels are broadcast only up to MAX_BROADCAST counted rows.
+batch share goes to the shuffle once a batch and group.  A token's list is cut
+into chunks of LIST nodes, two of which are compared by a task; pairs that the
+bounds reject are never written.  Nothing is collected but counts; labels are broadcast only up to MAX_BROADCAST counted rows.
 Tokens and nodes are 64-bit hashes.
 
 Defined cases: null, empty or blank texts have an empty set and stay alone
@@ -38,6 +41,8 @@ results; only doc_id and text are read.
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
@@ -53,6 +58,8 @@ BANDS, ROWS = 8, 3
 STAR = 2000
 #: (node, label) rows of 16 bytes that may be broadcast
 MAX_BROADCAST = 400_000
+#: bits of a set's bitmap, and nodes of one token that are compared at once; longer lists are compared chunk by chunk
+BITS, LIST = 1024, 2000
 _SEEDS = np.random.default_rng(5).integers(1, 2**63, (2, BANDS * ROWS), dtype=np.uint64) | np.uint64(1)
 
 
@@ -273,32 +280,101 @@ def component_table(docs: DataFrame) -> DataFrame:
     return rows.join(labels, "node", "left").select("doc_id", "n", "node", F.when(F.col("n") > 0, F.coalesce("label", "node")).alias("label"))
 
 
+def _sketched(sets: DataFrame) -> DataFrame:
+    """(node, n, label, bits): the tokens of a set as a bitmap of BITS bits."""
+
+    def run(batches):
+        for batch in batches:
+            lists = batch.column(3)
+            each = np.diff(lists.offsets.to_numpy())
+            flags = np.zeros((batch.num_rows, BITS), bool)
+            flags[np.repeat(np.arange(batch.num_rows), each), lists.flatten().to_numpy() & (BITS - 1)] = True
+            bits = pa.array([row.tobytes() for row in np.packbits(flags, axis=1)], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), bits], ["node", "n", "label", "bits"])
+
+    return sets.select("node", "n", "label", "tokens").mapInArrow(run, "node long, n long, label long, bits binary")
+
+
+def opened_pairs(node: np.ndarray, n: np.ndarray, label: np.ndarray, chunk: np.ndarray, bits: np.ndarray, cross: bool) -> tuple[list, list]:
+    """Pairs of one token's nodes that the bounds leave; of two chunks (``cross``) only pairs between them.
+
+    A node's tokens whose bits the group's union lacks are missing from every
+    member, which bounds the overlap; a group is opened only where that
+    suffices for its smallest member.  In an opened group each differing bit of
+    two bitmaps stands for a token that only one of both sets has.
+    """
+    order = np.argsort(label, kind="stable")
+    node, n, label, chunk, bits = node[order], n[order], label[order], chunk[order], bits[order]
+    begin = np.flatnonzero(np.concatenate([[True], label[1:] != label[:-1]]))
+    least = -(-PERCENT * n // 100)
+    a, b = [], []
+    for lo, hi in zip(begin.tolist(), np.append(begin[1:], len(label)).tolist(), strict=True):
+        if hi == len(label):
+            break  # each two groups meet once
+        union = np.bitwise_or.reduce(bits[lo:hi], axis=0)
+        overlap = n[hi:] - np.bitwise_count(bits[hi:] & ~union).sum(axis=1, dtype=np.int64)
+        ask = hi + np.flatnonzero((100 + PERCENT) * overlap >= PERCENT * (n[hi:] + np.maximum(least[hi:], n[lo:hi].min())))
+        step = max(1, (1 << 16) // (hi - lo))
+        for at in range(0, len(ask), step):
+            q = ask[at : at + step]
+            both = n[q][:, None] + n[lo:hi][None, :]
+            differ = np.bitwise_count(bits[q][:, None, :] ^ bits[lo:hi][None, :, :]).sum(axis=2, dtype=np.int64)
+            ok = (100 + PERCENT) * (both - differ) >= 2 * PERCENT * both
+            ok &= 100 * np.minimum(n[q][:, None], n[lo:hi][None, :]) >= PERCENT * np.maximum(n[q][:, None], n[lo:hi][None, :])
+            if cross:
+                ok &= chunk[q][:, None] != chunk[lo:hi][None, :]
+            x, y = np.nonzero(ok)
+            a.append(node[q[x]])
+            b.append(node[lo + y])
+    return a, b
+
+
+def _met(batches):
+    """Rows sorted by (token, x, y) as pairs (a, b); memory holds one batch and one list of at most about 2 * LIST rows."""
+    held = None
+    for batch in itertools.chain(batches, [None]):
+        if batch is not None:
+            rows = [batch.column(i).to_numpy() for i in range(7)]
+            rows.append(np.frombuffer(b"".join(batch.column(7).to_pylist()), np.uint64).reshape(-1, BITS // 64))
+            held = rows if held is None else [np.concatenate(pair) for pair in zip(held, rows, strict=True)]
+        if held is None or not len(held[0]):
+            continue
+        token, x, y = held[:3]
+        begin = np.flatnonzero(np.concatenate([[True], (token[1:] != token[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])]))
+        ends = np.append(begin[1:], len(token))
+        done = len(begin) - (batch is not None)  # the last list may go on in the next batch
+        a, b = [], []
+        for lo, hi in zip(begin[:done].tolist(), ends[:done].tolist(), strict=True):
+            more = opened_pairs(*(c[lo:hi] for c in held[3:]), cross=bool(x[lo] != y[lo]))
+            a += more[0]
+            b += more[1]
+        held = [c[begin[done] :] for c in held] if done < len(begin) else None
+        if a:
+            a, b = np.concatenate(a), np.concatenate(b)
+            pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
+
+
 def _open(sets: DataFrame) -> DataFrame:
     """(a, b): links between nodes of different groups, by the token-group matrix over ``sets`` (node, n, tokens, label)."""
-    flat = stage(sets.select("node", "n", "label", F.explode("tokens").alias("token")), "flat")
-    # by rarity; tokens of one group only come first, as they match nothing
-    rarity = flat.groupBy("token").agg(F.count(F.lit(1)).alias("df"), F.min("label").alias("lo"), F.max("label").alias("hi"))
-    rarity = rarity.select("token", F.expr("if(lo = hi, 0, df)").alias("df"))
-    ordered = flat.join(rarity, "token").groupBy("node", "n", "label").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("t"))
-    least = f"cast(floor(({PERCENT} * n + 99) / 100) as int)"
-    prefix = ordered.select("node", "n", "label", F.explode(F.expr(f"slice(t, 1, cast(least(n, n - {least} + greatest(1, floor(n / 20))) as int))")).alias("x"))
-    prefix = stage(prefix.filter("x.df > 1").select("node", "n", "label", "x.token"), "prefix")
-    need = f"greatest(1, floor({least} / 20))"
-    rows = prefix.select("token", F.col("label").alias("group")).distinct()
-    candidates = (prefix.join(rows, "token").filter("group <> label").groupBy("node", "n", "group").agg(F.count(F.lit(1)).alias("met"))
-                  .filter(f"met >= {need}").select("node", "n", "group"))
-    matrix = flat.select("token", "label").distinct()
-    cells = matrix.select("token", F.col("label").alias("group"))
-    bound = (candidates.join(flat.select("node", "token"), "node").join(cells, ["token", "group"]).groupBy("node", "n", "group")
-             .agg(F.count(F.lit(1)).alias("overlap")).filter(f"100 * overlap >= {PERCENT} * n").select("node", "group"))
-    opened = stage(bound, "opened")
-    other = prefix.select("token", F.col("label").alias("group"), F.col("node").alias("b"), F.col("n").alias("nb"))
-    pairs = (prefix.join(opened, "node").join(other, ["token", "group"]).filter(f"100 * least(n, nb) >= {PERCENT} * greatest(n, nb)")
-             .groupBy("node", "b", "n", "nb").agg(F.count(F.lit(1)).alias("met")).filter(f"met >= {need}")
-             .select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b"), (F.col("n") + F.col("nb")).alias("both")).distinct())
-    left = pairs.join(flat.select(F.col("node").alias("a"), "token"), "a")
-    shared = left.join(flat.select(F.col("node").alias("b"), "token"), ["b", "token"]).groupBy("a", "b", "both").agg(F.count(F.lit(1)).alias("i"))
-    return stage(shared.filter(f"100 * i >= {PERCENT} * (both - i)").select("a", "b"), "found")
+    sets = stage(sets.select("node", "n", "label", "tokens"), "open")
+    cells = sets.select("node", "label", F.explode("tokens").alias("token"))
+    # by rarity; tokens of one group only come first and match nothing, so that it is enough to count them
+    rarity = cells.groupBy("token").agg(F.count(F.lit(1)).alias("df"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("token", "df")
+    ordered = cells.select("node", "token").join(rarity, "token").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("t"))
+    least = f"floor(({PERCENT} * n + 99) / 100)"
+    ordered = ordered.join(sets.select("node", "n", "label"), "node")
+    prefix = ordered.select("node", "label", F.explode(F.expr(f"slice(t, 1, cast(greatest(0, size(t) - {least} + 1) as int)).token")).alias("token"))
+    prefix = stage(prefix, "prefix")
+    lists = prefix.groupBy("token").agg(F.count(F.lit(1)).alias("df"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi")
+    lists = lists.select("token", F.expr(f"cast(ceil(df / {LIST}) as int)").alias("chunks"))
+    rows = prefix.select("node", "token").join(lists, "token").withColumn("chunk", F.expr("cast(pmod(xxhash64(node), chunks) as int)"))
+    rows = rows.select("node", "token", "chunk", F.explode(F.expr("sequence(0, chunks - 1)")).alias("other")).join(_sketched(sets), "node")
+    rows = rows.select("token", F.least("chunk", "other").alias("x"), F.greatest("chunk", "other").alias("y"), "node", "n", "label", "chunk", "bits")
+    pairs = rows.repartition("token", "x", "y").sortWithinPartitions("token", "x", "y").mapInArrow(_met, "a long, b long").distinct()
+    left, right = (sets.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("tokens").alias(f"t{x}")) for x in "ab")
+    both = stage(pairs, "opened").join(left, "a").join(right, "b")
+    return stage(both.filter(f"{100 + PERCENT} * size(array_intersect(ta, tb)) >= {PERCENT} * (na + nb)").select("a", "b"), "found")
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
