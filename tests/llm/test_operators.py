@@ -348,3 +348,34 @@ def test_lm_class_masses_sum_to_one(spark, docs):
     rows = maxent_lm.features(np.arange(50, dtype=np.uint64), np.arange(50))
     p = maxent_lm.raised(rows, maxent_lm.with_bias(maxent_lm.start_weights(np.ones((maxent_lm.FEATURES * maxent_lm.BUCKETS, maxent_lm.CLASSES)), classes.log_mass), classes.log_mass))
     assert np.allclose((p / p.sum(axis=1, keepdims=True)).sum(axis=1), 1.0, rtol=1e-5)
+
+
+@pytest.mark.parametrize("chunk", [4, 2000])
+def test_jaccard_families_around_the_threshold(spark, monkeypatch, chunk):
+    """Near copies whose similarities lie on both sides of 0.75, with token lists of one and of many chunks."""
+    monkeypatch.setattr(ngram_jaccard, "LIST", chunk)
+    rng = random.Random(11)
+    rows = []
+    for family in range(3):
+        base = [f"w{family}x{rng.randrange(400)}" for _ in range(90)]
+        for _ in range(25):
+            words = list(base)
+            for at in rng.sample(range(90), rng.randrange(0, 5)):
+                words[at] = f"z{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(words)))
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(86)} for _, t in rows]
+    label = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both) and label[a] != label[b]:
+                lo, hi = sorted((label[a], label[b]))
+                label = [lo if x == hi else x for x in label]
+    got = ngram_jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["doc_id"]: r["component_id"] for r in got.collect()} == dict(enumerate(label))
+    # the matrix alone, every node a group of its own, finds every link
+    nodes = [ngram_jaccard.token_sets(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())]))[0] for _, t in rows]
+    table = {ngram_jaccard.node_of(s): s for s in nodes}
+    cells = spark.createDataFrame([(k, len(s), s.view(np.int64).tolist(), k) for k, s in table.items()], "node long, n long, tokens array<long>, label long")
+    links = {(min(a, b), max(a, b)) for a in table for b in table if a < b and 175 * len(np.intersect1d(table[a], table[b])) >= 75 * (len(table[a]) + len(table[b]))}
+    assert links and {(min(r["a"], r["b"]), max(r["a"], r["b"])) for r in ngram_jaccard._open(cells).collect()} == links
