@@ -21,10 +21,14 @@ of each document.
    bounds a node's overlap with it from above; the group is opened only where
    that suffices for its smallest member, its members are bounded one by one
    in the same way, and what is left is compared exactly by whole token sets.
+   Rounds in which each node of a list gives only its nearest partner come
+   first; their links join groups, and nodes that the bound of 3 then rejects
+   go.  The last round gives all pairs between the groups that remain.
 
 No step is approximate: every link is either inside a group or found in 4,
 which makes the components exact.  Steps 3 and 4 compare a node with groups,
-so thousands of near copies, being one group, never meet pairwise.
+and 4 joins near copies that the bands left apart before it lists pairs, so
+thousands of near copies are never written pairwise.
 
 Scale: texts are shuffled only for star edges (a member's text once; a hot
 pivot is repeated for every STAR members).  A token that several nodes of a
@@ -60,6 +64,8 @@ STAR = 2000
 MAX_BROADCAST = 400_000
 #: bits of a set's bitmap, and nodes of one token that are compared at once; longer lists are compared chunk by chunk
 BITS, LIST = 1024, 2000
+#: rounds of nearest partners end when one gives no more links than one for so many nodes
+JOINED = 20
 _SEEDS = np.random.default_rng(5).integers(1, 2**63, (2, BANDS * ROWS), dtype=np.uint64) | np.uint64(1)
 
 
@@ -250,6 +256,18 @@ def _crossing(rows: DataFrame, need) -> DataFrame:
     return found.join(sizes, "node").filter(need).select("node")
 
 
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, label) with the groups joined that ``links`` (a, b) connect; nodes without a row are groups of their own."""
+    a, b = (labels.select(F.col("node").alias(x), F.col("label").alias(f"l{x}")) for x in "ab")
+    top = links.join(a, "a", "left").join(b, "b", "left").select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b"))
+    over = components(top).withColumnRenamed("node", "old").withColumnRenamed("label", "new")
+    known = labels.select("node", "label")
+    for x in "ab":
+        known = known.unionByName(top.select(F.col(x).alias("node"), F.col(x).alias("label")))
+    known = known.groupBy("node").agg(F.min("label").alias("label"))
+    return stage(known.join(over, known["label"] == over["old"], "left").select("node", F.coalesce("new", "label").alias("label")), "labels")
+
+
 def component_table(docs: DataFrame) -> DataFrame:
     """(doc_id, n, node, label) of every row; label is null for rows without a set."""
     rows = stage(_profile(docs), "profile")
@@ -257,6 +275,7 @@ def component_table(docs: DataFrame) -> DataFrame:
     labels = _groups(docs, nodes)
 
     def labelled(t: DataFrame) -> DataFrame:
+        """With the groups known so far."""
         return t.join(_small(labels), "node", "left").select("node", "n", "tokens", F.coalesce("label", "node").alias("label"))
 
     # bounds: prefix by hash, then all tokens, among the nodes still left
@@ -266,17 +285,21 @@ def component_table(docs: DataFrame) -> DataFrame:
     reps = nodes.select("node", "rep")
     some = _texts(docs, stage(reps.join(left, "node"), "reps"))
     sets = stage(labelled(_tokens(some, True).join(_small(left), "node", "left_semi")).dropDuplicates(["node"]), "sets")
-    for _ in range(2):
-        left = stage(_crossing(sets, full), "left")
-        sets = sets.join(_small(left), "node", "left_semi")
-    links = _open(sets)
+    while True:
+        for _ in range(2):
+            left = stage(_crossing(sets, full), "left")
+            sets = sets.join(_small(left), "node", "left_semi")
+        sets = stage(sets, "open")
+        links = _open(sets, True)
+        found, held = links.count(), sets.count()
+        if found:
+            labels = _merged(labels, links)
+            sets = labelled(sets.drop("label"))
+        if found * JOINED <= held:  # the rounds join little more
+            break
+    links = _open(sets, False)
     if links.limit(1).count():
-        a, b = (labels.select(F.col("node").alias(x), F.col("label").alias(f"l{x}")) for x in "ab")
-        top = links.join(a, "a", "left").join(b, "b", "left").select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b"))
-        over = components(top).withColumnRenamed("node", "old").withColumnRenamed("label", "new")
-        known = labels.select("node", "label").unionByName(top.select(F.col("a").alias("node"), F.col("a").alias("label"))).unionByName(top.select(F.col("b").alias("node"), F.col("b").alias("label")))
-        known = known.groupBy("node").agg(F.min("label").alias("label"))
-        labels = stage(known.join(over, known["label"] == over["old"], "left").select("node", F.coalesce("new", "label").alias("label")), "labels")
+        labels = _merged(labels, links)
     return rows.join(labels, "node", "left").select("doc_id", "n", "node", F.when(F.col("n") > 0, F.coalesce("label", "node")).alias("label"))
 
 
@@ -295,9 +318,11 @@ def _sketched(sets: DataFrame) -> DataFrame:
     return sets.select("node", "n", "label", "tokens").mapInArrow(run, "node long, n long, label long, bits binary")
 
 
-def opened_pairs(node: np.ndarray, n: np.ndarray, label: np.ndarray, chunk: np.ndarray, bits: np.ndarray, cross: bool) -> tuple[list, list]:
+def opened_pairs(node: np.ndarray, n: np.ndarray, label: np.ndarray, chunk: np.ndarray, bits: np.ndarray, cross: bool, nearest: bool = False) -> tuple[list, list]:
     """Pairs of one token's nodes that the bounds leave; of two chunks (``cross``) only pairs between them.
 
+    ``nearest``: of a node's partners only the one with the most similar bitmap.
+
     A node's tokens whose bits the group's union lacks are missing from every
     member, which bounds the overlap; a group is opened only where that
     suffices for its smallest member.  In an opened group each differing bit of
@@ -308,6 +333,7 @@ def opened_pairs(node: np.ndarray, n: np.ndarray, label: np.ndarray, chunk: np.n
     begin = np.flatnonzero(np.concatenate([[True], label[1:] != label[:-1]]))
     least = -(-PERCENT * n // 100)
     a, b = [], []
+    top, partner = np.full(len(n), -1.0), np.zeros(len(n), np.int64)
     for lo, hi in zip(begin.tolist(), np.append(begin[1:], len(label)).tolist(), strict=True):
         if hi == len(label):
             break  # each two groups meet once
@@ -323,13 +349,24 @@ def opened_pairs(node: np.ndarray, n: np.ndarray, label: np.ndarray, chunk: np.n
             ok &= 100 * np.minimum(n[q][:, None], n[lo:hi][None, :]) >= PERCENT * np.maximum(n[q][:, None], n[lo:hi][None, :])
             if cross:
                 ok &= chunk[q][:, None] != chunk[lo:hi][None, :]
-            x, y = np.nonzero(ok)
-            a.append(node[q[x]])
-            b.append(node[lo + y])
+            if nearest and ok.any():
+                alike = np.where(ok, (both - differ) / (both + differ), -1.0)
+                for mine, theirs, at_best in ((q, np.arange(lo, hi), alike), (np.arange(lo, hi), q, alike.T)):
+                    best = at_best.argmax(axis=1)
+                    value = at_best[np.arange(len(mine)), best]
+                    better = value > top[mine]
+                    top[mine[better]], partner[mine[better]] = value[better], theirs[best[better]]
+            elif not nearest:
+                x, y = np.nonzero(ok)
+                a.append(node[q[x]])
+                b.append(node[lo + y])
+    if nearest:
+        some = np.flatnonzero(top >= 0)
+        return [node[some]], [node[partner[some]]]
     return a, b
 
 
-def _met(batches):
+def _met(batches, nearest: bool):
     """Rows sorted by (token, x, y) as pairs (a, b); memory holds one batch and one list of at most about 2 * LIST rows."""
     held = None
     for batch in itertools.chain(batches, [None]):
@@ -345,7 +382,7 @@ def _met(batches):
         done = len(begin) - (batch is not None)  # the last list may go on in the next batch
         a, b = [], []
         for lo, hi in zip(begin[:done].tolist(), ends[:done].tolist(), strict=True):
-            more = opened_pairs(*(c[lo:hi] for c in held[3:]), cross=bool(x[lo] != y[lo]))
+            more = opened_pairs(*(c[lo:hi] for c in held[3:]), cross=bool(x[lo] != y[lo]), nearest=nearest)
             a += more[0]
             b += more[1]
         held = [c[begin[done] :] for c in held] if done < len(begin) else None
@@ -355,9 +392,11 @@ def _met(batches):
             yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
 
 
-def _open(sets: DataFrame) -> DataFrame:
-    """(a, b): links between nodes of different groups, by the token-group matrix over ``sets`` (node, n, tokens, label)."""
-    sets = stage(sets.select("node", "n", "label", "tokens"), "open")
+def _open(sets: DataFrame, nearest: bool) -> DataFrame:
+    """(a, b): links between nodes of different groups, by the token-group matrix over ``sets`` (node, n, tokens, label).
+
+    ``nearest``: only those among the nearest partners, at most one a node and list.
+    """
     cells = sets.select("node", "label", F.explode("tokens").alias("token"))
     # by rarity; tokens of one group only come first and match nothing, so that it is enough to count them
     rarity = cells.groupBy("token").agg(F.count(F.lit(1)).alias("df"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("token", "df")
@@ -371,7 +410,7 @@ def _open(sets: DataFrame) -> DataFrame:
     rows = prefix.select("node", "token").join(lists, "token").withColumn("chunk", F.expr("cast(pmod(xxhash64(node), chunks) as int)"))
     rows = rows.select("node", "token", "chunk", F.explode(F.expr("sequence(0, chunks - 1)")).alias("other")).join(_sketched(sets), "node")
     rows = rows.select("token", F.least("chunk", "other").alias("x"), F.greatest("chunk", "other").alias("y"), "node", "n", "label", "chunk", "bits")
-    pairs = rows.repartition("token", "x", "y").sortWithinPartitions("token", "x", "y").mapInArrow(_met, "a long, b long").distinct()
+    pairs = rows.repartition("token", "x", "y").sortWithinPartitions("token", "x", "y").mapInArrow(lambda batches: _met(batches, nearest), "a long, b long").distinct()
     left, right = (sets.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("tokens").alias(f"t{x}")) for x in "ab")
     both = stage(pairs, "opened").join(left, "a").join(right, "b")
     return stage(both.filter(f"{100 + PERCENT} * size(array_intersect(ta, tb)) >= {PERCENT} * (na + nb)").select("a", "b"), "found")
