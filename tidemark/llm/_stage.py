@@ -9,6 +9,15 @@ from pyspark.sql import DataFrame
 from ..session import checkpoint_dir
 
 
+#: bytes of one Arrow batch between Spark and a Python worker; a longer row is a batch of its own
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark) -> None:
+    """Bound the session's Arrow batches by bytes, so that rows of megabytes do not meet in one batch."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once under ``spark.checkpoint.dir`` and return a frame that reads it.
 

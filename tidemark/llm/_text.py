@@ -20,6 +20,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, types as T
 
+from ._stage import small_batches
+
 BLOCK_BYTES = 1 << 21
 
 _rng = np.random.default_rng(20240607)
@@ -153,6 +155,7 @@ def map_text(docs: DataFrame, text: str, keep: list[str], fields: T.StructType,
                 made = pa.StructArray.from_arrays(values, labels)
                 yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(len(keep))), made], [*keep, name])
 
+    small_batches(docs.sparkSession)
     return docs.select(*[docs[f"`{c}`"] for c in wanted]).mapInArrow(run, schema)
 
 
