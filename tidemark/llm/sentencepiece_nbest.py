@@ -98,14 +98,13 @@ class Lattice:
         table[:, 128:] |= table[:, 32:33]
         return table
 
-    def arcs(self, text: str) -> tuple[list[float], list[tuple[int, int, float, tuple[int, ...]]], list]:
-        """Viterbi: best score of each prefix, all arcs (start, end, score, ids) by start, the arc that ends each best prefix."""
+    def arcs(self, text: str) -> tuple[list[float], list[tuple[int, int, float, tuple[int, ...]]]]:
+        """Viterbi: best score of each prefix, all arcs (start, end, score, ids) by start."""
         n = len(text)
         trie, longest = self.trie, self.longest
         best = [float("-inf")] * (n + 1)
         best[0] = 0.0
         arcs: list = []
-        back: list = [None] * (n + 1)
         for i in range(n):
             here, single = best[i], False
             for j in range(i + 1, min(n, i + longest) + 1):
@@ -117,24 +116,18 @@ class Lattice:
                     if j == i + 1:
                         single = True
                     v, ids = hit
-                    arc = (i, j, v, ids)
-                    arcs.append(arc)
-                    v += here
-                    if v > best[j]:
-                        best[j] = v
-                        back[j] = arc
+                    arcs.append((i, j, v, ids))
+                    best[j] = max(best[j], here + v)
             if not single:
                 data = text[i].encode("utf-8", "replace")
                 arc = (i, i + 1, self.unknown * len(data), tuple([self.byte_id[b] for b in data]))
                 arcs.append(arc)
-                if here + arc[2] > best[i + 1]:
-                    best[i + 1] = here + arc[2]
-                    back[i + 1] = arc
-        return best, arcs, back
+                best[i + 1] = max(best[i + 1], here + arc[2])
+        return best, arcs
 
     def search(self, text: str, best: int | None = None) -> list[tuple[float, tuple[int, ...]]]:
         """The ``best`` segmentations of a lattice string, best first; equal scores in order of their ids."""
-        bound, arcs, _ = self.arcs(text)
+        bound, arcs = self.arcs(text)
         into: list[list] = [[] for _ in bound]
         for start, end, v, ids in arcs:
             into[end].append((start, v, ids))
@@ -174,31 +167,53 @@ class Lattice:
         text = out.decode("utf-8", "replace")
         return text[1:] if text.startswith(" ") else text
 
-    def unit(self, key: int, text: str) -> tuple[float, float, int, bytes]:
-        """(best score, what the second-best loses, pieces, ids of the best) of a unit, searched on first use.
+    def unit(self, key: int, text: str) -> tuple[float, float, int, bytes, bool]:
+        """(best score, what the second-best loses, pieces, ids of the best, whether they spell the unit), found on first use.
 
-        The second-best path has an arc off the best one; the best path through
-        an arc is the Viterbi score before it, its own and that behind it.
+        Viterbi with the two best scores of each prefix.
         """
         found = self.older.get(key)
         if found is None:
-            best, arcs, back = self.arcs(text)
-            behind = [float("-inf")] * len(best)
-            behind[-1] = 0.0
-            second = float("-inf")
-            at, path = len(text), []
+            n = len(text)
+            trie, longest = self.trie.get, self.longest
+            low = float("-inf")
+            first, second = [low] * (n + 1), [low] * (n + 1)
+            origin, spelled = [0] * (n + 1), [()] * (n + 1)
+            first[0] = 0.0
+            for i in range(n):
+                here, other = first[i], second[i]
+                j = i + 1
+                hit = trie(text[i], False)
+                if not hit:  # no piece of one character
+                    data = text[i].encode("utf-8", "replace")
+                    more, hit = hit is None, (self.unknown * len(data), tuple([self.byte_id[x] for x in data]))
+                else:
+                    more = True
+                end = min(n, i + longest)
+                while True:
+                    if hit:
+                        v, ids = hit
+                        top = here + v
+                        was = first[j]
+                        if top > was:
+                            first[j], origin[j], spelled[j] = top, i, ids
+                            next_best = other + v
+                            second[j] = was if was > next_best else next_best
+                        elif top > second[j]:
+                            second[j] = top
+                    if not more or j == end:
+                        break
+                    j += 1
+                    hit = trie(text[i:j], False)
+                    if hit is False:
+                        break
+            at, path = n, []
             while at:
-                path.append(back[at])
-                at = back[at][0]
-            steps = {(a[0], a[1]) for a in path}
-            for i, j, v, _ in reversed(arcs):
-                v += behind[j]
-                if v > behind[i]:
-                    behind[i] = v
-                if (i, j) not in steps and v + best[i] > second:
-                    second = v + best[i]
-            ids = array("i", [x for a in reversed(path) for x in a[3]])
-            found = (best[-1], best[-1] - second, len(ids), ids.tobytes())
+                path.append(spelled[at])
+                at = origin[at]
+            ids = [x for part in reversed(path) for x in part]
+            whole = b"".join([self.spelling[x] for x in ids]) == text.replace(SPACE, " ").encode()
+            found = (first[n], first[n] - second[n], len(ids), array("i", ids).tobytes(), whole)
         if len(self.units) >= CACHE:  # two generations, so that frequent units stay
             self.older, self.units = self.units, {}
         self.units[key] = found
@@ -255,8 +270,7 @@ def encoder(path: str, n: int = N):
             found.append(make(key, text(k)) if u is None else u)
         top, second = np.array([u[0] for u in found]), np.array([u[1] for u in found])
         count, spelled = np.array([u[2] for u in found]), [u[3] for u in found]
-        words = [np.frombuffer(i, np.int32).tolist() for i in spelled]
-        whole = np.array([b"".join([lattice.spelling[x] for x in w]) == data[x0:x1] for w, x0, x1 in zip(words, a[first].tolist(), b[first].tolist(), strict=True)])
+        whole = np.array([u[4] for u in found])
         ranked: dict[int, list[float]] = {}
 
         def scores(k: int) -> list[float]:
