@@ -220,6 +220,72 @@ def test_license_automaton_regions():
         license_scan.compile_template("t", "<<beginOptional>>a")
 
 
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+%s
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE"""
+THIRD = """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice%s shall be included in all
+copies or substantial portions of the Software."""
+ISC = """Permission to use, copy, modify, and%s distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies."""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+%sany later version."""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License."""
+REGENTS = BSD.replace("COPYRIGHT HOLDERS", "REGENTS")
+
+#: public wording of each template in order, with its regions in, out and replaced
+LICENSE_TEXTS = (
+    (MIT % "", MIT % " (including the next paragraph)", "Copyright (c) 2020 A. Name " + MIT % ""),
+    ("Released under the MIT license", "licensed under the MIT license", "under the MIT license"),
+    (APACHE, "Licensed under the Apache License, Version 2.0"),
+    ("This work is licensed under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License or (at your option) any later version",
+     "licensed under the GNU General Public License, version 3"),
+    (GPL % "(at your option) ", GPL % ""),
+    ("Licensed under a Creative Commons license CC BY-NC 4.0", "licensed under the CC BY-NC", "licensed under CC-BY-NC 4.0"),
+    ("Creative Commons Attribution-NonCommercial 4.0 International License", "Creative Commons Attribution-NonCommercial License", "Creative Commons Attribution-NonCommercial 2.5 License"),
+    (BSD % "", (BSD % "").replace("1. ", "").replace("2. ", "* "), REGENTS % "", (BSD % "").replace("THE COPYRIGHT HOLDERS AND CONTRIBUTORS", "")),
+    (BSD % THIRD, BSD % THIRD.replace("3. ", ""), BSD % THIRD.replace("the copyright holder", "the University of Somewhere"), REGENTS % THIRD),
+    (ISC % "/or", ISC % ""))
+
+
+def test_license_templates_accept_their_public_texts():
+    assert len(LICENSE_TEXTS) == len(license_scan.TEMPLATES)
+    for template, texts in zip(license_scan.TEMPLATES, LICENSE_TEXTS, strict=True):
+        scan = license_scan.scanner((template,), ())
+        for t in texts:
+            raw, offsets = next(_text.blocks(pa.array([t, "before it " + t + " after it", t.replace("e", "x")])))
+            *_, labels, score = scan(raw, offsets)
+            assert labels == [template[0], template[0], ""] and score == [1.0, 1.0, 0.0], t
+    raw, offsets = next(_text.blocks(pa.array([BSD % "", BSD % THIRD])))
+    assert license_scan.scanner()(raw, offsets)[5] == ["bsd-2", "bsd-3"]
+
+
 def test_toxicity_learns_held_out(spark):
     rng = random.Random(1)
     rows, labels = [], []

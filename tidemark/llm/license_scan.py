@@ -45,7 +45,7 @@ def _var(name: str, most: int) -> str:
     return f'<<var;name="{name}";match=".{{0,{most}}}">>'
 
 
-_AS_IS = """IS PROVIDED "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES
+_AS_IS = """"AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES
 OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED."""
 _BSD_HEAD = f"""Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
 following conditions are met: {_var("bullet1", 1)} Redistributions of source code must retain the above copyright notice, this list of
