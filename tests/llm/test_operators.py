@@ -358,6 +358,20 @@ def test_decontamination(spark, docs, texts, empty):
     assert not any(r["contaminated"] for r in decontamination.decontaminate(docs, bench.limit(0)).collect())
 
 
+def test_decontamination_null_ids(spark, docs, texts):
+    items = [(None, texts[6][:80]), (None, texts[7]), (4, " ".join(texts[6].split(" ")[30:60]))]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = []
+    for r in docs.collect():
+        n, hit, found, _, bad = brute_hits(r["text"], items)  # str(None) counts as an item and has no name
+        _, _, _, digest, _ = brute_hits(r["text"], items[2:])
+        want.append((r["doc_id"], n, hit, found, digest, bad))
+    assert [w for w in want if w[0] is None and w[2] and w[3] == 2]
+    assert rows_of(decontamination.decontaminate(docs, bench)) == sorted(want, key=str)
+    clean = collections.Counter(w[0] for w in want if not w[-1])
+    assert collections.Counter(r["doc_id"] for r in decontamination.drop_contaminated(docs, bench).collect()) == clean
+
+
 def brute_paths(lattice, s):
     """All segmentations of a short string with their scores."""
     if not s:

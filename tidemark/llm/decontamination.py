@@ -24,8 +24,9 @@ hot shingles spread by AQE.  What is shuffled is the matches, not the
 documents.  A common passage gives each document its own rows, no pairs.
 
 Defined cases: null or empty texts have no words; items without words have no
-window; repeated rows, also of one doc_id, are told apart by their text; an
-empty benchmark hits nothing; other columns are not read.
+window; repeated rows, also of one or a null doc_id, are told apart by their text; items
+with a null item_id count as one item without a name in ``items``; an empty
+benchmark hits nothing; other columns are not read.
 """
 
 from __future__ import annotations
@@ -55,8 +56,12 @@ def shingles_of(words: str, size: int) -> str:
 
 
 def windows(items: DataFrame, item: str = "item_id") -> DataFrame:
-    """(item, window, length, place, size, shingle): the shingles of each distinct window of each item."""
-    w = items.select(F.col(item).alias("item"), F.expr(words_of("text")).alias("w")).filter(F.size("w") > 0)
+    """(item, window, length, place, size, shingle): the shingles of each distinct window of each item.
+
+    item is "=" and the id as text, or empty for a null id.
+    """
+    named = F.coalesce(F.concat(F.lit("="), F.col(item).cast("string")), F.lit("")).alias("item")  # never null, so that it joins
+    w = items.select(named, F.expr(words_of("text")).alias("w")).filter(F.size("w") > 0)
     w = w.select("item", "w", F.expr(f"least(size(w), {WINDOW})").alias("length"), F.expr(f"least(size(w), {SHINGLE})").alias("size"))
     starts = w.select("item", "length", "size", "w", F.explode(F.expr("sequence(1, size(w) - length + 1)")).alias("at"))
     one = starts.select("item", "length", "size", F.expr("slice(w, at, length)").alias("w")).withColumn("window", F.expr("xxhash64(array_join(w, ' '), length)"))
@@ -64,28 +69,28 @@ def windows(items: DataFrame, item: str = "item_id") -> DataFrame:
     return one.select("item", "window", "length", "size", F.posexplode(F.expr("transform(sequence(1, length - size + 1), i -> xxhash64(slice(w, i, size)))")).alias("place", "shingle"))
 
 
-def find(docs: DataFrame, items: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(documents, hits): a row of ``key``, n_words a document, and one of ``key``, item, start, length an occurrence.
+def find(docs: DataFrame, items: DataFrame, key: list[str], keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """(documents, hits): a row of ``key``, ``keep``, n_words a document, and one of ``key``, item, start, length an occurrence.
 
-    ``key`` must tell documents with different texts apart.
+    ``key`` must tell documents with different texts apart and hold no nulls; ``keep`` is in no join.
     """
     grams = stage(windows(items), "windows")
     sizes = [r[0] for r in grams.select("size").distinct().orderBy("size").collect()]  # at most SHINGLE values
     shingles = grams.select("size", "shingle").distinct()
     small = shingles.count() <= MAX_BROADCAST
-    worded = docs.select(*key, F.expr(words_of("text")).alias("w"))
+    worded = docs.select(*key, *keep, F.expr(words_of("text")).alias("w"))
     lists = [F.struct(F.lit(s).alias("size"), F.expr(shingles_of("w", s)).alias("h")) for s in sizes]
     # the first row of each document carries its word count and joins with no shingle
-    rows = worded.select(*key, F.size("w").cast("bigint").alias("n_words"),
+    rows = worded.select(*key, *keep, F.size("w").cast("bigint").alias("n_words"),
                          F.array(F.struct(F.lit(0).alias("size"), F.expr("array(0L)").alias("h")), *lists).alias("lists"))
     # outer, so that no filter on the lists is inferred and pushed below them (it would compute them twice)
-    rows = rows.select(*key, "n_words", F.explode_outer("lists").alias("l")).select(*key, "n_words", F.col("l.size").alias("size"), F.col("l.h").alias("h"))
-    rows = rows.select(*key, "n_words", "size", F.posexplode_outer("h").alias("pos", "shingle"))
+    rows = rows.select(*key, *keep, "n_words", F.explode_outer("lists").alias("l")).select(*key, *keep, "n_words", F.col("l.size").alias("size"), F.col("l.h").alias("h"))
+    rows = rows.select(*key, *keep, "n_words", "size", F.posexplode_outer("h").alias("pos", "shingle"))
     known = shingles.withColumn("known", F.lit(True))
     matched = rows.join(F.broadcast(known) if small else known, ["size", "shingle"], "left").filter("known or size = 0").drop("known")
     places = stage(matched, "places")
-    documents = places.filter("size = 0").select(*key, "n_words")
-    places = places.filter("size > 0")
+    documents = places.filter("size = 0").select(*key, *keep, "n_words")
+    places = places.filter("size > 0").drop(*keep)
     rarity = places.groupBy("size", "shingle").agg(F.count(F.lit(1)).alias("n"))
     counted = grams.join(rarity, ["size", "shingle"])  # a shingle that no document has rules its window out
     prefix = (counted.groupBy("item", "window", "length", "size")
@@ -109,9 +114,9 @@ def keyed(docs: DataFrame) -> DataFrame:
 def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Word, hit and item counts of every row of ``docs`` against all ``items``."""
     key = ["id", "digest"]
-    documents, hits = find(keyed(docs), items, [*key, "doc_id"])
+    documents, hits = find(keyed(docs), items, key, ("doc_id",))
     places = hits.select(*key, F.explode(F.expr("sequence(start, start + length - 1)")).alias("pos")).distinct().groupBy(*key).agg(F.count(F.lit(1)).alias("n_hit"))
-    named = (hits.select(*key, F.col("item").cast("string").alias("item")).distinct().groupBy(*key)
+    named = (hits.select(*key, F.expr("if(item = '', null, substring(item, 2))").alias("item")).distinct().groupBy(*key)
              .agg(F.count(F.lit(1)).alias("n_items"), F.array_join(F.array_sort(F.collect_list("item")), ",").alias("items")))
     out = documents.join(places, key, "left").join(named, key, "left")
     return out.select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
