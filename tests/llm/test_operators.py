@@ -400,6 +400,34 @@ def test_nbest_equals_enumeration():
         assert [round(v, 6) for v, _ in lattice.search(lattice.lattice_string(t))] == [round(v, 6) for v, _ in every[:4]]
 
 
+def test_nbest_ids_equal_enumeration_and_decode(spark):
+    lattice = sentencepiece_nbest.Lattice(sentencepiece_nbest.model_path(), 3)
+    texts = ["hello", "the cat", "a\nb", "naïve x", "ab, cd.", "日本", "  x", "it's\r\n", "", None, "a", "a ▁b", "aaaa aaaa"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in sentencepiece_nbest.encode(df).collect()}
+    digests = {r["doc_id"]: r for r in sentencepiece_nbest.encode_digest(df).collect()}
+    for i, t in enumerate(texts):
+        every, ids = dict((p, v) for v, p in brute_paths(lattice, lattice.lattice_string(t or ""))), [tuple(x) for x in got[i]["nbest"]]
+        assert len(ids) == len(set(ids)) == len(got[i]["scores"]) == min(3, len(every)) and list(ids[0]) == got[i]["ids"]
+        assert np.allclose([every[p] for p in ids], got[i]["scores"]) and np.allclose(got[i]["scores"], sorted(every.values(), reverse=True)[:3])
+        assert {lattice.decode(p) for p in ids} == {(t or "").replace("▁", " ")} and got[i]["round_trip"] == ("▁" not in (t or ""))
+        assert digests[i]["nbest_sha256"] == [hashlib.sha256(np.array(p, np.int32).tobytes()).hexdigest() for p in ids]
+        assert digests[i]["ids_sha256"] == digests[i]["nbest_sha256"][0]
+    whole = sentencepiece_nbest.searcher(sentencepiece_nbest.model_path(), 3)
+    raw, offsets = next(_text.blocks(pa.array([sentence(random.Random(5), 300)])))
+    ids, _, scores, ok, every = whole(raw, offsets)
+    ways = lambda p: sum(lattice.score.get(lattice.piece[x], lattice.unknown) for x in p.tolist())
+    assert ok == [True] and len({p.tobytes() for p in every[0]}) == 3 and np.allclose([ways(p) for p in every[0]], scores[0])
+
+
+def test_round_trip_decodes_the_ids(monkeypatch):
+    search = sentencepiece_nbest.searcher.__wrapped__(sentencepiece_nbest.model_path(), 3)
+    raw, offsets = next(_text.blocks(pa.array(["the cat", "of stone"])))
+    assert search(raw, offsets)[3] == [True, True]
+    monkeypatch.setattr(sentencepiece_nbest.Lattice, "spell", lambda self, ids: b"the cat")
+    assert search(raw, offsets)[3] == [True, False]
+
+
 def test_encode_decode_round_trip(docs, texts, empty):
     encoded = sentencepiece_nbest.encode(docs)
     back = {r["doc_id"]: r for r in sentencepiece_nbest.decode(encoded).collect()}

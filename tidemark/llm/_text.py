@@ -139,7 +139,8 @@ def map_text(docs: DataFrame, text: str, keep: list[str], fields: T.StructType,
     schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(name, fields)])
     kinds = {"long": pa.int64(), "bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(),
              "string": pa.string(), "binary": pa.binary(), "array<bigint>": pa.list_(pa.int64()),
-             "array<int>": pa.list_(pa.int32()), "array<string>": pa.list_(pa.string()), "array<double>": pa.list_(pa.float64())}
+             "array<int>": pa.list_(pa.int32()), "array<string>": pa.list_(pa.string()), "array<double>": pa.list_(pa.float64()),
+             "array<array<int>>": pa.list_(pa.list_(pa.int32()))}
     arrow = [kinds[f.dataType.simpleString()] for f in fields]
     labels = [f.name for f in fields]
 

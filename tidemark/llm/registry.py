@@ -50,9 +50,10 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Best segmentation (pieces, digest of its ids), the three best scores as text, and whether decoding gives the text back."""
+    """Best segmentation (pieces, digest of its ids), the three best scores as text, whether decoding gives the text back, and the digests of the ids of all three."""
     df = sentencepiece_nbest.encode_digest(_docs(spark, sf_dir))
-    return df.select("doc_id", "n_pieces", "ids_sha256", F.array_join(F.transform("scores", lambda s: s.cast("decimal(20,0)").cast("string")), ",").alias("scores"), "round_trip")
+    return df.select("doc_id", "n_pieces", "ids_sha256", F.array_join(F.transform("scores", lambda s: s.cast("decimal(20,0)").cast("string")), ",").alias("scores"), "round_trip",
+                     F.array_join("nbest_sha256", ",").alias("nbest_sha256"))
 
 
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

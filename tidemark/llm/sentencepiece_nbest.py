@@ -14,10 +14,13 @@ crosses: that place is a cut node.  (So it is before each run of spaces and at
 line breaks.)  The units between cut nodes are searched once and kept; the best
 segmentations of a whole text combine those of its units: only the N-1
 occurrences whose second-best loses least can differ from the best in any of
-the N best, so these are merged exactly.
+the N best, so these are merged exactly, and their other segmentations are
+spliced into the best one: the piece ids of all N are returned.
 
 Decoding joins the pieces, bytes for byte pieces, and takes off the dummy
-space; ``decode(encode(text))`` is the text unless it holds U+2581 itself.
+space.  ``round_trip`` decodes the ids of each of a document's N segmentations
+and compares the bytes with the whole text; a text that holds U+2581 itself
+comes back with spaces in its place.
 
 Scale: map-only over whole texts; units are hashed on whole blocks, a block's
 distinct units are looked up once and the cache is bounded.
@@ -81,7 +84,7 @@ class Lattice:
         self.trie = {p[:k]: None for p in self.score for k in range(1, len(p) + 1)}
         self.trie.update({p: (s, (self.id[p],)) for p, s in self.score.items()})
         self.joined = self._joined()
-        self.spelling = [bytes([self.byte_of[i]]) if i in self.byte_of else self.piece[i].replace(SPACE, " ").encode() for i in range(size)]
+        self.spelling = [bytes([self.byte_of[i]]) if i in self.byte_of else b"" if i in self.silent else self.piece[i].replace(SPACE, " ").encode() for i in range(size)]
         self.units: dict[int, tuple] = {}
         self.older: dict[int, tuple] = {}
 
@@ -158,17 +161,15 @@ class Lattice:
 
     def decode(self, ids) -> str:
         """Text of a list of piece ids."""
-        out = bytearray()
-        for i in ids:
-            if i in self.byte_of:
-                out.append(self.byte_of[i])
-            elif i not in self.silent:
-                out += self.piece[i].replace(SPACE, " ").encode()
-        text = out.decode("utf-8", "replace")
-        return text[1:] if text.startswith(" ") else text
-
-    def unit(self, key: int, text: str) -> tuple[float, float, int, bytes, bool]:
-        """(best score, what the second-best loses, pieces, ids of the best, whether they spell the unit), found on first use.
+        return self.spell(ids).decode("utf-8", "replace")
+
+    def spell(self, ids) -> bytes:
+        """Bytes of a list of piece ids, without the dummy space."""
+        spelling = self.spelling
+        return b"".join([spelling[i] for i in ids]).removeprefix(b" ")
+
+    def unit(self, key: int, text: str) -> tuple[float, float, int, bytes]:
+        """(best score, what the second-best loses, pieces, ids of the best), found on first use.
 
         Viterbi with the two best scores of each prefix.
         """
@@ -212,8 +213,7 @@ class Lattice:
                 path.append(spelled[at])
                 at = origin[at]
             ids = [x for part in reversed(path) for x in part]
-            whole = b"".join([self.spelling[x] for x in ids]) == text.replace(SPACE, " ").encode()
-            found = (first[n], first[n] - second[n], len(ids), array("i", ids).tobytes(), whole)
+            found = (first[n], first[n] - second[n], len(ids), array("i", ids).tobytes())
         if len(self.units) >= CACHE:  # two generations, so that frequent units stay
             self.older, self.units = self.units, {}
         self.units[key] = found
@@ -237,17 +237,16 @@ def with_dummy(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return np.insert(raw, offsets[:-1][filled], 32), offsets + np.cumsum(shift)
 
 
-def merge(best: float, options: list[tuple[float, ...]], n: int) -> list[float]:
-    """The n best totals when each of a few units may take any of its scores instead of its best."""
-    if not options:
-        return [best]
-    totals = sorted((best + sum(o - c[0] for o, c in zip(pick, options, strict=True)) for pick in itertools.product(*options)), reverse=True)
-    return totals[:n]
+def merge(best: float, options: list[list[tuple[float, bytes]]], n: int) -> list[tuple[float, tuple[int, ...]]]:
+    """The n best (total, choice of each unit) when each of a few units may take any of its (change of score, ids) instead of its best, which is its first."""
+    ways = itertools.product(*[range(len(o)) for o in options])
+    totals = sorted((-(best + sum(o[k][0] for o, k in zip(options, way, strict=True))), way) for way in ways)
+    return [(-total, way) for total, way in totals[:n]]
 
 
 @lru_cache(maxsize=1)
-def encoder(path: str, n: int = N):
-    """Function of a text block giving ids, n_pieces, scores (best first) and whether decoding gives the text back.
+def searcher(path: str, n: int = N):
+    """Function of a text block giving ids, n_pieces, scores (best first), whether decoding gives the text back, and the ids of all n segmentations.
 
     A worker process keeps it, and with it the units searched so far, for its next tasks.
     """
@@ -255,12 +254,13 @@ def encoder(path: str, n: int = N):
 
     def encode(raw: np.ndarray, offsets: np.ndarray) -> list:
         docs = len(offsets) - 1
-        marked = np.array([bytes((0xE2, 0x96, 0x81)) in raw[x:y].tobytes() for x, y in zip(offsets[:-1], offsets[1:], strict=True)]) if (raw == 0x96).any() else np.zeros(docs, bool)
+        whole, ends = raw.tobytes(), offsets.tolist()
         raw, offsets = with_dummy(raw, offsets)
         a, b, doc = units(raw, offsets, lattice.joined)
         bounds = np.searchsorted(doc, np.arange(docs + 1))
         if not len(doc):
-            return [[[]] * docs, [0] * docs, [[0.0]] * docs, [True] * docs]
+            none = np.zeros(0, np.int32)
+            return [[none] * docs, [0] * docs, [[0.0]] * docs, [True] * docs, [[none]] * docs]
         distinct, first, back = np.unique(X.span_hash(X.prefix_hash(raw), a, b), return_index=True, return_inverse=True)
         data, make = raw.tobytes(), lattice.unit
         text = lambda k: data[a[first[k]] : b[first[k]]].decode("utf-8", "replace").replace(" ", SPACE)
@@ -270,44 +270,72 @@ def encoder(path: str, n: int = N):
             found.append(make(key, text(k)) if u is None else u)
         top, second = np.array([u[0] for u in found]), np.array([u[1] for u in found])
         count, spelled = np.array([u[2] for u in found]), [u[3] for u in found]
-        whole = np.array([u[4] for u in found])
-        ranked: dict[int, list[float]] = {}
+        ranked: dict[int, list[tuple[float, bytes]]] = {}
 
-        def scores(k: int) -> list[float]:
+        def choices(k: int) -> list[tuple[float, bytes]]:
+            """(change of score, ids) of the n best segmentations of a unit; the one in ``spelled`` is the first, also among equals."""
             if k not in ranked:
-                ranked[k] = [s for s, _ in lattice.search(text(k), n)]
+                ways = [(s, array("i", ids).tobytes()) for s, ids in lattice.search(text(k), n)]
+                ranked[k] = [(0.0, spelled[k]), *((min(s - ways[0][0], 0.0), ids) for s, ids in ways if ids != spelled[k])][:n]
             return ranked[k]
 
-        out_ids, out_n, out_scores, out_ok = [], [], [], []
-        for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        out_ids, out_n, out_scores, out_ok, out_all = [], [], [], [], []
+        for d, (lo, hi) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):
             mine = back[lo:hi]
             loss = second[mine]
             near = np.argsort(loss, kind="stable")[: n - 1] if len(loss) <= 4 * n else np.argpartition(loss, n - 1)[: n - 1]
-            options = [scores(int(mine[i])) for i in near.tolist() if np.isfinite(loss[i])]
-            out_ids.append(np.frombuffer(b"".join([spelled[i] for i in mine.tolist()]), np.int32))
-            out_n.append(int(count[mine].sum()))
-            out_scores.append(merge(float(top[mine].sum()), options, n))
-            out_ok.append(bool(whole[mine].all()) and not marked[len(out_ok)])
-        return [out_ids, out_n, out_scores, out_ok]
+            near = np.sort(near[np.isfinite(loss[near])])
+            options = [choices(int(k)) for k in mine[near].tolist()]
+            merged = merge(float(top[mine].sum()), options, n)
+            best = b"".join([spelled[i] for i in mine.tolist()])
+            until = 4 * np.cumsum(count[mine])
+            places = [(int(until[i]) - len(o[0][1]), int(until[i])) for i, o in zip(near.tolist(), options, strict=True)]
+            every = []
+            for _, way in merged:
+                parts, at = [], 0
+                for (start, end), o, k in zip(places, options, way, strict=True):
+                    if k:
+                        parts += [best[at:start], o[k][1]]
+                        at = end
+                every.append(np.frombuffer(b"".join([*parts, best[at:]]), np.int32))
+            mine_text = whole[ends[d] : ends[d + 1]]
+            out_ids.append(every[0])
+            out_n.append(len(every[0]))
+            out_scores.append([total for total, _ in merged])
+            out_ok.append(all([lattice.spell(ids.tolist()) == mine_text for ids in every]))
+            out_all.append(every)
+        return [out_ids, out_n, out_scores, out_ok, out_all]
 
     return encode
 
 
+def encoder(path: str, n: int = N):
+    """As ``searcher``, without the ids of all n segmentations."""
+    search = searcher(path, n)
+    return lambda raw, offsets: search(raw, offsets)[:4]
+
+
+def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    ends = np.concatenate([[0], np.cumsum([len(i) for i in arrays])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(arrays) if arrays else np.zeros(0, np.int32)))
+
+
 def _with(docs: DataFrame, path: str | None, n: int, keep: list[str], name: str, digest: bool, text: str = "text") -> DataFrame:
     path = path or model_path()
     fields = T.StructType([T.StructField("ids_sha256", T.StringType()) if digest else T.StructField("ids", T.ArrayType(T.IntegerType())),
-                           T.StructField("n_pieces", T.LongType()), T.StructField("scores", T.ArrayType(T.DoubleType())), T.StructField("round_trip", T.BooleanType())])
+                           T.StructField("n_pieces", T.LongType()), T.StructField("scores", T.ArrayType(T.DoubleType())), T.StructField("round_trip", T.BooleanType()),
+                           T.StructField("nbest_sha256", T.ArrayType(T.StringType())) if digest else T.StructField("nbest", T.ArrayType(T.ArrayType(T.IntegerType())))])
 
     def make():
-        encode = encoder(path, n)
+        search = searcher(path, n)
 
         def run(raw, offsets):
-            ids, *rest = encode(raw, offsets)
+            ids, *rest, every = search(raw, offsets)
             if digest:
-                return [[hashlib.sha256(np.asarray(i, np.int32).tobytes()).hexdigest() for i in ids], *rest]
-            ends = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
-            flat = np.concatenate([np.asarray(i, np.int32) for i in ids]) if ids else np.zeros(0, np.int32)
-            return [pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), *rest]
+                every = [[hashlib.sha256(i.tobytes()).hexdigest() for i in one] for one in every]
+                return [[one[0] for one in every], *rest, every]
+            ends = np.concatenate([[0], np.cumsum([len(one) for one in every])]).astype(np.int32)
+            return [_lists(ids), *rest, pa.ListArray.from_arrays(pa.array(ends), _lists([i for one in every for i in one]))]
 
         return run
 
@@ -315,12 +343,12 @@ def _with(docs: DataFrame, path: str | None, n: int, keep: list[str], name: str,
 
 
 def encode(docs: DataFrame, path: str | None = None, n: int = N) -> DataFrame:
-    """doc_id, ids of the best segmentation, its number of pieces, the n best scores, round_trip."""
+    """doc_id, ids of the best segmentation, its number of pieces, the n best scores, round_trip, ids of the n best segmentations."""
     return _with(docs, path, n, ["doc_id"], "enc", False).select("doc_id", "enc.*")
 
 
 def encode_digest(docs: DataFrame, path: str | None = None, n: int = N) -> DataFrame:
-    """As ``encode``, with the SHA-256 of the ids (little-endian 32-bit) in place of the ids."""
+    """As ``encode``, with SHA-256s of the ids (little-endian 32-bit) in place of the ids."""
     return _with(docs, path, n, ["doc_id"], "enc", True).select("doc_id", "enc.*")
 
 
