@@ -723,8 +723,14 @@ def a3(spark, sf):
 
 @register("T7_ingest_stream")
 def t7(spark, sf):
-    """Batch twin of the ingest stream: per batch, rows first stored by it (J1+W1 replay)."""
-    return IG.new_rows_per_batch(_docs(spark, sf), "batch_number", "row_hash")
+    """Documents land in two rounds, the ingest stream runs after each (W1, then J1 against the store); per batch, the stored rows read back."""
+    landing, raw, ledger, ck = (_scratch(spark, f"ingest_{n}") for n in ("landing", "raw", "ledger", "ckpt"))
+    landed = fx.docs(spark, sf).select("batch_number", F.lit("Monday").alias("day_used"), F.col("doc_id").alias("seq"), F.col("text").alias("payload"))
+    for part in (landed.where(F.col("batch_number") < 5), landed.where(F.col("batch_number") >= 5)):
+        part.write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(landed.schema).parquet(landing)
+        ST.ingest_stream(stream, raw, ledger, ck, ["payload"]).awaitTermination()
+    return spark.read.parquet(raw).groupBy("batch_number").agg(F.count(F.lit(1)).alias("inserted_records"))
 
 
 def _ledger(spark, sf):
@@ -780,9 +786,11 @@ def s12(spark, sf):
 
 @register("P9_raw_preservation")
 def p9(spark, sf):
-    rec = _records(spark, sf)
-    raw = IG.prepare_raw(rec, fx.RECORD_COLUMNS)
-    return flat(IG.preservation_violations(raw, rec, ["listing_key", *fx.RECORD_COLUMNS]))
+    """Rows that ``append_raw`` wrote, read back and compared with the received ones both ways."""
+    rec, path = _records(spark, sf), _scratch(spark, "raw")
+    IG.append_raw(IG.prepare_raw(rec, fx.RECORD_COLUMNS), path)
+    raw, cols = spark.read.parquet(path), ["listing_key", *fx.RECORD_COLUMNS]
+    return flat(IG.preservation_violations(raw, rec, cols).unionAll(IG.preservation_violations(rec, raw, cols)))
 
 
 @register("P1_drop_control")
