@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontamination, license_scan, maxent_lm, ngram_jaccard, quality_rules, secret_scan, sentencepiece_nbest, suffix_dedup, token_counts, toxicity
+from . import (conversation_repair, decontamination, license_scan, maxent_lm, ngram_jaccard, periodic_runs, quality_rules, secret_scan, sentencepiece_nbest,
+               suffix_dedup, token_counts, toxicity, warc_bundles)
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,6 +61,18 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxent_lm.lm_scores(_docs(spark, sf_dir))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repaired_conversations(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_digests(_docs(spark, sf_dir))
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_bundles.page_records(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -68,7 +81,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_quality_rules, op2_ngram_jaccard_join, op3_secret_scans, op4_suffix_array_dedup, op5_license_scans, op6_toxicity, op7_token_counts, op8_benchmark_decontamination,
-    op9_sentencepiece, op10_lm_scoring, pipeline)}
+    op9_sentencepiece, op10_lm_scoring, op11_conversation_repair, op12_periodic_runs, op13_warc, pipeline)}
 
 ORACLES: dict[str, str] = {
     "op2_ngram_jaccard_join": ngram_jaccard.ORACLE,
