@@ -37,9 +37,12 @@ def to_double(c: str | Column) -> Column:
     """``c`` as a double where its text is a number, else null (NaN included).
 
     Booleans and texts that only the engine's cast reads as numbers (a type
-    suffix as in '5d') are null.
+    suffix as in '5d') are null.  The column's type is a constant of the
+    plan: a numeric column is cast as it is and never printed and matched.
     """
-    d = F.when(col(c).cast("string").rlike(_NUMBER), col(c).try_cast("double"))
+    kind = F.typeof(col(c))
+    numeric = kind.isin("tinyint", "smallint", "int", "bigint", "float", "double") | kind.startswith("decimal")
+    d = F.when(numeric | col(c).cast("string").rlike(_NUMBER), col(c).try_cast("double"))
     return F.nanvl(d, F.lit(None).cast("double"))
 
 
@@ -62,6 +65,26 @@ def row_hash(cols: Sequence[str]) -> Column:
     return F.md5(canonical_json(cols))
 
 
+def received(payload: str | Column) -> Column:
+    """The whole record as received: every key and JSON type of a JSON text (VARIANT); null if it is no JSON.
+
+    A record that names a key twice counts as no JSON."""
+    return F.try_parse_json(col(payload))
+
+
+def canonical_received(payload: str | Column) -> Column:
+    """X2 for a record as received: keys sorted at every level, all of them kept, ``"12"`` and ``12`` apart.
+
+    Numbers written without exponent are compared by value (``1`` is ``1.0``).
+    A text that is no JSON stands for itself, so nothing is lost or merged."""
+    return F.coalesce(F.to_json(received(payload)), col(payload))
+
+
+def received_hash(payload: str | Column) -> Column:
+    """X1 for a record as received: MD5 of its canonical text."""
+    return F.md5(canonical_received(payload))
+
+
 def text_hash(c: str | Column) -> Column:
     """X1 for single-text records (documents): MD5 of the UTF-8 text."""
     return F.md5(col(c))

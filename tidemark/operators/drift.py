@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.expr import py_list, relative_change, to_double
+from tidemark.store.runs import stored
 
 DRIFT_COLUMNS = ["price", "house_size", "bed", "bath"]
 CATEGORICAL_COLUMNS = ["status", "city", "state"]
@@ -162,23 +163,34 @@ def update_history(new_rows: DataFrame, sums_path: str, first_seen_path: str, by
     sums = new_rows.groupBy(by).agg(*sum_count_aggs(drift_columns))
     (sums.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(by).parquet(sums_path))
-    fresh = first_seen(new_rows, by, categorical)
-    try:
-        known = spark.read.parquet(first_seen_path).select("column", "value")
-        fresh = fresh.join(known, ["column", "value"], "left_anti")
-    except Exception:  # noqa: BLE001 - first run: no table yet
-        pass
-    fresh.write.mode("append").parquet(first_seen_path)
+    fresh_categories(new_rows, stored(spark, first_seen_path), by, categorical).write.mode("append").parquet(first_seen_path)
+
+
+def batch_sums(rows: DataFrame, by: str = "batch_number", drift_columns: Sequence[str] = DRIFT_COLUMNS) -> DataFrame:
+    """W3 state: per batch (sum, count) of the drift columns."""
+    return rows.groupBy(by).agg(*sum_count_aggs(drift_columns))
+
+
+def fresh_categories(rows: DataFrame, known: DataFrame | None, by: str = "batch_number",
+                     categorical: Sequence[str] = CATEGORICAL_COLUMNS) -> DataFrame:
+    """W4 state: (column, value, first_batch) of the values that ``known`` does not hold yet."""
+    fresh = first_seen(rows, by, categorical)
+    return fresh if known is None else fresh.join(known.select("column", "value"), ["column", "value"], "left_anti")
 
 
 def drift_from_history(spark, sums_path: str, first_seen_path: str, by: str = "batch_number",
                        drift_columns: Sequence[str] = DRIFT_COLUMNS, threshold: float = DRIFT_THRESHOLD,
                        new_cat_min: int = NEW_CATEGORY_MIN) -> DataFrame:
     """Q3 for every stored batch from the history tables alone (no raw scan)."""
-    sums = spark.read.parquet(sums_path)
+    return drift_from_tables(spark.read.parquet(sums_path), spark.read.parquet(first_seen_path), by, drift_columns, threshold, new_cat_min)
+
+
+def drift_from_tables(sums: DataFrame, categories: DataFrame, by: str = "batch_number",
+                      drift_columns: Sequence[str] = DRIFT_COLUMNS, threshold: float = DRIFT_THRESHOLD,
+                      new_cat_min: int = NEW_CATEGORY_MIN) -> DataFrame:
+    """Q3 from per-batch sums and first-seen categories."""
     em = expanding_means(sums, by, drift_columns)
-    nc = (spark.read.parquet(first_seen_path).groupBy(F.col("first_batch").alias(by))
-          .agg(F.count(F.lit(1)).alias("first_seen_count")))
+    nc = categories.groupBy(F.col("first_batch").alias(by)).agg(F.count(F.lit(1)).alias("first_seen_count"))
     j = em.join(nc, by, "left")
     w = Window.orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
     j = j.withColumn("hist_categories", F.coalesce(F.sum(F.coalesce("first_seen_count", F.lit(0))).over(w), F.lit(0)))

@@ -101,17 +101,19 @@ def history_view(audit: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 # ------------------------------------------------------------------- E2 -----
-def build_experiments(runs: DataFrame, batch_numbers: DataFrame, params: Column, code_commit: str | None = None) -> DataFrame:
+def build_experiments(runs: DataFrame, batch_numbers: DataFrame, params: Column, code_commit: str | None = None,
+                      keep: Sequence[str] = ()) -> DataFrame:
     """One row per candidate with batch numbers, params map, metrics
-    map (NaN dropped, P10), commit.  ``batch_numbers`` is a one-row A14 result."""
-    metric_cols = [c for c in runs.columns if c.startswith(("val_", "test_", "train_size"))]
+    map (NaN dropped, P10), commit and the further columns ``keep``.
+    ``batch_numbers`` is a one-row A14 result."""
+    metric_cols = [c for c in runs.columns if c.startswith(("val_", "test_", "train_size")) and c not in keep]
     metrics = F.map_from_arrays(F.array(*[F.lit(c) for c in metric_cols]),
                                 F.array(*[F.col(c).cast("double") for c in metric_cols]))
     # P10: NaN metrics are not logged, and neither are metrics of an empty split (null)
     from tidemark.operators.metrics import drop_nan_metrics
     bn = batch_numbers.first()["batch_numbers"]  # one small scalar list per run
     return runs.withColumn("batch_numbers", F.array(*[F.lit(int(b)) for b in (bn or [])]).cast("array<int>")).select(
-        *[c for c in ("line", "batch_number", "candidate") if c in runs.columns],
+        *[c for c in ("line", "batch_number", "candidate") if c in runs.columns], *keep,
         "batch_numbers", F.array_join(F.transform("batch_numbers", lambda x: x.cast("string")), ",").alias("batch_numbers_text"),
         params.alias("params"), drop_nan_metrics(metrics).alias("metrics"), F.lit(code_commit).cast("string").alias("code_commit"))
 

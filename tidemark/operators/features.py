@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.expr import sold_year, to_double
 from tidemark.operators.quantiles import exact_percentiles
+from tidemark.operators.ranking import prefix_level, rank_within
 from tidemark.session import cut_lineage
 
+# Column sets of the listing domain, in the models' order.
 CONTROL_COLUMNS = ["id", "row_hash", "loaded_at", "processed", "day_used"]
 CATEGORICAL_COLUMNS = ["status", "city", "state"]
 IMPUTE_COLUMNS = ["bed", "bath", "acre_lot", "house_size", "zip_code", "brokered_by", "street"]
@@ -22,7 +24,8 @@ TARGET = "price"
 SEED = 42
 TRAIN_FRAC = 0.70
 VAL_FRAC = 0.15
-RANK_BUCKETS = 4096  # hash-prefix buckets of W6 (3 hex digits)
+# Hex digits of the hash prefix that are counted first and at least used, and the rows that a bucket should hold
+RANK_LEVEL, RANK_LEAST, RANK_BUCKET_ROWS = 4, 2, 1 << 18
 
 
 # ---------------------------------------------------------------- P1-P5 -----
@@ -74,11 +77,11 @@ def clip_p99(df: DataFrame, p99: float, target: str = TARGET) -> DataFrame:
 # ------------------------------------------------------------- F1 / J3 ------
 def fit_vocabulary(df: DataFrame, columns: Sequence[str] = CATEGORICAL_COLUMNS) -> DataFrame:
     """F1 / O2: (column, value, code) with codes 0..n-1 in code-point order of
-    the value; null ignored.  One small window per column over distinct values."""
+    the value; null ignored.  The distinct values are ranked over sampled
+    ranges, so a column of any cardinality is spread over tasks."""
     u = df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot([], list(columns), "column", "value")
     d = u.where(F.col("value").isNotNull()).distinct()
-    w = Window.partitionBy("column").orderBy("value")
-    return d.withColumn("code", (F.row_number().over(w) - 1).cast("int"))
+    return rank_within(d, ["column"], ["value"], "code").withColumn("code", F.col("code").cast("int"))
 
 
 def others_codes(vocab: DataFrame) -> DataFrame:
@@ -111,6 +114,50 @@ def encode(df: DataFrame, vocab: DataFrame, columns: Sequence[str] = CATEGORICAL
     return out
 
 
+# --------------------------------------------------- versioned dictionary ----
+#: code of null in a versioned dictionary; codes of values never change, so it cannot be the next free one
+NULL_CODE = -1
+
+
+def extend_dictionary(df: DataFrame, known: DataFrame | None, columns: Sequence[str] = CATEGORICAL_COLUMNS) -> DataFrame:
+    """Entries (column, value, code) that ``df`` adds to the dictionary ``known``.
+
+    Codes are append-only: a value keeps its code for good, and new values
+    take the next ones in code-point order, so that codes written by different
+    runs mean the same in one clean table.  On an empty dictionary this is F1.
+    """
+    u = df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot([], list(columns), "column", "value")
+    d = u.where(F.col("value").isNotNull()).distinct()
+    if known is not None:
+        d = d.join(known.select("column", "value"), ["column", "value"], "left_anti")
+    ranked = rank_within(d, ["column"], ["value"], "code")
+    if known is None:
+        return ranked.withColumn("code", F.col("code").cast("int"))
+    used = known.groupBy("column").agg((F.max("code") + 1).alias("_used"))
+    return ranked.join(F.broadcast(used), "column", "left").select(  # one row a column
+        "column", "value", (F.col("code") + F.coalesce("_used", F.lit(0))).cast("int").alias("code"))
+
+
+def _dictionary_join(df: DataFrame, dictionary: DataFrame, columns: Sequence[str], source: str, target: str) -> DataFrame:
+    sizes = {r["column"]: r["n"] for r in dictionary.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
+    small = sum(sizes.get(c, 0) for c in columns) <= VOCAB_BROADCAST_MAX
+    for c in columns:
+        d = dictionary.where(F.col("column") == c).select(F.col(source).alias("_from"), F.col(target).alias("_to"))
+        df = df.join(F.broadcast(d) if small else d, F.col(c).cast(d.schema["_from"].dataType) == F.col("_from"), "left").withColumn(
+            c, F.coalesce("_to", F.lit(NULL_CODE)) if target == "code" else F.col("_to")).drop("_from", "_to")
+    return df
+
+
+def encode_versioned(df: DataFrame, dictionary: DataFrame, columns: Sequence[str] = CATEGORICAL_COLUMNS) -> DataFrame:
+    """J3 with a versioned dictionary: value -> its lasting code, null -> NULL_CODE.  The dictionary must hold every value of ``df``."""
+    return _dictionary_join(df, dictionary, columns, "value", "code")
+
+
+def decode_versioned(df: DataFrame, dictionary: DataFrame, columns: Sequence[str] = CATEGORICAL_COLUMNS) -> DataFrame:
+    """Codes back to values, whichever run wrote them; NULL_CODE -> null."""
+    return _dictionary_join(df, dictionary, columns, "code", "value")
+
+
 def fit_string_indexer(df: DataFrame, columns: Sequence[str] = CATEGORICAL_COLUMNS):
     """F1 via Spark ML: alphabetical order, unknown/null -> n."""
     from pyspark.ml.feature import StringIndexer
@@ -123,30 +170,40 @@ def split_key(key: str, seed: int = SEED):
     return F.md5(F.concat(F.lit(f"{seed}-"), F.col(key).cast("string")))
 
 
-def global_rank(df: DataFrame, key: str, seed: int = SEED, buckets_hex: int = 3,
-                count_source: DataFrame | None = None) -> DataFrame:
+def global_rank(df: DataFrame, key: str, seed: int = SEED, buckets_hex: int | None = None,
+                count_source: DataFrame | None = None, rows_per_bucket: int = RANK_BUCKET_ROWS) -> DataFrame:
     """Exact 0-based rank of ``md5(seed-key)`` over the whole table without a
     single-partition window.
 
-    Rows go to 16**buckets_hex hash-prefix buckets (uniform by construction);
-    the per-bucket counts (one row per bucket, fixed size) give offsets that
-    are broadcast back; ``row_number`` runs per bucket.  ``key`` must be unique
-    per row for a total order (ties are broken by the key itself).
-    ``count_source`` (same rows and key, fewer columns or joins) lets the
-    bucket-count pass skip work that does not change the row set.
+    Rows go to hash-prefix buckets (uniform by construction) whose number
+    follows the counted rows, so a bucket holds about ``rows_per_bucket`` of
+    them at any table size; ``row_number`` runs per bucket and the counts of
+    the buckets before it are added.  ``key`` must be unique per row for a
+    total order (ties are broken by the key itself).  ``count_source`` (same
+    rows and key, fewer columns or joins) lets the counting pass skip work that
+    does not change the row set.
     """
     h = split_key(key, seed)
 
-    def bucketed(frame: DataFrame) -> DataFrame:
-        return frame.withColumn("_h", h).withColumn("_bucket", F.conv(F.substring("_h", 1, buckets_hex), 16, 10).cast("int"))
-    x = bucketed(df)
-    src = x if count_source is None else bucketed(count_source.select(key))
-    counts = src.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_bn"))
-    wo = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_bucket", F.coalesce(F.sum("_bn").over(wo), F.lit(0)).alias("_off"),
-                            F.sum("_bn").over(Window.partitionBy()).alias("_total"))
+    def bucketed(frame: DataFrame, digits: int) -> DataFrame:
+        return frame.withColumn("_h", h).withColumn("_bucket", F.conv(F.substring("_h", 1, digits), 16, 10).cast("bigint"))
+
+    src = df if count_source is None else count_source.select(key)
+    level = buckets_hex or RANK_LEVEL
+    counts = cut_lineage(bucketed(src, level).groupBy("_bucket").agg(F.count(F.lit(1)).alias("_bn")))
+    total = counts.agg(F.coalesce(F.sum("_bn"), F.lit(0)).cast("bigint")).first()[0]
+    digits = buckets_hex or prefix_level(total, rows_per_bucket, RANK_LEAST)
+    if digits > level:  # more rows than the first level can spread: count once more, deeper
+        counts = cut_lineage(bucketed(src, digits).groupBy("_bucket").agg(F.count(F.lit(1)).alias("_bn")))
+    elif digits < level:
+        counts = counts.groupBy(F.shiftright("_bucket", 4 * (level - digits)).alias("_bucket")).agg(F.sum("_bn").alias("_bn"))
+    x = bucketed(df, digits)
+    wo = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)  # one row a bucket
+    offsets = counts.select("_bucket", F.coalesce(F.sum("_bn").over(wo), F.lit(0)).alias("_off"))
     w = Window.partitionBy("_bucket").orderBy("_h", key)
-    ranked = x.join(F.broadcast(offsets), "_bucket").withColumn("rank", F.col("_off") + F.row_number().over(w) - 1)
+    # up to 16 ** 5 offsets are broadcast; more of them share the window's partitioning by bucket
+    ranked = (x.join(F.broadcast(offsets) if digits <= 5 else offsets, "_bucket")
+              .withColumn("rank", F.col("_off") + F.row_number().over(w) - 1).withColumn("_total", F.lit(total).cast("bigint")))
     return ranked.drop("_h", "_bucket", "_off")
 
 

@@ -57,10 +57,9 @@ def materialized(spark: SparkSession, sf_dir: str, name: str, sources: list[str]
         if os.path.exists(f"{path}/_SUCCESS"):
             return spark.read.parquet(path)
         return _write(build(), path, spark)
-    try:  # shared (remote) filesystem: present iff readable
-        return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - not written yet
-        return _write(build(), path, spark)
+    from tidemark.store.runs import stored
+    found = stored(spark, path)  # shared (remote) filesystem
+    return _write(build(), path, spark) if found is None else found
 
 
 def _write(df: DataFrame, path: str, spark: SparkSession) -> DataFrame:
