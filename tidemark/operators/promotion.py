@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.expr import fmt_pct, improvement_pct, worsening_pct
 
@@ -83,37 +84,58 @@ def run_to_version(runs: DataFrame, versions: DataFrame, run_id: str = "run_id")
     return runs.join(v, run_id, "left")
 
 
+def known_metric(x) -> float | None:
+    """A metric as a number; null and NaN are none."""
+    return None if x is None or x != x else float(x)
+
+
+def champion_step(champion: tuple | None, order, mae: float | None, rmse: float | None, resolved: bool | None,
+                  mae_pct: float = MAE_IMPROVEMENT, rmse_pct: float | None = RMSE_MAX_WORSENING) -> bool:
+    """Q5 for one run against ``champion`` (order, mae, rmse), the rule of :func:`promote_rule` in the driver-free scalar form that
+    the scan and the stream of W7 share."""
+    mae, rmse = known_metric(mae), known_metric(rmse)
+    if not resolved or mae is None or (rmse_pct is not None and rmse is None):
+        return False
+    if champion is None:
+        return True
+    return mae <= champion[1] * (1.0 - mae_pct) and (rmse_pct is None or champion[2] is None or rmse <= champion[2] * (1.0 + rmse_pct))
+
+
 def champion_fold(runs: DataFrame, line: str = "line", order: str = "batch_number",
                   mae_pct: float = MAE_IMPROVEMENT, rmse_pct: float | None = RMSE_MAX_WORSENING) -> DataFrame:
     """Sequential champion per line.  A run is compared with the last
     *promoted* run of its line; it is promoted when the rule passes and its
     version resolves (``resolved``); otherwise the champion stays.
 
-    Per line, the runs (one summary row per training run) are folded with
-    ``aggregate``.  The accumulator holds only the promotions, each at least
-    ``mae_pct`` better than the previous, so it stays short; per-run decisions
-    are then read from it with ``filter``.  Lines fold in parallel.
+    The runs (one summary row per training run) are sorted by line and order,
+    and each task scans its sorted stream once, holding one champion: nothing
+    is collected per line, however many runs it has.  Lines scan in parallel.
+    Runs of one order stand by their metrics, nulls first; null lines are one
+    line.  A NaN metric counts as null and comes back as null.
     """
-    st = "struct<order:int,mae:double,rmse:double>"
-    g = runs.groupBy(line).agg(F.array_sort(F.collect_list(
-        F.struct(F.col(order).cast("int").alias("order"), F.col("mae").alias("mae"), F.col("rmse").alias("rmse"),
-                 F.col("resolved").alias("resolved")))).alias("_runs"))
-
-    def step(acc, r):
-        last = F.element_at(acc, -1)
-        champ_m = F.when(F.size(acc) > 0, last["mae"])
-        champ_r = F.when(F.size(acc) > 0, last["rmse"])
-        ok = promote_rule(r["mae"], r["rmse"], champ_m, champ_r, mae_pct, rmse_pct) & r["resolved"]
-        return F.when(ok, F.concat(acc, F.array(F.struct(r["order"].alias("order"), r["mae"].alias("mae"),
-                                                           r["rmse"].alias("rmse"))))).otherwise(acc)
-    g = g.select(line, "_runs", F.aggregate("_runs", F.array().cast(f"array<{st}>"), step).alias("_promos"))
-    x = g.select(line, "_promos", F.explode("_runs").alias("_r"))
-    prior = F.filter("_promos", lambda p: p["order"] < F.col("_r.order"))
-    champ = F.element_at(prior, -1)
-    has = F.size(prior) > 0
-    return x.select(
-        line, F.col("_r.order").alias(order), F.col("_r.mae").alias("mae"), F.col("_r.rmse").alias("rmse"),
-        F.col("_r.resolved").alias("resolved"),
-        F.when(has, champ["order"]).alias("champion_" + order),
-        F.when(has, champ["mae"]).alias("champion_mae"), F.when(has, champ["rmse"]).alias("champion_rmse"),
-        F.exists("_promos", lambda p: p["order"] == F.col("_r.order")).alias("promoted"))
+    mae, rmse = (F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in ("mae", "rmse"))
+    x = runs.select(F.col(line).alias("line"), F.col(order).cast("int").alias("ord"), mae, rmse, F.col("resolved").cast("boolean").alias("resolved"))
+    x = x.repartition("line").sortWithinPartitions(*[F.asc_nulls_first(c) for c in ("line", "ord", "mae", "rmse", "resolved")])
+    kind = x.schema["line"].dataType
+    schema = T.StructType([T.StructField("line", kind), T.StructField("ord", T.IntegerType()), T.StructField("mae", T.DoubleType()), T.StructField("rmse", T.DoubleType()),
+                           T.StructField("resolved", T.BooleanType()), T.StructField("c_ord", T.IntegerType()), T.StructField("c_mae", T.DoubleType()),
+                           T.StructField("c_rmse", T.DoubleType()), T.StructField("promoted", T.BooleanType())])
+
+    def scan(batches):
+        import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_schema
+        arrow, key, champion = to_arrow_schema(schema), object(), None
+        for batch in batches:
+            out = []
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if row[0] != key:
+                    key, champion = row[0], None
+                ok = champion_step(champion, *row[1:], mae_pct, rmse_pct)
+                out.append((*row, *(champion or (None, None, None)), ok))
+                if ok:
+                    champion = (row[1], row[2], known_metric(row[3]))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], f.type) for i, f in enumerate(arrow)], schema=arrow)
+
+    y = x.mapInArrow(scan, schema)
+    return y.select(F.col("line").alias(line), F.col("ord").alias(order), "mae", "rmse", "resolved", F.col("c_ord").alias("champion_" + order),
+                    F.col("c_mae").alias("champion_mae"), F.col("c_rmse").alias("champion_rmse"), "promoted")

@@ -632,6 +632,16 @@ ORACLES["S13_known_hashes"] = with_ctes(DOCS_SQL, body="SELECT DISTINCT md5(text
 ORACLES["J1_dedup_vs_store"] = with_ctes(DOCS_SQL, body="""
 SELECT doc_id FROM docs d WHERE doc_id % 4 <> 0
   AND NOT EXISTS (SELECT 1 FROM docs k WHERE k.doc_id % 4 = 0 AND md5(k.text) = md5(d.text))""")
+ORACLES["J1_hash_index"] = ORACLES["J1_dedup_vs_store"]
+ORACLES["X1_received_hash"] = """
+SELECT doc_id, md5('{"doc_id":' || doc_id || CASE WHEN doc_id % 3 = 0 THEN ',"extra":true' ELSE '' END || ',"lang":"' || lang || '","n_chars":'
+  || CASE WHEN doc_id % 5 = 0 THEN '"' || n_chars || '"' ELSE CAST(n_chars AS VARCHAR) END || '}') AS row_hash FROM documents"""
+ORACLES["P9_received_record"] = with_ctes(LISTINGS_SQL, body="""
+SELECT batch_number, count(*) AS rows,
+  CAST(count(*) * (12 - CASE WHEN batch_number % 9 = 0 THEN 1 ELSE 0 END + CASE WHEN batch_number % 10 = 0 THEN 2 ELSE 0 END) AS BIGINT) AS keys,
+  CASE WHEN batch_number % 10 = 0 THEN count(_garage) ELSE 0 END AS with_garage,
+  CASE WHEN batch_number % 12 = 0 THEN count(*) ELSE 0 END AS text_zip, CAST(0 AS BIGINT) AS violations
+FROM listings GROUP BY batch_number""")
 ORACLES["A3_duplicate_rows"] = with_ctes(DOCS_SQL, body="""
 SELECT batch_number, count(*) - count(DISTINCT md5(text)) AS duplicate_rows FROM docs GROUP BY batch_number""")
 ORACLES["T7_ingest_stream"] = with_ctes(DOCS_SQL, body="""

@@ -12,6 +12,8 @@ from tidemark.operators import decision as DEC
 from tidemark.operators import drift as D
 from tidemark.operators import quality as Q
 from tidemark.sources import fixtures as fx
+from tidemark.store.hash_index import HashIndex
+from tidemark.store.runs import Store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -682,7 +684,7 @@ def t4(spark, sf):
 
 
 # ------------------------------------------------------- ingest / docs ------
-from tidemark.functions.expr import DAYS, canonical_json, relative_change, text_hash, to_double  # noqa: E402
+from tidemark.functions.expr import DAYS, canonical_json, received_hash, relative_change, text_hash, to_double  # noqa: E402
 from tidemark.operators import ingest as IG  # noqa: E402
 
 
@@ -714,6 +716,15 @@ def j1(spark, sf):
     return IG.dedup_vs_store(d.where(F.col("doc_id") % 4 != 0), known).select("doc_id")
 
 
+@register("J1_hash_index")
+def j1_index(spark, sf):
+    """J1 through the persistent index: two runs store documents, a third one is looked up."""
+    index, d = HashIndex(Store(_scratch(spark, "index"))), _docs(spark, sf)
+    for run in (1, 2):
+        index.append(d.where(F.col("doc_id") % 8 == 4 * (run - 1)), "row_hash", run)
+    return index.unseen(d.where(F.col("doc_id") % 4 != 0), "row_hash", 3).select("doc_id")
+
+
 @register("A3_duplicate_rows")
 def a3(spark, sf):
     d = _docs(spark, sf)
@@ -724,13 +735,13 @@ def a3(spark, sf):
 @register("T7_ingest_stream")
 def t7(spark, sf):
     """Documents land in two rounds, the ingest stream runs after each (W1, then J1 against the store); per batch, the stored rows read back."""
-    landing, raw, ledger, ck = (_scratch(spark, f"ingest_{n}") for n in ("landing", "raw", "ledger", "ckpt"))
-    landed = fx.docs(spark, sf).select("batch_number", F.lit("Monday").alias("day_used"), F.col("doc_id").alias("seq"), F.col("text").alias("payload"))
+    landing, ck, store = _scratch(spark, "ingest_landing"), _scratch(spark, "ingest_ckpt"), Store(_scratch(spark, "ingest_store"))
+    landed = fx.docs(spark, sf).select("batch_number", F.lit("Monday").alias("day_used"), F.col("doc_id").alias("seq"),
+                                       F.to_json(F.struct("text")).alias("payload"))
     for part in (landed.where(F.col("batch_number") < 5), landed.where(F.col("batch_number") >= 5)):
         part.write.mode("append").parquet(landing)
-        stream = spark.readStream.schema(landed.schema).parquet(landing)
-        ST.ingest_stream(stream, raw, ledger, ck, ["payload"]).awaitTermination()
-    return spark.read.parquet(raw).groupBy("batch_number").agg(F.count(F.lit(1)).alias("inserted_records"))
+        ST.ingest_stream(spark.readStream.schema(landed.schema).parquet(landing), store, ck).awaitTermination()
+    return store.read(spark, "raw").groupBy("batch_number").agg(F.count(F.lit(1)).alias("inserted_records"))
 
 
 def _ledger(spark, sf):
@@ -793,6 +804,34 @@ def p9(spark, sf):
     return flat(IG.preservation_violations(raw, rec, cols).unionAll(IG.preservation_violations(rec, raw, cols)))
 
 
+@register("P9_received_record")
+def p9_received(spark, sf):
+    """Received payloads stored whole and read back: per batch, rows, keys, extra keys, text zip codes, and records that are not as received."""
+    store, p = Store(_scratch(spark, "received")), fx.listings_payload(spark, sf)
+    store.write(IG.prepare_received(p).drop("payload"), "raw", 1, ["batch_number"])
+    store.commit(spark, 1)
+    raw = store.read(spark, "raw")
+    zip_type = F.schema_of_variant(F.try_variant_get("received", "$.zip_code", "variant"))
+    kept = raw.groupBy("batch_number").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.size(F.col("received").cast("map<string,variant>"))).alias("keys"),
+        F.count_if(F.try_variant_get("received", "$.garage", "string").isNotNull()).alias("with_garage"), F.count_if(zip_type == "STRING").alias("text_zip"))
+    bad = IG.received_violations(raw, p, ("batch_number", "listing_key")).groupBy("batch_number").agg(F.sum("copies").alias("_bad"))
+    return kept.join(bad, "batch_number", "left").select("batch_number", "rows", "keys", "with_garage", "text_zip", F.coalesce("_bad", F.lit(0)).alias("violations"))
+
+
+@register("X1_received_hash")
+def x1_received(spark, sf):
+    """Digest of whole records: key order and spaces do not matter, an extra key and the JSON type do."""
+    d = fx.table(spark, sf, "documents")
+    q = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+    n = F.col("n_chars").cast("string")
+    parts = [F.concat(F.lit('"doc_id": '), F.col("doc_id").cast("string")), F.concat(F.lit('"n_chars":'), F.when(F.col("doc_id") % 5 == 0, q(n)).otherwise(n)),
+             F.concat(F.lit('"lang" :'), q(F.col("lang"))), F.when(F.col("doc_id") % 3 == 0, F.lit('"extra": true'))]
+    forward, backward = F.concat_ws(",", *parts), F.concat_ws(" , ", *reversed(parts))
+    payload = F.concat(F.lit("{"), F.when(F.col("doc_id") % 2 == 0, forward).otherwise(backward), F.lit(" }"))
+    return d.select("doc_id", received_hash(payload).alias("row_hash"))
+
+
 @register("P1_drop_control")
 def p1(spark, sf):
     raw = IG.prepare_raw(_records(spark, sf), fx.RECORD_COLUMNS)
