@@ -62,6 +62,7 @@ def _tables(spark, store):
 @pytest.fixture(scope="module")
 def unbroken(spark, tmp_path_factory):
     """Two runs that nothing disturbs."""
+    spark.conf.set("spark.sql.shuffle.partitions", "2")  # small tables, many of them
     base = str(tmp_path_factory.mktemp("cycle"))
     writes = []
     store = Store(f"{base}/store", lambda table, run: writes.append((run, table)))

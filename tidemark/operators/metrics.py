@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import cut_lineage
+
 RUN_KEYS = ["line", "batch_number", "candidate", "ordinal"]
 
 
@@ -48,12 +50,22 @@ def drop_nan_metrics(m):
     return F.map_filter(m, lambda k, v: v.isNotNull() & ~F.isnan(v))
 
 
+#: groups (a model line and candidate each) up to which their ranges are broadcast
+RANGE_GROUPS = 100_000
+
+
+def _with_ranges(rows: DataFrame, ranges: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows with the range of their group.  There are few groups and many rows of each, so the counted ranges travel, not the rows."""
+    ranges = cut_lineage(ranges)
+    return rows.join(F.broadcast(ranges) if ranges.count() <= RANGE_GROUPS else ranges, list(keys))
+
+
 def residual_histogram(pred: DataFrame, keys: Sequence[str] = ("line",), bins: int = 50,
                        actual: str = "actual", predicted: str = "predicted") -> DataFrame:
     """``bins`` equal-width bins of predicted - actual per group (min/max pass + width_bucket)."""
     r = pred.withColumn("_r", F.col(predicted) - F.col(actual))
     mm = r.groupBy(*keys).agg(F.min("_r").alias("_lo"), F.max("_r").alias("_hi"))
-    j = r.join(mm, list(keys))
+    j = _with_ranges(r, mm, keys)
     width = (F.col("_hi") - F.col("_lo")) / bins
     b = F.when(F.col("_hi") == F.col("_lo"), F.lit(0)).otherwise(
         F.least(F.floor((F.col("_r") - F.col("_lo")) / width), F.lit(bins - 1))).cast("int")
@@ -66,7 +78,7 @@ def actual_vs_predicted(pred: DataFrame, keys: Sequence[str] = ("line",), bins:
     """Common [min, max] range of both axes and 2-D binned counts in place of raw points."""
     mm = pred.groupBy(*keys).agg(F.least(F.min(actual), F.min(predicted)).alias("_lo"),
                                  F.greatest(F.max(actual), F.max(predicted)).alias("_hi"))
-    j = pred.join(mm, list(keys))
+    j = _with_ranges(pred, mm, keys)
     width = (F.col("_hi") - F.col("_lo")) / bins
 
     def b(c):

@@ -13,6 +13,7 @@ Tables of the :class:`~tidemark.store.runs.Store` (folders of ``run=<k>``):
     first_seen/      (column, value, first_batch) (W4 state)
     dictionary/      (column, value, code), append-only codes (J3)
     clean/           partitionBy(split): encoded, imputed rows (S7)
+    gram/            per batch the sums from which ridge is solved (M1 state)
     processed/       (batch_number, row_hash) rows that were cleaned (S6)
     experiments/     one row per candidate: params, metrics, decision (S14)
     champions/       (version, run_id, mae, rmse, logged_at) promoted models
@@ -34,6 +35,7 @@ from tidemark.operators import decision as DEC
 from tidemark.operators import drift as D
 from tidemark.operators import events as EV
 from tidemark.operators import features as FE
+from tidemark.operators import gram as GR
 from tidemark.operators import ingest as IG
 from tidemark.operators import metrics as ME
 from tidemark.operators import promotion as PR
@@ -141,6 +143,12 @@ def _clean(spark: SparkSession, store: Store, run: int) -> bool:
     dictionary = fresh if known is None else known.select(*fresh.columns).unionByName(fresh)
     clean = FE.split_dataset(FE.encode_versioned(kept, dictionary), "_key", count_source=kept)
     store.write(clean.drop("_key"), "clean", run, ["split"])
+    written = store.read(spark, "clean", run)
+    if written is not None:  # of this run's training rows only
+        train = written.where((F.col("run") == run) & (F.col("split") == "train"))
+        states = store.read(spark, "gram", run - 1)
+        first = states.select("shift").first() if states is not None else None
+        store.write(GR.gram_state(train, shift=first["shift"] if first else GR.column_means(train)), "gram", run)
     store.write(todo.select("batch_number", "row_hash"), "processed", run)
     return True
 
@@ -150,8 +158,17 @@ def _train_and_promote(spark: SparkSession, store: Store, run: int, decisions: D
     _clean(spark, store, run)
     if store.read(spark, "clean", run) is None:
         return None
-    data = cut_lineage(training_rows(spark, store, run))
-    wide, models = TR.train_candidates(data, list(candidates))
+    data = training_rows(spark, store, run)
+    fitted, rows = {}, None
+    if "ridge" in candidates:  # from the sums of all batches: no training row is read again
+        ridge = GR.solve_ridge(GR.merge_states(store.read(spark, "gram", run)))
+        if ridge is None:
+            return None
+        labels: dict[str, list[str]] = {}
+        for r in store.read(spark, "dictionary", run).orderBy("column", "code").collect():  # a model carries its vocabulary
+            labels.setdefault(r["column"], []).append(r["value"])
+        fitted, rows = {"ridge": ridge.pipeline(labels)}, ridge.rows
+    wide, models = TR.train_candidates(data, list(candidates), fitted=fitted, train_size=rows)
     if not models:
         return None
     wide = cut_lineage(wide)
@@ -171,7 +188,7 @@ def _train_and_promote(spark: SparkSession, store: Store, run: int, decisions: D
                                F.array(F.lit(FE.TARGET), F.lit(",".join(FE.FEATURES)), F.lit(",".join(candidates)),
                                        F.lit(decided["reason"] if decided else "no candidate with metrics")))
     runs = EV.build_experiments(wide.withColumns({"run_id": ids, "best": F.col("candidate") == F.lit(best["candidate"] if best else None)}),
-                                FE.batch_numbers_used(data), params, code_commit, keep=("run_id", "best"))
+                                FE.batch_numbers_used(store.read(spark, "clean", run).select("batch_number")), params, code_commit, keep=("run_id", "best"))
     store.write(runs, "experiments", run)
     if promote:
         models[best["candidate"]].write().overwrite().save(f"{store.path('models')}/{version}")

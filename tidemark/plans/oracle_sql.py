@@ -299,8 +299,12 @@ SELECT """ + ",\n".join(
     f"count(*) FILTER (WHERE {c} IS NULL{' OR isnan(' + c + ')' if c not in ('status', 'city', 'state', 'prev_sold_date') else ''}) AS nulls_{c}"
     for c in ["brokered_by", "status", "price", "bed", "bath", "acre_lot", "street", "city", "state", "zip_code",
               "house_size", "prev_sold_date"]) + " FROM listings")
-ORACLES["P5_fill_features"] = with_ctes(LISTINGS_SQL, body="SELECT listing_key, " + ", ".join(
-    f"round(coalesce({c}, 0), 6) AS {c}" for c in _NUMS) + " FROM listings")
+_FEATURES = ["brokered_by", "status", "bed", "bath", "acre_lot", "street", "city", "state", "zip_code", "house_size", "prev_sold_year"]
+ORACLES["P5_fill_features"] = with_ctes(LISTINGS_SQL, HIST_VOCAB_CTE, body="SELECT l.listing_key, " + ", ".join(
+    f"CASE WHEN CAST(l.zip_code AS BIGINT) % 4 IN ({i % 4}, {(i + 1) % 4}) THEN 0.0 ELSE "
+    + (f"CAST(h.{c} AS DOUBLE)" if c in ("status", "city", "state") else
+       "CAST(coalesce(year(try_strptime(l.prev_sold_date, '%Y-%m-%d')), 0) AS DOUBLE)" if c == "prev_sold_year" else f"round(coalesce(l.{c}, 0), 6)") + f" END AS {c}"
+    for i, c in enumerate(_FEATURES)) + " FROM listings l JOIN henc h ON h.listing_key = l.listing_key")
 ORACLES["X4_sold_year"] = with_ctes(LISTINGS_SQL, body="""
 SELECT listing_key, CAST(coalesce(year(try_strptime(prev_sold_date, '%Y-%m-%d')), 0) AS INTEGER) AS prev_sold_year FROM listings""")
 ORACLES["P6_feature_vector"] = with_ctes(LISTINGS_SQL, CLEAN_CTE, body="SELECT listing_key, " + ", ".join(
@@ -410,7 +414,7 @@ _HIST = """
 SELECT line, candidate, bin, count(*) AS count, round(min(lo), 6) AS range_lo, round(min(hi), 6) AS range_hi FROM (
   SELECT line, candidate, lo, hi,
          CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor((v - lo) / ((hi - lo) / {bins})), {bins} - 1) END AS INTEGER) AS bin{extra}
-  FROM (SELECT *, {vexpr} AS v, {lo} OVER w AS lo, {hi} OVER w AS hi FROM candidate_predictions WHERE split = 'test'
+  FROM (SELECT *, {vexpr} AS v, {lo} OVER w AS lo, {hi} OVER w AS hi FROM candidate_predictions WHERE split = 'val'
         WINDOW w AS (PARTITION BY line, candidate)))
 GROUP BY line, candidate, bin{extra_g}"""
 ORACLES["A20_residual_histogram"] = with_ctes(CANDIDATE_PREDICTIONS_SQL, body=_HIST.format(
@@ -421,7 +425,7 @@ SELECT line, candidate, actual_bin, predicted_bin, count(*) AS count, round(min(
          CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor((actual - lo) / ((hi - lo) / 20)), 19) END AS INTEGER) AS actual_bin,
          CAST(CASE WHEN hi = lo THEN 0 ELSE least(floor((predicted - lo) / ((hi - lo) / 20)), 19) END AS INTEGER) AS predicted_bin
   FROM (SELECT *, least(min(actual) OVER w, min(predicted) OVER w) AS lo, greatest(max(actual) OVER w, max(predicted) OVER w) AS hi
-        FROM candidate_predictions WHERE split = 'test' WINDOW w AS (PARTITION BY line, candidate)))
+        FROM candidate_predictions WHERE split = 'val' WINDOW w AS (PARTITION BY line, candidate)))
 GROUP BY line, candidate, actual_bin, predicted_bin""")
 
 
@@ -776,22 +780,51 @@ SELECT doc_id, CAST(to_json({'doc_id': doc_id, 'text': text}) AS VARCHAR) AS can
 # ----------------------------------------------------- experiment rows -----
 _TEST_PRESENT = """EXISTS (SELECT 1 FROM metrics m WHERE m.line = w.line AND m.batch_number = w.batch_number
                           AND m.candidate = w.candidate AND m.split = 'test')"""
-ORACLES["P10_drop_nan_metrics"] = with_ctes(CANDIDATE_PREDICTIONS_SQL, RUNS_CTE, body=f"""
+_KNOWN = "x.{c} IS NOT NULL AND NOT isnan(x.{c})"
+P10_CTE = """
+p10 AS (SELECT w.line, w.batch_number, w.candidate, w.val_mae, t.mae AS test_mae FROM wide w LEFT JOIN metrics t
+        ON t.line = w.line AND t.batch_number = w.batch_number AND t.candidate = w.candidate AND t.split = 'test')"""
+ORACLES["P10_drop_nan_metrics"] = with_ctes(CANDIDATE_PREDICTIONS_SQL, RUNS_CTE, P10_CTE, body=f"""
 SELECT line, batch_number, candidate,
-       CAST((CASE WHEN val_mae IS NOT NULL AND NOT isnan(val_mae) THEN 1 ELSE 0 END)
-            + (CASE WHEN {_TEST_PRESENT} THEN 1 ELSE 0 END) AS INTEGER) AS n_metrics
-FROM wide w""")
+       CAST((CASE WHEN {_KNOWN.format(c='val_mae')} THEN 1 ELSE 0 END) + (CASE WHEN {_KNOWN.format(c='test_mae')} THEN 1 ELSE 0 END) AS INTEGER) AS n_metrics,
+       concat_ws(',', CASE WHEN {_KNOWN.format(c='test_mae')} THEN 'test_mae' END, CASE WHEN {_KNOWN.format(c='val_mae')} THEN 'val_mae' END) AS names,
+       CASE WHEN {_KNOWN.format(c='test_mae')} THEN round(test_mae, 2) END AS test_mae
+FROM p10 x""")
 _SPLIT_PRESENT = """EXISTS (SELECT 1 FROM metrics m WHERE m.line = w.line AND m.batch_number = w.batch_number
                           AND m.candidate = w.candidate AND m.split = '{s}')"""
+_METRIC = """(SELECT round(max(m.{m}), {k}) FROM metrics m WHERE m.line = w.line AND m.batch_number = w.batch_number
+                          AND m.candidate = w.candidate AND m.split = '{s}') AS {s}_{m}"""
 ORACLES["S14_experiment_runs"] = with_ctes(LISTINGS_SQL, CANDIDATE_PREDICTIONS_SQL, RUNS_CTE, body=f"""
 SELECT line, batch_number, candidate,
        (SELECT array_to_string(list_sort(list(DISTINCT batch_number)), ',') FROM listings) AS batch_numbers_text,
        CAST(4 * (CASE WHEN {_SPLIT_PRESENT.format(s='val')} THEN 1 ELSE 0 END)
             + 3 * (CASE WHEN {_SPLIT_PRESENT.format(s='test')} THEN 1 ELSE 0 END)
             + (CASE WHEN {_SPLIT_PRESENT.format(s='train')} THEN 1 ELSE 0 END) AS INTEGER) AS n_metrics,
-       '0000000' AS code_commit
-FROM best w""")
-ORACLES["E2_build_experiments"] = ORACLES["S14_experiment_runs"]
+       '0000000' AS code_commit, 'model=' || candidate || ';prep_random_state=42;prep_split_train_frac=0.7' AS params,
+       {", ".join(_METRIC.format(s=s, m=m, k=6 if m == 'r2' else 2) for s in ('val', 'test') for m in ('mae', 'rmse', 'r2'))}
+FROM wide w""")
+ORACLES["E2_build_experiments"] = with_ctes(CANDIDATE_PREDICTIONS_SQL, RUNS_CTE, body=" UNION ALL ".join(
+    f"SELECT line, batch_number, candidate, split || '_{m}' AS metric, round({m}, 2) AS value FROM metrics WHERE split IN ('val', 'test')" for m in ("mae", "rmse", "r2")))
+
+# ridge: moments of the training rows, then Gauss-Jordan elimination of the standardised normal equations, one pivot a step
+_RIDGE_X = [f"CAST({c} AS DOUBLE)" for c in _FEATURES]
+RIDGE_CTE = """
+train AS (SELECT price AS y, """ + ", ".join(f"{x} AS x{i}" for i, x in enumerate(_RIDGE_X)) + """ FROM clean WHERE split = 'train'),
+moments AS (SELECT CAST(count(*) AS DOUBLE) AS n, """ + ", ".join(f"stddev_pop(x{i}) AS s{i}, covar_pop(x{i}, y) AS c{i}" for i in range(11)) + ", " + ", ".join(
+    f"covar_pop(x{i}, x{j}) AS c{i}_{j}" for i in range(11) for j in range(i, 11)) + """ FROM train),
+steps AS (
+  SELECT 0 AS k, [""" + ", ".join("[" + ", ".join(
+    f"n * c{min(i, j)}_{max(i, j)} / (s{i} * s{j}){' + 1.0' if i == j else ''}" for j in range(11)) + f", n * c{i} / s{i}]" for i in range(11)) + """] AS m FROM moments
+  UNION ALL
+  SELECT k + 1, list_transform(range(1, 12), lambda i: list_transform(range(1, 13), lambda j:
+    CASE WHEN i = k + 1 THEN m[i][j] / m[i][i] ELSE m[i][j] - m[i][k + 1] / m[k + 1][k + 1] * m[k + 1][j] END)) FROM steps WHERE k < 11
+),
+ridge AS (SELECT f.feature, f.place, (SELECT m FROM steps WHERE k = 11)[f.place][12] AS weight
+  FROM (VALUES """ + ", ".join(f"('{c}', {i + 1})" for i, c in enumerate(_FEATURES)) + """) AS f(feature, place))"""
+ORACLES["M1_ridge_weights"] = with_ctes(LISTINGS_SQL, CLEAN_CTE, RIDGE_CTE, body="""
+SELECT feature, round(weight, 2) AS weight, (SELECT count(*) FROM train) AS train_rows FROM ridge""").replace("WITH ", "WITH RECURSIVE ", 1)
+ORACLES["A21_ridge_importance"] = with_ctes(LISTINGS_SQL, CLEAN_CTE, RIDGE_CTE, body="""
+SELECT CAST(row_number() OVER (ORDER BY abs(weight) DESC) AS INTEGER) AS place, feature, round(abs(weight), 2) AS importance FROM ridge""").replace("WITH ", "WITH RECURSIVE ", 1)
 
 
 ORACLES["Q4_decide_training_documented"] = with_ctes(*_SIG, body="""

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators import decision as DEC
 from tidemark.operators import drift as D
+from tidemark.operators import gram as GR
 from tidemark.operators import quality as Q
 from tidemark.sources import fixtures as fx
 from tidemark.store.hash_index import HashIndex
@@ -230,7 +231,13 @@ def p7(spark, sf):
 
 @register("P5_fill_features")
 def p5(spark, sf):
-    return flat(FE.fill_features(_records(spark, sf), _NUMS).select("listing_key", *_NUMS))
+    """All eleven features as training reads them, half of their rows without values (null or NaN)."""
+    rec = FE.with_sold_year(_hist_encoded(spark, sf)).withColumn("_hole", F.col("zip_code").cast("bigint") % 4)
+    hole = F.col("_hole")
+    for i, c in enumerate(FE.FEATURES):
+        gone = F.when(hole == i % 4, F.lit(None)).when(hole == (i + 1) % 4, F.lit(float("nan"))).otherwise(F.col(c).cast("double"))
+        rec = rec.withColumn(c, gone)
+    return flat(FE.fill_features(rec).select("listing_key", *FE.FEATURES))
 
 
 @register("X4_sold_year")
@@ -347,13 +354,13 @@ def q6(spark, sf):
 
 @register("A20_residual_histogram")
 def a20(spark, sf):
-    p = _preds(spark, sf).where(F.col("split") == "test")
+    p = _preds(spark, sf).where(F.col("split") == "val")
     return flat(ME.residual_histogram(p, ["line", "candidate"]), col_digits=_MONEY)
 
 
 @register("A24_actual_vs_predicted")
 def a24(spark, sf):
-    p = _preds(spark, sf).where(F.col("split") == "test")
+    p = _preds(spark, sf).where(F.col("split") == "val")
     return flat(ME.actual_vs_predicted(p, ["line", "candidate"]), col_digits=_MONEY)
 
 
@@ -587,6 +594,24 @@ def m1(spark, sf):
                                  .withColumn("candidate", F.lit("ridge")), ["candidate"])
 
 
+@register("M1_ridge_weights")
+def m1_weights(spark, sf):
+    """Ridge over all training rows from one mergeable row of sums a batch; weights of the standardised features."""
+    train = _clean(spark, sf).where(F.col("split") == "train")
+    states = GR.gram_state(train, shift=GR.column_means(train))
+    ridge = GR.solve_ridge(GR.merge_states(states))
+    return flat(ridge.table(spark).select("feature", "weight", F.lit(ridge.rows).cast("bigint").alias("train_rows")), col_digits={"weight": 2})
+
+
+@register("A21_ridge_importance")
+def a21_ridge(spark, sf):
+    """A21 / O3 of the ridge weights: absolute values with their place in descending order."""
+    train = _clean(spark, sf).where(F.col("split") == "train")
+    ridge = GR.solve_ridge(GR.merge_states(GR.gram_state(train, shift=GR.column_means(train))))
+    rows = [(i + 1, f, w) for i, (f, w) in enumerate(ridge.importance())]
+    return flat(spark.createDataFrame(rows, "place int, feature string, importance double"), col_digits={"importance": 2})
+
+
 def _candidates(spark, sf, names):
     wide, models = TR.train_candidates(_train_data(spark, sf), names)
     return wide, models
@@ -622,39 +647,58 @@ def o3(spark, sf):
 
 @register("M6_performance_data")
 def m6(spark, sf):
+    """Data of the three plots on the validation split: residual bins, binned pairs, importances."""
     d = _train_data(spark, sf)
-    p = _ridge_champion(spark, sf).transform(d.where(F.col("split") == "test")).select(
+    model = _ridge_champion(spark, sf)
+    p = model.transform(d.where(F.col("split") == "val")).select(
         F.lit("ridge").alias("candidate"), F.col("price").alias("actual"), F.col("prediction").alias("predicted"))
     h = ME.residual_histogram(p, ["candidate"]).select("candidate", F.lit("residual").alias("plot"), F.col("bin").alias("x"),
-                                                        F.lit(None).cast("int").alias("y"), "count")
+                                                        F.lit(None).cast("int").alias("y"), "count", F.lit(None).cast("string").alias("feature"), F.lit(None).cast("double").alias("value"))
     s = ME.actual_vs_predicted(p, ["candidate"]).select("candidate", F.lit("scatter").alias("plot"),
-                                                         F.col("actual_bin").alias("x"), F.col("predicted_bin").alias("y"), "count")
-    return h.unionByName(s)
+                                                         F.col("actual_bin").alias("x"), F.col("predicted_bin").alias("y"), "count",
+                                                         F.lit(None).cast("string").alias("feature"), F.lit(None).cast("double").alias("value"))
+    i = spark.createDataFrame([("ridge", "importance", k, f, v) for k, (f, v) in enumerate(TR.feature_importance(model, "ridge"))],
+                              "candidate string, plot string, x int, feature string, value double")
+    return h.unionByName(s).unionByName(i.select("candidate", "plot", "x", F.lit(None).cast("int").alias("y"), F.lit(None).cast("bigint").alias("count"), "feature", "value"))
 
 
-@register("S14_experiment_runs")
-def s14(spark, sf):
-    """Experiment rows of the best candidates with their val/test metrics (missing or NaN dropped)."""
+_METRICS = [f"{s}_{m}" for s in ("val", "test") for m in ("mae", "rmse", "r2")]
+
+
+def _experiments(spark, sf):
+    """One row for every candidate of every run."""
     wide = ME.wide_metrics(ME.regression_metrics(_preds(spark, sf)))
-    best = wide.join(_best_runs(spark, sf).select("line", "batch_number", "candidate"),
-                     ["line", "batch_number", "candidate"])
-    bn = FE.batch_numbers_used(_records(spark, sf))
     params = F.create_map(F.lit("prep_split_train_frac"), F.lit(str(FE.TRAIN_FRAC)),
                           F.lit("prep_random_state"), F.lit(str(FE.SEED)), F.lit("model"), F.col("candidate"))
-    return EV.build_experiments(best, bn, params, CODE_COMMIT).select(
-        "line", "batch_number", "candidate", "batch_numbers_text", F.size("metrics").alias("n_metrics"), "code_commit")
+    return EV.build_experiments(wide, FE.batch_numbers_used(_records(spark, sf)), params, CODE_COMMIT)
+
+
+@register("S14_experiment_runs")
+def s14(spark, sf):
+    """Experiment rows of all candidates appended to their table and read back, with every metric (missing or NaN dropped)."""
+    store = Store(_scratch(spark, "experiments"))
+    store.write(_experiments(spark, sf), "experiments", 1)
+    store.commit(spark, 1)
+    e = store.read(spark, "experiments")
+    return flat(e.select("line", "batch_number", "candidate", "batch_numbers_text", F.size("metrics").alias("n_metrics"), "code_commit",
+                         F.array_join(F.array_sort(F.transform(F.map_entries("params"), lambda p: F.concat(p["key"], F.lit("="), p["value"]))), ";").alias("params"),
+                         *[F.try_element_at("metrics", F.lit(m)).alias(m) for m in _METRICS]), col_digits={m: 2 for m in _METRICS if not m.endswith("r2")})
 
 
 @register("E2_build_experiments")
 def e2(spark, sf):
-    return s14(spark, sf)
+    """The built rows, one a logged metric."""
+    e = _experiments(spark, sf).select("line", "batch_number", "candidate", F.explode("metrics").alias("metric", "value"))
+    return flat(e.where(F.col("metric").isin(_METRICS)), col_digits={"value": 2})
 
 
 @register("P10_drop_nan_metrics")
 def p10(spark, sf):
+    """Metrics that are left, by name and value: NaN and those of an empty split are gone."""
     w = ME.wide_metrics(ME.regression_metrics(_preds(spark, sf)))
-    m = F.map_from_arrays(F.array(F.lit("val_mae"), F.lit("test_mae")), F.array("val_mae", "test_mae"))
-    return w.select("line", "batch_number", "candidate", F.size(ME.drop_nan_metrics(m)).alias("n_metrics"))
+    m = ME.drop_nan_metrics(F.map_from_arrays(F.array(*[F.lit(c) for c in ("val_mae", "test_mae")]), F.array("val_mae", "test_mae")))
+    left = F.array_join(F.array_sort(F.map_keys(m)), ",")
+    return flat(w.select("line", "batch_number", "candidate", F.size(m).alias("n_metrics"), left.alias("names"), F.try_element_at(m, F.lit("test_mae")).alias("test_mae")), col_digits={"test_mae": 2})
 
 
 # ------------------------------------------------------------ streaming -----
