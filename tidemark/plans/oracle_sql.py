@@ -300,6 +300,22 @@ SELECT """ + ",\n".join(
     for c in ["brokered_by", "status", "price", "bed", "bath", "acre_lot", "street", "city", "state", "zip_code",
               "house_size", "prev_sold_date"]) + " FROM listings")
 _FEATURES = ["brokered_by", "status", "bed", "bath", "acre_lot", "street", "city", "state", "zip_code", "house_size", "prev_sold_year"]
+def _params_sql(source: str, prefix: str = "") -> str:
+    """Names, texts and numbers of the parameters fitted on ``source``."""
+    rows = [("categorical_columns", "'status,city,state'", "NULL"), ("numeric_columns", "'" + ",".join(_NUMS) + "'", "NULL"),
+            ("split_train_frac", "NULL", "0.7"), ("split_val_frac", "NULL", "0.15"), ("split_test_frac", "NULL", "0.15"), ("random_state", "NULL", "42.0")]
+    rows += [(f"impute_{c}_median", "NULL", f"(SELECT round(coalesce(quantile_cont({c}, 0.5), 0.0), 6) FROM {source})") for c in _NUMS]
+    rows += [(f"encoder_{c}_{what}", "NULL", f"(SELECT CAST(count(DISTINCT {c}) AS DOUBLE) FROM {source})") for c in ("status", "city", "state") for what in ("n_categories", "others_code")]
+    return " UNION ALL ".join(f"SELECT '{prefix}{n}' AS name, CAST({t} AS VARCHAR) AS text, CAST({v} AS DOUBLE) AS number" for n, t, v in rows)
+
+
+FIT_CTE = """
+fit_rows AS (SELECT * FROM listings WHERE price IS NOT NULL AND NOT isnan(price) AND price > 0 AND batch_number <= 40)"""
+ORACLES["F4_fit_preprocessor"] = with_ctes(LISTINGS_SQL, FIT_CTE, body=_params_sql("fit_rows"))
+ORACLES["X14_flatten_params"] = with_ctes(LISTINGS_SQL, FIT_CTE, body=_params_sql("fit_rows", "prep_"))
+ORACLES["F6_capture_params"] = with_ctes(LISTINGS_SQL, CLEAN_CTE, body=_params_sql("kept"))
+ORACLES["A10_sketch_percentiles"] = with_ctes(LISTINGS_SQL, CLEAN_CTE, body="SELECT " + ", ".join(
+    f"(SELECT round(quantile_cont({c}, 0.5), 6) FROM clean0) AS median_{c}" for c in _NUMS) + ", (SELECT round(quantile_cont(price, 0.99), 6) FROM clean0) AS p99")
 ORACLES["P5_fill_features"] = with_ctes(LISTINGS_SQL, HIST_VOCAB_CTE, body="SELECT l.listing_key, " + ", ".join(
     f"CASE WHEN CAST(l.zip_code AS BIGINT) % 4 IN ({i % 4}, {(i + 1) % 4}) THEN 0.0 ELSE "
     + (f"CAST(h.{c} AS DOUBLE)" if c in ("status", "city", "state") else

@@ -12,6 +12,7 @@ from tidemark.operators import decision as DEC
 from tidemark.operators import drift as D
 from tidemark.operators import gram as GR
 from tidemark.operators import quality as Q
+from tidemark.operators import sketches as SK
 from tidemark.sources import fixtures as fx
 from tidemark.store.hash_index import HashIndex
 from tidemark.store.runs import Store
@@ -137,6 +138,14 @@ def a10(spark, sf):
     return flat(FE.fit_medians(df, _NUMS))
 
 
+@register("A10_sketch_percentiles")
+def a10_sketch(spark, sf):
+    """Medians and the p99 (A10, A11, P4's bound) from one row of sketches a batch and one pass over the rows."""
+    df = FE.valid_target(_records(spark, sf))
+    states = SK.sketch_state(df, [*_NUMS, "price"])
+    return flat(SK.exact_from_sketches(df, states, [*[(f"median_{c}", c, 0.5) for c in _NUMS], ("p99", "price", 0.99)]))
+
+
 @register("A11_p99")
 def a11(spark, sf):
     df = FE.valid_target(_records(spark, sf))
@@ -256,7 +265,13 @@ def p6(spark, sf):
 @register("F6_capture_params")
 def f6(spark, sf):
     kept, _ = _kept(spark, sf)
-    return FE.fit_preprocessor(kept).params()
+    return _numbers(FE.fit_preprocessor(kept).params())
+
+
+def _numbers(params):
+    """Parameter table with numeric values as rounded numbers: engines agree on them, not on the text of a double."""
+    number = to_double("value")
+    return flat(params.select("name", F.when(number.isNull(), F.col("value")).alias("text"), number.alias("number")))
 
 
 # ------------------------------------------------- metrics & promotion ------
@@ -1084,13 +1099,13 @@ def _fit_hist(spark, sf):
 @register("F4_fit_preprocessor")
 def f4(spark, sf):
     _, pp = _fit_hist(spark, sf)
-    return pp.params()
+    return _numbers(pp.params())
 
 
 @register("X14_flatten_params")
 def x14(spark, sf):
     _, pp = _fit_hist(spark, sf)
-    return pp.params().select(F.concat(F.lit("prep_"), "name").alias("name"), "value")
+    return _numbers(pp.params().select(F.concat(F.lit("prep_"), "name").alias("name"), "value"))
 
 
 @register("F5_transform")
