@@ -20,5 +20,5 @@ def test_stages_keep_columns_and_take_effect(spark):
 
 
 def test_registered():
-    assert {q.split("_")[0] for q in registry.QUERIES} == {"pipeline", *(f"op{n}" for n in range(1, 11))}
+    assert {q.split("_")[0] for q in registry.QUERIES} == {"pipeline", *(f"op{n}" for n in range(1, 14))}
     assert set(registry.ORACLES) <= set(registry.QUERIES)

@@ -21,8 +21,8 @@ of each document.
    bounds a node's overlap with it from above; the group is opened only where
    that suffices for its smallest member, its members are bounded one by one
    in the same way, and what is left is compared exactly by whole token sets.
-   Rounds in which each node of a list gives only its nearest partner come
-   first; their links join groups, and nodes that the bound of 3 then rejects
+   Rounds in which each node gives only its nearest partner in the lists of its
+   rarest tokens come first; their links join groups, and nodes that the bound of 3 then rejects
    go.  The last round gives all pairs between the groups that remain.
 
 No step is approximate: every link is either inside a group or found in 4,
@@ -64,6 +64,8 @@ STAR = 2000
 MAX_BROADCAST = 400_000
 #: bits of a set's bitmap, and nodes of one token that are compared at once; longer lists are compared chunk by chunk
 BITS, LIST = 1024, 2000
+#: lists in which a node looks for its nearest partner: those of its rarest tokens that other groups share
+RAREST = 2
 #: rounds of nearest partners end when one gives no more links than one for so many nodes
 JOINED = 20
 _SEEDS = np.random.default_rng(5).integers(1, 2**63, (2, BANDS * ROWS), dtype=np.uint64) | np.uint64(1)
@@ -125,7 +127,12 @@ def _profile(docs: DataFrame) -> DataFrame:
 
         return run
 
-    return X.map_text(docs, "text", ["doc_id"], fields, "p", make).select("doc_id", "p.*")
+    return X.map_text(docs, "text", ["row", "doc_id"], fields, "p", make).select("row", "doc_id", "p.*")
+
+
+def keyed_rows(docs: DataFrame, columns: list[str]) -> DataFrame:
+    """The rows written once with a number of their own in ``row``: doc_ids may be null or repeated, so they identify nothing."""
+    return stage(docs.select(*[F.col(f"`{c}`") for c in columns], F.monotonically_increasing_id().alias("row")), "rows")
 
 
 def _tokens(docs: DataFrame, whole: bool) -> DataFrame:
@@ -150,9 +157,8 @@ def _small(df: DataFrame) -> DataFrame:
 
 
 def _texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, text) of one row a node; ``nodes`` has node and rep, a doc_id of the node."""
-    rows = docs.select(F.col("doc_id").alias("d"), "text")
-    return rows.join(_small(nodes.select("node", "rep")), F.col("d").eqNullSafe(F.col("rep"))).select("node", "text")
+    """(node, text), one row a node; ``nodes`` has node and rep, the number of one row of it."""
+    return docs.select("row", "text").join(_small(nodes.select("node", "rep")), F.col("row") == F.col("rep")).select("node", "text")
 
 
 def _star_links(docs: DataFrame, reps: DataFrame, edges: DataFrame) -> DataFrame:
@@ -180,8 +186,6 @@ def _star_links(docs: DataFrame, reps: DataFrame, edges: DataFrame) -> DataFrame
                 for tokens in token_sets(raw, offsets):
                     pivot, salt, rest, member = key[at]
                     at += 1
-                    if node_of(tokens) != member:  # another text under the same doc_id
-                        continue
                     if not rest:
                         head, own = (pivot, salt), tokens
                     elif head == (pivot, salt):
@@ -269,9 +273,9 @@ def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def component_table(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, node, label) of every row; label is null for rows without a set."""
+    """(row, doc_id, n, node, label) of every row of :func:`keyed_rows`; label is null for rows without a set."""
     rows = stage(_profile(docs), "profile")
-    nodes = stage(rows.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("n").alias("n")), "nodes")
+    nodes = stage(rows.filter("n > 0").groupBy("node").agg(F.min("row").alias("rep"), F.first("bands").alias("bands"), F.first("n").alias("n")), "nodes")
     labels = _groups(docs, nodes)
 
     def labelled(t: DataFrame) -> DataFrame:
@@ -300,7 +304,7 @@ def component_table(docs: DataFrame) -> DataFrame:
     links = _open(sets, False)
     if links.limit(1).count():
         labels = _merged(labels, links)
-    return rows.join(labels, "node", "left").select("doc_id", "n", "node", F.when(F.col("n") > 0, F.coalesce("label", "node")).alias("label"))
+    return rows.join(labels, "node", "left").select("row", "doc_id", "n", "node", F.when(F.col("n") > 0, F.coalesce("label", "node")).alias("label"))
 
 
 def _sketched(sets: DataFrame) -> DataFrame:
@@ -395,7 +399,7 @@ def _met(batches, nearest: bool):
 def _open(sets: DataFrame, nearest: bool) -> DataFrame:
     """(a, b): links between nodes of different groups, by the token-group matrix over ``sets`` (node, n, tokens, label).
 
-    ``nearest``: only those among the nearest partners, at most one a node and list.
+    ``nearest``: only those among the nearest partners in the lists of a node's RAREST rarest tokens, at most one a node and list.
     """
     cells = sets.select("node", "label", F.explode("tokens").alias("token"))
     # by rarity; tokens of one group only come first and match nothing, so that it is enough to count them
@@ -403,7 +407,8 @@ def _open(sets: DataFrame, nearest: bool) -> DataFrame:
     ordered = cells.select("node", "token").join(rarity, "token").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("t"))
     least = f"floor(({PERCENT} * n + 99) / 100)"
     ordered = ordered.join(sets.select("node", "n", "label"), "node")
-    prefix = ordered.select("node", "label", F.explode(F.expr(f"slice(t, 1, cast(greatest(0, size(t) - {least} + 1) as int)).token")).alias("token"))
+    length = f"greatest(0, size(t) - {least} + 1)"
+    prefix = ordered.select("node", "label", F.explode(F.expr(f"slice(t, 1, cast({f'least({RAREST}, {length})' if nearest else length} as int)).token")).alias("token"))
     prefix = stage(prefix, "prefix")
     lists = prefix.groupBy("token").agg(F.count(F.lit(1)).alias("df"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi")
     lists = lists.select("token", F.expr(f"cast(ceil(df / {LIST}) as int)").alias("chunks"))
@@ -418,18 +423,22 @@ def _open(sets: DataFrame, nearest: bool) -> DataFrame:
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id of every row."""
-    rows = component_table(docs)
+    rows = component_table(keyed_rows(docs, ["doc_id", "text"]))
     least = rows.filter("label is not null").groupBy("label").agg(F.min("doc_id").alias("least"))
     return rows.join(stage(least, "least"), "label", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """Rows of ``docs``, all columns, without those linked (also indirectly) to a row of smaller doc_id.
+    """Rows of ``docs``, all columns, one of each component: that of the smallest doc_id (null last; of rows alike in it, one).
 
-    Rows with one and the same doc_id all stay or all go.
+    Rows without a set all stay.
     """
-    members = jaccard_components(docs).filter("n_shingles > 0 and component_id is not null and doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(members, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    name = free_name(docs, "row")
+    keyed = stage(docs.withColumn(name, F.monotonically_increasing_id()), "rows")
+    rows = component_table(keyed.select(F.col(f"`{name}`").alias("row"), "doc_id", "text")).filter("label is not null")
+    first = rows.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")).select("label", F.col("first.row").alias("kept"))
+    others = rows.join(stage(first, "kept"), "label").filter("row <> kept").select(F.col("row").alias(name))
+    return keyed.join(others, name, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 ORACLE = r"""
