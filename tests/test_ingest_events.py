@@ -1,6 +1,6 @@
 """Dedup, ledger and event-table invariants (ingest, raw preservation, JSON round trip)."""
 
-from hypothesis import HealthCheck, given, settings
+from hypothesis import HealthCheck, Phase, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -8,7 +8,7 @@ from tidemark.functions.expr import DAYS, canonical_json, row_hash
 from tidemark.operators import events as EV
 from tidemark.operators import ingest as IG
 
-SETTINGS = settings(max_examples=1, deadline=None, suppress_health_check=list(HealthCheck))
+SETTINGS = settings(max_examples=5, deadline=None, phases=[Phase.explicit, Phase.generate], suppress_health_check=list(HealthCheck))
 
 
 @SETTINGS

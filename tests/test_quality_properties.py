@@ -4,14 +4,14 @@ generated batches (absent keys, None, NaN, ints, floats, text)."""
 import json
 import math
 
-from hypothesis import HealthCheck, given, settings
+from hypothesis import HealthCheck, Phase, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidemark.operators import quality as Q
 from tidemark.sources.fixtures import EXPECTED_SCHEMA
 
-SETTINGS = settings(max_examples=1, deadline=None, suppress_health_check=list(HealthCheck))
+SETTINGS = settings(max_examples=5, deadline=None, phases=[Phase.explicit, Phase.generate], suppress_health_check=list(HealthCheck))
 COLS = list(EXPECTED_SCHEMA)
 value = st.one_of(st.none(), st.integers(-5, 5), st.floats(-100, 100, allow_nan=False), st.sampled_from(["a", "b", "12", ""]))
 record = st.dictionaries(st.sampled_from(COLS + ["extra1"]), value, max_size=13)
@@ -78,7 +78,7 @@ def test_validate_quality_matches_recomputation(spark, batches):
         high = sorted(c for i, c in enumerate(["price", "size", "city"]) if sum(isnull(r[i]) for r in recs) / n > 0.5)
         nullp = sum(isnull(r[0]) for r in recs)
         invalid = sum(1 for r in recs if not isnull(r[0]) and _to_float(r[0]) is not None and _to_float(r[0]) <= 0)
-        canon = {json.dumps([None if isnull(x) else x for x in r]) for r in recs}
+        canon = {json.dumps(list(r)) for r in recs}  # the canonical record tells NaN from null, as the rule's own JSON text does
         dups = n - len(canon)
         valid = not (high or invalid > 0 or nullp / n > 0.3)
         g = got[b]

@@ -4,7 +4,7 @@ with an independent Python recomputation of the rule."""
 
 import math
 
-from hypothesis import HealthCheck, given, settings
+from hypothesis import HealthCheck, Phase, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -12,7 +12,7 @@ from tidemark.operators import decision as DEC
 from tidemark.operators import drift as D
 from tidemark.operators import promotion as PR
 
-SETTINGS = settings(max_examples=1, deadline=None, suppress_health_check=list(HealthCheck))
+SETTINGS = settings(max_examples=25, deadline=None, phases=[Phase.explicit, Phase.generate], suppress_health_check=list(HealthCheck))
 
 decision_case = st.tuples(
     st.one_of(st.sampled_from([0, 999, 1000, 1001, 2000]), st.integers(0, 5000)),
