@@ -59,7 +59,7 @@ def test_clean_pipeline_preserves_batch_and_counts(spark):
     assert clean.where(F.col("batch_number").isNull()).count() == 0
 
 
-from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import HealthCheck, Phase, given, settings  # noqa: E402
 from hypothesis import strategies as st  # noqa: E402
 
 cat = st.one_of(st.none(), st.sampled_from(["", "x", "y", "z"]))
@@ -67,7 +67,7 @@ num = st.one_of(st.none(), st.floats(-100, 100, allow_nan=False))
 frame_row = st.tuples(st.integers(-5, 20), cat, cat, cat, num, num, st.floats(1, 1000, allow_nan=False))
 
 
-@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=4, deadline=None, phases=[Phase.explicit, Phase.generate], suppress_health_check=list(HealthCheck))
 @given(st.lists(frame_row, min_size=40, max_size=60))
 def test_transform_preserves_rows_batches_and_code_range(spark, rows):
     data = [(i, *r) for i, r in enumerate(rows)]
@@ -122,7 +122,7 @@ def test_grouped_percentiles_raise_accuracy_for_big_groups(spark):
         assert abs(got[k] - np.quantile(vals[np.arange(len(vals)) % 2 == k], 0.5)) < 1e-12
 
 
-@settings(max_examples=2, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=2, deadline=None, phases=[Phase.explicit, Phase.generate], suppress_health_check=list(HealthCheck))
 @given(st.lists(st.integers(0, 30), min_size=30, max_size=40))
 def test_split_sizes_match_fraction_rule_for_many_n(spark, sizes):
     """Many table sizes in one job: int(n * 0.7) train and int(n * 0.85) train+val, per size."""
