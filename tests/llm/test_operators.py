@@ -458,10 +458,11 @@ def test_lm_class_masses_sum_to_one(spark, docs):
     assert np.allclose((p / p.sum(axis=1, keepdims=True)).sum(axis=1), 1.0, rtol=1e-5)
 
 
-@pytest.mark.parametrize("chunk", [4, 2000])
-def test_jaccard_families_around_the_threshold(spark, monkeypatch, chunk):
-    """Near copies whose similarities lie on both sides of 0.75, with token lists of one and of many chunks."""
+@pytest.mark.parametrize(("chunk", "tokens"), [(4, 512), (2000, 512), (4, 16), (2000, 80)])
+def test_jaccard_families_around_the_threshold(spark, monkeypatch, chunk, tokens):
+    """Near copies whose similarities lie on both sides of 0.75, with token lists of one and of many chunks, sets whole and in classes."""
     monkeypatch.setattr(ngram_jaccard, "LIST", chunk)
+    monkeypatch.setattr(ngram_jaccard, "CLASS", tokens)
     rng = random.Random(11)
     rows = []
     for family in range(3):

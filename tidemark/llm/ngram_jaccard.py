@@ -21,6 +21,12 @@ of each document.
    bounds a node's overlap with it from above; the group is opened only where
    that suffices for its smallest member, its members are bounded one by one
    in the same way, and what is left is compared exactly by whole token sets.
+   A list is the place of the first token that a linked pair shares, so its
+   bitmaps hold only what follows in each set: lists of later shared tokens
+   reject pairs near the threshold instead of naming them again.  Sets over
+   CLASS tokens are cut into classes by token hash; as intersections and
+   unions add up over classes, a linked pair reaches 0.75 in one class at
+   least, and bitmaps of classes bound long sets as sharply as short ones.
    Rounds in which each node of a list gives only its nearest partner come
    first; their links join groups, and nodes that the bound of 3 then rejects
    go.  The last round gives all pairs between the groups that remain.
@@ -62,8 +68,10 @@ BANDS, ROWS = 8, 3
 STAR = 2000
 #: (node, label) rows of 16 bytes that may be broadcast
 MAX_BROADCAST = 400_000
-#: bits of a set's bitmap, and nodes of one token that are compared at once; longer lists are compared chunk by chunk
-BITS, LIST = 1024, 2000
+#: bits of a bitmap, and tokens of a class of a set that one bitmap stands for
+BITS, CLASS = 1024, 512
+#: nodes of one list that are compared at once (longer lists are compared chunk by chunk), and list rows of one Arrow batch
+LIST, ROWS_OUT = 2000, 1 << 14
 #: rounds of nearest partners end when one gives no more links than one for so many nodes
 JOINED = 20
 _SEEDS = np.random.default_rng(5).integers(1, 2**63, (2, BANDS * ROWS), dtype=np.uint64) | np.uint64(1)
@@ -215,8 +223,8 @@ def _groups(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return components(links.unionByName(more)) if more.limit(1).count() else labels
 
 
-def _crossing(rows: DataFrame, need) -> DataFrame:
-    """Nodes of ``rows`` (node, label, n, tokens) with at least need(n) tokens in the unions of other groups.
+def _crossing(rows: DataFrame, sizes: DataFrame, need) -> DataFrame:
+    """Nodes of ``rows`` (node, label, n, tokens) with at least need(n) tokens in the unions of other groups; ``sizes`` has their node and n.
 
     A batch settles the tokens that two of its groups share; each other token
     of the batch travels once a group, with its nodes.
@@ -254,7 +262,6 @@ def _crossing(rows: DataFrame, need) -> DataFrame:
     each = F.explode(F.when(F.col("more").isNull(), F.array("node")).otherwise(F.array_append("more", F.col("node"))))
     # one batch may say a node's token twice only by way of equal sets, which are one node
     found = crossed.select("token", each.alias("node")).groupBy("node").agg(F.countDistinct("token").alias("found"))
-    sizes = rows.select("node", "n").distinct()
     return found.join(sizes, "node").filter(need).select("node")
 
 
@@ -280,16 +287,17 @@ def component_table(docs: DataFrame) -> DataFrame:
         """With the groups known so far."""
         return t.join(_small(labels), "node", "left").select("node", "n", "tokens", F.coalesce("label", "node").alias("label"))
 
+    sizes = nodes.select("node", "n")
     # bounds: prefix by hash, then all tokens, among the nodes still left
     need = f"found >= greatest(1, floor(floor(({PERCENT} * n + 99) / 100) / 20))"
     full = f"100 * found >= {PERCENT} * n"
-    left = stage(_crossing(labelled(_tokens(docs, False)), need), "left")
+    left = stage(_crossing(labelled(_tokens(docs, False)), sizes, need), "left")
     reps = nodes.select("node", "rep")
     some = _texts(docs, stage(reps.join(left, "node"), "reps"))
     sets = stage(labelled(_tokens(some, True).join(_small(left), "node", "left_semi")).dropDuplicates(["node"]), "sets")
     while True:
         for _ in range(2):
-            left = stage(_crossing(sets, full), "left")
+            left = stage(_crossing(sets, sizes, full), "left")
             sets = sets.join(_small(left), "node", "left_semi")
         sets = stage(sets, "open")
         links = _open(sets, True)
@@ -305,54 +313,109 @@ def component_table(docs: DataFrame) -> DataFrame:
     return rows.join(labels, "node", "left").select("row", "doc_id", "n", "node", F.when(F.col("n") > 0, F.coalesce("label", "node")).alias("label"))
 
 
-def _sketched(sets: DataFrame) -> DataFrame:
-    """(node, n, label, bits): the tokens of a set as a bitmap of BITS bits."""
+def classes_of(n: int) -> int:
+    """Token classes of a set of n, a power of two: no class has much more than CLASS tokens."""
+    return 1 << max(0, -(-n // CLASS) - 1).bit_length()
 
-    def run(batches):
-        for batch in batches:
-            lists = batch.column(3)
-            each = np.diff(lists.offsets.to_numpy())
-            flags = np.zeros((batch.num_rows, BITS), bool)
-            flags[np.repeat(np.arange(batch.num_rows), each), lists.flatten().to_numpy() & (BITS - 1)] = True
-            bits = pa.array([row.tobytes() for row in np.packbits(flags, axis=1)], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), bits], ["node", "n", "label", "bits"])
 
-    return sets.select("node", "n", "label", "tokens").mapInArrow(run, "node long, n long, label long, bits binary")
+def _class_rows(n: int, ordered: np.ndarray, shared: np.ndarray) -> list[tuple]:
+    """(tokens, classes, class size, rest, bitmaps) of each class of a set, one entry a token of the class's prefix.
 
+    ``ordered`` holds the set's tokens by rarity, ``shared`` whether another
+    group has them.  A set also takes part with the classes of the smallest
+    partner it can link to, so linked sets always meet with equal classes.
+    Rest and bitmap belong to the tokens from that place on which other groups
+    have; earlier ones are bounded by the list in which they are the place.
+    """
+    out = []
+    for m in sorted({classes_of(n), classes_of(least_overlap(n))}):
+        kind = (ordered.view(np.uint64) >> np.uint64(40)) & np.uint64(m - 1)
+        for k in range(m):
+            mine = kind == k
+            size = int(mine.sum())
+            t = ordered[mine & shared]
+            length = len(t) - least_overlap(size) + 1
+            if not size or length <= 0:
+                continue
+            at = t & (BITS - 1)
+            flags = np.zeros((length, BITS), bool)
+            flags[length - 1, at[length - 1 :]] = True
+            flags[np.arange(length - 1), at[: length - 1]] = True
+            bits = np.packbits(np.logical_or.accumulate(flags[::-1])[::-1], axis=1)
+            out.append((t[:length], m, size, len(t) - np.arange(length), bits))
+    return out
+
+
+def _prefixes(ordered: DataFrame) -> DataFrame:
+    """Rows of the lists: one for each prefix token of each class of the sets ``ordered`` (node, n, label, t: (df, token) by rarity)."""
 
-def opened_pairs(node: np.ndarray, n: np.ndarray, label: np.ndarray, chunk: np.ndarray, bits: np.ndarray, cross: bool, nearest: bool = False) -> tuple[list, list]:
-    """Pairs of one token's nodes that the bounds leave; of two chunks (``cross``) only pairs between them.
+    def run(batches):
+        for batch in batches:
+            lists = batch.column(3)
+            flat = lists.flatten()
+            df, tokens = flat.field(0).to_numpy(), flat.field(1).to_numpy()
+            ends = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+            held, rows = [], 0
+
+            def out():
+                columns = [np.concatenate(c) for c in zip(*held, strict=True)]
+                bits = pa.FixedSizeBinaryArray.from_buffers(pa.binary(BITS // 8), len(columns[0]), [None, pa.py_buffer(np.ascontiguousarray(columns[-1]))])
+                return pa.RecordBatch.from_arrays([*map(pa.array, columns[:-1]), bits.cast(pa.binary())], ["token", "classes", "node", "n", "size", "rest", "home", "label", "bits"])
+
+            for i, (node, n, label) in enumerate(zip(*(batch.column(j).to_pylist() for j in range(3)), strict=True)):
+                lo, hi = ends[i], ends[i + 1]
+                for t, m, size, rest, bits in _class_rows(n, tokens[lo:hi], df[lo:hi] > 0):
+                    full = lambda value, kind=np.int64: np.full(len(t), value, kind)  # noqa: B023, E731
+                    held.append((t, full(m), full(node), full(n), full(size), rest, full(m == classes_of(n), bool), full(label), bits))
+                    rows += len(t)
+                    if rows >= ROWS_OUT:
+                        yield out()
+                        held, rows = [], 0
+            if held:
+                yield out()
+
+    return ordered.mapInArrow(run, "token long, classes long, node long, n long, size long, rest long, home boolean, label long, bits binary")
+
+
+def opened_pairs(node: np.ndarray, n: np.ndarray, size: np.ndarray, rest: np.ndarray, home: np.ndarray, label: np.ndarray, chunk: np.ndarray, bits: np.ndarray,
+                 cross: bool, nearest: bool = False) -> tuple[list, list]:
+    """Pairs of one list's nodes that the bounds leave; of two chunks (``cross``) only pairs between them.
 
     ``nearest``: of a node's partners only the one with the most similar bitmap.
 
-    A node's tokens whose bits the group's union lacks are missing from every
-    member, which bounds the overlap; a group is opened only where that
-    suffices for its smallest member.  In an opened group each differing bit of
-    two bitmaps stands for a token that only one of both sets has.
+    The list stands for the first token that two linked sets share in a class,
+    so all they share in it lies in the rests.  Tokens of a node's rest whose
+    bits the group's union lacks are missing from every member, which bounds
+    the overlap; a group is opened only where that suffices for its smallest
+    member.  In an opened group each differing bit of two bitmaps stands for a
+    token that only one of both rests has.  ``home``: the classes are those of
+    the node's own size, as they are of the smaller of two sets.
     """
     order = np.argsort(label, kind="stable")
-    node, n, label, chunk, bits = node[order], n[order], label[order], chunk[order], bits[order]
+    node, n, size, rest, home, label, chunk, bits = (c[order] for c in (node, n, size, rest, home, label, chunk, bits))
     begin = np.flatnonzero(np.concatenate([[True], label[1:] != label[:-1]]))
-    least = -(-PERCENT * n // 100)
+    least = -(-PERCENT * size // 100)
     a, b = [], []
     top, partner = np.full(len(n), -1.0), np.zeros(len(n), np.int64)
     for lo, hi in zip(begin.tolist(), np.append(begin[1:], len(label)).tolist(), strict=True):
         if hi == len(label):
             break  # each two groups meet once
         union = np.bitwise_or.reduce(bits[lo:hi], axis=0)
-        overlap = n[hi:] - np.bitwise_count(bits[hi:] & ~union).sum(axis=1, dtype=np.int64)
-        ask = hi + np.flatnonzero((100 + PERCENT) * overlap >= PERCENT * (n[hi:] + np.maximum(least[hi:], n[lo:hi].min())))
+        overlap = rest[hi:] - np.bitwise_count(bits[hi:] & ~union).sum(axis=1, dtype=np.int64)
+        ask = hi + np.flatnonzero((100 + PERCENT) * overlap >= PERCENT * (size[hi:] + np.maximum(least[hi:], size[lo:hi].min())))
         step = max(1, (1 << 16) // (hi - lo))
         for at in range(0, len(ask), step):
             q = ask[at : at + step]
-            both = n[q][:, None] + n[lo:hi][None, :]
+            both = size[q][:, None] + size[lo:hi][None, :]
             differ = np.bitwise_count(bits[q][:, None, :] ^ bits[lo:hi][None, :, :]).sum(axis=2, dtype=np.int64)
-            ok = (100 + PERCENT) * (both - differ) >= 2 * PERCENT * both
+            twice = np.minimum(rest[q][:, None] + rest[lo:hi][None, :] - differ, 2 * np.minimum(rest[q][:, None], rest[lo:hi][None, :]))
+            ok = (100 + PERCENT) * twice >= 2 * PERCENT * both
             ok &= 100 * np.minimum(n[q][:, None], n[lo:hi][None, :]) >= PERCENT * np.maximum(n[q][:, None], n[lo:hi][None, :])
+            ok &= home[q][:, None] | home[lo:hi][None, :]
             if cross:
                 ok &= chunk[q][:, None] != chunk[lo:hi][None, :]
             if nearest and ok.any():
-                alike = np.where(ok, (both - differ) / (both + differ), -1.0)
+                alike = np.where(ok, twice / (2 * both - twice), -1.0)
                 for mine, theirs, at_best in ((q, np.arange(lo, hi), alike), (np.arange(lo, hi), q, alike.T)):
                     best = at_best.argmax(axis=1)
                     value = at_best[np.arange(len(mine)), best]
@@ -369,22 +432,23 @@ def opened_pairs(node: np.ndarray, n: np.ndarray, label: np.ndarray, chunk: np.n
 
 
 def _met(batches, nearest: bool):
-    """Rows sorted by (token, x, y) as pairs (a, b); memory holds one batch and one list of at most about 2 * LIST rows."""
+    """Rows sorted by (token, classes, x, y) as pairs (a, b); memory holds one batch and one list of at most about 2 * LIST rows."""
     held = None
     for batch in itertools.chain(batches, [None]):
         if batch is not None:
-            rows = [batch.column(i).to_numpy() for i in range(7)]
-            rows.append(np.frombuffer(b"".join(batch.column(7).to_pylist()), np.uint64).reshape(-1, BITS // 64))
+            rows = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(11)]
+            rows.append(np.frombuffer(b"".join(batch.column(11).to_pylist()), np.uint64).reshape(-1, BITS // 64))
             held = rows if held is None else [np.concatenate(pair) for pair in zip(held, rows, strict=True)]
         if held is None or not len(held[0]):
             continue
-        token, x, y = held[:3]
-        begin = np.flatnonzero(np.concatenate([[True], (token[1:] != token[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])]))
-        ends = np.append(begin[1:], len(token))
+        keys, x, y = held[:4], held[2], held[3]
+        changed = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
+        begin = np.flatnonzero(np.concatenate([[True], changed]))
+        ends = np.append(begin[1:], len(x))
         done = len(begin) - (batch is not None)  # the last list may go on in the next batch
         a, b = [], []
         for lo, hi in zip(begin[:done].tolist(), ends[:done].tolist(), strict=True):
-            more = opened_pairs(*(c[lo:hi] for c in held[3:]), cross=bool(x[lo] != y[lo]), nearest=nearest)
+            more = opened_pairs(*(c[lo:hi] for c in held[4:]), cross=bool(x[lo] != y[lo]), nearest=nearest)
             a += more[0]
             b += more[1]
         held = [c[begin[done] :] for c in held] if done < len(begin) else None
@@ -400,19 +464,17 @@ def _open(sets: DataFrame, nearest: bool) -> DataFrame:
     ``nearest``: only those among the nearest partners, at most one a node and list.
     """
     cells = sets.select("node", "label", F.explode("tokens").alias("token"))
-    # by rarity; tokens of one group only come first and match nothing, so that it is enough to count them
+    # by rarity; tokens of one group only come first and match nothing
     rarity = cells.groupBy("token").agg(F.count(F.lit(1)).alias("df"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("token", "df")
-    ordered = cells.select("node", "token").join(rarity, "token").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("t"))
-    least = f"floor(({PERCENT} * n + 99) / 100)"
-    ordered = ordered.join(sets.select("node", "n", "label"), "node")
-    prefix = ordered.select("node", "label", F.explode(F.expr(f"slice(t, 1, cast(greatest(0, size(t) - {least} + 1) as int)).token")).alias("token"))
-    prefix = stage(prefix, "prefix")
-    lists = prefix.groupBy("token").agg(F.count(F.lit(1)).alias("df"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi")
-    lists = lists.select("token", F.expr(f"cast(ceil(df / {LIST}) as int)").alias("chunks"))
-    rows = prefix.select("node", "token").join(lists, "token").withColumn("chunk", F.expr("cast(pmod(xxhash64(node), chunks) as int)"))
-    rows = rows.select("node", "token", "chunk", F.explode(F.expr("sequence(0, chunks - 1)")).alias("other")).join(_sketched(sets), "node")
-    rows = rows.select("token", F.least("chunk", "other").alias("x"), F.greatest("chunk", "other").alias("y"), "node", "n", "label", "chunk", "bits")
-    pairs = rows.repartition("token", "x", "y").sortWithinPartitions("token", "x", "y").mapInArrow(lambda batches: _met(batches, nearest), "a long, b long").distinct()
+    ordered = cells.select("node", "token").join(rarity, "token", "left").groupBy("node").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "token"))).alias("t"))
+    prefix = stage(_prefixes(ordered.join(sets.select("node", "n", "label"), "node").select("node", "n", "label", "t")), "prefix")
+    lists = prefix.groupBy("token", "classes").agg(F.count(F.lit(1)).alias("df"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi")
+    lists = lists.select("token", "classes", F.expr(f"cast(ceil(df / {LIST}) as int)").alias("chunks"))
+    rows = prefix.join(lists, ["token", "classes"]).withColumn("chunk", F.expr("cast(pmod(xxhash64(node), chunks) as int)"))
+    rows = rows.withColumn("other", F.explode(F.expr("sequence(0, chunks - 1)")))
+    rows = rows.select("token", "classes", F.least("chunk", "other").alias("x"), F.greatest("chunk", "other").alias("y"), "node", "n", "size", "rest", "home", "label", "chunk", "bits")
+    key = ["token", "classes", "x", "y"]
+    pairs = rows.repartition(*key).sortWithinPartitions(*key).mapInArrow(lambda batches: _met(batches, nearest), "a long, b long").distinct()
     left, right = (sets.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("tokens").alias(f"t{x}")) for x in "ab")
     both = stage(pairs, "opened").join(left, "a").join(right, "b")
     return stage(both.filter(f"{100 + PERCENT} * size(array_intersect(ta, tb)) >= {PERCENT} * (na + nb)").select("a", "b"), "found")
