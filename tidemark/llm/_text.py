@@ -53,7 +53,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     if _powers["n"] < n:
-        size = max(n, BLOCK_BYTES + 1)
+        size = max(n, min(BLOCK_BYTES, 1 << (n - 1).bit_length()) + 1)
         for key, base in (("up", _BASE), ("down", _INV)):
             table = np.full(size, base, np.uint64)
             table[0] = 1

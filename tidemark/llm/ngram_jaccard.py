@@ -66,6 +66,8 @@ PERCENT = 75
 BANDS, ROWS = 8, 3
 #: members of one pivot that are compared by one task group
 STAR = 2000
+#: bytes of texts that a worker turns into sets at once (a longer text alone)
+TEXT_BYTES = 1 << 19
 #: (node, label) rows of 16 bytes that may be broadcast
 MAX_BROADCAST = 400_000
 #: bits of a bitmap, and tokens of a class of a set that one bitmap stands for
@@ -123,17 +125,24 @@ def prefix_need(n: int) -> int:
     return max(1, least_overlap(n) // 20)
 
 
+def _lists(sets: list[np.ndarray]) -> pa.ListArray:
+    ends = np.concatenate([[0], np.cumsum([len(c) for c in sets])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)))
+
+
 def _profile(docs: DataFrame) -> DataFrame:
-    fields = T.StructType([T.StructField("n", T.LongType()), T.StructField("node", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType()))])
+    """(row, doc_id, n, node, bands, tokens): tokens are the prefix by hash, written here so that the bound needs no second look at the texts."""
+    fields = T.StructType([T.StructField("n", T.LongType()), T.StructField("node", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType())),
+                           T.StructField("tokens", T.ArrayType(T.LongType()))])
 
     def make():
         def run(raw, offsets):
             sets = token_sets(raw, offsets)
-            return [[len(s) for s in sets], [node_of(s) for s in sets], [_bands(s) if len(s) else [] for s in sets]]
+            return [[len(s) for s in sets], [node_of(s) for s in sets], [_bands(s) if len(s) else [] for s in sets], _lists([s[: prefix_length(len(s))] for s in sets])]
 
         return run
 
-    return X.map_text(docs, "text", ["row", "doc_id"], fields, "p", make).select("row", "doc_id", "p.*")
+    return X.map_text(docs, "text", ["row", "doc_id"], fields, "p", make, TEXT_BYTES).select("row", "doc_id", "p.*")
 
 
 def keyed_rows(docs: DataFrame, columns: list[str]) -> DataFrame:
@@ -141,21 +150,18 @@ def keyed_rows(docs: DataFrame, columns: list[str]) -> DataFrame:
     return stage(docs.select(*[F.col(f"`{c}`") for c in columns], F.monotonically_increasing_id().alias("row")), "rows")
 
 
-def _tokens(docs: DataFrame, whole: bool) -> DataFrame:
-    """(node, n, tokens): the prefix by hash, or all tokens, of every row with words."""
+def _tokens(docs: DataFrame) -> DataFrame:
+    """(node, n, tokens) of every row with words."""
     fields = T.StructType([T.StructField("node", T.LongType()), T.StructField("n", T.LongType()), T.StructField("tokens", T.ArrayType(T.LongType()))])
 
     def make():
         def run(raw, offsets):
             sets = token_sets(raw, offsets)
-            cut = [s if whole else s[: prefix_length(len(s))] for s in sets]
-            flat = np.concatenate(cut) if cut else np.zeros(0, np.uint64)
-            ends = np.concatenate([[0], np.cumsum([len(c) for c in cut])]).astype(np.int32)
-            return [[node_of(s) for s in sets], [len(s) for s in sets], pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64)))]
+            return [[node_of(s) for s in sets], [len(s) for s in sets], _lists(sets)]
 
         return run
 
-    return X.map_text(docs, "text", [], fields, "t", make).select("t.*").filter("n > 0")
+    return X.map_text(docs, "text", [], fields, "t", make, TEXT_BYTES).select("t.*").filter("n > 0")
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -188,7 +194,7 @@ def _star_links(docs: DataFrame, reps: DataFrame, edges: DataFrame) -> DataFrame
         for batch in batches:
             key = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True))
             a, b, at = [], [], 0
-            for raw, offsets in X.blocks(batch.column(4)):
+            for raw, offsets in X.blocks(batch.column(4), TEXT_BYTES):
                 for tokens in token_sets(raw, offsets):
                     pivot, salt, rest, member = key[at]
                     at += 1
@@ -291,10 +297,10 @@ def component_table(docs: DataFrame) -> DataFrame:
     # bounds: prefix by hash, then all tokens, among the nodes still left
     need = f"found >= greatest(1, floor(floor(({PERCENT} * n + 99) / 100) / 20))"
     full = f"100 * found >= {PERCENT} * n"
-    left = stage(_crossing(labelled(_tokens(docs, False)), sizes, need), "left")
+    left = stage(_crossing(labelled(rows.select("node", "n", "tokens").filter("n > 0")), sizes, need), "left")
     reps = nodes.select("node", "rep")
     some = _texts(docs, stage(reps.join(left, "node"), "reps"))
-    sets = stage(labelled(_tokens(some, True).join(_small(left), "node", "left_semi")).dropDuplicates(["node"]), "sets")
+    sets = stage(labelled(_tokens(some).join(_small(left), "node", "left_semi")).dropDuplicates(["node"]), "sets")
     while True:
         for _ in range(2):
             left = stage(_crossing(sets, sizes, full), "left")
