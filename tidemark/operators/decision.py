@@ -98,7 +98,9 @@ def batch_signals(raw: DataFrame, payload: DataFrame | None = None, by: str = "b
     # with its first batch and the set of batches holding it (bounded by the
     # number of batches; copies collapse map-side, so a hash held by a third
     # of all rows is one partial-aggregate entry per task)
-    per_hash = raw.select(by, h.alias("_h")).groupBy("_h").agg(
+    # (an MD5 travels as its 16 bytes, any other hash as it is)
+    short = F.when(F.regexp_like(h, F.lit("^[0-9a-f]{32}$")), F.unhex(h)).otherwise(F.concat(F.lit("t").cast("binary"), h.cast("binary")))
+    per_hash = raw.select(by, short.alias("_h")).groupBy("_h").agg(
         F.min(by).alias("_first"), F.collect_set(by).alias("_in"))
     # one consumer of the hash aggregation: per batch, the distinct records it
     # holds and those it stored first (J1/W1 inserts)
