@@ -3,7 +3,10 @@ r"""Toxicity by a convolutional text classifier over hashed word embeddings.
 Words ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`` after lower-casing A-Z are hashed into
 BUCKETS embeddings.  Filters of widths 1, 2 and 3 run over the word sequence,
 each is max-pooled over the whole text, and a logistic layer follows.  The
-model is trained in numpy (Adam, gradients only at the pooled places).
+model is trained in numpy (Adam, gradients only at the pooled places) where
+the rows are: in each of ROUNDS rounds every task takes LOCAL epochs over its
+rows from the same weights, and the weights of all tasks, weighted by their
+rows, are averaged.
 
 Thresholds are calibrated by language: the language is guessed from the text
 alone (shares of a few letters, see ``guess``), each guess has the threshold
@@ -11,13 +14,16 @@ that is best on calibration rows, and the score is the logit moved by that
 threshold, so that 0.5 is the cut for every language.  A guess with too few
 calibration rows takes the pooled threshold.
 
-Rows whose crc32(doc_id as text) mod 5 is 0 are never learnt from.  Training
-takes a bounded sample, a parameter: at most TRAIN_ROWS labelled rows of each
-class, the first by a hash of the doc_id, of texts of at most TRAIN_WORDS words
-(longer ones are scored whole like all others).  ``labels``, ``lang``,
-``source`` and ``doc_id`` are no inputs of a score.
+Rows whose crc32(doc_id as text) mod 5 is 0 are never learnt from.  All other
+labelled rows with a word are, whole: four fifths of them train the weights and
+the words' counts, one fifth (by a hash of the doc_id) sets the thresholds;
+where that fifth has too few rows of a class, all rows do both.  Both classes
+have the same weight.  ``labels``, ``lang``, ``source`` and ``doc_id`` are no
+inputs of a score.
 
-Scale: the sample is all that reaches the driver (a few bytes a word);
+Scale: a text is reduced to two bytes a word before it meets its label, and
+that table is written once.  The driver holds the weights, the words' counts
+and the histograms of the thresholds, whose sizes are fixed by parameters;
 scoring is map-only over whole texts, a block of text at a time.
 
 Defined cases: null and empty texts have no words: their score is that of
@@ -29,27 +35,31 @@ give empty results.
 
 from __future__ import annotations
 
-import zlib
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from . import _text as X
+from ._stage import stage
 
 FOLDS = 5
-TRAIN_ROWS = 3000
-TRAIN_WORDS = 3000
+#: rounds of averaging, epochs of a task in each, training rows that a task should have
+ROUNDS, LOCAL, TASK_ROWS = 3, 2, 4000
 BUCKETS = 1 << 16
 #: training texts that must hold a word; all rarer words share a fixed empty embedding:
 LEAST_TEXTS, LEAST_SHARE = 4, 0.015  # ... this share of the toxic ones at least
 DROP = 0.3  # of the words of a training text, anew in each step
 DIM, FILTERS, WIDTHS = 12, 8, (1, 2, 3)
-EPOCHS, STEPS, BATCH, RATE = 8, 500, 64, 0.01  # at least so many epochs and steps
+STEPS, BATCH, RATE = 500, 64, 0.01  # at least so many steps in all
 #: weight of false alarms against recall in a threshold
 FALSE = 4.0
 #: rows of a language guess, of either class, that a threshold of its own needs
 LEAST = 15
+#: thresholds are set on bins of the logit
+BINS, SPAN = 1 << 14, 40.0
+CHUNK = 1 << 15  # numbers that travel together
 #: Letters that point to a language (UTF-8), in the order of the guesses 1..3; 0 is the rest.
 MARKS = ("äöüß", "ñóí", "éèêç")
 _OFFSETS = tuple((w, o) for w in WIDTHS for o in range(w))
@@ -116,23 +126,24 @@ def pooled(ids: np.ndarray, bounds: np.ndarray, table: np.ndarray, shift: np.nda
     return (out, where) if places else out
 
 
-def train(texts: list[np.ndarray], y: np.ndarray, seed: int = 7, epochs: int = EPOCHS) -> Model:
-    """Model without thresholds, fitted on word buckets and labels."""
+def start(rare: np.ndarray, seed: int = 7) -> list[np.ndarray]:
+    """Weights before training: embeddings, filters, their shifts, output weights, bias."""
     rng = np.random.default_rng(seed)
     n = len(WIDTHS) * FILTERS
     emb = rng.normal(0, 0.1, (BUCKETS, DIM)).astype(np.float32)
-    texts_with = np.zeros(BUCKETS, np.int64)
-    for t in texts:
-        texts_with[np.unique(t)] += 1
-    rare = texts_with < max(LEAST_TEXTS, LEAST_SHARE * y.sum())
     emb[rare] = 0
-    empty = int(np.flatnonzero(rare)[0]) if rare.any() else 0
     conv = rng.normal(0, 0.3, (len(_OFFSETS), DIM, FILTERS)).astype(np.float32)
-    shift, out, bias = np.zeros(n, np.float32), rng.normal(0, 0.3, n).astype(np.float32), np.zeros(1, np.float32)
-    params = [emb, conv, shift, out, bias]
+    return [emb, conv, np.zeros(n, np.float32), rng.normal(0, 0.3, n).astype(np.float32), np.zeros(1, np.float32)]
+
+
+def train(params: list[np.ndarray], rare: np.ndarray, texts: list[np.ndarray], y: np.ndarray, weight: np.ndarray, epochs: int, seed: int) -> None:
+    """Improve ``params`` in place on word buckets, labels and the two classes' weights."""
+    rng = np.random.default_rng(seed)
+    emb, conv, shift, out, bias = params
+    empty = int(np.flatnonzero(rare)[0]) if rare.any() else 0
     m, v = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     step = 0
-    for _ in range(max(epochs, -(-STEPS * BATCH // max(1, len(y))))):
+    for _ in range(epochs):
         order = rng.permutation(len(y))
         for lo in range(0, len(y), BATCH):
             pick = order[lo : lo + BATCH]
@@ -145,7 +156,7 @@ def train(texts: list[np.ndarray], y: np.ndarray, seed: int = 7, epochs: int = E
                 continue
             pool, where = pooled(local, bounds, table, shift, places=True)
             p = 1 / (1 + np.exp(-(pool @ out + bias[0])))
-            d = ((p - y[pick]) / len(pick)).astype(np.float32)
+            d = ((p - y[pick]) * weight[y[pick]] / len(pick)).astype(np.float32)
             grads = [np.zeros((len(used), DIM), np.float32), np.zeros_like(conv), np.zeros_like(shift), pool.T @ d + 1e-4 * out, np.array([d.sum()], np.float32)]
             back = d[:, None] * out * (pool > 0)
             grads[2] = back.sum(axis=0)
@@ -165,8 +176,11 @@ def train(texts: list[np.ndarray], y: np.ndarray, seed: int = 7, epochs: int = E
                 m[i][at] = 0.9 * m[i][at] + 0.1 * g
                 v[i][at] = 0.99 * v[i][at] + 0.01 * g * g
                 params[i][at] -= RATE * (m[i][at] / (1 - 0.9**step)) / (np.sqrt(v[i][at] / (1 - 0.99**step)) + 1e-7)
-    table = np.concatenate([emb @ conv[j] for j in range(len(_OFFSETS))], axis=1)
-    return Model(table, shift, out, float(bias[0]), np.zeros(len(MARKS) + 1))
+
+
+def as_model(params: list[np.ndarray]) -> Model:
+    emb, conv, shift, out, bias = params
+    return Model(np.concatenate([emb @ conv[j] for j in range(len(_OFFSETS))], axis=1), shift, out, float(bias[0]), np.zeros(len(MARKS) + 1))
 
 
 def logits(model: Model, ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -175,72 +189,122 @@ def logits(model: Model, ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return pooled(ids, bounds, model.table, model.shift) @ model.out.astype(np.float64) + model.bias
 
 
-def best_cut(z: np.ndarray, y: np.ndarray) -> float:
-    """Threshold in the middle of where recall less FALSE times the share of false alarms is highest."""
-    order = np.argsort(z)
-    z, y = z[order], y[order]
-    right = FALSE * np.concatenate([[0], np.cumsum(1 - y)]) / max(1, (1 - y).sum()) + (y.sum() - np.concatenate([[0], np.cumsum(y)])) / max(1, y.sum())
-    best = np.flatnonzero(right >= right.max() - 1e-12)
-    i = int(best[len(best) // 2])
-    return float(z[0] - 1 if i == 0 else z[-1] + 1 if i == len(z) else (z[i - 1] + z[i]) / 2)
+def best_cut(clean: np.ndarray, toxic: np.ndarray) -> float:
+    """Threshold in the middle of where recall less FALSE times the share of false alarms is highest; rows a bin of the logit."""
+    # cost of the rows left of each bin's edge: clean ones let through count for it
+    gain = FALSE * np.concatenate([[0], np.cumsum(clean)]) / max(1, clean.sum()) - np.concatenate([[0], np.cumsum(toxic)]) / max(1, toxic.sum())
+    best = np.flatnonzero(gain >= gain.max() - 1e-12)
+    return (2.0 * int(best[len(best) // 2]) / BINS - 1) * SPAN
+
+
+def calibrate(rows: np.ndarray) -> np.ndarray:
+    """Threshold of each language guess; ``rows``: counts by (guess, label, bin)."""
+    out = np.full(len(rows), best_cut(*rows.sum(axis=0)))
+    for g, (clean, toxic) in enumerate(rows):
+        if min(clean.sum(), toxic.sum()) >= LEAST:
+            out[g] = best_cut(clean, toxic)
+    return out
+
+
+def _total(rows: DataFrame, columns: list[str], size: int, make) -> np.ndarray:
+    """Sum over all tasks of ``make(list of row tuples, task)``, an array of ``size`` numbers; added chunk by chunk across tasks."""
+
+    def partial(batches):
+        got = [r for batch in batches for r in zip(*(batch.column(i).to_pylist() for i in range(len(columns))), strict=True)]
+        if got:
+            data = make(got).astype(np.float64)
+            at = range(0, size, CHUNK)
+            yield pa.RecordBatch.from_arrays([pa.array([i // CHUNK for i in at], pa.int32()), pa.array([data[i : i + CHUNK].tobytes() for i in at], pa.binary())], ["g", "sums"])
 
+    def add(batches):
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for g, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                total[g] = total[g] + np.frombuffer(data) if g in total else np.frombuffer(data)
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], ["g", "sums"])
 
-def calibrate(z: np.ndarray, y: np.ndarray, lang: np.ndarray) -> np.ndarray:
-    pooled_cut = best_cut(z, y)
-    out = np.full(len(MARKS) + 1, pooled_cut)
-    for g in range(len(out)):
-        mine = lang == g
-        if min((y[mine] == 1).sum(), (y[mine] == 0).sum()) >= LEAST:
-            out[g] = best_cut(z[mine], y[mine])
+    out = np.zeros(size)
+    schema = "g int, sums binary"
+    for r in rows.select(*columns).mapInArrow(partial, schema).repartition("g").mapInArrow(add, schema).collect():
+        out[r["g"] * CHUNK : (r["g"] + 1) * CHUNK] = np.frombuffer(r["sums"])
     return out
 
 
-def sample(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> list:
-    """At most ``rows`` labelled rows of each class outside the held-out fold: word buckets, guess, label."""
+def learnt_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(toxic, spare, lang, ids) of every labelled row with a word outside the held-out fold; ``ids``: two bytes a word, the whole text."""
     learn = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % FOLDS != 0
-    known = labels.select("doc_id", "toxic").filter(learn & F.col("toxic").isin(0, 1))
-    order = F.xxhash64(F.col("doc_id"))
-    picked = None
-    for label in (0, 1):
-        part = known.filter(F.col("toxic") == label).orderBy(order, "doc_id").limit(rows)
-        picked = part if picked is None else picked.unionByName(part)
-    texts = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")  # 2 * rows at most
-    fields = T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("lang", T.LongType())])
+    known = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter(learn & F.col("toxic").isin(0, 1))
+    fields = T.StructType([T.StructField("ids", T.BinaryType()), T.StructField("lang", T.LongType())])
 
     def make():
         def run(raw, offsets):
             ids, bounds = words(raw, offsets)
-            return [[ids[a:b] if b - a <= TRAIN_WORDS else [] for a, b in zip(bounds[:-1], bounds[1:], strict=True)], guess(raw, offsets)]
+            ids = ids.astype(np.uint16)
+            return [[ids[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], guess(raw, offsets)]
 
         return run
 
-    found = X.map_text(texts, "text", ["doc_id", "toxic"], fields, "x", make)
-    return found.filter(F.size("x.ids") > 0).select("doc_id", "toxic", "x.*").collect()
+    found = X.map_text(docs.select("doc_id", "text").filter(learn), "text", ["doc_id"], fields, "x", make).filter(F.length("x.ids") > 0)
+    spare = F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0
+    return found.join(known, "doc_id").select("toxic", spare.alias("spare"), "x.lang", "x.ids")
 
 
-def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model | None:
+def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     """The calibrated model, or None without labelled rows of both classes."""
-    data = sorted(sample(docs, labels, rows), key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), str(r["doc_id"]), r["toxic"], len(r["ids"])))
-    y = np.array([r["toxic"] for r in data], np.float32)
-    if not len(y) or y.min() == y.max():
+    rows = stage(learnt_rows(docs, labels), "toxicity")
+    counts = {(r["spare"], r["toxic"]): r["n"] for r in rows.groupBy("spare", "toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    split = min(counts.get((True, 0), 0), counts.get((True, 1), 0)) >= LEAST and min(counts.get((False, 0), 0), counts.get((False, 1), 0)) > 0
+    learn, test = (rows.filter(~F.col("spare")), rows.filter("spare")) if split else (rows, rows)
+    each = np.array([sum(n for (s, y), n in counts.items() if y == label and not (split and s)) for label in (0, 1)], np.float64)
+    if not each.all():
         return None
-    texts = [np.array(r["ids"], np.int64) for r in data]
-    lang = np.array([r["lang"] for r in data])
-    spare = np.arange(len(y)) % 5 == 0  # thresholds are set on rows that the weights have not seen, where there are enough
-    learn = ~spare if min((y[spare] == 1).sum(), (y[spare] == 0).sum()) >= LEAST else np.ones(len(y), bool)
-    model = train([t for t, k in zip(texts, learn, strict=True) if k], y[learn])
-    test = spare if not learn.all() else learn
-    z = np.concatenate([logits(model, t, np.array([0, len(t)])) for t, k in zip(texts, test, strict=True) if k])
-    model.cut = calibrate(z, y[test], lang[test])
+    learn = learn.coalesce(max(1, int(each.sum()) // TASK_ROWS))
+    context = docs.sparkSession.sparkContext
+
+    def texts_with(got):
+        n = np.zeros(BUCKETS)
+        for (ids,) in got:
+            n[np.unique(np.frombuffer(ids, np.uint16))] += 1
+        return n
+
+    rare = _total(learn, ["ids"], BUCKETS, texts_with) < max(LEAST_TEXTS, LEAST_SHARE * each[1])
+    params = start(rare)
+    ends = np.cumsum([0] + [p.size for p in params])
+    epochs = max(LOCAL, -(-STEPS * BATCH // (int(each.sum()) * ROUNDS)))
+    weight = each.sum() / (2 * each)
+    for k in range(ROUNDS):
+        shared = context.broadcast(params)
+
+        def improved(got, shared=shared, k=k):
+            own = [p.copy() for p in shared.value]
+            y = np.array([r[0] for r in got], np.int64)
+            train(own, rare, [np.frombuffer(r[1], np.uint16).astype(np.int64) for r in got], y, weight, epochs, 7 + k)
+            return len(got) * np.append(np.concatenate([p.ravel() for p in own]).astype(np.float64), 1.0)
+
+        total = _total(learn, ["toxic", "ids"], int(ends[-1]) + 1, improved)
+        params = [(total[a:b] / total[-1]).astype(np.float32).reshape(p.shape) for p, a, b in zip(params, ends[:-1], ends[1:], strict=True)]
+        shared.unpersist()
+    model = as_model(params)
+    fitted = context.broadcast(model)
+
+    def binned(got):
+        n = np.zeros((len(MARKS) + 1, 2, BINS))
+        for y, lang, ids in got:
+            ids = np.frombuffer(ids, np.uint16).astype(np.int64)
+            z = logits(fitted.value, ids, np.array([0, len(ids)]))[0]
+            n[lang, y, int(np.clip((z / SPAN + 1) / 2 * BINS, 0, BINS - 1))] += 1
+        return n.ravel()
+
+    model.cut = calibrate(_total(test, ["toxic", "lang", "ids"], (len(MARKS) + 1) * 2 * BINS, binned).reshape(-1, 2, BINS))
     return model
 
 
 FIELDS = T.StructType([T.StructField("score", T.DoubleType())])
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Score and prediction of every row of ``docs``."""
-    model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, rows))
+    model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
 
     def make():
         own = model.value
