@@ -21,10 +21,13 @@ where that fifth has too few rows of a class, all rows do both.  Both classes
 have the same weight.  ``labels``, ``lang``, ``source`` and ``doc_id`` are no
 inputs of a score.
 
-Scale: a text is reduced to two bytes a word before it meets its label, and
-that table is written once.  The driver holds the weights, the words' counts
-and the histograms of the thresholds, whose sizes are fixed by parameters;
-scoring is map-only over whole texts, a block of text at a time.
+Scale: a text is reduced to two bytes a word before it meets its label, by a
+join of one form at every size, and that table is written once.  Of the
+embeddings only those of words that are learnt travel; the others stay empty.
+A task learns from its rows in order of their doc_id.  The driver holds the
+weights, the words' counts and the histograms of the thresholds, whose sizes
+are fixed by parameters; scoring is map-only over whole texts, a block of text
+at a time.
 
 Defined cases: null and empty texts have no words: their score is that of
 empty pools; a null doc_id counts as empty text in the crc32; labels that are
@@ -231,7 +234,7 @@ def _total(rows: DataFrame, columns: list[str], size: int, make) -> np.ndarray:
 
 
 def learnt_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(toxic, spare, lang, ids) of every labelled row with a word outside the held-out fold; ``ids``: two bytes a word, the whole text."""
+    """(doc_id, toxic, spare, lang, ids) of every labelled row with a word outside the held-out fold; ``ids``: two bytes a word, the whole text."""
     learn = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % FOLDS != 0
     known = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter(learn & F.col("toxic").isin(0, 1))
     fields = T.StructType([T.StructField("ids", T.BinaryType()), T.StructField("lang", T.LongType())])
@@ -246,7 +249,7 @@ def learnt_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     found = X.map_text(docs.select("doc_id", "text").filter(learn), "text", ["doc_id"], fields, "x", make).filter(F.length("x.ids") > 0)
     spare = F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0
-    return found.join(known, "doc_id").select("toxic", spare.alias("spare"), "x.lang", "x.ids")
+    return found.join(known.hint("merge"), "doc_id").select("doc_id", "toxic", spare.alias("spare"), "x.lang", "x.ids")
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
@@ -269,7 +272,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
 
     rare = _total(learn, ["ids"], BUCKETS, texts_with) < max(LEAST_TEXTS, LEAST_SHARE * each[1])
     params = start(rare)
-    ends = np.cumsum([0] + [p.size for p in params])
+    learnt = np.flatnonzero(~rare)  # the embeddings of all other words stay at zero
+    ends = np.cumsum([0, len(learnt) * DIM] + [p.size for p in params[1:]])
     epochs = max(LOCAL, -(-STEPS * BATCH // (int(each.sum()) * ROUNDS)))
     weight = each.sum() / (2 * each)
     for k in range(ROUNDS):
@@ -277,12 +281,15 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
 
         def improved(got, shared=shared, k=k):
             own = [p.copy() for p in shared.value]
-            y = np.array([r[0] for r in got], np.int64)
-            train(own, rare, [np.frombuffer(r[1], np.uint16).astype(np.int64) for r in got], y, weight, epochs, 7 + k)
-            return len(got) * np.append(np.concatenate([p.ravel() for p in own]).astype(np.float64), 1.0)
-
-        total = _total(learn, ["toxic", "ids"], int(ends[-1]) + 1, improved)
-        params = [(total[a:b] / total[-1]).astype(np.float32).reshape(p.shape) for p, a, b in zip(params, ends[:-1], ends[1:], strict=True)]
+            got.sort()
+            y = np.array([r[1] for r in got], np.int64)
+            train(own, rare, [np.frombuffer(r[2], np.uint16).astype(np.int64) for r in got], y, weight, epochs, 7 + k)
+            return len(got) * np.append(np.concatenate([own[0][learnt].ravel(), *[p.ravel() for p in own[1:]]]).astype(np.float64), 1.0)
+
+        total = _total(learn, ["doc_id", "toxic", "ids"], int(ends[-1]) + 1, improved)
+        mean = [(total[a:b] / total[-1]).astype(np.float32) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        params = [np.zeros_like(params[0]), *[m.reshape(p.shape) for m, p in zip(mean[1:], params[1:], strict=True)]]
+        params[0][learnt] = mean[0].reshape(-1, DIM)
         shared.unpersist()
     model = as_model(params)
     fitted = context.broadcast(model)
