@@ -83,11 +83,20 @@ class Lattice:
         self.longest = max(map(len, self.score))
         self.trie = {p[:k]: None for p in self.score for k in range(1, len(p) + 1)}
         self.trie.update({p: (s, (self.id[p],)) for p, s in self.score.items()})
+        self.steps = self._steps()
         self.joined = self._joined()
         self.spelling = [bytes([self.byte_of[i]]) if i in self.byte_of else b"" if i in self.silent else self.piece[i].replace(SPACE, " ").encode() for i in range(size)]
         self.units: dict[int, tuple] = {}
         self.older: dict[int, tuple] = {}
 
+    def _steps(self) -> dict[str, tuple]:
+        """The pieces character by character: character -> (score, ids, the characters after it); ids are None in the midst of a piece."""
+        after: dict[str, dict] = {"": {}}
+        for p in sorted(self.trie, key=len, reverse=True):  # longer ones first, so that a node's followers are complete
+            hit = self.trie[p]
+            after.setdefault(p[:-1], {})[p[-1]] = (*(hit or (0.0, None)), after.get(p))
+        return after[""]
+
     def _joined(self) -> np.ndarray:
         """Whether an arc may cross between two bytes; never less than true, exact for ASCII (a space stands for U+2581)."""
         table = np.zeros((256, 256), bool)
@@ -176,24 +185,22 @@ class Lattice:
         found = self.older.get(key)
         if found is None:
             n = len(text)
-            trie, longest = self.trie.get, self.longest
+            roots = self.steps
             low = float("-inf")
             first, second = [low] * (n + 1), [low] * (n + 1)
             origin, spelled = [0] * (n + 1), [()] * (n + 1)
             first[0] = 0.0
-            for i in range(n):
+            for i, c in enumerate(text):
                 here, other = first[i], second[i]
-                j = i + 1
-                hit = trie(text[i], False)
-                if not hit:  # no piece of one character
-                    data = text[i].encode("utf-8", "replace")
-                    more, hit = hit is None, (self.unknown * len(data), tuple([self.byte_id[x] for x in data]))
-                else:
-                    more = True
-                end = min(n, i + longest)
-                while True:
-                    if hit:
-                        v, ids = hit
+                node = roots.get(c)
+                if node is None or node[1] is None:  # no piece of one character
+                    data = c.encode("utf-8", "replace")
+                    node = (self.unknown * len(data), tuple([self.byte_id[x] for x in data]), None if node is None else node[2])
+                j = i
+                while node is not None:
+                    v, ids, after = node
+                    j += 1
+                    if ids is not None:
                         top = here + v
                         was = first[j]
                         if top > was:
@@ -202,12 +209,9 @@ class Lattice:
                             second[j] = was if was > next_best else next_best
                         elif top > second[j]:
                             second[j] = top
-                    if not more or j == end:
-                        break
-                    j += 1
-                    hit = trie(text[i:j], False)
-                    if hit is False:
+                    if after is None or j == n:
                         break
+                    node = after.get(text[j])
             at, path = n, []
             while at:
                 path.append(spelled[at])
