@@ -33,6 +33,8 @@ MAX_REPEAT_PERCENT = 30
 #: posterior a document must reach to stay
 KEEP_AT = 0.5
 EM_ROUNDS = 60
+#: bytes of texts that a worker counts at once (a longer text alone)
+TEXT_BYTES = 1 << 19
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
           "n_lines", "n_upper", "n_letters", "n_digits", "n_marks", "n_bars", "n_stops")
@@ -194,7 +196,7 @@ def base_failed(counts: str) -> Column:
 
 def count_texts(docs: DataFrame, keep: list[str], text: str = "text", name: str = "counts") -> DataFrame:
     fields = T.StructType([T.StructField(c, T.LongType()) for c in COUNTS])
-    return X.map_text(docs, text, keep, fields, name, lambda: text_counts)
+    return X.map_text(docs, text, keep, fields, name, lambda: text_counts, TEXT_BYTES)
 
 
 def quality(docs: DataFrame) -> DataFrame:

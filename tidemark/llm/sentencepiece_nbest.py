@@ -52,7 +52,10 @@ N = 3
 UNKNOWN = 10.0
 #: scores at or below are marks of pieces the model never wants; they are kept as they are
 NEVER = -1e8
+#: units that a worker keeps
 CACHE = 100_000
+#: bytes of texts that are searched at once (a longer text alone)
+TEXT_BYTES = 1 << 19
 
 
 def model_path(name: str = MODEL) -> str:
@@ -61,6 +64,59 @@ def model_path(name: str = MODEL) -> str:
     return public_tokenizers.path(name)
 
 
+class Known:
+    """Units found so far, as arrays in order of their hashes: some fifty bytes a unit, a seventh of what Python objects take.
+
+    A worker process keeps them beside what its later tasks need, so they are
+    held small.  Beyond ``2 * size`` units the ``size`` last used stay.
+    """
+
+    def __init__(self, size: int = CACHE):
+        self.size, self.round = size, 0
+        self.keys = np.zeros(0, np.uint64)
+        self.values = np.zeros((2, 0))  # best score, what the second-best loses
+        self.pieces, self.used = np.zeros(0, np.int32), np.zeros(0, np.int32)
+        self.start, self.ids = np.zeros(0, np.int64), bytearray()
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(which of ``keys`` are known, their places)."""
+        at = np.searchsorted(self.keys, keys)
+        hit = np.zeros(len(keys), bool)
+        inner = at < len(self.keys)
+        hit[inner] = self.keys[at[inner]] == keys[inner]
+        self.round += 1
+        self.used[at[hit]] = self.round
+        return hit, at[hit]
+
+    def spelled(self, at: np.ndarray) -> list[bytearray]:
+        start = self.start[at]
+        ids = self.ids
+        return [ids[a:b] for a, b in zip(start.tolist(), (start + 4 * self.pieces[at]).tolist(), strict=True)]
+
+    def add(self, units: dict[int, tuple]) -> None:
+        """Takes over ``units`` (key -> as ``Lattice.unit``), none of them known."""
+        if not units:
+            return
+        keys = np.array(list(units), np.uint64)
+        order = np.argsort(keys)
+        best, loss, pieces, ids = (list(x) for x in zip(*units.values(), strict=True))
+        pieces = np.array(pieces, np.int32)
+        start = len(self.ids) + 4 * (np.cumsum(pieces, dtype=np.int64) - pieces)
+        self.ids += b"".join(ids)
+        at = np.searchsorted(self.keys, keys[order])
+        self.keys = np.insert(self.keys, at, keys[order])
+        self.values = np.insert(self.values, at, np.array([best, loss])[:, order], axis=1)
+        self.pieces, self.start = np.insert(self.pieces, at, pieces[order]), np.insert(self.start, at, start[order])
+        self.used = np.insert(self.used, at, self.round)
+
+    def trim(self) -> None:
+        if len(self.keys) > 2 * self.size:
+            keep = np.sort(np.argpartition(-self.used, self.size)[: self.size])
+            ids = self.spelled(keep)
+            self.keys, self.values, self.pieces, self.used = self.keys[keep], self.values[:, keep], self.pieces[keep], self.used[keep]
+            self.start, self.ids = 4 * (np.cumsum(self.pieces, dtype=np.int64) - self.pieces), bytearray().join(ids)
+
+
 class Lattice:
     """Pieces and scores of the model at ``path``."""
 
@@ -87,7 +143,7 @@ class Lattice:
         self.joined = self._joined()
         self.spelling = [bytes([self.byte_of[i]]) if i in self.byte_of else b"" if i in self.silent else self.piece[i].replace(SPACE, " ").encode() for i in range(size)]
         self.units: dict[int, tuple] = {}
-        self.older: dict[int, tuple] = {}
+        self.known = Known()
 
     def _steps(self) -> dict[str, tuple]:
         """The pieces character by character: character -> (score, ids, the characters after it); ids are None in the midst of a piece."""
@@ -178,48 +234,44 @@ class Lattice:
         return b"".join([spelling[i] for i in ids]).removeprefix(b" ")
 
     def unit(self, key: int, text: str) -> tuple[float, float, int, bytes]:
-        """(best score, what the second-best loses, pieces, ids of the best), found on first use.
+        """(best score, what the second-best loses, pieces, ids of the best); ``units`` holds it until ``Known.add`` takes it over.
 
         Viterbi with the two best scores of each prefix.
         """
-        found = self.older.get(key)
-        if found is None:
-            n = len(text)
-            roots = self.steps
-            low = float("-inf")
-            first, second = [low] * (n + 1), [low] * (n + 1)
-            origin, spelled = [0] * (n + 1), [()] * (n + 1)
-            first[0] = 0.0
-            for i, c in enumerate(text):
-                here, other = first[i], second[i]
-                node = roots.get(c)
-                if node is None or node[1] is None:  # no piece of one character
-                    data = c.encode("utf-8", "replace")
-                    node = (self.unknown * len(data), tuple([self.byte_id[x] for x in data]), None if node is None else node[2])
-                j = i
-                while node is not None:
-                    v, ids, after = node
-                    j += 1
-                    if ids is not None:
-                        top = here + v
-                        was = first[j]
-                        if top > was:
-                            first[j], origin[j], spelled[j] = top, i, ids
-                            next_best = other + v
-                            second[j] = was if was > next_best else next_best
-                        elif top > second[j]:
-                            second[j] = top
-                    if after is None or j == n:
-                        break
-                    node = after.get(text[j])
-            at, path = n, []
-            while at:
-                path.append(spelled[at])
-                at = origin[at]
-            ids = [x for part in reversed(path) for x in part]
-            found = (first[n], first[n] - second[n], len(ids), array("i", ids).tobytes())
-        if len(self.units) >= CACHE:  # two generations, so that frequent units stay
-            self.older, self.units = self.units, {}
+        n = len(text)
+        roots = self.steps
+        low = float("-inf")
+        first, second = [low] * (n + 1), [low] * (n + 1)
+        origin, spelled = [0] * (n + 1), [()] * (n + 1)
+        first[0] = 0.0
+        for i, c in enumerate(text):
+            here, other = first[i], second[i]
+            node = roots.get(c)
+            if node is None or node[1] is None:  # no piece of one character
+                data = c.encode("utf-8", "replace")
+                node = (self.unknown * len(data), tuple([self.byte_id[x] for x in data]), None if node is None else node[2])
+            j = i
+            while node is not None:
+                v, ids, after = node
+                j += 1
+                if ids is not None:
+                    top = here + v
+                    was = first[j]
+                    if top > was:
+                        first[j], origin[j], spelled[j] = top, i, ids
+                        next_best = other + v
+                        second[j] = was if was > next_best else next_best
+                    elif top > second[j]:
+                        second[j] = top
+                if after is None or j == n:
+                    break
+                node = after.get(text[j])
+        at, path = n, []
+        while at:
+            path.append(spelled[at])
+            at = origin[at]
+        ids = [x for part in reversed(path) for x in part]
+        found = (first[n], first[n] - second[n], len(ids), array("i", ids).tobytes())
         self.units[key] = found
         return found
 
@@ -268,12 +320,15 @@ def searcher(path: str, n: int = N):
         distinct, first, back = np.unique(X.span_hash(X.prefix_hash(raw), a, b), return_index=True, return_inverse=True)
         data, make = raw.tobytes(), lattice.unit
         text = lambda k: data[a[first[k]] : b[first[k]]].decode("utf-8", "replace").replace(" ", SPACE)
-        found = []
-        for k, key in enumerate(distinct.tolist()):
-            u = lattice.units.get(key)
-            found.append(make(key, text(k)) if u is None else u)
-        top, second = np.array([u[0] for u in found]), np.array([u[1] for u in found])
-        count, spelled = np.array([u[2] for u in found]), [u[3] for u in found]
+        known = lattice.known
+        hit, _ = known.find(distinct)
+        for k in np.flatnonzero(~hit).tolist():
+            make(int(distinct[k]), text(k))
+        known.add(lattice.units)
+        lattice.units = {}
+        at = np.searchsorted(known.keys, distinct)
+        (top, second), count, spelled = known.values[:, at], known.pieces[at].astype(np.int64), known.spelled(at)
+        known.trim()
         ranked: dict[int, list[tuple[float, bytes]]] = {}
 
         def choices(k: int) -> list[tuple[float, bytes]]:
@@ -343,7 +398,7 @@ def _with(docs: DataFrame, path: str | None, n: int, keep: list[str], name: str,
 
         return run
 
-    return X.map_text(docs, text, keep, fields, name, make)
+    return X.map_text(docs, text, keep, fields, name, make, TEXT_BYTES)
 
 
 def encode(docs: DataFrame, path: str | None = None, n: int = N) -> DataFrame:
