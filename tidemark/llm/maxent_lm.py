@@ -6,12 +6,17 @@ mod 10 is not 0; what is learnt covers all of them.
 
 * Base: add-0.1 unigram, c token count, N all, V distinct training tokens;
   everything never seen counts as one further type.
-* Model: P(w | h) = P(class(w) | h) * P_base(w) / P_base(class(w)).  The TOP most
+* Classes: M(w | h) = P(class(w) | h) * P_base(w) / P_base(class(w)).  The TOP most
   frequent tokens are classes of their own, the rest fall into hashed classes,
   unseen words into the last.  P(class | h) is a softmax over the classes' base
   masses (bias) plus three hashed feature rows: the word before (bigram), the
   two words before (trigram) and the word before that one alone (skip).
-  P sums to one over the V + 1 types.
+  M sums to one over the V + 1 types.
+* Model: P(w | h) = (1 - l) * M(w | h) + l * n(u, w) / n(u), l = n(u) / (n(u) + PAIR_PRIOR):
+  u is the word before (or the start of the text), n(u, w) counts the training
+  tokens w after u, n(u) all tokens after u.  So history tells words of one
+  class apart wherever it was observed with them, in the whole corpus.  Both
+  parts sum to one over the V + 1 types, and so does P.
 
 Training: one pass counts the observed (feature, class) pairs, which are the
 sufficient statistics and give the start weights; then ROUNDS distributed
@@ -25,7 +30,11 @@ Scale: the texts are read once and packed into blocks of about three megabytes
 checkpoint folder that all passes read.  Word counts are summed a block before
 they are shuffled, so the commonest word sends one row a block.  Counts come
 back to a block only for its own words; the KNOWN most frequent ones (16 bytes
-each) are broadcast instead.  The driver holds the weights and the class
+each) are broadcast instead.  A block's distinct word pairs travel once, as
+sorted hashes cut into ranges of the hash; the totals of a range come back to
+each block in the order in which it sent its hashes.  The number of ranges
+grows with the blocks, so that a range holds the pairs of about PART blocks,
+however often one word occurs.  The driver holds the weights and the class
 masses, whose sizes are fixed by parameters.  Words are 64-bit hashes.
 
 Defined cases: a null or empty text is its end token; a null doc_id counts as
@@ -62,6 +71,12 @@ KNOWN = 1 << 17
 BLOCK = 3 << 20
 BATCH = 1 << 13
 GROUP = 128  # weight rows that travel together
+#: pseudo-count of the class model beside the tokens seen after a word
+PAIR_PRIOR = 40.0
+#: a range of pair hashes holds the pairs of about so many blocks
+PART = 4
+#: tasks a core in which weight sums are made; each sends one sum
+SUMS = 3
 _END = 0x5DEECE66D1CE4E5B
 _START = np.uint64(0x2545F4914F6CDD1D)
 
@@ -75,6 +90,15 @@ def is_held_out(doc_id) -> bool:
     return zlib.crc32(("" if doc_id is None else str(doc_id)).encode()) % FOLDS == 0
 
 
+def planes(values: np.ndarray) -> bytes:
+    """The values' first bytes, then their second ones and so on, which compresses better."""
+    return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+
+
+def unplaned(data, kind) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
 def pack(docs: DataFrame) -> DataFrame:
     """Blocks of whole documents: distinct word hashes, their counts in training documents, word indices in order."""
 
@@ -89,13 +113,16 @@ def pack(docs: DataFrame) -> DataFrame:
                 held = np.array([is_held_out(x) for x in mine.to_pylist()], bool)
                 low = X.LOWER[raw]
                 starts, ends, doc = X.span_words(low, offsets, X.SPACED)
-                vocabulary, back = np.unique(X.span_hash(X.prefix_hash(low), starts, ends), return_inverse=True)
+                vocabulary, back, times = np.unique(X.span_hash(X.prefix_hash(low), starts, ends), return_inverse=True, return_counts=True)
+                often = np.argsort(-times, kind="stable")  # small indices for frequent words
+                place = np.empty(len(often), np.uint32)
+                place[often] = np.arange(len(often), dtype=np.uint32)
+                vocabulary, back = vocabulary[often], place[back]
                 train = np.bincount(back[~held[doc]], minlength=len(vocabulary)).astype(np.uint32)
-                kind = np.uint16 if len(vocabulary) <= 1 << 16 else np.uint32
                 yield pa.RecordBatch.from_arrays([
                     pa.array([serial], pa.int64()), pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), mine.combine_chunks() if isinstance(mine, pa.ChunkedArray) else mine),
                     pa.array([held.tolist()], pa.list_(pa.bool_())), pa.array([np.bincount(doc, minlength=n).astype(np.int32)], pa.list_(pa.int32())),
-                    pa.array([vocabulary.tobytes()], pa.binary()), pa.array([train.tobytes()], pa.binary()), pa.array([back.astype(kind).tobytes()], pa.binary())], BLOCKS.names)
+                    pa.array([vocabulary.tobytes()], pa.binary()), pa.array([train.tobytes()], pa.binary()), pa.array([pa.compress(planes(back), "zstd", asbytes=True)], pa.binary())], BLOCKS.names)
                 serial += 1
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, BLOCKS)
@@ -115,7 +142,7 @@ def _rows(batch: pa.RecordBatch):
                 out[name] = value.values.to_numpy(zero_copy_only=False) if isinstance(value, pa.ListScalar) else value.as_py()
         if "words" in out:
             n = int(out["sizes"].sum())
-            out["words"] = out["words"].view(np.uint16 if len(out["words"]) == 2 * n else np.uint32).astype(np.int64)
+            out["words"] = unplaned(pa.decompress(pa.py_buffer(out["words"]), 4 * n, "zstd"), np.uint32).astype(np.int64)
         yield out
 
 
@@ -229,7 +256,7 @@ def _partials(blocks: DataFrame, classes: Classes, weights: np.ndarray | None) -
 
     def run(batches):
         model, w = shared.value
-        total = np.zeros((FEATURES * BUCKETS, CLASSES), np.float32 if w is not None else np.int64)
+        total = np.zeros((FEATURES * BUCKETS, CLASSES), np.float64 if w is not None else np.int64)
         for batch in batches:
             for block in _rows(batch):
                 hashes, first, doc, _ = sequence(block)
@@ -256,7 +283,8 @@ def _partials(blocks: DataFrame, classes: Classes, weights: np.ndarray | None) -
         data = [total[g * GROUP : (g + 1) * GROUP].astype(np.float32).tobytes() for g in groups.tolist()]
         yield pa.RecordBatch.from_arrays([pa.array(groups.astype(np.int32)), pa.array(data, pa.binary())], ["g", "sums"])
 
-    return blocks.select("doc_ids", "held", "sizes", "vocabulary", "words").mapInArrow(run, "g int, sums binary")
+    tasks = SUMS * blocks.sparkSession.sparkContext.defaultParallelism
+    return blocks.select("held", "sizes", "vocabulary", "words").coalesce(tasks).mapInArrow(run, "g int, sums binary")
 
 
 def start_weights(observed: np.ndarray, log_mass: np.ndarray) -> np.ndarray:
@@ -324,6 +352,47 @@ SCORES = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("hel
                        T.StructField("score", T.DoubleType())])
 
 
+def pair_keys(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Hash of (the word before, token) of each token; the first one of a document comes after a start of its own."""
+    one = np.concatenate([[_START], hashes[:-1]])
+    one[first == 0] = _START
+    return X.mix(one * np.uint64(3) + X.mix(hashes))
+
+
+def count_pairs(blocks: DataFrame, parts: int) -> DataFrame:
+    """(block, pairs): training counts of a block's distinct pairs in all blocks, in order of their hashes, cut by ranges of the hash.
+
+    A block sends a range's hashes as differences, so that a hash costs about six bytes.
+    """
+    bounds = np.array([i * (1 << 64) // parts for i in range(parts)], np.uint64)
+
+    def ask(batches):
+        for batch in batches:
+            for block in _rows(batch):
+                hashes, first, doc, _ = sequence(block)
+                keys, back = np.unique(pair_keys(hashes, first), return_inverse=True)
+                train = np.bincount(back[~block["held"][doc]], minlength=len(keys)).astype(np.uint32)
+                edges = np.append(np.searchsorted(keys, bounds), len(keys))
+                some = np.flatnonzero(np.diff(edges))
+                cut = [slice(edges[p], edges[p + 1]) for p in some]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(some.astype(np.int32)), pa.array(np.full(len(some), block["block"])),
+                    pa.array([planes(np.diff(keys[c], prepend=bounds[p])) for p, c in zip(some, cut, strict=True)], pa.binary()),
+                    pa.array([planes(train[c]) for c in cut], pa.binary())], ["part", "block", "keys", "train"])
+
+    def total(table: pa.Table) -> pa.Table:
+        start = bounds[table.column("part")[0].as_py()]
+        keys = [start + np.cumsum(unplaned(x.as_buffer(), np.uint64)) for x in table.column("keys")]
+        _, back = np.unique(np.concatenate(keys), return_inverse=True)
+        sums = np.bincount(back, np.concatenate([unplaned(x.as_buffer(), np.uint32) for x in table.column("train")]))
+        told = np.split(sums[back].astype(np.uint32), np.cumsum([len(k) for k in keys])[:-1])
+        return pa.table([table.column("block").combine_chunks(), table.column("part").combine_chunks(), pa.array([planes(x) for x in told], pa.binary())], ["block", "part", "counts"])
+
+    asked = blocks.select("block", "held", "sizes", "vocabulary", "words").mapInArrow(ask, "part int, block long, keys binary, train binary")
+    sums = asked.groupBy("part").applyInArrow(total, "block long, part int, counts binary")
+    return sums.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("part", "counts")))["counts"].alias("pairs"))
+
+
 def score_blocks(blocks: DataFrame, counts: DataFrame, classes: Classes, weights: np.ndarray) -> DataFrame:
     """Base and model log10 probability of every document of ``blocks``."""
     frequent = counts.orderBy(F.col("c").desc(), "hash").limit(KNOWN).collect()  # at most KNOWN rows of two longs
@@ -354,8 +423,8 @@ def score_blocks(blocks: DataFrame, counts: DataFrame, classes: Classes, weights
     def score(batches):
         model, w, table, values = shared.value
         for batch in batches:
-            column = batch.column(batch.schema.get_field_index("told"))
-            for r, block in enumerate(_rows(batch.drop_columns(["told"]))):
+            column, after = (batch.column(batch.schema.get_field_index(x)) for x in ("told", "pairs"))
+            for r, block in enumerate(_rows(batch.drop_columns(["told", "pairs"]))):
                 hashes, first, doc, index = sequence(block)
                 c = lookup(block["vocabulary"], table, values)
                 back = column[r].values
@@ -376,13 +445,19 @@ def score_blocks(blocks: DataFrame, counts: DataFrame, classes: Classes, weights
                     t = target[order[mine]]
                     gain[order[mine]] = np.log(p[place[mine] - lo, t], dtype=np.float64) - model.log_mass[t]
                 docs = len(block["sizes"])
-                full = np.bincount(doc, base + gain / np.log(10), docs)
+                before = np.concatenate([[model.end], count[:-1]])
+                before[first == 0] = model.end  # tokens after a start: training documents
+                _, back = np.unique(pair_keys(hashes, first), return_inverse=True)
+                seen = np.concatenate([unplaned(x.as_buffer(), np.uint32) for x in after[r].values])[back]
+                chance = (PAIR_PRIOR * 10.0 ** (base + gain / np.log(10)) + seen) / (PAIR_PRIOR + before)
+                full = np.bincount(doc, np.log10(chance), docs)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(block["doc_ids"], pa.int64()), pa.array(block["held"]), pa.array(block["sizes"].astype(np.int64) + 1),
                     pa.array(np.bincount(doc[count > 0], minlength=docs).astype(np.int64)), pa.array(np.full(docs, model.tokens, np.int64)),
                     pa.array(np.bincount(doc, base, docs)), pa.array(full)], SCORES.names)
 
-    return blocks.drop("train").join(told, "block", "left").mapInArrow(score, SCORES)
+    pairs = count_pairs(blocks, max(1, -(-blocks.count() // PART)))
+    return blocks.drop("train").join(told, "block", "left").join(pairs, "block", "left").mapInArrow(score, SCORES)
 
 
 def lm_scores(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
