@@ -25,7 +25,7 @@ sums the expected counts, the sums are added by row group across tasks, and
 the observed-minus-expected gradient, scaled by how often a row was seen,
 updates the weights.
 
-Scale: the texts are read once and packed into blocks of about three megabytes
+Scale: the texts are read once and packed into blocks of about two megabytes
 (distinct word hashes, word indices, document sizes), a table in the shared
 checkpoint folder that all passes read.  Word counts are summed a block before
 they are shuffled, so the commonest word sends one row a block.  Counts come
@@ -68,13 +68,13 @@ PRIOR, START = 20.0, 0.45
 STEP = 0.6
 #: most frequent words whose counts are broadcast
 KNOWN = 1 << 17
-BLOCK = 3 << 20
+BLOCK = 2 << 20
 BATCH = 1 << 13
 GROUP = 128  # weight rows that travel together
 #: pseudo-count of the class model beside the tokens seen after a word
 PAIR_PRIOR = 40.0
 #: a range of pair hashes holds the pairs of about so many blocks
-PART = 4
+PART = 2
 #: tasks a core in which weight sums are made; each sends one sum
 SUMS = 3
 _END = 0x5DEECE66D1CE4E5B
@@ -99,12 +99,25 @@ def unplaned(data, kind) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
 
 
+def gathered(batches):
+    """Batches joined to about BLOCK bytes, so that a block's words and pairs are told apart once."""
+    held, size = [], 0
+    for batch in batches:
+        if held and size + batch.nbytes > BLOCK:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+        held.append(batch)
+        size += batch.nbytes
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def pack(docs: DataFrame) -> DataFrame:
     """Blocks of whole documents: distinct word hashes, their counts in training documents, word indices in order."""
 
     def run(batches):
         serial = TaskContext.get().partitionId() << 33
-        for batch in batches:
+        for batch in gathered(batches):
             at, ids = 0, batch.column(0)
             for raw, offsets in X.blocks(batch.column(1), BLOCK):
                 n = len(offsets) - 1
@@ -378,19 +391,32 @@ def count_pairs(blocks: DataFrame, parts: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([
                     pa.array(some.astype(np.int32)), pa.array(np.full(len(some), block["block"])),
                     pa.array([planes(np.diff(keys[c], prepend=bounds[p])) for p, c in zip(some, cut, strict=True)], pa.binary()),
-                    pa.array([planes(train[c]) for c in cut], pa.binary())], ["part", "block", "keys", "train"])
+                    pa.array([pa.compress(planes(train[c]), "zstd", asbytes=True) for c in cut], pa.binary())], ["part", "block", "keys", "train"])
 
     def total(table: pa.Table) -> pa.Table:
         start = bounds[table.column("part")[0].as_py()]
         keys = [start + np.cumsum(unplaned(x.as_buffer(), np.uint64)) for x in table.column("keys")]
-        _, back = np.unique(np.concatenate(keys), return_inverse=True)
-        sums = np.bincount(back, np.concatenate([unplaned(x.as_buffer(), np.uint32) for x in table.column("train")]))
-        told = np.split(sums[back].astype(np.uint32), np.cumsum([len(k) for k in keys])[:-1])
-        return pa.table([table.column("block").combine_chunks(), table.column("part").combine_chunks(), pa.array([planes(x) for x in told], pa.binary())], ["block", "part", "counts"])
+        each = [len(k) for k in keys]
+        keys = np.concatenate(keys)
+        order = np.argsort(keys)
+        keys = keys[order]
+        begin = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        size = np.diff(np.append(begin, len(keys)))
+        del keys
+        train = np.concatenate([unplaned(pa.decompress(x.as_buffer(), 4 * n, "zstd"), np.uint32) for x, n in zip(table.column("train"), each, strict=True)])
+        sums = np.empty(len(order), np.uint32)
+        sums[order] = np.repeat(np.add.reduceat(train[order], begin), size)
+        told = [pa.compress(planes(x), "zstd", asbytes=True) for x in np.split(sums, np.cumsum(each)[:-1])]
+        return pa.table([table.column("block").combine_chunks(), table.column("part").combine_chunks(), pa.array(each, pa.int32()), pa.array(told, pa.binary())], ["block", "part", "n", "counts"])
 
     asked = blocks.select("block", "held", "sizes", "vocabulary", "words").mapInArrow(ask, "part int, block long, keys binary, train binary")
-    sums = asked.groupBy("part").applyInArrow(total, "block long, part int, counts binary")
-    return sums.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("part", "counts")))["counts"].alias("pairs"))
+    sums = asked.groupBy("part").applyInArrow(total, "block long, part int, n int, counts binary")
+    return sums.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("part", "n", "counts"))).alias("pairs"))
+
+
+def pair_counts(told: pa.StructArray) -> np.ndarray:
+    """Training counts of a block's distinct pairs, in order of their hashes, from its row of :func:`count_pairs`."""
+    return np.concatenate([unplaned(pa.decompress(x.as_buffer(), 4 * n, "zstd"), np.uint32) for n, x in zip(told.field(1).to_pylist(), told.field(2), strict=True)])
 
 
 def score_blocks(blocks: DataFrame, counts: DataFrame, classes: Classes, weights: np.ndarray) -> DataFrame:
@@ -447,8 +473,9 @@ def score_blocks(blocks: DataFrame, counts: DataFrame, classes: Classes, weights
                 docs = len(block["sizes"])
                 before = np.concatenate([[model.end], count[:-1]])
                 before[first == 0] = model.end  # tokens after a start: training documents
+                del rows, place, order, target
                 _, back = np.unique(pair_keys(hashes, first), return_inverse=True)
-                seen = np.concatenate([unplaned(x.as_buffer(), np.uint32) for x in after[r].values])[back]
+                seen = pair_counts(after[r].values)[back]
                 chance = (PAIR_PRIOR * 10.0 ** (base + gain / np.log(10)) + seen) / (PAIR_PRIOR + before)
                 full = np.bincount(doc, np.log10(chance), docs)
                 yield pa.RecordBatch.from_arrays([
