@@ -58,3 +58,32 @@ def test_history_tells_words_of_one_class_apart(spark):
     got = {r["doc_id"]: r for r in L.lm_scores(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     a, b = got[held[0]], got[held[1]]
     assert math.isclose(a["base_score"], b["base_score"]) and a["score"] > b["score"] + 0.8
+
+
+def test_words_travel_once_as_ranges_of_their_hashes(spark, monkeypatch):
+    """Every block gets the training counts of its own words in all blocks, in a row a range and not in one a word."""
+    monkeypatch.setattr(L, "BLOCK", 600)
+    monkeypatch.setattr(L, "WORD_PART", 4)
+    rng = random.Random(5)
+    texts = [" ".join(f"w{rng.randrange(200)}" for _ in range(rng.randrange(0, 60))) for _ in range(80)] + [None, "", "w1 W1 w1"]
+    docs = spark.createDataFrame([(i if i % 9 else None, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    counts = collections.Counter()
+    learnt = [r for r in docs.collect() if zlib.crc32(("" if r["doc_id"] is None else str(r["doc_id"])).encode()) % 10]
+    for r in learnt:
+        counts.update((r["text"] or "").lower().split())
+
+    def hash_of(w):
+        raw = np.frombuffer(w.encode(), np.uint8)
+        return int(L.X.span_hash(L.X.prefix_hash(raw), np.array([0]), np.array([len(raw)]))[0])
+
+    want = {hash_of(w): n for w, n in counts.items()} | {L._END: len(learnt)}
+    blocks = L.stage(L.pack(docs), "test")
+    totals = L.word_totals(blocks).collect()
+    parts = L.ranges(blocks, 4)
+    assert parts > 1 and len(totals) <= (blocks.count() + 1) * parts
+    assert {r["hash"] % (1 << 64): r["c"] for r in L.count_words(blocks).collect()} == want
+    for b in blocks.collect():
+        hashes, order = L.word_order({"vocabulary": np.frombuffer(b["vocabulary"], np.uint64)})
+        mine = sorted((r["part"], r["n"], bytes(r["counts"])) for r in totals if r["block"] == b["block"])
+        told = L.told_counts(L.pa.array(mine, L.pa.struct([("part", L.pa.int32()), ("n", L.pa.int32()), ("counts", L.pa.binary())])))
+        assert told.tolist() == [want.get(h, 0) for h in hashes[order].tolist()]

@@ -27,15 +27,15 @@ updates the weights.
 
 Scale: the texts are read once and packed into blocks of about two megabytes
 (distinct word hashes, word indices, document sizes), a table in the shared
-checkpoint folder that all passes read.  Word counts are summed a block before
-they are shuffled, so the commonest word sends one row a block.  Counts come
-back to a block only for its own words; the KNOWN most frequent ones (16 bytes
-each) are broadcast instead.  A block's distinct word pairs travel once, as
-sorted hashes cut into ranges of the hash; the totals of a range come back to
-each block in the order in which it sent its hashes.  The number of ranges
-grows with the blocks, so that a range holds the pairs of about PART blocks,
-however often one word occurs.  The driver holds the weights and the class
-masses, whose sizes are fixed by parameters.  Words are 64-bit hashes.
+checkpoint folder that all passes read.  A block's distinct words travel once, and so do
+its distinct word pairs: as sorted hashes with their counts in the block, cut
+into ranges of the hash; the totals of a range come back to each block in the
+order in which it sent its hashes, without them.  The number of ranges grows
+with the blocks, so that a range holds the words of about WORD_PART blocks or
+the pairs of about PART blocks, however often one word occurs.  Blocks meet
+their totals once, with their hashes as differences.  The driver holds the
+weights and the class masses, whose sizes are fixed by parameters.  Words are
+64-bit hashes.
 
 Defined cases: a null or empty text is its end token; a null doc_id counts as
 empty text in the crc32; rows are scored one by one, repeated or not; an empty
@@ -66,15 +66,13 @@ ROUNDS = 2
 PRIOR, START = 20.0, 0.45
 #: step of a gradient update
 STEP = 0.6
-#: most frequent words whose counts are broadcast
-KNOWN = 1 << 17
 BLOCK = 2 << 20
 BATCH = 1 << 13
 GROUP = 128  # weight rows that travel together
 #: pseudo-count of the class model beside the tokens seen after a word
 PAIR_PRIOR = 40.0
-#: a range of pair hashes holds the pairs of about so many blocks
-PART = 2
+#: a range of hashes holds the pairs, or the words, of about so many blocks
+PART, WORD_PART = 2, 8
 #: tasks a core in which weight sums are made; each sends one sum
 SUMS = 3
 _END = 0x5DEECE66D1CE4E5B
@@ -99,6 +97,14 @@ def unplaned(data, kind) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
 
 
+def packed(values: np.ndarray) -> bytes:
+    return pa.compress(planes(values), "zstd", asbytes=True)
+
+
+def unpacked(data, n: int, kind) -> np.ndarray:
+    return unplaned(pa.decompress(pa.py_buffer(data), n * np.dtype(kind).itemsize, "zstd"), kind)
+
+
 def gathered(batches):
     """Batches joined to about BLOCK bytes, so that a block's words and pairs are told apart once."""
     held, size = [], 0
@@ -135,7 +141,7 @@ def pack(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([
                     pa.array([serial], pa.int64()), pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), mine.combine_chunks() if isinstance(mine, pa.ChunkedArray) else mine),
                     pa.array([held.tolist()], pa.list_(pa.bool_())), pa.array([np.bincount(doc, minlength=n).astype(np.int32)], pa.list_(pa.int32())),
-                    pa.array([vocabulary.tobytes()], pa.binary()), pa.array([train.tobytes()], pa.binary()), pa.array([pa.compress(planes(back), "zstd", asbytes=True)], pa.binary())], BLOCKS.names)
+                    pa.array([vocabulary.tobytes()], pa.binary()), pa.array([train.tobytes()], pa.binary()), pa.array([packed(back)], pa.binary())], BLOCKS.names)
                 serial += 1
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, BLOCKS)
@@ -153,12 +159,30 @@ def _rows(batch: pa.RecordBatch):
                 out[name] = value.values
             else:
                 out[name] = value.values.to_numpy(zero_copy_only=False) if isinstance(value, pa.ListScalar) else value.as_py()
+        if "steps" in out:  # of coded()
+            out["vocabulary"] = np.cumsum(unpacked(out.pop("steps"), out["n_vocabulary"], np.uint64), dtype=np.uint64)
         if "words" in out:
-            n = int(out["sizes"].sum())
-            out["words"] = unplaned(pa.decompress(pa.py_buffer(out["words"]), 4 * n, "zstd"), np.uint32).astype(np.int64)
+            out["words"] = unpacked(out["words"], int(out["sizes"].sum()), np.uint32).astype(np.int64)
         yield out
 
 
+def coded(blocks: DataFrame) -> DataFrame:
+    """Blocks as they are shuffled to their totals: hashes as steps from one to the next.
+
+    Words of one frequency are in order of their hashes, so a step has about six bytes.
+    """
+    schema = T.StructType([f for f in blocks.schema if f.name != "vocabulary"] + [T.StructField("n_vocabulary", T.LongType()), T.StructField("steps", T.BinaryType())])
+
+    def run(batches):
+        for batch in batches:
+            hashes = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column("vocabulary")]
+            rest = batch.drop_columns(["vocabulary"])
+            steps = pa.array([packed(np.diff(h, prepend=np.uint64(0))) for h in hashes], pa.binary())
+            yield pa.RecordBatch.from_arrays([*rest.columns, pa.array([len(h) for h in hashes], pa.int64()), steps], schema.names)
+
+    return blocks.mapInArrow(run, schema)
+
+
 @dataclass(frozen=True)
 class Classes:
     """Base masses: tokens, types, the hashes of the classes of one word, log mass of each class."""
@@ -313,20 +337,101 @@ def gradient_step(weights: np.ndarray, observed: np.ndarray, expected: np.ndarra
     return np.clip(weights + STEP * np.clip((observed - expected) / scale, -2, 2), -12, 12)
 
 
-def count_words(blocks: DataFrame) -> DataFrame:
-    """(hash, c): training count of each word with one, end token included."""
+def ranges(blocks: DataFrame, each: int) -> int:
+    """Ranges of a hash that hold what about ``each`` blocks send."""
+    return max(1, -(-blocks.count() // each))
 
-    def run(batches):
-        ends = 0
+
+def _totals(blocks: DataFrame, parts: int, own, columns: list[str], listed: bool) -> DataFrame:
+    """(block, part, n, counts, keys): sums over all blocks for the hashes of each, in order of its hashes, cut by ranges of the hash.
+
+    ``own(block)`` gives a block's sorted hashes and their counts in it; it
+    reads ``columns``.  A block sends a range's hashes as differences, so that
+    a hash costs about six bytes.  ``listed``: a further row a range, with a
+    null block, holds its distinct hashes and their sums.
+    """
+    bounds = np.array([i * (1 << 64) // parts for i in range(parts)], np.uint64)
+
+    def ask(batches):
         for batch in batches:
             for block in _rows(batch):
-                ends += int((~block["held"]).sum())
-                seen = block["train"] > 0
-                yield pa.RecordBatch.from_arrays([pa.array(block["vocabulary"][seen].view(np.int64)), pa.array(block["train"][seen].astype(np.int64))], ["hash", "c"])
-        if ends:
-            yield pa.RecordBatch.from_arrays([pa.array([np.uint64(_END).astype(np.int64)], pa.int64()), pa.array([ends], pa.int64())], ["hash", "c"])
+                keys, train = own(block)
+                edges = np.append(np.searchsorted(keys, bounds), len(keys))
+                some = np.flatnonzero(np.diff(edges))
+                cut = [slice(edges[p], edges[p + 1]) for p in some]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(some.astype(np.int32)), pa.array(np.full(len(some), block["block"])), pa.array(np.diff(edges)[some].astype(np.int32)),
+                    pa.array([packed(np.diff(keys[c], prepend=bounds[p])) for p, c in zip(some, cut, strict=True)], pa.binary()),
+                    pa.array([packed(train[c]) for c in cut], pa.binary())], ["part", "block", "n", "keys", "train"])
+
+    def total(table: pa.Table) -> pa.Table:
+        part = table.column("part")[0].as_py()
+        each = table.column("n").to_pylist()
+        keys = np.concatenate([bounds[part] + np.cumsum(unpacked(x.as_buffer(), n, np.uint64), dtype=np.uint64) for x, n in zip(table.column("keys"), each, strict=True)])
+        order = np.argsort(keys)
+        keys = keys[order]
+        begin = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        size = np.diff(np.append(begin, len(keys)))
+        distinct = keys[begin] if listed else None
+        del keys
+        train = np.concatenate([unpacked(x.as_buffer(), n, np.uint32) for x, n in zip(table.column("train"), each, strict=True)])
+        own_sums = np.add.reduceat(train[order], begin, dtype=np.uint64)
+        sums = np.empty(len(order), np.uint64)
+        sums[order] = np.repeat(own_sums, size)
+        columns = [table.column("block").to_pylist(), each, [packed(x) for x in np.split(sums, np.cumsum(each)[:-1])], [None] * len(each)]
+        if listed:
+            for column, value in zip(columns, (None, len(distinct), packed(own_sums), distinct.tobytes()), strict=True):
+                column.append(value)
+        block, n, counts, keys = columns
+        return pa.table([pa.array(block, pa.int64()), pa.array([part] * len(n), pa.int32()), pa.array(n, pa.int32()), pa.array(counts, pa.binary()), pa.array(keys, pa.binary())],
+                        ["block", "part", "n", "counts", "keys"])
+
+    asked = blocks.select(*columns).mapInArrow(ask, "part int, block long, n int, keys binary, train binary")
+    return asked.groupBy("part").applyInArrow(total, "block long, part int, n int, counts binary, keys binary")
+
+
+def _told(totals: DataFrame, name: str) -> DataFrame:
+    """(block, ``name``): a block's rows of :func:`_totals` in order of the hashes."""
+    return totals.filter("block is not null").groupBy("block").agg(F.sort_array(F.collect_list(F.struct("part", "n", "counts"))).alias(name))
+
+
+def told_counts(told: pa.StructArray) -> np.ndarray:
+    """Training counts of what a block sent, in order of the hashes, from its row of :func:`_told`."""
+    return np.concatenate([unpacked(x.as_buffer(), n, np.uint64) for n, x in zip(told.field(1).to_pylist(), told.field(2), strict=True)])
 
-    return blocks.select("held", "vocabulary", "train").mapInArrow(run, "hash long, c long").groupBy("hash").agg(F.sum("c").alias("c"))
+
+def word_order(block: dict) -> tuple[np.ndarray, np.ndarray]:
+    """A block's distinct tokens, the end token last, and their order by hash."""
+    hashes = np.append(block["vocabulary"], np.uint64(_END))
+    return hashes, np.argsort(hashes, kind="stable")
+
+
+def word_totals(blocks: DataFrame) -> DataFrame:
+    """Training counts of each block's distinct words and the end token, in all blocks."""
+
+    def own(block):
+        hashes, order = word_order(block)
+        return hashes[order], np.append(block["train"], np.uint32((~block["held"]).sum()))[order]
+
+    return _totals(blocks, ranges(blocks, WORD_PART), own, ["block", "held", "vocabulary", "train"], True)
+
+
+def listed_words(totals: DataFrame) -> DataFrame:
+    """(hash, c): training count of each word with one, end token included, from :func:`word_totals`."""
+
+    def run(batches):
+        for batch in batches:
+            for n, counts, keys in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+                c = unpacked(counts.as_buffer(), n, np.uint64).view(np.int64)
+                seen = c > 0
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(keys.as_buffer(), np.int64)[seen]), pa.array(c[seen])], ["hash", "c"])
+
+    return totals.filter("block is null").select("n", "counts", "keys").mapInArrow(run, "hash long, c long")
+
+
+def count_words(blocks: DataFrame) -> DataFrame:
+    """(hash, c): training count of each word with one, end token included."""
+    return listed_words(word_totals(blocks))
 
 
 def fit_classes(counts: DataFrame) -> Classes:
@@ -373,92 +478,35 @@ def pair_keys(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def count_pairs(blocks: DataFrame, parts: int) -> DataFrame:
-    """(block, pairs): training counts of a block's distinct pairs in all blocks, in order of their hashes, cut by ranges of the hash.
+    """(block, pairs): training counts of a block's distinct pairs in all blocks, in order of their hashes, cut by ranges of the hash."""
 
-    A block sends a range's hashes as differences, so that a hash costs about six bytes.
-    """
-    bounds = np.array([i * (1 << 64) // parts for i in range(parts)], np.uint64)
+    def own(block):
+        hashes, first, doc, _ = sequence(block)
+        keys, back = np.unique(pair_keys(hashes, first), return_inverse=True)
+        return keys, np.bincount(back[~block["held"][doc]], minlength=len(keys)).astype(np.uint32)
 
-    def ask(batches):
-        for batch in batches:
-            for block in _rows(batch):
-                hashes, first, doc, _ = sequence(block)
-                keys, back = np.unique(pair_keys(hashes, first), return_inverse=True)
-                train = np.bincount(back[~block["held"][doc]], minlength=len(keys)).astype(np.uint32)
-                edges = np.append(np.searchsorted(keys, bounds), len(keys))
-                some = np.flatnonzero(np.diff(edges))
-                cut = [slice(edges[p], edges[p + 1]) for p in some]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(some.astype(np.int32)), pa.array(np.full(len(some), block["block"])),
-                    pa.array([planes(np.diff(keys[c], prepend=bounds[p])) for p, c in zip(some, cut, strict=True)], pa.binary()),
-                    pa.array([pa.compress(planes(train[c]), "zstd", asbytes=True) for c in cut], pa.binary())], ["part", "block", "keys", "train"])
-
-    def total(table: pa.Table) -> pa.Table:
-        start = bounds[table.column("part")[0].as_py()]
-        keys = [start + np.cumsum(unplaned(x.as_buffer(), np.uint64)) for x in table.column("keys")]
-        each = [len(k) for k in keys]
-        keys = np.concatenate(keys)
-        order = np.argsort(keys)
-        keys = keys[order]
-        begin = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-        size = np.diff(np.append(begin, len(keys)))
-        del keys
-        train = np.concatenate([unplaned(pa.decompress(x.as_buffer(), 4 * n, "zstd"), np.uint32) for x, n in zip(table.column("train"), each, strict=True)])
-        sums = np.empty(len(order), np.uint32)
-        sums[order] = np.repeat(np.add.reduceat(train[order], begin), size)
-        told = [pa.compress(planes(x), "zstd", asbytes=True) for x in np.split(sums, np.cumsum(each)[:-1])]
-        return pa.table([table.column("block").combine_chunks(), table.column("part").combine_chunks(), pa.array(each, pa.int32()), pa.array(told, pa.binary())], ["block", "part", "n", "counts"])
-
-    asked = blocks.select("block", "held", "sizes", "vocabulary", "words").mapInArrow(ask, "part int, block long, keys binary, train binary")
-    sums = asked.groupBy("part").applyInArrow(total, "block long, part int, n int, counts binary")
-    return sums.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("part", "n", "counts"))).alias("pairs"))
+    return _told(_totals(blocks, parts, own, ["block", "held", "sizes", "vocabulary", "words"], False), "pairs")
 
 
 def pair_counts(told: pa.StructArray) -> np.ndarray:
     """Training counts of a block's distinct pairs, in order of their hashes, from its row of :func:`count_pairs`."""
-    return np.concatenate([unplaned(pa.decompress(x.as_buffer(), 4 * n, "zstd"), np.uint32) for n, x in zip(told.field(1).to_pylist(), told.field(2), strict=True)])
-
-
-def score_blocks(blocks: DataFrame, counts: DataFrame, classes: Classes, weights: np.ndarray) -> DataFrame:
-    """Base and model log10 probability of every document of ``blocks``."""
-    frequent = counts.orderBy(F.col("c").desc(), "hash").limit(KNOWN).collect()  # at most KNOWN rows of two longs
-    often = np.array([(r["hash"], r["c"]) for r in frequent], np.int64).reshape(-1, 2)
-    known = often[:, 0].view(np.uint64) if len(often) else np.zeros(0, np.uint64)
-    order = np.argsort(known)
-    shared = blocks.sparkSession.sparkContext.broadcast((classes, with_bias(weights, classes.log_mass), known[order], often[order, 1]))
-
-    def lookup(hashes, table, values):
-        out = np.zeros(len(hashes), np.int64)
-        if len(table):
-            at = np.minimum(np.searchsorted(table, hashes), len(table) - 1)
-            hit = table[at] == hashes
-            out[hit] = values[at[hit]]
-        return out
+    return told_counts(told)
 
-    def rare(batches):
-        _, _, table, values = shared.value
-        for batch in batches:
-            for block in _rows(batch):
-                own = block["vocabulary"]
-                own = own[lookup(own, table, values) == 0]
-                yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(np.full(len(own), block["block"]))], ["hash", "block"])
 
-    asked = blocks.select("block", "vocabulary").mapInArrow(rare, "hash long, block long")
-    told = asked.join(counts, "hash").groupBy("block").agg(F.collect_list(F.struct("hash", "c")).alias("told"))  # a block's own words
+def score_blocks(blocks: DataFrame, totals: DataFrame, classes: Classes, weights: np.ndarray) -> DataFrame:
+    """Base and model log10 probability of every document of ``blocks``; ``totals``: their :func:`word_totals`."""
+    shared = blocks.sparkSession.sparkContext.broadcast((classes, with_bias(weights, classes.log_mass)))
 
     def score(batches):
-        model, w, table, values = shared.value
+        model, w = shared.value
         for batch in batches:
             column, after = (batch.column(batch.schema.get_field_index(x)) for x in ("told", "pairs"))
             for r, block in enumerate(_rows(batch.drop_columns(["told", "pairs"]))):
                 hashes, first, doc, index = sequence(block)
-                c = lookup(block["vocabulary"], table, values)
-                back = column[r].values
-                if back is not None and len(back):
-                    h, n = back.field(0).to_numpy().view(np.uint64), back.field(1).to_numpy()
-                    o = np.argsort(h)
-                    c = np.maximum(c, lookup(block["vocabulary"], h[o], n[o]))
-                count = np.where(index >= 0, np.append(c, 0)[index], model.end)
+                _, by_hash = word_order(block)
+                c = np.empty(len(by_hash), np.int64)
+                c[by_hash] = told_counts(column[r].values)
+                count = c[index]  # the end token's index and place are the last
                 base = np.log10((count + SMOOTH) / model.total)
                 target = np.where(count > 0, model.of(hashes), CLASSES - 1)
                 rows, _, place = histories(features(hashes, first), True)
@@ -483,15 +531,15 @@ def score_blocks(blocks: DataFrame, counts: DataFrame, classes: Classes, weights
                     pa.array(np.bincount(doc[count > 0], minlength=docs).astype(np.int64)), pa.array(np.full(docs, model.tokens, np.int64)),
                     pa.array(np.bincount(doc, base, docs)), pa.array(full)], SCORES.names)
 
-    pairs = count_pairs(blocks, max(1, -(-blocks.count() // PART)))
-    return blocks.drop("train").join(told, "block", "left").join(pairs, "block", "left").mapInArrow(score, SCORES)
+    pairs = count_pairs(blocks, ranges(blocks, PART))
+    return coded(blocks.drop("train")).join(_told(totals, "told"), "block", "left").join(pairs, "block", "left").mapInArrow(score, SCORES)
 
 
 def lm_scores(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """Scores of every row of ``docs``."""
     small_batches(docs.sparkSession)
     blocks = stage(pack(docs), "blocks")
-    counts = stage(count_words(blocks), "words")
-    classes = fit_classes(counts)
+    totals = stage(word_totals(blocks), "words")
+    classes = fit_classes(listed_words(totals))
     weights = fit(blocks, classes, rounds)
-    return score_blocks(blocks, counts, classes, weights)
+    return score_blocks(blocks, totals, classes, weights)
