@@ -45,3 +45,49 @@ def test_long_sets_that_share_a_passage(spark):
     texts += [t.replace("w1 ", "v ", 3) + " end" for t in texts[:7]] + [texts[9]]
     got = {r["doc_id"]: r["component_id"] for r in J.jaccard_components(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
     assert got == {i: (i - 40 if 40 <= i < 47 else 9 if i == 47 else i) for i in range(48)}
+
+
+def test_crossing_tokens_travel_in_ranges(spark, monkeypatch, capsys):
+    """The bound counts each node's tokens that another group has, in rows a range and batch instead of rows a token."""
+    monkeypatch.setattr(J, "RANGE", 600)
+    rng = random.Random(4)
+    sets = {}
+    for i in range(120):
+        tokens = {rng.randrange(-(1 << 63), 1 << 63) for _ in range(30)} | {rng.randrange(40) * (1 << 57) - (1 << 62) for _ in range(4)} | {-7}  # -7: in every set
+        sets[i * 1000 - 50_000] = (rng.randrange(6) if i % 3 else i * 1000 - 50_000, sorted(tokens))
+    rows = [(k, label, len(t), t) for k, (label, t) in sets.items()]
+    rows += rng.choices(rows, k=60)  # equal sets are one node
+    df = spark.createDataFrame(rows, "node long, label long, n long, tokens array<long>").repartition(5)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
+    groups = {}
+    for label, tokens in sets.values():
+        for t in tokens:
+            groups.setdefault(t, set()).add(label)
+    found = {k: sum(len(groups[t]) > 1 for t in tokens) for k, (_, tokens) in sets.items()}
+    sizes = df.select("node", "n").distinct()
+    try:
+        for least in (1, 4, 5, 35):
+            got = J._crossing(df, sizes, f"found >= {least}")
+            assert sorted(r["node"] for r in got.collect()) == sorted(k for k, n in found.items() if n >= least)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    got.explain()
+    plan = capsys.readouterr().out
+    assert "FlatMapGroupsInArrow" in plan and "Window" not in plan
+    assert J._crossing(df.limit(0), sizes, "found >= 1").count() == 0
+
+
+def test_keep_one_shuffles_no_texts(spark, capsys):
+    rng = random.Random(6)
+    a = _text(rng, 50)
+    df = spark.createDataFrame([(1, a), (2, a + " more"), (3, _text(rng, 40))], "doc_id long, text string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables that Spark takes for large
+    try:
+        kept = J.keep_one(df)
+        assert sorted(r["doc_id"] for r in kept.collect()) == [1, 3]
+        kept.explain()
+        plan = capsys.readouterr().out
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan

@@ -55,6 +55,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from . import _text as X
 from ._stage import small_batches, stage
+from ._text import packed, unpacked, unplaned  # noqa: F401  (tests read blocks with unplaned)
 
 FOLDS = 10
 SMOOTH = 0.1
@@ -88,23 +89,6 @@ def is_held_out(doc_id) -> bool:
     return zlib.crc32(("" if doc_id is None else str(doc_id)).encode()) % FOLDS == 0
 
 
-def planes(values: np.ndarray) -> bytes:
-    """The values' first bytes, then their second ones and so on, which compresses better."""
-    return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
-
-
-def unplaned(data, kind) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
-
-
-def packed(values: np.ndarray) -> bytes:
-    return pa.compress(planes(values), "zstd", asbytes=True)
-
-
-def unpacked(data, n: int, kind) -> np.ndarray:
-    return unplaned(pa.decompress(pa.py_buffer(data), n * np.dtype(kind).itemsize, "zstd"), kind)
-
-
 def gathered(batches):
     """Batches joined to about BLOCK bytes, so that a block's words and pairs are told apart once."""
     held, size = [], 0

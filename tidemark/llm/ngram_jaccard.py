@@ -37,8 +37,11 @@ and 4 joins near copies that the bands left apart before it lists pairs, so
 thousands of near copies are never written pairwise.
 
 Scale: texts are shuffled only for star edges (a member's text once; a hot
-pivot is repeated for every STAR members).  A token that several nodes of a
-batch share goes to the shuffle once a batch and group.  A token's list is cut
+pivot is repeated for every STAR members).  For the bound a batch sends its
+tokens as sorted hashes, cut into ranges of the hash, with the place of each
+one's node; of a token that two groups of the batch have only two nodes meet
+the other batches.  The number of ranges grows with the tokens, so that a range
+holds about RANGE of them.  A token's list is cut
 into chunks of LIST nodes, two of which are compared by a task; pairs that the
 bounds reject are never written.  Nothing is collected but counts; labels are broadcast only up to MAX_BROADCAST counted rows.
 Tokens and nodes are 64-bit hashes.
@@ -55,7 +58,8 @@ import itertools
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from . import _text as X
 from ._components import components
@@ -70,6 +74,8 @@ STAR = 2000
 TEXT_BYTES = 1 << 19
 #: (node, label) rows of 16 bytes that may be broadcast
 MAX_BROADCAST = 400_000
+#: tokens of a range of hashes that one task compares at once
+RANGE = 1 << 20
 #: bits of a bitmap, and tokens of a class of a set that one bitmap stands for
 BITS, CLASS = 1024, 512
 #: nodes of one list that are compared at once (longer lists are compared chunk by chunk), and list rows of one Arrow batch
@@ -232,42 +238,81 @@ def _groups(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 def _crossing(rows: DataFrame, sizes: DataFrame, need) -> DataFrame:
     """Nodes of ``rows`` (node, label, n, tokens) with at least need(n) tokens in the unions of other groups; ``sizes`` has their node and n.
 
-    A batch settles the tokens that two of its groups share; each other token
-    of the batch travels once a group, with its nodes.
+    A batch sends each range of the hash its tokens there, as steps from one to
+    the next, and their nodes.  A token that two groups of the batch have is
+    settled for all its nodes: one node of its first and of its last group
+    meets the other batches, the rest travel on their own.
     """
-    schema = T.StructType([T.StructField("token", T.LongType()), T.StructField("label", T.LongType()), T.StructField("node", T.LongType()),
-                           T.StructField("more", T.ArrayType(T.LongType()))])
+    tokens = rows.agg(F.sum(F.size("tokens"))).first()[0] or 0
+    parts = max(1, -(-tokens // RANGE))
+    bounds = np.array([i * (1 << 64) // parts for i in range(parts)], np.uint64)
+
+    def cell(part: int, settled: bool, keys: np.ndarray, start, place: np.ndarray, nodes: np.ndarray, labels: np.ndarray) -> tuple:
+        some, place = np.unique(place, return_inverse=True)
+        nodes, labels = nodes[some], labels[some]
+        steps = np.diff(nodes.view(np.uint64), prepend=np.uint64(0))
+        return part, settled, len(keys), len(nodes), X.packed(np.diff(keys, prepend=start)), X.packed(place.astype(np.uint32)), X.packed(steps), X.packed(labels ^ nodes)
 
     def run(batches):
+        turn = TaskContext.get().partitionId()
         for batch in batches:
-            lists = batch.column(3)
-            tokens = lists.flatten().to_numpy()
-            if not len(tokens):
+            lists = batch.column(2)
+            flat = lists.flatten().to_numpy().view(np.uint64)
+            if not len(flat):
                 continue
-            each = np.diff(lists.offsets.to_numpy())
-            node = np.repeat(batch.column(0).to_numpy(), each)
-            label = np.repeat(batch.column(1).to_numpy(), each)
-            order = np.lexsort((node, label, tokens))
-            tokens, label, node = tokens[order], label[order], node[order]
-            keep = np.ones(len(tokens), bool)  # rows of equal sets say the same twice
-            keep[1:] = (tokens[1:] != tokens[:-1]) | (label[1:] != label[:-1]) | (node[1:] != node[:-1])
-            tokens, label, node = tokens[keep], label[keep], node[keep]
-            new_token = np.concatenate([[True], tokens[1:] != tokens[:-1]])
-            new_pair = new_token | np.concatenate([[True], label[1:] != label[:-1]])
-            begin = np.flatnonzero(new_pair)
-            size = np.diff(np.append(begin, len(tokens)))
-            # most pairs have one node, which needs no list
-            rest = np.delete(node, begin)
-            ends = np.concatenate([[0], np.cumsum(size - 1)]).astype(np.int32)
-            more = pa.ListArray.from_arrays(pa.array(ends), pa.array(rest), mask=pa.array(size == 1))
-            yield pa.RecordBatch.from_arrays([pa.array(tokens[begin]), pa.array(label[begin]), pa.array(node[begin]), more], schema.names)
-
-    pairs = rows.select("node", "label", "n", "tokens").mapInArrow(run, schema)
-    w = Window.partitionBy("token")
-    crossed = pairs.withColumn("lo", F.min("label").over(w)).withColumn("hi", F.max("label").over(w)).filter("lo <> hi")
-    each = F.explode(F.when(F.col("more").isNull(), F.array("node")).otherwise(F.array_append("more", F.col("node"))))
-    # one batch may say a node's token twice only by way of equal sets, which are one node
-    found = crossed.select("token", each.alias("node")).groupBy("node").agg(F.countDistinct("token").alias("found"))
+            # rows of equal sets say the same
+            nodes, at = np.unique(batch.column(0).to_numpy(), return_index=True)
+            labels = batch.column(1).to_numpy()[at]
+            rank = np.full(batch.num_rows, -1)
+            rank[at] = np.arange(len(at))
+            place = np.repeat(rank, np.diff(lists.offsets.to_numpy()))
+            flat, place = flat[place >= 0], place[place >= 0]
+            order = np.lexsort((labels[place], flat))
+            keys, place = flat[order], place[order]
+            first = np.concatenate([[True], keys[1:] != keys[:-1]])
+            last = np.append(first[1:], True)
+            begin, end = np.flatnonzero(first), np.flatnonzero(last)
+            crossed = labels[place[begin]] != labels[place[end]]
+            inner = np.repeat(crossed, end - begin + 1) & ~first & ~last
+            out = []
+            if inner.any():
+                out.append(cell(turn % parts, True, keys[inner], np.uint64(0), place[inner], nodes, labels))  # needs no range of its own
+                keys, place = keys[~inner], place[~inner]
+            edges = np.append(np.searchsorted(keys, bounds), len(keys)).tolist()
+            for p in range(parts):
+                if edges[p] < edges[p + 1]:
+                    c = slice(edges[p], edges[p + 1])
+                    out.append(cell(p, False, keys[c], bounds[p], place[c], nodes, labels))
+            turn += 1
+            kinds = (pa.int32(), pa.bool_(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*out, strict=True), kinds, strict=True)],
+                                             ["part", "settled", "n", "m", "keys", "place", "nodes", "labels"])
+
+    def shared(table: pa.Table) -> pa.Table:
+        part = table.column("part")[0].as_py()
+        told, met = [], []
+        for settled, n, m, *data in zip(*(table.column(c).to_pylist() for c in ("settled", "n", "m")), *(table.column(c) for c in ("keys", "place", "nodes", "labels")), strict=True):
+            data = [X.unpacked(x.as_buffer(), k, kind) for x, k, kind in zip(data, (n, n, m, m), (np.uint64, np.uint32, np.uint64, np.int64), strict=True)]
+            keys = (np.uint64(0) if settled else bounds[part]) + np.cumsum(data[0], dtype=np.uint64)
+            nodes = np.cumsum(data[2], dtype=np.uint64).view(np.int64)
+            if settled:
+                told.append((nodes[data[1]], keys))
+            else:
+                met.append((nodes[data[1]], keys, (data[3] ^ nodes)[data[1]]))
+        if met:
+            node, keys, label = (np.concatenate(x) for x in zip(*met, strict=True))
+            met.clear()
+            order = np.argsort(keys)
+            node, keys, label = node[order], keys[order], label[order]
+            begin = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+            crossed = np.repeat(np.minimum.reduceat(label, begin) != np.maximum.reduceat(label, begin), np.diff(np.append(begin, len(keys))))
+            told.append((node[crossed], keys[crossed]))
+        node, keys = (np.concatenate(x) for x in zip(*told, strict=True))
+        return pa.table([pa.array(node), pa.array(keys.view(np.int64))], ["node", "token"])
+
+    sent = rows.select("node", "label", "tokens").mapInArrow(run, "part int, settled boolean, n int, m int, keys binary, place binary, nodes binary, labels binary")
+    # several batches may say a node's token by way of equal sets, which are one node
+    found = sent.groupBy("part").applyInArrow(shared, "node long, token long").groupBy("node").agg(F.countDistinct("token").alias("found"))
     return found.join(sizes, "node").filter(need).select("node")
 
 
@@ -502,8 +547,8 @@ def keep_one(docs: DataFrame) -> DataFrame:
     keyed = stage(docs.withColumn(name, F.monotonically_increasing_id()), "rows")
     rows = component_table(keyed.select(F.col(f"`{name}`").alias("row"), "doc_id", "text")).filter("label is not null")
     first = rows.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")).select("label", F.col("first.row").alias("kept"))
-    others = rows.join(stage(first, "kept"), "label").filter("row <> kept").select(F.col("row").alias(name))
-    return keyed.join(others, name, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    others = stage(rows.join(stage(first, "kept"), "label").filter("row <> kept").select(F.col("row").alias(name)), "others")
+    return keyed.join(_small(others), name, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 ORACLE = r"""
